@@ -82,8 +82,8 @@ SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(part
 FROM d LEFT JOIN part USING (doc_id)""",
     "op7_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
-u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS n FROM v
-  WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
 r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a)
@@ -98,6 +98,6 @@ later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION
 gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest([0, 1, 2]) AS k)),
 sets AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
-  sha256(CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1), i -> NOT list_contains(g, i)), i -> l[i]), chr(10)), '') END) AS kept_sha256
+  sha256(CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(g, i)), lambda i: l[i]), chr(10)), '') END) AS kept_sha256
 FROM d LEFT JOIN sets USING (doc_id)""",
 }
