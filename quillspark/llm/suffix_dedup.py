@@ -3,18 +3,19 @@
 Suffixes are ordered only through the first `WINDOW` bytes, most significant digit first, and a group
 of equal suffixes is exactly a repeated window.  The passes:
 
-1. The leading digit is a gram of GRAM bytes.  Of each window only the gram with the least hash
-   is looked at (equal windows choose equal grams), so one position in about 16 is exchanged, as a
-   32-bit tag in a bucket of tags.  Grams in a single document retire: no later digit revives them.
-2. Windows around surviving grams are exchanged as contexts (one for each run of windows that share a
-   gram, equal contexts of a block collapsed) and sorted by their further digits of eight bytes; a
-   window that is alone after a digit retires.  What remains is equal in all bytes, so hashes only
-   thin out candidates and never decide.
+1. The leading digit is a stretch of 35 bytes.  In each window the gram of GRAM bytes with the least
+   hash is its anchor (equal windows have equal anchors), and windows that share an anchor form a run.  The
+   windows of a run that begin SIDE bytes or more before the anchor all hold these bytes and the gram, the
+   others the gram and SIDE bytes after it.  Both stretches are exchanged as 32-bit tags in buckets of
+   tags.  Stretches in a single document retire: no later digit revives them.
+2. Windows around surviving stretches are exchanged as contexts (one for each run, equal contexts of a
+   block collapsed) and sorted by digits of eight bytes; a window that is alone after a digit retires.
+   What remains is equal in all bytes, so hashes only thin out candidates and never decide.
 3. Each context learns which of its windows also start in a smaller document, and each document merges
    the bytes they cover.
 
-Documents sit in blocks by the hash of their id, and all three passes use that one exchange.  A gram
-found in very many blocks is dealt by window instead of by gram, so no group lands in one task.
+Documents sit in blocks by the hash of their id, and all three passes use that one exchange.  Contexts
+of a stretch found in very many documents are dealt by window, so no group lands in one task.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ WINDOW = 50
 GRAM = 20
 #: Grams in a window, so windows that may share one; their flags fit a 32-bit word.
 SPAN = WINDOW - GRAM + 1
+#: Bytes of a stretch beside its gram.
+SIDE = (SPAN - 1) // 2
 #: Text of a block, about; a block is what one Python call holds.
 BLOCK_BYTES = 8 << 20
-#: Blocks with a gram from which on its windows are dealt one by one.
-HOT_BLOCKS = 64
+#: Documents with a stretch (of a block 255 count at most) from which on its windows are dealt one by one.
+HOT_DOCUMENTS = 2000
 #: Windows that one sorting step holds.
-SORT_WINDOWS = 400_000
+SORT_WINDOWS = 200_000
 NULL_ID = np.iinfo(np.int64).max
 U = np.uint64
 LOW = U(0xFFFFFFFF)
@@ -61,14 +64,15 @@ def coded(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((g >> U(32)) * U(buckets)) >> U(32) << U(32)) | (g & LOW)
 
 
-def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that share the place of their least gram: first start, last start, gram hash.
+def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share their anchor: first and last start, last start of the left
+    side, hash of the gram, and hashes of the left and the right stretch (0 where no window has it).
 
     data: texts one after another; ends: where each of them ends.
     """
     none = np.empty(0, np.int64)
     if len(data) < WINDOW:
-        return none, none, none.astype(U)
+        return none, none, none, none.astype(U), none.astype(U), none.astype(U)
     x = lanes(data)
     n = len(data) - GRAM + 1
     h = mixed(x[:n] + mixed(x[8 : n + 8] * U(0x9E3779B97F4A7C15)) + x[12 : n + 12] * U(0xD6E8FEB86659FD93))
@@ -84,10 +88,20 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         begin = end
     starts = np.flatnonzero(whole)
     if not len(starts):
-        return none, none, none.astype(U)
+        return none, none, none, none.astype(U), none.astype(U), none.astype(U)
     at = at[starts]
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])
-    return starts[new], starts[np.r_[new[1:], len(starts)] - 1], h[at[new]]
+    first, last, anchor = starts[new], starts[np.r_[new[1:], len(starts)] - 1], at[new]
+    turn = np.clip(anchor - SIDE, first - 1, last)
+
+    def stretch(begin: np.ndarray, there: np.ndarray, salt: int) -> np.ndarray:
+        begin = np.where(there, begin, 0)
+        out = np.full(len(begin), salt, U)
+        for step in (*range(0, GRAM + SIDE - 7, 8), GRAM + SIDE - 8):
+            out = mixed(out + x[np.minimum(begin + step, len(x) - 1)] * U(0x9E3779B97F4A7C15))
+        return np.where(there, out | U(1), U(0))
+
+    return first, last, turn, h[anchor], stretch(anchor - SIDE, turn >= first, 1), stretch(anchor, turn < last, 2)
 
 
 class Block:
@@ -124,12 +138,12 @@ class Block:
         return np.concatenate(held), ends, np.array([k for k, _ in at]), np.array([a for _, a in at])
 
     def runs(self):
-        """For each stretch: its bytes, then for each run document number, offset, first, last, hash."""
+        """For each part of the block: its bytes, then for each run document number, offset, and runs_of()."""
         for data, ends, docs, offsets in self.pieces():
-            first, last, h = runs_of(data, ends)
-            part = np.searchsorted(ends, first, side="right")
+            found = runs_of(data, ends)
+            part = np.searchsorted(ends, found[0], side="right")
             shift = offsets[part] - np.r_[0, ends[:-1]][part]
-            yield data, docs[part], shift, first, last, h
+            yield data, docs[part], shift, *found
 
     def contexts(self, codes: np.ndarray, hot: np.ndarray, buckets: int):
         """Distinct contexts of grams among codes, and their uses (document number, start, end, context)."""
@@ -137,12 +151,18 @@ class Block:
         owner: list[int] = []
         code_of: list[int] = []
         uses: list[tuple[int, int, int, int]] = []
-        for data, docs, shift, first, last, h in self.runs():
-            code = coded(h, buckets)
-            place = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
-            keep = np.flatnonzero(codes[place] == code) if len(codes) else np.empty(0, int)
+        def among(stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            code = coded(stretch, buckets)
+            place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            there = (codes[place] == code) & (stretch != 0)
+            return there, there & hot[place]
+
+        for data, docs, shift, first, last, turn, h, left, right in self.runs() if len(codes) else ():
+            (on_left, hot_left), (on_right, hot_right) = among(left), among(right)
+            keep = np.flatnonzero(on_left | on_right)
+            a, b = np.where(on_left, first, turn + 1)[keep], np.where(on_right, last, turn)[keep]
             raw = data.tobytes()
-            rows = zip(*(x[keep].tolist() for x in (docs, shift, first, last, code)), hot[place[keep]].tolist() if len(keep) else [])
+            rows = zip(*(x.tolist() for x in (docs[keep], shift[keep], a, b, coded(h[keep], buckets), (hot_left | hot_right)[keep])))
             for k, move, a, b, c, split in rows:
                 for a1, b1 in ((i, i) for i in range(a, b + 1)) if split else ((a, b),):
                     text = raw[a1 : b1 + WINDOW]
@@ -272,27 +292,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def tags(key, table):
         code_parts, doc_parts = [], []
         block = Block(table)
-        for _, docs_, _, _, _, h in block.runs():
-            code_parts.append(coded(h, buckets))
-            doc_parts.append(block.ids[docs_])
+        for _, numbers, _, _, _, _, _, left, right in block.runs():
+            for stretch in (left, right):
+                there = np.flatnonzero(stretch)
+                code_parts.append(coded(stretch[there], buckets))
+                doc_parts.append(block.ids[numbers[there]])
         code = np.concatenate(code_parts) if code_parts else np.empty(0, U)
         doc = np.concatenate(doc_parts) if doc_parts else np.empty(0, np.int64)
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(doc, kind="stable")
+        order = order[np.argsort(code[order], kind="stable")]
         code, doc = code[order], doc[order]
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.empty(0, int)
-        many = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(code) else np.empty(0, bool)
+        other = np.r_[True, code[1:] != code[:-1]][: len(code)]
+        first = np.flatnonzero(other)
+        # documents with the code, up to 255
+        count = np.add.reduceat(other | np.r_[True, doc[1:] != doc[:-1]], first, dtype=np.int64) if len(code) else np.empty(0, int)
+        count = np.minimum(count, 255).astype(np.uint8)
         code = code[first]
-        rows = [(b, binary((code[p] & LOW).astype(np.uint32)), binary(np.packbits(many[p]))) for b, p in split_by_bucket(code, np.arange(len(code)))]
+        rows = [(b, binary((code[p] & LOW).astype(np.uint32)), binary(count[p])) for b, p in split_by_bucket(code, np.arange(len(code)))]
         columns = list(zip(*rows)) or [[], [], []]
-        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "tags": pa.array(columns[1], pa.binary()), "many": pa.array(columns[2], pa.binary())})
+        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "tags": pa.array(columns[1], pa.binary()), "count": pa.array(columns[2], pa.binary())})
 
     def shared(key, table):
         tag, sizes = gathered(table["tags"], np.uint32)
-        many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n).astype(bool) for m, n in zip(table["many"].to_pylist(), sizes)])
-        kinds, which, count = np.unique(tag, return_inverse=True, return_counts=True)
-        lives = count > 1
-        np.logical_or.at(lives, which, many)
-        keep, hot = lives[which], count[which] >= HOT_BLOCKS
+        count, _ = gathered(table["count"], np.uint8)
+        kinds, which = np.unique(tag, return_inverse=True)
+        total = np.bincount(which, count, len(kinds))[which]
+        keep, hot = total > 1, total >= HOT_DOCUMENTS
         out_tags, out_hot, at = [], [], 0
         for n in sizes:
             k = keep[at : at + n]
@@ -371,7 +396,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({f"c{i}": rest[f"c{i}"].combine_chunks() for i in range(len(carry))} | {"n_bytes": pa.array([t.size for t in block.texts], pa.int64()), "spans": pa.array(spans, span), "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())})
 
     by_block = "block long, bucket long, tags binary, hot binary"
-    asked = placed.select("block", "_id", "_bytes", *[f"c{i}" for i in range(len(carry))]).groupBy("block").applyInArrow(tags, "bucket long, block long, tags binary, many binary")
+    asked = placed.select("block", "_id", "_bytes", *[f"c{i}" for i in range(len(carry))]).groupBy("block").applyInArrow(tags, "bucket long, block long, tags binary, count binary")
     replies = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shared, by_block)
     offers = placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(offered, "bucket long, block long, number binary, tags binary, size binary, owner binary, data binary")
     judgements = offers.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(judged, by_block)
