@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
+
 LINES = 3
 
 
@@ -44,7 +46,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the array is a column of its own: inside a lambda an expression would be computed for each line
     split = docs.select(key.alias("_k"), lines.alias("_lines"))
     placed = split.select("_k", F.posexplode(windows(F.col("_lines"), size)).alias("_at", "_w")).where("_w is not null")
-    placed = placed.select("_k", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
+    # read twice below, so written once: four numbers a line
+    placed = settle(placed.select("_k", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b")))
     first = placed.groupBy("_a", "_b").agg(F.min(F.struct("_k", "_at")).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     later = placed.join(first, ["_a", "_b"]).where(~F.struct("_k", "_at").eqNullSafe(F.col("_first")))
     # sets of line numbers, at most one for each line of a document
