@@ -99,3 +99,21 @@ def components(edges: DataFrame) -> DataFrame:
         )
         drop_settled(links)
         links = after
+
+
+class Remembered(dict):
+    """A bounded table of make(word): two generations of `half` words, the older one is dropped for the younger."""
+
+    def __init__(self, make, half: int = 500_000, longest: int = 64):
+        self.make, self.half, self.longest, self.older = make, half, longest, {}
+
+    def __missing__(self, word):
+        value = self.older.pop(word, None)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value

@@ -17,56 +17,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, width
+from .common import Remembered, settle, width
 
 CAPACITY = 4096
 END_ID = 1
 #: Partitions whose rest meets in one of the next round.
 FAN_IN = 8
-#: Words whose ids are remembered by a worker.
-CACHE = 400_000
-
 #: Texts of these characters alone are split and lower-cased here exactly as by the tokenizer file.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ÿ]*")
-#: Fixed value: the tokenizer file's own pattern.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The tokenizer file's own pattern, with its classes written out for lower-cased texts of these characters.
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of words as they come out of the tokenizer's own splitting."""
+class WordIds:
+    """Little-endian 32-bit ids by the tokenizer file at `path`."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.words = Remembered(self.of_text)
 
     def of_text(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self.of_text(word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
 
 @functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def token_bytes(text: str, words: WordIds) -> bytes:
+def token_bytes(text: str, known: WordIds) -> bytes:
     """The text's ids.  The tokenizer joins no words, so their ids can be looked up one by one."""
     if PLAIN.fullmatch(text):
-        return b"".join(map(words.__getitem__, SPLIT.findall(text.lower())))
-    return words.of_text(text)
+        return b"".join(map(known.words.__getitem__, SPLIT.findall(text.lower())))
+    return known.of_text(text)
 
 
 def pieces_of(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:

@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Remembered
+
 SPACE = "▁"
-#: Words whose ids are remembered by a worker.
-CACHE = 400_000
+#: Words up to this length are searched whole: they are shorter than a few windows.
+SHORT = 64
 
 
 class PieceModel:
@@ -109,6 +111,22 @@ class PieceModel:
             end = start
         return [i for p in reversed(parts) for i in p]
 
+    def segment_short(self, text: str) -> list[int]:
+        """The same for a short text held whole."""
+        get, longest, fallback = self.score.get, self.longest, self.fallback
+        best, back = [0.0], [0]
+        for i in range(1, len(text) + 1):
+            value, origin = best[-1] + fallback, i - 1
+            for a in range(max(0, i - longest), i):
+                s = get(text[a:i])
+                if s is not None:
+                    v = best[a] + s
+                    if v > value:
+                        value, origin = v, a
+            best.append(value)
+            back.append(origin)
+        return self.path(list(text), back, len(text))
+
     def segment(self, text: str) -> list[int]:
         return [i for part in self.stream(text) for i in part]
 
@@ -125,19 +143,16 @@ def prepared(text: str) -> str:
     return SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
 
 
-class Words(dict):
-    """Ids, as little-endian 32-bit bytes, of words (which start with SPACE or hold none)."""
+class Words:
+    """Segmentations of words (a run of SPACE and what follows), as little-endian 32-bit ids."""
 
     def __init__(self, model: PieceModel):
         self.model = model
+        self.known = Remembered(self.ids_of, longest=SHORT)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = np.array(self.model.segment(word), "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+    def ids_of(self, word: str) -> bytes:
+        ids = self.model.segment_short(word) if len(word) <= SHORT else self.model.segment(word)
+        return np.array(ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -147,7 +162,7 @@ def words_of(path: str) -> Words:
 
 def encode(text: str, words: Words) -> bytes:
     """The text's ids as bytes: each run of spaces and the word after it is segmented on its own."""
-    return b"".join(map(words.__getitem__, RUN.findall(prepared(text)))) if text else b""
+    return b"".join(map(words.known.__getitem__, RUN.findall(prepared(text)))) if text else b""
 
 
 @functools.lru_cache(maxsize=2)
