@@ -49,6 +49,8 @@ class PieceModel:
         self.longest = max(map(len, self.ids), default=1)
         worst = min(self.score.values(), default=-1.0)
         self.fallback = worst - 10.0
+        # the scores, with minus infinity for what only begins a piece
+        self.extended = {p[:k]: -math.inf for p in self.score for k in range(1, len(p))} | self.score
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -113,18 +115,19 @@ class PieceModel:
 
     def segment_short(self, text: str) -> list[int]:
         """The same for a short text held whole."""
-        get, longest, fallback = self.score.get, self.longest, self.fallback
-        best, back = [0.0], [0]
-        for i in range(1, len(text) + 1):
-            value, origin = best[-1] + fallback, i - 1
-            for a in range(max(0, i - longest), i):
-                s = get(text[a:i])
-                if s is not None:
-                    v = best[a] + s
-                    if v > value:
-                        value, origin = v, a
-            best.append(value)
-            back.append(origin)
+        n, get, fallback = len(text), self.extended.get, self.fallback
+        best, back = [-math.inf] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for a in range(n):
+            own = best[a]
+            for b in range(a + 1, n + 1):
+                s = get(text[a:b])
+                if s is None:  # no piece begins like this
+                    break
+                if own + s > best[b]:
+                    best[b], back[b] = own + s, a
+            if own + fallback > best[a + 1]:
+                best[a + 1], back[a + 1] = own + fallback, a
         return self.path(list(text), back, len(text))
 
     def segment(self, text: str) -> list[int]:
