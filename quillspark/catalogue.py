@@ -1,4 +1,334 @@
-"""Named queries over the test tables, with equivalent SQL."""
+"""Named queries over the test tables, with equivalent SQL for DuckDB."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import ids, measures, text
+from .operators import batching, combine, inference, resume, status
+from .sources import sinks, transcripts
+
+ROOT = "/data/audio"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+#: The derived relations, as common table expressions: utterances, predictions, finished ids.
+UTT = "utt AS (SELECT doc_id AS seq, (doc_id % 7) || '-' || (doc_id % 50) || '-' || doc_id AS segment_id, text, CAST(n_chars AS DOUBLE) / 15 AS duration FROM documents)"
+PRED = """pred AS (SELECT segment_id, lower(text) AS pred_text, seq, 1 AS attempt FROM utt WHERE seq % 10 <> 3
+  UNION ALL SELECT segment_id, reverse(text), seq, 2 FROM utt WHERE seq % 10 = 1
+  UNION ALL SELECT '999-999-' || seq, 'orphan', seq, 1 FROM utt WHERE seq % 50 = 0)"""
+LAST = "latest AS (SELECT segment_id, arg_max(pred_text, attempt) AS pred_text FROM pred GROUP BY segment_id)"
+DONE = "done AS (SELECT segment_id FROM utt WHERE seq % 4 = 0)"
+
+
+def query(sql: str | None = None):
+    def keep(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    own = F.concat_ws("-", F.col("doc_id") % 7, F.col("doc_id") % 50, F.col("doc_id"))
+    return d.select(F.col("doc_id").alias("seq"), own.alias("segment_id"), "text", (F.col("n_chars").cast("double") / 15).alias("duration"))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = utterances(spark, sf_dir)
+    one = u.where("seq % 10 <> 3").select("segment_id", F.lower("text").alias("pred_text"), "seq", F.lit(1).alias("attempt"))
+    two = u.where("seq % 10 = 1").select("segment_id", F.reverse("text").alias("pred_text"), "seq", F.lit(2).alias("attempt"))
+    orphans = u.where("seq % 50 = 0").select(F.concat(F.lit("999-999-"), "seq").alias("segment_id"), F.lit("orphan").alias("pred_text"), "seq", F.lit(1).alias("attempt"))
+    return one.unionByName(two).unionByName(orphans)
+
+
+def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = utterances(spark, sf_dir).where("seq % 4 = 0").select("segment_id")
+    return own.withColumn("shard", ids.shard_of(F.col("segment_id")))
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = utterances(spark, sf_dir)
+    body = F.translate("text", "\n", " ")
+    value = (
+        F.when(F.expr("seq % 13 = 0"), body).when(F.expr("seq % 17 = 0"), F.lit(" \t ")).when(F.expr("seq % 19 = 0"), F.concat(F.lit("  \t"), body))
+        .when(F.expr("seq % 23 = 0"), F.concat(F.lit("12-34\t"), body)).when(F.expr("seq % 29 = 0"), F.concat(F.lit(" "), "segment_id", F.lit(" \ta\tb")))
+        .otherwise(F.concat("segment_id", F.lit("\t"), body))
+    )
+    return u.select("seq", value.alias("value"))
+
+
+LINES = f"""{UTT}, lines AS (SELECT seq, CASE WHEN seq % 13 = 0 THEN body WHEN seq % 17 = 0 THEN ' ' || chr(9) || ' ' WHEN seq % 19 = 0 THEN '  ' || chr(9) || body
+  WHEN seq % 23 = 0 THEN '12-34' || chr(9) || body WHEN seq % 29 = 0 THEN ' ' || segment_id || ' ' || chr(9) || 'a' || chr(9) || 'b' ELSE segment_id || chr(9) || body END AS value
+  FROM (SELECT *, replace(text, chr(10), ' ') AS body FROM utt)),
+parts AS (SELECT seq, value, CASE WHEN instr(value, chr(9)) > 0 THEN trim(substr(value, 1, instr(value, chr(9)) - 1)) ELSE trim(value) END AS id, instr(value, chr(9)) AS tab FROM lines),
+parsed AS (SELECT seq, id, value, tab, CASE WHEN trim(replace(value, chr(9), ' ')) = '' THEN 'blank' WHEN tab = 0 THEN 'no_tab' WHEN id = '' THEN 'empty_id'
+  WHEN NOT regexp_matches(id, '^[^-]+-[^-]+-') THEN 'malformed_id' END AS reject_reason FROM parts)"""
+
+
+@query(f"WITH {LINES} SELECT seq, id AS segment_id, substr(value, tab + 1) AS text, '{ROOT}/train/' || split_part(id, '-', 1) || '/' || split_part(id, '-', 2) || '/' || id || '.wav' AS audio_filepath FROM parsed WHERE reject_reason IS NULL")
+def parse_tsv_lines(spark, sf_dir):
+    return transcripts.parse_tsv(faulty_lines(spark, sf_dir), ROOT).where("reject_reason is null").select("seq", "segment_id", "text", "audio_filepath")
+
+
+@query(f"WITH {LINES} SELECT coalesce(reject_reason, 'kept') AS reason, CAST(count(*) AS BIGINT) AS n FROM parsed GROUP BY 1")
+def reject_reason_counts(spark, sf_dir):
+    return transcripts.parse_tsv(faulty_lines(spark, sf_dir), ROOT).groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT doc_id AS seq, CASE WHEN doc_id % 9 = 4 THEN 'clip' || doc_id ELSE 'abs' || doc_id END AS segment_id,
+  CASE WHEN doc_id % 6 = 0 THEN '' WHEN doc_id % 6 = 1 THEN '42' ELSE lang END AS text,
+  CASE WHEN doc_id % 9 = 4 THEN '{ROOT}/sub/clip' || doc_id || '.wav' ELSE '/abs/abs' || doc_id || '.wav' END AS audio_filepath,
+  CASE WHEN doc_id % 4 = 0 THEN CAST(n_chars AS DOUBLE) END AS duration, CASE WHEN doc_id % 11 = 5 THEN 'no_path' END AS reject_reason
+FROM documents WHERE doc_id % 11 <> 5""")
+def parse_jsonl_manifest(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    name = F.when(F.expr("doc_id % 9 = 4"), F.concat(F.lit('"sub/clip'), "doc_id", F.lit('.wav"'))).otherwise(F.concat(F.lit('"/abs/abs'), "doc_id", F.lit('.wav"')))
+    body = F.when(F.expr("doc_id % 6 = 0"), F.lit("null")).when(F.expr("doc_id % 6 = 1"), F.lit("42")).otherwise(F.concat(F.lit('"'), "lang", F.lit('"')))
+    length = F.when(F.expr("doc_id % 4 = 0"), F.col("n_chars").cast("string")).otherwise(F.lit('"long"'))
+    value = F.when(F.expr("doc_id % 11 = 5"), F.lit('{"text": "x"}')).otherwise(F.concat(F.lit('{"audio_filepath": '), name, F.lit(', "text": '), body, F.lit(', "duration": '), length, F.lit("}")))
+    lines = d.select(F.col("doc_id").alias("seq"), value.alias("value"))
+    return transcripts.parse_jsonl(lines, ROOT).where("reject_reason is null").select("seq", "segment_id", "text", "audio_filepath", "duration", "reject_reason")
+
+
+@query(f"WITH {UTT} SELECT segment_id, split_part(segment_id, '-', 1) AS shard, '{ROOT}/train/' || split_part(segment_id, '-', 1) || '/' || split_part(segment_id, '-', 2) || '/' || segment_id || '.wav' AS path, true AS valid FROM utt")
+def audio_path_rule(spark, sf_dir):
+    c = F.col("segment_id")
+    return utterances(spark, sf_dir).select(c, ids.shard_of(c).alias("shard"), ids.audio_path(c, ROOT).alias("path"), ids.is_valid_id(c).alias("valid"))
+
+
+@query(f"WITH {UTT} SELECT seq, segment_id || CASE WHEN seq % 3 = 0 THEN '.tar' ELSE '' END AS stem FROM utt")
+def segment_id_from_path(spark, sf_dir):
+    u = utterances(spark, sf_dir)
+    path = F.concat(F.lit("/a.b/c/"), "segment_id", F.when(F.expr("seq % 3 = 0"), ".tar.gz").when(F.expr("seq % 3 = 1"), ".wav").otherwise(""))
+    return u.select("seq", ids.stem(path).alias("stem"))
+
+
+@query("SELECT doc_id, 'abcfi' || nfc_normalize(text) AS folded FROM documents")
+def nfkc_fold_roundtrip(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.nfkc(F.concat(F.lit("ａｂｃﬁ"), "text")).alias("folded"))
+
+
+@query("SELECT doc_id, chr(3588) || chr(3661) || chr(3634) || lang AS a, true AS same FROM documents")
+def sara_am_equal(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    one, two = F.concat(F.lit("คำ"), "lang"), F.concat(F.lit("คํา"), "lang")
+    return d.select("doc_id", text.nfkc(one).alias("a"), (text.nfkc(one) == text.nfkc(two)).alias("same"))
+
+
+@query("SELECT doc_id, replace(replace(text || chr(9), chr(9), ' '), chr(10), ' ') AS line FROM documents")
+def neutralize_tabs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.neutralize(F.concat("text", F.lit("\t"))).alias("line"))
+
+
+COMBINE = f"WITH {UTT}, {PRED}, {LAST} SELECT u.seq, u.segment_id, u.text AS orig_text, coalesce(l.pred_text, '') AS pred_text FROM utt u LEFT JOIN latest l USING (segment_id)"
+
+
+@query(COMBINE)
+def combine_left_join(spark, sf_dir):
+    return combine.combine(utterances(spark, sf_dir), attempts(spark, sf_dir), "attempt")
+
+
+@query(COMBINE)
+def combine_merge_join(spark, sf_dir):
+    return combine.combine(utterances(spark, sf_dir), attempts(spark, sf_dir), "attempt", merge=True)
+
+
+@query(f"WITH {UTT}, {PRED} SELECT DISTINCT segment_id FROM pred WHERE segment_id NOT IN (SELECT segment_id FROM utt)")
+def combine_extra(spark, sf_dir):
+    return combine.extra(utterances(spark, sf_dir), attempts(spark, sf_dir))
+
+
+@query(f"WITH {UTT}, {PRED} SELECT segment_id, seq FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM pred)")
+def combine_missing(spark, sf_dir):
+    return combine.missing(utterances(spark, sf_dir), attempts(spark, sf_dir))
+
+
+@query(f"""WITH {UTT}, {PRED}, {LAST}, j AS (SELECT l.segment_id AS hit FROM utt u LEFT JOIN latest l USING (segment_id))
+SELECT CAST(count(*) AS BIGINT) AS total_input, CAST(count(hit) AS BIGINT) AS matched, CAST(count(*) - count(hit) AS BIGINT) AS missing_prediction,
+  (SELECT CAST(count(*) AS BIGINT) FROM latest WHERE segment_id NOT IN (SELECT segment_id FROM utt)) AS extra_prediction FROM j""")
+def combine_stats(spark, sf_dir):
+    return combine.stats_frame(utterances(spark, sf_dir), attempts(spark, sf_dir))
+
+
+@query(f"WITH {UTT}, {PRED}, {LAST} SELECT segment_id, pred_text FROM latest")
+def dedupe_last_wins(spark, sf_dir):
+    return combine.last_wins(attempts(spark, sf_dir), "attempt")
+
+
+@query(f"WITH {UTT}, {DONE} SELECT seq, segment_id, text, duration FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM done)")
+def resume_left_anti(spark, sf_dir):
+    return resume.pending(utterances(spark, sf_dir), finished(spark, sf_dir)).select("seq", "segment_id", "text", "duration")
+
+
+@query(f"WITH {UTT}, {DONE} SELECT seq, segment_id FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM done) ORDER BY seq LIMIT 25")
+def resume_limit(spark, sf_dir):
+    """The limit of a run: the first rows still to do."""
+    return resume.take_first(resume.pending(utterances(spark, sf_dir), finished(spark, sf_dir)), 25).select("seq", "segment_id")
+
+
+@query(f"WITH {UTT} SELECT split_part(segment_id, '-', 1) AS shard, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT segment_id) AS BIGINT) AS n_ids FROM utt GROUP BY 1")
+def shard_counts(spark, sf_dir):
+    return utterances(spark, sf_dir).groupBy(ids.shard_of(F.col("segment_id")).alias("shard")).agg(F.count("*").alias("n"), F.countDistinct("segment_id").alias("n_ids"))
+
+
+@query(f"WITH {UTT} SELECT segment_id, duration > 30 AS over FROM utt")
+def exceeds_window_flag(spark, sf_dir):
+    return utterances(spark, sf_dir).select("segment_id", measures.exceeds_window(F.col("duration")).alias("over"))
+
+
+@query(f"""WITH {UTT}, p AS (SELECT u.*, coalesce(l.quality, 0) = 1 AS readable, coalesce(l.toxic, 0) AS toxic FROM utt u LEFT JOIN labels l ON l.doc_id = u.seq)
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (readable) AS BIGINT) AS readable, CAST(count(*) FILTER (NOT readable) AS BIGINT) AS missing,
+  CAST(count(*) FILTER (readable AND toxic = 1) AS BIGINT) AS non_conforming, CAST(count(*) FILTER (readable AND duration > 30) AS BIGINT) AS over_window,
+  round(coalesce(sum(duration) FILTER (readable), 0), 3) AS seconds FROM p""")
+def dry_run_stats(spark, sf_dir):
+    from .sources import audio
+
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("seq"), "quality", "toxic")
+    rows = utterances(spark, sf_dir).join(labels, "seq", "left").select(
+        (F.coalesce("quality", F.lit(0)) == 1).alias("is_readable"),
+        F.struct(F.when(F.col("toxic") == 1, 8000).otherwise(16000).alias("sample_rate"), F.lit(1).alias("channels"), F.col("duration").alias("duration_seconds")).alias("probe"),
+    )
+    return audio.summarize(rows).withColumn("seconds", F.round("seconds", 3))
+
+
+@query("SELECT doc_id, CAST(greatest(n_chars - 44, 0) AS DOUBLE) / 32000 AS estimate, CAST(n_chars AS DOUBLE) / 16000 AS seconds FROM documents")
+def estimate_duration(spark, sf_dir):
+    n = F.col("n_chars")
+    return table(spark, sf_dir, "documents").select("doc_id", measures.estimate_duration(n).alias("estimate"), measures.duration_seconds(n, F.lit(16000)).alias("seconds"))
+
+
+PACK = """WITH RECURSIVE o AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS p FROM events),
+s AS (SELECT event_id, value, p // 256 AS win, row_number() OVER (PARTITION BY p // 256 ORDER BY value, p) AS k FROM o),
+f AS (SELECT event_id, value, win, k, CAST(0 AS BIGINT) AS batch_no, CAST(0 AS BIGINT) AS slot FROM s WHERE k = 1
+  UNION ALL SELECT s.event_id, s.value, s.win, s.k,
+    CASE WHEN f.slot + 1 >= 16 OR greatest(f.value, s.value) * (f.slot + 2) > 480 THEN f.batch_no + 1 ELSE f.batch_no END,
+    CASE WHEN f.slot + 1 >= 16 OR greatest(f.value, s.value) * (f.slot + 2) > 480 THEN 0 ELSE f.slot + 1 END
+  FROM f JOIN s ON s.win = f.win AND s.k = f.k + 1)"""
+
+
+def packed_events(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("value").alias("duration"))
+    return batching.assign_batches(e, 16, 256, 480.0)
+
+
+@query(f"{PACK} SELECT event_id, win, batch_no, slot FROM f")
+def batch_greedy_pack(spark, sf_dir):
+    return packed_events(spark, sf_dir).select(F.col("seq").alias("event_id"), "win", "batch_no", "slot")
+
+
+@query(f"{PACK} SELECT win, batch_no, CAST(count(*) AS BIGINT) AS n, max(value) AS longest, round(max(value) * count(*), 6) AS padded_cost FROM f GROUP BY win, batch_no")
+def batch_stats(spark, sf_dir):
+    return batching.batch_stats(packed_events(spark, sf_dir)).withColumn("padded_cost", F.round("padded_cost", 6))
+
+
+@query("""WITH g AS (SELECT event_id, user_id, event_type = 'error' AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM events)
+SELECT event_id, CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, g ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM g""")
+def failure_streaks(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", (F.col("event_type") == "error").alias("bad"))
+    return inference.failure_streaks(e, ["event_id"], "bad", ["user_id"]).select("event_id", F.col("streak").cast("long").alias("streak"))
+
+
+@query("""SELECT event_id, sig, coalesce(sig = lag(sig) OVER (PARTITION BY user_id ORDER BY event_id), false) AS repeated
+FROM (SELECT event_id, user_id, CASE WHEN event_type IN ('error', 'click') THEN event_type || ' failed' END AS sig FROM events)""")
+def systematic_streaks(spark, sf_dir):
+    sig = F.when(F.col("event_type").isin("error", "click"), text.error_signature(F.concat(F.lit(" "), "event_type", F.lit("\n  failed "))))
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", sig.alias("sig"))
+    return inference.systematic_streaks(e, ["event_id"], "sig", ["user_id"]).select("event_id", "sig", "repeated")
+
+
+@query("""SELECT doc_id AS seq, CASE WHEN doc_id % 37 = 5 THEN '' ELSE 'pred:' || name END AS pred_text, CASE WHEN doc_id % 37 = 5 THEN 'failed' ELSE 'ok' END AS status
+FROM (SELECT doc_id, CASE WHEN doc_id % 37 = 5 THEN 'boom' ELSE 'clip' END || doc_id AS name FROM documents)""")
+def isolation_outcomes(spark, sf_dir):
+    path = F.concat(F.lit("/a/"), F.when(F.expr("seq % 37 = 5"), "boom").otherwise("clip"), "seq", F.lit(".wav"))
+    u = utterances(spark, sf_dir).select("seq", "segment_id", "duration", path.alias("audio_filepath"))
+    return inference.transcribe(batching.assign_batches(u, 8, 512)).select("seq", "pred_text", "status")
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS completed, CAST(count(DISTINCT doc_id % 400) AS BIGINT) AS distinct_ids, CAST(count(*) FILTER (doc_id % 37 = 5) AS BIGINT) AS failed,
+  CAST(count(*) FILTER (doc_id % 3 = 0) AS BIGINT) AS empty, round(count(*) FILTER (doc_id % 3 = 0) / CAST(count(*) AS DOUBLE), 6) AS empty_ratio, count(*) FILTER (doc_id % 3 = 0) / CAST(count(*) AS DOUBLE) > 0.5 AS alarm FROM documents""")
+def empty_prediction_rate(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(
+        F.expr("doc_id % 400").cast("string").alias("segment_id"), F.when(F.expr("doc_id % 3 = 0"), F.lit("  \x1c")).otherwise(F.lit("x")).alias("pred_text"),
+        F.when(F.expr("doc_id % 37 = 5"), "failed").otherwise("ok").alias("status"),
+    )
+    return status.progress(d).withColumn("empty_ratio", F.round("empty_ratio", 6))
+
+
+@query("SELECT event_type, round(CASE WHEN sum(value) - 100 > 0 THEN sum(value) * 3 / (sum(value) - 100) ELSE 0 END, 6) AS factor FROM events GROUP BY event_type")
+def realtime_factor(spark, sf_dir):
+    e = table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum("value").alias("s"))
+    return e.select("event_type", F.round(measures.realtime_factor(F.col("s") * 3, F.col("s") - 100), 6).alias("factor"))
+
+
+@query("SELECT event_id, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS local_time, strftime(ts + INTERVAL 7 HOUR, '%Y%m%d-%H%M%S') AS stamp FROM events")
+def bangkok_timestamps(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", text.bangkok(F.col("ts")).alias("local_time"), text.bangkok(F.col("ts"), "yyyyMMdd-HHmmss").alias("stamp"))
+
+
+@query("""SELECT r_name, left(sha256('{"audio_root": "/data", "hf_repo_id": "m", "target_lang": "' || lower(r_name) || '", "task": "transcribe"}'), 16) AS fingerprint FROM region""")
+def config_fingerprint(spark, sf_dir):
+    body = F.concat(F.lit('{"audio_root": "/data", "hf_repo_id": "m", "target_lang": "'), F.lower("r_name"), F.lit('", "task": "transcribe"}'))
+    return table(spark, sf_dir, "region").select("r_name", F.left(F.sha2(body, 256), F.lit(16)).alias("fingerprint"))
+
+
+@query("""SELECT coalesce(a.item_id, b.item_id) AS item_id, a.text AS before, b.text AS after FROM benchmark a
+FULL JOIN (SELECT item_id + CASE WHEN item_id % 10 = 0 THEN 1000000 ELSE 0 END AS item_id, CASE WHEN item_id % 5 = 1 THEN lower(text) ELSE text END AS text FROM benchmark) b ON a.item_id = b.item_id
+WHERE a.text IS DISTINCT FROM b.text""")
+def manifest_diff(spark, sf_dir):
+    a = table(spark, sf_dir, "benchmark")
+    b = a.select((F.col("item_id") + F.when(F.expr("item_id % 10 = 0"), 1000000).otherwise(0)).alias("item_id"), F.when(F.expr("item_id % 5 = 1"), F.lower("text")).otherwise(F.col("text")).alias("after"))
+    both = a.withColumnRenamed("text", "before").join(b, "item_id", "full")
+    return both.where(~F.col("before").eqNullSafe(F.col("after"))).select("item_id", "before", "after")
+
+
+@query("SELECT conv_id || '-' || role || '-' || turn AS segment_id, CAST(conv_id AS VARCHAR) AS shard, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS nth FROM conversations")
+def conversation_segments(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").withColumn("segment_id", F.concat_ws("-", "conv_id", "role", "turn"))
+    nth = F.expr("row_number() over (partition by conv_id order by turn)").cast("long")
+    return c.select("segment_id", ids.shard_of(F.col("segment_id")).alias("shard"), nth.alias("nth"))
+
+
+@query(f"WITH {UTT}, {PRED} SELECT segment_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT segment_id FROM pred UNION ALL SELECT segment_id FROM utt WHERE seq % 3 = 0) GROUP BY segment_id")
+def append_runs_union(spark, sf_dir):
+    later = utterances(spark, sf_dir).where("seq % 3 = 0").select("segment_id")
+    return attempts(spark, sf_dir).select("segment_id").unionByName(later).groupBy("segment_id").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {UTT}, {PRED} SELECT segment_id FROM utt EXCEPT SELECT segment_id FROM pred")
+def except_ids(spark, sf_dir):
+    return utterances(spark, sf_dir).select("segment_id").subtract(attempts(spark, sf_dir).select("segment_id"))
+
+
+@query(f"""WITH {UTT}, {PRED}, {LAST} SELECT seq, segment_id || chr(9) || replace(replace(text, chr(9), ' '), chr(10), ' ') || chr(9) || replace(replace(coalesce(pred_text, ''), chr(9), ' '), chr(10), ' ') AS value
+FROM utt LEFT JOIN latest USING (segment_id) UNION ALL SELECT -1, 'segment_id' || chr(9) || 'orig_text' || chr(9) || 'pred_text'""")
+def combined_tsv_lines(spark, sf_dir):
+    return sinks.combined_lines(combine.combine(utterances(spark, sf_dir), attempts(spark, sf_dir), "attempt"), "tsv")
+
+
+@query(f"WITH {UTT} SELECT seq, segment_id || chr(9) || replace(replace(text, chr(9), ' '), chr(10), ' ') AS value FROM utt")
+def prediction_tsv_lines(spark, sf_dir):
+    return sinks.prediction_lines(utterances(spark, sf_dir).withColumnRenamed("text", "pred_text"), "tsv")
+
+
+@query("SELECT doc_id, n_chars % 2 = 0 AND lang <> 'de' AS conforms FROM documents")
+def audio_conforms(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", measures.conforms(F.expr("n_chars % 2 = 0"), F.lit(16000), F.when(F.col("lang") == "de", 2).otherwise(1)).alias("conforms"))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS segment_id, max(CAST(l_linenumber AS BIGINT)) AS last_line, arg_max(l_returnflag, l_linenumber || l_returnflag) AS pred_text FROM lineitem GROUP BY 1")
+def last_wins_volume(spark, sf_dir):
+    """The last-wins aggregate at volume: line items as attempts of their orders."""
+    x = table(spark, sf_dir, "lineitem")
+    return x.groupBy(F.col("l_orderkey").cast("string").alias("segment_id")).agg(F.max(F.col("l_linenumber").cast("long")).alias("last_line"), F.max_by("l_returnflag", F.concat("l_linenumber", "l_returnflag")).alias("pred_text"))
