@@ -13,11 +13,11 @@ from ..sources import transcripts
 
 
 def read_stream(spark: SparkSession, folder: str, audio_root: str, fmt: str = "tsv", files_per_trigger: int | None = None) -> DataFrame:
-    """Parsed lines with reject_reason; seq is the line's place in its micro-batch, not in the folder."""
+    """Parsed lines with reject_reason.  A stream has no line numbers: seq is null."""
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    lines = reader.load(folder).select(F.monotonically_increasing_id().alias("seq"), "value")
+    lines = reader.load(folder).select(F.lit(None).cast("long").alias("seq"), "value")
     return transcripts.parse_tsv(lines, audio_root) if fmt == "tsv" else transcripts.parse_jsonl(lines, audio_root)
 
 
