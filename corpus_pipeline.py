@@ -16,29 +16,44 @@ from quillspark.llm import language_id, line_dedup, packing, simhash_dedup, suff
 from quillspark.llm.common import settle, table
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """docs under names of our own, whatever its columns are called, and its id's and text's."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain, f"c{docs.columns.index('doc_id')}", f"c{docs.columns.index('text')}"
+
+
+def restored(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs out of a result over positional(docs), with n_chars brought up to date."""
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    columns = [F.length(at["text"]).cast("long") if c == "n_chars" else F.col(at[c]) for c in docs.columns]
+    return out.select(*columns).toDF(*docs.columns)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; unlettered texts and texts between two languages go."""
     model = language_id.fit(docs)
-    return language_id.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    plain, own, text = positional(docs)
+    out = language_id.identify(plain, model, own, text).where(~F.col("rejected"))
+    return out.select(*plain.columns).toDF(*docs.columns)
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of three lines."""
-    out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return restored(line_dedup.dedup_lines(*positional(docs)), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies."""
     groups = simhash_dedup.simhash_components(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stays"]), "left_semi")
 
 
 def unrepeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 bytes or more that a document with a smaller id holds."""
-    out = suffix_dedup.remove_repeats(docs, carry=[c for c in docs.columns if c != "text"], as_text=True)
-    return out.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long")).select(*docs.columns)
+    plain, own, text = positional(docs)
+    out = suffix_dedup.remove_repeats(plain, own, text, carry=[c for c in plain.columns if c != text], as_text=True)
+    return restored(out.withColumnRenamed("kept", text), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,8 @@ HINTS = [
     ("head", "header masthead branding logo topbar site banner"),
     ("main", "article content post entry story main body text prose page copy"),
 ]
+#: Elements whose texts look alike.
+GROUPS = {f"h{i}": "h" for i in range(1, 7)} | dict.fromkeys("li td th dt dd".split(), "i")
 HINT_OF = {w: name for name, words in reversed(HINTS) for w in words.split()}
 ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORDS = re.compile(r"[a-z]+")
@@ -71,9 +73,12 @@ class Node:
         self.chars = self.linked = self.stops = self.blocks = self.children = 0
 
     def features(self) -> tuple:
-        length = 0 if not self.chars else 1 + (self.chars >= 25) + (self.chars >= 80) + (self.chars >= 240)
+        """What is seen of the element; its own text says something only if there is any."""
+        if not self.chars:
+            return ((self.tag, self.hint), None, min(self.children, 4))
+        length = (self.chars >= 25) + (self.chars >= 80) + (self.chars >= 240)
         links = 0 if not self.linked else 1 + (2 * self.linked >= self.chars)
-        return ((self.tag, self.hint), (length, links, self.stops > 0), min(self.children, 3))
+        return ((self.tag, self.hint), (GROUPS.get(self.tag, "p"), length, links, self.stops > 0), None)
 
     def kind(self) -> tuple:
         """What the potential between this element and its children depends on."""
@@ -159,6 +164,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                         break
                     if stack[k][0] in SCOPES:
                         break
+            if len(stack) == 1 and name not in ("html", "head", "body"):  # a page without its outer tags has them all the same
+                nodes.append(Node("body", "", 0))
+                stack.append(("body", len(nodes) - 1))
             parent = stack[-1][1]
             nodes[parent].children += 1
             nodes.append(Node(name, m[3], parent))
@@ -185,7 +193,8 @@ class Model:
                 if not seen:
                     seen = [[Counter(), Counter()] for _ in f]
                 for table, value in zip(seen, f):
-                    table[node.label][value] += 1
+                    if value is not None:
+                        table[node.label][value] += 1
                 total[node.label] += 1
                 if node.parent >= 0:
                     above = nodes[node.parent]
@@ -201,7 +210,7 @@ class Model:
         self.ratio = []
         for none, content in seen:
             kinds = set(none) | set(content)
-            n0, n1 = total[0] + len(kinds), total[1] + len(kinds)
+            n0, n1 = sum(none.values()) + len(kinds), sum(content.values()) + len(kinds)
             self.ratio.append({v: math.log((content[v] + 1) / n1) - math.log((none[v] + 1) / n0) for v in kinds})
         # a tag with a hint never seen together: what the tag and the hint say alone
         for part in (0, 1):
@@ -258,7 +267,7 @@ def label_pages(count: int = PAGES, seed: int = SEED) -> list[str]:
             text += f' <a href="/x">{words(1, 3)}</a> ' + words(1, 5)
         if r.random() < 0.08:
             text = f"<b>{text}" + r.choice(["</b>", ""])
-        return text.capitalize() + r.choice("...?!") + r.choice(["", "", "", "<br>"])
+        return text.capitalize() + (r.choice("...?!") if r.random() < 0.8 else "") + r.choice(["", "", "", "<br>"])
 
     def paragraph() -> str:
         return " ".join(sentence() for _ in range(r.choice([1, 1, 2, 3, 5, 8])))
@@ -322,7 +331,14 @@ def label_pages(count: int = PAGES, seed: int = SEED) -> list[str]:
         r.shuffle(before)
         r.shuffle(after)
         page = "".join(before) + content() + "".join(after) + (boiler("footer") if r.random() < 0.85 else "")
-        pages.append(f"<!DOCTYPE html><html><head><title>{words(1, 6)}</title><style>p{{margin:0}}</style></head><body>{page}</body></html>")
+        shell = r.random()
+        if shell < 0.85:
+            page = f"<!DOCTYPE html><html><head><title>{words(1, 6)}</title><style>p{{margin:0}}</style></head><body>{page}</body></html>"
+        elif shell < 0.93:
+            page = f"<body>{page}"
+        if r.random() < 0.08:  # a page that was cut
+            page = page[: r.randint(len(page) // 2, len(page))]
+        pages.append(page)
     return pages
 
 

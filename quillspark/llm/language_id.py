@@ -93,9 +93,9 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     """The carried columns (all by default), then lang_pred, score and rejected, from the whole text alone.
 
     A null text, or one without a letter, is `und`, rejected, score 0; so is every text under an empty
-    model.  Ties go to the language first in the alphabet and are rejected.  One row per input row.
+    model.  A carried column of a result's name gives way.  Ties go to the language first in the alphabet and are rejected.  One row per input row.
     """
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score", "rejected")]
     parts = tuple(model.items())
     schema = docs.select(*[F.col(f"`{c}`") for c in carry]).schema
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))

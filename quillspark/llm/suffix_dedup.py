@@ -275,10 +275,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A null text is empty; texts shorter than a window lose nothing.  A null id counts as the largest.
     Rows with equal ids do not remove each other's bytes.  Very long texts are read in overlapping
-    stretches.  An empty table gives an empty one.  Extra columns may have any names but those of the result.
+    stretches.  An empty table gives an empty one.  Extra columns may have any names; a carried
+    column of a result's name gives way.
     """
     spark = docs.sparkSession
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("n_bytes", "spans", "kept")]
     carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     total = docs.select(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"] or 0
