@@ -57,8 +57,12 @@ def missing(records: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def stats_frame(records: DataFrame, predictions: DataFrame) -> DataFrame:
-    rows = matched(records, predictions.withColumn("seq", F.lit(0))).agg(F.count("*").alias("total_input"), F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("missing_prediction"))
-    return rows.crossJoin(extra(records, predictions).agg(F.count("*").alias("extra_prediction")))
+    """One row of the four counts, summed from the rows of both joins."""
+    none = F.lit(0).cast("long").alias
+    rows = matched(records, predictions.withColumn("seq", F.lit(0))).select(F.col("matched").cast("long").alias("m"), (~F.col("matched")).cast("long").alias("miss"), none("extra"))
+    both = rows.unionByName(extra(records, predictions).select(none("m"), none("miss"), F.lit(1).cast("long").alias("extra")))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    return both.agg(total(F.col("m") + F.col("miss"), "total_input"), total("m", "matched"), total("miss", "missing_prediction"), total("extra", "extra_prediction"))
 
 
 def combine_stats(records: DataFrame, predictions: DataFrame) -> CombineStats:
