@@ -147,7 +147,7 @@ class Block:
 
     def contexts(self, codes: np.ndarray, hot: np.ndarray, buckets: int):
         """Distinct contexts of grams among codes, and their uses (document number, start, end, context)."""
-        known: dict[bytes, int] = {}
+        known: dict[bytes | tuple[bytes], int] = {}
         owner: list[int] = []
         code_of: list[int] = []
         uses: list[tuple[int, int, int, int]] = []
@@ -160,19 +160,26 @@ class Block:
         for data, docs, shift, first, last, turn, h, left, right in self.runs() if len(codes) else ():
             (on_left, hot_left), (on_right, hot_right) = among(left), among(right)
             keep = np.flatnonzero(on_left | on_right)
-            a, b = np.where(on_left, first, turn + 1)[keep], np.where(on_right, last, turn)[keep]
             raw = data.tobytes()
-            rows = zip(*(x.tolist() for x in (docs[keep], shift[keep], a, b, coded(h[keep], buckets), (hot_left | hot_right)[keep])))
-            for k, move, a, b, c, split in rows:
-                for a1, b1 in ((i, i) for i in range(a, b + 1)) if split else ((a, b),):
-                    text = raw[a1 : b1 + WINDOW]
-                    own = known.get(text)
-                    if own is None:
-                        own = known[text] = len(known)
-                        owner.append(k)
-                        code_of.append(-1 if split else c)
-                    uses.append((k, a1 + move, b1 + WINDOW + move, own))
-        texts = list(known)
+            sides = zip(*(x[keep].tolist() for x in (docs, shift, coded(h, buckets), first, turn, last, on_left, on_right, hot_left, hot_right)))
+            for k, move, c, a, mid, b, has_left, has_right, split_left, split_right in sides:
+                # a window's side decides how it is dealt, as equal windows are on one side
+                if has_left and has_right and not split_left and not split_right:
+                    parts = ((a, b, False),)
+                else:
+                    parts = ((a, mid, split_left),) * has_left + ((mid + 1, b, split_right),) * has_right
+                for low, high, split in parts:
+                    for a1, b1 in ((i, i) for i in range(low, high + 1)) if split else ((low, high),):
+                        text = raw[a1 : b1 + WINDOW]
+                        # a window dealt alone and a context that looks the same are told apart
+                        name = (text,) if split else text
+                        own = known.get(name)
+                        if own is None:
+                            own = known[name] = len(known)
+                            owner.append(k)
+                            code_of.append(-1 if split else c)
+                        uses.append((k, a1 + move, b1 + WINDOW + move, own))
+        texts = [t if isinstance(t, bytes) else t[0] for t in known]
         if -1 in code_of:
             for i, c in enumerate(code_of):
                 if c == -1:
@@ -189,13 +196,12 @@ def split_by_bucket(code: np.ndarray, order: np.ndarray | None = None):
         yield int(bucket[a]), order[a:b]
 
 
-def equal_windows(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Most-significant-digit passes over rows of digits: the rows that have an equal, and their group.
+def equal_windows(digits: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Most-significant-digit passes over rows of digits in groups: the rows that have an equal, and their new group.
 
     A pass splits each group by the next digit and retires rows that are alone.
     """
     live = np.arange(len(digits))
-    group = np.zeros(len(digits), np.int64)
     for j in range(digits.shape[1]):
         _, rank = np.unique(digits[live, j], return_inverse=True)
         _, again, count = np.unique((group << 32) | rank, return_inverse=True, return_counts=True)
@@ -228,7 +234,7 @@ def flag_smaller(code: np.ndarray, doc: np.ndarray, size: np.ndarray, begin: np.
             x[:, j] = eight[start + 8 * j]
         if WINDOW % 8:
             x[:, -1] &= U((1 << 8 * (WINDOW % 8)) - 1)
-        live, group = equal_windows(x)
+        live, group = equal_windows(x, np.unique(code[row], return_inverse=True)[1])
         if len(live):
             least = np.full(group.max() + 1, NULL_ID)
             np.minimum.at(least, group, doc[row[live]])

@@ -128,17 +128,41 @@ def test_suffix_dedup(docs, monkeypatch):
     assert got == want
 
 
+def test_flags_do_not_depend_on_sorting_steps(monkeypatch):
+    body = prose(11, 400).encode()
+    texts = [body[a : a + n] for a in range(0, 900, 7) for n in (50, 58, 80)]
+    data, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    begin, doc = np.cumsum(size) - size, np.arange(len(texts)) % 37
+    code = np.array([a // 5 for a in range(len(texts))], np.uint64)
+    flags = suffix_dedup.flag_smaller(code, doc, size, begin, data)
+    for r, text in enumerate(texts):
+        for k in range(len(text) - 49):
+            least = min(doc[q] for q in np.flatnonzero(code == code[r]) if text[k : k + 50] in texts[q])
+            assert (int(flags[r]) >> k & 1) == (least < doc[r])
+    monkeypatch.setattr(suffix_dedup, "SORT_WINDOWS", 40)
+    assert (suffix_dedup.flag_smaller(code, doc, size, begin, data) == flags).all()
+
+
 def test_radix_groups():
     draw = np.random.default_rng(0)
     rows = draw.integers(0, 3, (400, 4)).astype(np.uint64)
-    live, group = suffix_dedup.equal_windows(rows)
+    live, group = suffix_dedup.equal_windows(rows, np.zeros(len(rows), np.int64))
     count = Counter(map(tuple, rows.tolist()))
     assert sorted(live.tolist()) == [i for i, r in enumerate(rows.tolist()) if count[tuple(r)] > 1]
     assert len(set(zip(map(tuple, rows[live].tolist()), group.tolist()))) == len(set(group.tolist()))
 
 
-def test_hot_context_by_window():
-    """A context dealt by window leads to the same flags as one dealt by its gram."""
+@pytest.mark.parametrize("hot", [2, 4, 7])
+def test_hot_stretches_lose_nothing(spark, monkeypatch, hot):
+    """Passages cut at every place, so that runs have both sides, one, hot ones and others."""
+    monkeypatch.setattr(suffix_dedup, "HOT_DOCUMENTS", hot)
+    body, draw = prose(21, 60), np.random.default_rng(hot)
+    rows = [(i, prose(3000 + i, 2) + body[a : a + draw.integers(45, 140)] + prose(4000 + i, 2)) for i, a in enumerate(draw.integers(0, 300, 90).tolist())]
+    got = sorted((r["doc_id"], bytes(r["kept"]), len(r["spans"])) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(removed_brute(rows))
+
+
+def test_runs_tile_the_windows():
     text = np.frombuffer(prose(9, 60).encode(), np.uint8)
     first, last, turn, h, left, right = suffix_dedup.runs_of(text, np.array([len(text)]))
     assert first[0] == 0 and last[-1] == len(text) - 50 and (first[1:] == last[:-1] + 1).all()
