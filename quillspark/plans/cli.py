@@ -14,7 +14,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from ..operators import inference, resume, status
-from . import config, runs
+from . import config, logs, runs
 
 LOG = logging.getLogger(__name__)
 
@@ -94,7 +94,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, facto
         return 2
     try:
         cfg = config.load(a.config, overrides(a))
-        logging.basicConfig(level=cfg.runtime.log_level)
+        logs.setup(cfg.paths.log_dir, cfg.runtime.log_level)
         if not os.path.exists(a.input):
             LOG.error("no input at %s", a.input)
             return 2

@@ -80,9 +80,10 @@ def run_inference(
     stats.skipped_missing_audio = lost.count()
     if stats.skipped_missing_audio:
         sinks.write_journal(lost.withColumn("error", F.coalesce("probe.error", F.lit("missing"))), os.path.join(cfg.paths.log_dir, "errors"))
-    ready = probed.where("is_readable").withColumn("duration", F.coalesce("probe.duration_seconds", F.lit(0.0)))
+    ready = audio.plan_decoding(probed, cfg.audio.target_sample_rate, cfg.audio.mono, cfg.audio.resample_on_the_fly, cfg.audio.max_duration_seconds)
+    ready = ready.where("action <> 'reject'").withColumn("duration", F.coalesce("probe.duration_seconds", F.lit(0.0)))
     batches = batching.assign_batches(ready, cfg.batch.batch_size, cfg.batch.sort_buffer_size, cfg.batch.max_batch_duration_seconds)
-    windows = -(-(stats.total_seen - stats.skipped_missing_audio) // max(cfg.batch.batch_size, cfg.batch.sort_buffer_size))
+    windows = -(-ready.count() // max(cfg.batch.batch_size, cfg.batch.sort_buffer_size))
     step, fresh = chunk or max(1, windows), not use_resume
     run_id = uuid.uuid4().hex
     for k, low in enumerate(range(0, windows, step)):
@@ -96,6 +97,8 @@ def run_inference(
         ok = F.col("status") == "ok"
         got = rows.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("bad"), F.coalesce(F.sum(F.when(ok, F.col("duration"))), F.lit(0.0)).alias("s")).first()
         stats.succeeded, stats.failed, stats.audio_seconds = stats.succeeded + got["ok"], stats.failed + got["bad"], stats.audio_seconds + got["s"]
+        processed, spent = stats.succeeded + stats.failed, time.time() - began
+        LOG.info("%d clips done, %d of them failed, %.1f clips/s, %.2f h", processed, stats.failed, processed / max(spent, 1e-9), spent / 3600)
         if got["bad"]:
             sinks.write_journal(rows.where("status = 'failed'"), os.path.join(cfg.paths.log_dir, "errors"))
     stats.elapsed_seconds = time.time() - began

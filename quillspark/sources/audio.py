@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import measures
+
 PROBE = "exists boolean, sample_rate int, channels int, duration_seconds double, error string"
 
 
@@ -69,6 +71,17 @@ def load_samples(path: str, rate: int = 16000) -> np.ndarray:
     return x.astype(np.float32)
 
 
+def plan_decoding(probed: DataFrame, target: int = 16000, mono: bool = True, resample: bool = True, limit: float = 30.0) -> DataFrame:
+    """Adds `action` (pass, convert or reject) and `over_window` to probed records; only columns are read.
+
+    Readable clips of the target rate (and one channel, if mono) pass; others are converted when decoded,
+    or rejected where that is switched off.  Unreadable clips are rejected.  A clip over the window is flagged and stays.
+    """
+    fits = measures.conforms(F.col("is_readable"), F.col("probe.sample_rate"), F.col("probe.channels"), target, mono)
+    action = F.when(~F.col("is_readable"), "reject").when(fits, "pass").otherwise("convert" if resample else "reject")
+    return probed.withColumn("action", action).withColumn("over_window", measures.exceeds_window(F.col("probe.duration_seconds"), limit))
+
+
 def summarize(probed: DataFrame, target: int = 16000, limit: float = 30.0) -> DataFrame:
     """One row: counts of a dry run and the seconds of readable audio."""
     r, p = F.col("is_readable"), "probe."

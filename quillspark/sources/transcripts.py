@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from ..functions import ids, text
 
 LOG = logging.getLogger(__name__)
-FORMATS = ("tsv", "jsonl")
 FIELDS = "audio_filepath VARIANT, text VARIANT, duration VARIANT, _bad STRING"
 
 
@@ -89,11 +89,19 @@ def parse_jsonl(lines: DataFrame, audio_root: str) -> DataFrame:
     return rows.select("seq", own.alias("segment_id"), as_text(F.col("_d.text")).alias("text"), full.alias("audio_filepath"), duration.alias("duration"), reason.alias("reject_reason"), "value")
 
 
+#: Parsers by format: lines (seq, value) and the audio root to parsed rows with reject_reason.
+PARSERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {"tsv": parse_tsv, "jsonl": parse_jsonl}
+
+
+def register_format(name: str, parse: Callable[[DataFrame, str], DataFrame]) -> None:
+    """Let read_transcripts() read another line format; parse gives the columns of parse_tsv()."""
+    PARSERS[name] = parse
+
+
 def read_transcripts(spark: SparkSession, path: str, audio_root: str, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Records (seq, segment_id, text, audio_filepath, duration) and rejects (seq, reject_reason, value)."""
     fmt = fmt or detect_format(spark, path)
-    if fmt not in FORMATS:
+    if fmt not in PARSERS:
         raise ValueError(f"unknown format {fmt!r}")
-    lines = read_lines(spark, path)
-    parsed = parse_tsv(lines, audio_root) if fmt == "tsv" else parse_jsonl(lines, audio_root)
+    parsed = PARSERS[fmt](read_lines(spark, path), audio_root)
     return parsed.where("reject_reason is null").drop("reject_reason", "value"), parsed.where("reject_reason is not null").select("seq", "reject_reason", "value")

@@ -121,3 +121,15 @@ def test_streaming_folder(spark, tmp_path):
         folder.start(parsed, str(tmp_path / "ck"), folder.append_pending(table)).awaitTermination()
     got = sorted((r["segment_id"], r["text"]) for r in spark.read.parquet(table).collect())
     assert got == [("1-2-0", "a"), ("1-2-1", "b")]
+
+
+def test_session_log(tmp_path):
+    import logging
+    from datetime import datetime, timezone
+
+    from quillspark.plans import logs
+
+    assert logs.session_stamp(datetime(2024, 1, 1, 20, 0, 5, tzinfo=timezone.utc)) == "20240102-030005"
+    path = logs.setup(str(tmp_path / "l"))
+    logging.getLogger("quillspark.x").info("hello")
+    assert "INFO quillspark.x hello" in open(path).read()

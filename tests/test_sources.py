@@ -59,6 +59,9 @@ def test_probe_and_decode(spark, tmp_path):
     assert [got[i]["is_readable"] for i in range(6)] == [True, True, True, False, False, False]
     assert got[2]["probe"]["sample_rate"] == 8000 and got[2]["probe"]["duration_seconds"] == 0.5
     assert got[4]["probe"]["error"] == "missing" and not got[4]["probe"]["exists"] and got[3]["probe"]["exists"]
+    plan = {r["seq"]: (r["action"], r["over_window"]) for r in audio.plan_decoding(df, limit=0.4).collect()}
+    assert [plan[i] for i in range(6)] == [("pass", False), ("convert", False), ("convert", True), ("reject", False), ("reject", False), ("reject", False)]
+    assert audio.plan_decoding(df, resample=False).where("action = 'reject'").count() == 5
     row = audio.summarize(df).first()
     assert (row["readable"], row["missing"], row["non_conforming"], row["over_window"]) == (3, 3, 2, 0)
     assert len(audio.load_samples(str(slow))) == 8000 and audio.load_samples(str(stereo)).ndim == 1
@@ -78,3 +81,14 @@ def test_lines_have_one_tab_and_keep_fields(spark):
     df = spark.createDataFrame([(0, "1-2-3", "a\tb\nc", None, 0.5)], "seq long, segment_id string, pred_text string, audio_filepath string, duration double")
     assert sinks.prediction_lines(df, "tsv").first()["value"] == "1-2-3\ta b c"
     assert sinks.prediction_lines(df, "jsonl").first()["value"] == '{"audio_filepath":"","text":"a\\tb\\nc","duration":0.5}'
+
+
+def test_registered_format(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1-2-3;a\n")
+
+    def parse(lines, root):
+        return transcripts.parse_tsv(lines.selectExpr("seq", "replace(value, ';', '\t') as value"), root)
+
+    transcripts.register_format("semicolon", parse)
+    kept, _ = records(spark, tmp_path / "x.csv", "semicolon")
+    assert [(r["segment_id"], r["text"]) for r in kept] == [("1-2-3", "a")]
