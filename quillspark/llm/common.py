@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Longest stretch of text, in bytes, that vectorised code handles at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,7 +104,7 @@ def components(edges: DataFrame) -> DataFrame:
 class Remembered(dict):
     """A bounded table of make(word): two generations of `half` words, the older one is dropped for the younger."""
 
-    def __init__(self, make, half: int = 500_000, longest: int = 64):
+    def __init__(self, make, half: int = 250_000, longest: int = 64):
         self.make, self.half, self.longest, self.older = make, half, longest, {}
 
     def __missing__(self, word):
@@ -117,3 +117,17 @@ class Remembered(dict):
                 self.clear()
             self[word] = value
         return value
+
+
+_HELD: dict[str, object] = {}
+
+
+def enter(operator: str, forget=None) -> None:
+    """Called by an operator's code in a Python worker: drops what other operators have kept there.
+
+    Workers live on from stage to stage; forget() is what the next operator calls to free this one's tables.
+    """
+    for other in [x for x in _HELD if x != operator]:
+        _HELD.pop(other)()
+    if forget:
+        _HELD[operator] = forget

@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import enter
+
 #: Bounds of the sample that a model is made of: bytes and texts of a language, bytes of a text.
 DICTIONARY_BYTES = 1 << 16
 SAMPLE_TEXTS = 400
@@ -101,6 +103,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("language_id", coders.cache_clear)
         known = coders(parts)
         for batch in batches:
             found = [classify(t.as_py(), known) for t in batch.column(batch.num_columns - 1)]

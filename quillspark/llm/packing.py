@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, settle, width
+from .common import Remembered, enter, settle, width
 
 CAPACITY = 4096
 END_ID = 1
@@ -62,6 +62,7 @@ def pieces_of(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """doc_id, piece, start, length, ids_crc32 of each document's pieces; a null text has the end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("packing", word_ids.cache_clear)
         words = word_ids(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:

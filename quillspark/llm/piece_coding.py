@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered
+from .common import Remembered, enter
 
 SPACE = "▁"
 #: Words up to this length are searched whole: they are shorter than a few windows.
@@ -179,10 +179,16 @@ def decode(ids: bytes, model: PieceModel) -> str:
     return b"".join(map(spelling(model).__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")[1:]
 
 
+def forget() -> None:
+    words_of.cache_clear()
+    spelling.cache_clear()
+
+
 def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (binary, little-endian unsigned 32-bit) of each whole text; no ids for null or empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("piece_coding", forget)
         words = words_of(path)
         for batch in batches:
             ids = [encode(t.as_py() or "", words) for t in batch.column(1)]
@@ -195,6 +201,7 @@ def decode_pieces(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col
     """doc_id and text of rows that encode_pieces() made; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("piece_coding", forget)
         model = words_of(path).model
         for batch in batches:
             texts = [decode(x.as_py() or b"", model) for x in batch.column(1)]
@@ -211,6 +218,7 @@ def code_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("piece_coding", forget)
         words = words_of(path)
         for batch in batches:
             rows = []

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CHUNK_BYTES, width
+from .common import CHUNK_BYTES, enter, width
 
 WINDOW = 50
 GRAM = 20
@@ -297,6 +297,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ).repartition(blocks, "block")
 
     def tags(key, table):
+        enter("suffix_dedup")
         code_parts, doc_parts = [], []
         block = Block(table)
         for _, numbers, _, _, _, _, _, left, right in block.runs():
@@ -342,6 +343,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return code[order], hot[order].astype(bool)
 
     def offered(key, table, replies):
+        enter("suffix_dedup")
         texts, owner, code, _ = Block(table).contexts(*survivors(replies), buckets) if table.num_rows else ([], [], np.empty(0, U), [])
         rows = []
         size = np.array([len(t) for t in texts], np.uint16)
@@ -352,6 +354,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64())} | {n: pa.array(c, pa.binary()) for n, c in zip(names, columns[1:])})
 
     def judged(key, table):
+        enter("suffix_dedup")
         number, sizes = gathered(table["number"], np.uint32)
         tag, _ = gathered(table["tags"], np.uint32)
         size = gathered(table["size"], np.uint16)[0].astype(np.int64)
@@ -367,6 +370,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({"block": table["block"].combine_chunks(), "bucket": pa.array([-1] * len(sizes), pa.int64()), "tags": pa.array(out_number, pa.binary()), "hot": pa.array(out_flags, pa.binary())})
 
     def merged(key, table, replies):
+        enter("suffix_dedup")
         judgement = pc.less(replies["bucket"], 0)
         block = Block(table)
         _, owner, _, uses = block.contexts(*survivors(replies.filter(pc.invert(judgement))), buckets)
