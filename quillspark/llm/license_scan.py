@@ -1,7 +1,7 @@
 """License scans (operator 1): exact phrases, then fuzzy notices by pigeonhole seeds and bounded edits.
 
 A notice of n characters found with at most k edits holds at least one of k + 1 pieces of it
-unchanged.  The pieces are searched as plain strings; only the neighbourhoods of their places are
+unchanged.  The pieces are searched as plain strings; only the neighbourhood of each place is
 given to the regex library's bounded-error matching, which confirms the edits and reports spans.
 """
 
@@ -52,27 +52,36 @@ class Notice:
         self.pattern = regex.compile(rf"(?b)(?<![^ ]){head}(?:{tail}){{e<={edits}}}(?![^ ])")
 
     def search(self, joined: str) -> Iterator[tuple[int, int, int]]:
-        """(start, end, edits) of its places in words joined by single spaces."""
-        spans = []
+        """(start, end, edits) of its places in words joined by single spaces, in their order.
+
+        Each seed is verified in a window of its own, too short for two places: best matching would
+        pass over an edited place for a better one behind it, and the work is linear in the seeds.
+        Of overlapping places the one with fewest edits stays.
+        """
         slack = self.edits + 2
+        starts = set()
         for at, seed in self.seeds:
             found = joined.find(seed)
             while found >= 0:
-                spans.append((max(0, found - at - slack), found - at + len(self.phrase) + slack))
+                starts.add(found - at)
                 found = joined.find(seed, found + 1)
-        spans.sort()
-        merged: list[list[int]] = []
-        for a, b in spans:
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        for a, b in merged:
-            for m in self.pattern.finditer(joined, a, min(b, len(joined))):
-                start, end = m.span()
-                # the end of the searched window is no end of a word
-                if (start == 0 or joined[start - 1] == " ") and (end == len(joined) or joined[end] == " "):
-                    yield start, end, sum(m.fuzzy_counts)
+        held: tuple[int, int, int] | None = None
+        for start in sorted(starts):
+            a, b = max(0, start - slack), start + len(self.phrase) + slack
+            if b < len(joined):
+                b = joined.rfind(" ", a, b + 1)  # the window ends where a word ends
+            m = self.pattern.search(joined, a, b) if b > a else None
+            if not m or m.start() and joined[m.start() - 1] != " ":
+                continue
+            place = (*m.span(), sum(m.fuzzy_counts))
+            if held is None or place[0] >= held[1]:
+                if held:
+                    yield held
+                held = place
+            elif place[2] < held[2]:
+                held = place
+        if held:
+            yield held
 
 
 def scan_text(text: str | None, base: dict[str, str], notices: list[Notice]) -> tuple:
@@ -89,11 +98,13 @@ def scan_text(text: str | None, base: dict[str, str], notices: list[Notice]) ->
             starts.append(spaces)
             labels.add(label)
             last, at = at, padded.find(f" {phrase} ", at + 1)
-    hits = [
-        (n.label, joined.count(" ", 0, a), joined.count(" ", 0, b), edits, joined[a:b])
-        for n in notices
-        for a, b, edits in n.search(joined)
-    ]
+    hits = []
+    for n in notices:
+        last, spaces = 0, 0
+        for a, b, edits in n.search(joined):
+            spaces += joined.count(" ", last, a)
+            hits.append((n.label, spaces, spaces + joined.count(" ", a, b), edits, joined[a:b]))
+            last = a
     return len(words), starts, labels, hits
 
 

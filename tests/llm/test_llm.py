@@ -1,7 +1,9 @@
 """The training-data operators against brute force, on small tables with every awkward row."""
 
 import itertools
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -79,6 +81,44 @@ def test_components(spark):
 # 1
 
 
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_license_edited_places():
+    """Edited notices near exact ones and each other are all found, none beyond its edits; long texts of notices take linear work."""
+    notices = [license_scan.Notice(*n) for n in license_scan.NOTICES]
+    rng = random.Random(5)
+    for _ in range(60):
+        words, planted = [], []
+        for _ in range(6):
+            n = rng.choice(notices)
+            fixed = next(i for i, w in enumerate(n.phrase.split(" ")) if len(w) > 3)
+            at = len(" ".join(n.phrase.split(" ")[:fixed])) + 1
+            text = n.phrase
+            for _ in range(rng.randint(0, n.edits)):
+                k = rng.choice([i for i in range(at, len(text)) if text[i] != " "])
+                text = text[:k] + "q" + text[k + 1 :]
+            words += ["zzzz"] * rng.randint(0, 2)
+            planted.append((n.label, len(words), len(words) + text.count(" ")))
+            words += text.split(" ")
+        hits = license_scan.scan_text(" ".join(words), license_scan.BASE_PHRASES, notices)[3]
+        for label, first, last in planted:
+            assert any(h[0] == label and h[1] <= last and first <= h[2] for h in hits), (words, label, first)
+        for label, first, last, edits, text in hits:
+            n = next(x for x in notices if x.label == label)
+            assert text == " ".join(words[first : last + 1]) and edit_distance(text, n.phrase) <= edits <= n.edits
+    long = "apache licence under mit license " * 20000
+    began = time.time()
+    assert len(license_scan.scan_text(long, license_scan.BASE_PHRASES, notices)[3]) == 40000
+    assert time.time() - began < 60
+
+
 def test_license_scan(spark):
     texts = {
         1: "Released under the MIT License.", 2: "the Gnu  General\nPublic-License, gnu general public license", 3: "mit licence", 4: "Apachee Licens 2", 5: "commit license", 6: "CC BY-NC",
