@@ -405,6 +405,22 @@ def test_embeddings(spark):
     assert e8_dedup.dedup_embeddings(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_embeddings_near_the_threshold(spark):
+    draw, n = np.random.default_rng(17), 1500
+    a, b = draw.normal(size=(2, n, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = draw.uniform(0.95, 0.96, size=(n, 1))
+    x = np.concatenate([a, c * a + np.sqrt(1 - c**2) * b])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    there = int((unit @ unit.T >= 0.95).sum()) - 2 * n
+    assert there >= 2 * n - 20
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = sum(r["n_links"] for r in e8_dedup.dedup_embeddings(df).collect())
+    assert 0.95 * there <= found <= there
+
+
 def test_e8_decoder():
     minimal = e8_dedup.minimal_vectors()
     assert minimal.shape == (240, 8) and np.allclose((minimal**2).sum(axis=1), 2)
