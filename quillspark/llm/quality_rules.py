@@ -23,6 +23,8 @@ H = 0.75
 STEPS = 2
 #: Fewest rows of a language and source for an estimate of its own; smaller ones are pooled by language.
 LEAST_ROWS = 200
+#: Fewest rows of such a pool: six for each statistic.
+LEAST_POOL = 30
 #: Accuracy of percentile_approx.
 ACCURACY = 1000
 #: The transformed statistics, and the least standard deviation that counts for each.
@@ -106,7 +108,7 @@ def squared_distance(x: list[Column], mean: list[Column], cov: dict[tuple[int, i
 
 
 def distances(rows: DataFrame, estimate: DataFrame, names: list[str]) -> DataFrame:
-    """rows with d2, from the means m* and covariances v** of their group; null where it has none."""
+    """rows with d2, from the means m* and covariances v** of their group."""
     n = len(names)
     # the factor is made once for each group, the distances for each row
     cov = {(i, j): F.col(f"v{i}{j}") + (F.lit(FEATURES[names[i]] ** 2) if i == j else 0) for i in range(n) for j in range(i + 1)}
@@ -136,7 +138,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     base_failed: under MIN_WORDS words, or over MOST_REPEATED % of words in repeated three-word windows.
     Such rows are not kept and take no part in estimates.  Other rows are kept unless d2, the squared robust
     distance in their language and source, exceeds CUT.  Languages and sources with under
-    LEAST_ROWS such rows are pooled by language, then over all; with fewer still there is no estimate and the row is kept.
+    LEAST_ROWS such rows are pooled by language, languages with under LEAST_POOL in their pool are pooled
+    together, and where these are under LEAST_POOL too, they are measured by an estimate of all such rows of
+    the table, however few.  So each such row has a d2.
 
     Null and empty texts have no words and fail; null languages and sources are groups of their own;
     very long texts are counted whole; repeated rows count each; an empty table gives an empty one.
@@ -149,29 +153,34 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     none = F.lit("\x00")
     stats = stats.withColumns({"_g0": F.coalesce("g0", none), "_g1": F.coalesce("g1", none)})
     sizes = settle(stats.where("not base_failed").groupBy("_g0", "_g1").count())
-    # small groups pool by language, small pools over all
+    # small groups pool by language, small pools over each other, and a small pool of these is judged by all rows
     by_lang = sizes.where(F.col("count") < LEAST_ROWS).groupBy("_g0").agg(F.sum("count").alias("pool"))
-    plan = sizes.join(by_lang, "_g0", "left").select("_g0", "_g1", F.when(F.col("count") >= LEAST_ROWS, 0).when(F.col("pool") >= LEAST_ROWS, 1).otherwise(2).alias("level"))
-    rows = stats.where("not base_failed").join(settle(plan), ["_g0", "_g1"])
+    plan = sizes.join(by_lang, "_g0", "left").select("_g0", "_g1", "count", F.when(F.col("count") >= LEAST_ROWS, 0).when(F.col("pool") >= LEAST_POOL, 1).otherwise(2).alias("level"))
+    plan = settle(plan)
+    last = plan.where("level = 2").agg(F.sum("count")).first()[0]
+    rows = stats.where("not base_failed").join(plan, ["_g0", "_g1"])
     pooled = F.lit("\x01")
     rows = rows.withColumns({"_g0": F.when(F.col("level") == 2, pooled).otherwise(F.col("_g0")), "_g1": F.when(F.col("level") >= 1, pooled).otherwise(F.col("_g1"))})
-    rows = settle(rows.select("doc_id", "_g0", "_g1", *names, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = settle(rows.select("doc_id", "_g0", "_g1", *names, *counts, F.lit(True).alias("own")))
+    if last is not None and last < LEAST_POOL:
+        # the other rows take part in the last pool's estimate, but are judged in their own groups
+        lent = rows.where(F.col("_g0") != pooled).withColumns({"_g0": pooled, "_g1": pooled, "own": F.lit(False)})
+        rows = rows.unionByName(lent)
     group = rows.groupBy("_g0", "_g1")
-    middle = group.agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(names)]).where(F.col("n") >= LEAST_ROWS).drop("n")
-    middle = settle(middle)
+    middle = settle(group.agg(*[F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(names)]))
     off = rows.join(middle, ["_g0", "_g1"]).groupBy("_g0", "_g1").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"s{i}") for i, x in enumerate(names)])
     n = len(names)
     estimate = middle.join(off, ["_g0", "_g1"]).select("_g0", "_g1", *[f"m{i}" for i in range(n)], *[((1.4826 * F.col(f"s{i}")) ** 2 if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i in range(n) for j in range(i + 1)])
     for _ in range(STEPS):
-        measured = settle(distances(rows, estimate, names).where("d2 is not null"))
+        measured = settle(distances(rows, estimate, names))
         near = settle(measured.groupBy("_g0", "_g1").agg(F.percentile_approx("d2", H, ACCURACY).alias("bar")))
         estimate = mean_and_covariance(measured.join(near, ["_g0", "_g1"]).where("d2 <= bar"), names)
     measured = settle(distances(rows, estimate, names))
     # the covariance of the nearest rows is too small: its scale is set by the median distance
     scale = settle(measured.groupBy("_g0", "_g1").agg(F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, ACCURACY) / CHI_MEDIAN).alias("scale")))
     d2 = F.col("d2") / F.col("scale")
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    judged = measured.join(scale, ["_g0", "_g1"]).select("doc_id", *counts, F.lit(False).alias("base_failed"), d2.alias("d2"), F.coalesce(d2 <= CUT, F.lit(True)).alias("kept"))
+    judged = measured.where("own").join(scale, ["_g0", "_g1"]).select("doc_id", *counts, F.lit(False).alias("base_failed"), d2.alias("d2"), (d2 <= CUT).alias("kept"))
     out = stats.where("base_failed").select("doc_id", *counts, "base_failed", F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"))
     return judged.unionByName(out)
 

@@ -378,6 +378,16 @@ def test_quality_statistics_and_verdicts(docs, spark):
     assert all(verdict[i] for i in range(600)) and not any(verdict[i] for i in verdict if i >= 1000)
 
 
+@pytest.mark.parametrize("rare", [150, 8])
+def test_small_groups_are_judged(spark, rare):
+    clean = [(i, prose(100 + i, 120), "en", "a", 0) for i in range(300)] + [(1000 + i, prose(2000 + i, 120), "de", "a", 0) for i in range(rare)]
+    junk = [(5000 + i, " ".join(w + "$$$" for w in prose(900 + i, 120).split()), "de", "a", 0) for i in range(4)]
+    for rows in (clean + junk, clean[300:] + junk[:2]):
+        got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert len(got) == len(rows) and all(r["d2"] is not None for r in got.values())
+        assert all(r["kept"] == (i < 5000) for i, r in got.items())
+
+
 # 7
 
 
