@@ -22,8 +22,6 @@ from .common import enter
 DICTIONARY_BYTES = 1 << 16
 SAMPLE_TEXTS = 400
 TEXT_BYTES = 1 << 11
-#: Most languages that a model may have.
-LANGUAGES = 500
 #: zstandard's level and its shortest match: matches of three bytes tell short texts apart.
 LEVEL, MATCH = 9, 3
 #: Bytes of text compressed at once; a longer text is many blocks, so each is coded by the dictionary.
@@ -41,14 +39,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language of the labelled rows (text and lang not null).
 
-    The sample is bounded by SAMPLE_TEXTS and DICTIONARY_BYTES whatever the input's size: labels are counted
+    Every label has its dictionary, so the model grows with the number of labels.  A language's
+    sample is bounded by SAMPLE_TEXTS and DICTIONARY_BYTES whatever the input's size: labels are counted
     over all rows, a language's share of rows is chosen by a hash of the id, and texts are taken in
     that hash's order.  Without labelled rows the model is empty.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(8)).alias("h"), F.col(text_col).alias("text")
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return {}
     # about twice the texts wanted pass, evenly over the range of the hash

@@ -457,6 +457,12 @@ def test_language_id(spark):
     assert language_id.identify(df, {}).where("lang_pred <> 'und'").count() == 0
 
 
+def test_every_label_has_a_dictionary(spark):
+    rows = [(i, f"text number {i}", f"x{i}", "s", 0) for i in range(520)]
+    model = language_id.fit(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(model) == sorted(r[2] for r in rows)
+
+
 # 9
 
 
