@@ -62,6 +62,9 @@ class PieceModel:
         scores = [sp.get_score(i) for i in range(n)]
         byte_ids = {int(pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
+        # words are cut before their spaces, which no piece may then span
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) for i, p in enumerate(pieces) if i not in special):
+            raise ValueError("a piece has a space after another character")
         ranked = min(scores, default=0) < -1000
         return cls(pieces, scores, ranked, byte_ids, sp.unk_id(), special)
 

@@ -476,6 +476,13 @@ def brute_score(text, model):
     return best[-1]
 
 
+def test_pieces_over_a_space_are_refused(monkeypatch):
+    real = piece_coding.PieceModel.load(PIECES_FILE).pieces
+    monkeypatch.setattr("sentencepiece.SentencePieceProcessor.id_to_piece", lambda self, i: "a▁b" if i == len(real) - 1 else real[i])
+    with pytest.raises(ValueError, match="space"):
+        piece_coding.PieceModel.load(PIECES_FILE)
+
+
 def test_pieces(docs):
     words = piece_coding.words_of(PIECES_FILE)
     model = words.model
