@@ -22,34 +22,71 @@ BASE_PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Notices searched with edits: phrase, label, edits allowed.  Words of up to three letters stay exact.
+#: Notices searched with edits: phrase, label, edits allowed.
 NOTICES = [
     ("gnu general public license", "gpl", 3),
     ("gnu lesser general public license", "lgpl", 3),
+    ("gnu affero general public license", "agpl", 3),
     ("apache license", "apache", 2),
+    ("licensed under the apache license version 2", "apache", 4),
     ("mit license", "mit", 1),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
     ("bsd license", "bsd", 1),
+    ("redistribution and use in source and binary forms with or without modification", "bsd", 6),
+    ("isc license", "isc", 1),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc", 6),
     ("mozilla public license", "mpl", 2),
+    ("eclipse public license", "epl", 2),
+    ("european union public licence", "eupl", 3),
+    ("common development and distribution license", "cddl", 4),
+    ("boost software license", "bsl", 2),
+    ("this software is provided as is without any express or implied warranty", "zlib", 5),
+    ("this is free and unencumbered software released into the public domain", "unlicense", 5),
     ("creative commons attribution", "cc-by", 3),
+    ("creative commons attribution sharealike", "cc-by-sa", 3),
+    ("creative commons attribution noncommercial", "cc-by-nc", 3),
+    ("creative commons attribution noderivatives", "cc-by-nd", 3),
+    ("creative commons zero", "cc0", 2),
 ]
+#: A tag searched with edits, and the labels of the words that must follow it unchanged (the longest counts).
+TAG, TAG_EDITS = "spdx license identifier", 2
+TAG_WORDS = {
+    "0bsd": "bsd", "agpl": "agpl", "apache": "apache", "bsd": "bsd", "bsl": "bsl", "cc by": "cc-by", "cc by nc": "cc-by-nc", "cc by nd": "cc-by-nd", "cc by sa": "cc-by-sa",
+    "cc0": "cc0", "cddl": "cddl", "epl": "epl", "eupl": "eupl", "gpl": "gpl", "isc": "isc", "lgpl": "lgpl", "mit": "mit", "mpl": "mpl", "unlicense": "unlicense", "zlib": "zlib",
+}
+#: Leading words of up to this length are short; a phrase of at least LONG characters may have one of its edits in these, others none.
+SHORT_WORD, LONG = 3, 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 class Notice:
-    """One phrase with its seeds and its bounded-error pattern."""
+    """One phrase with its seeds and its bounded-error pattern; `after` maps words that must follow it to labels."""
 
-    def __init__(self, phrase: str, label: str, edits: int):
-        self.phrase, self.label, self.edits = phrase, label, edits
+    def __init__(self, phrase: str, label: str, edits: int, after: dict[str, str] | None = None):
+        self.phrase, self.label, self.edits, self.after = phrase, label, edits, after
         cuts = [len(phrase) * i // (edits + 1) for i in range(edits + 2)]
         self.seeds = [(a, phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
         words = phrase.split(" ")
         fixed = 0
-        while fixed < len(words) and len(words[fixed]) <= 3:
+        while fixed < len(words) and len(words[fixed]) <= SHORT_WORD:
             fixed += 1
-        head = "".join(re.escape(w) + " " for w in words[:fixed])
-        tail = re.escape(" ".join(words[fixed:]))
-        self.pattern = regex.compile(rf"(?b)(?<![^ ]){head}(?:{tail}){{e<={edits}}}(?![^ ])")
+        self.head, self.tail = "".join(w + " " for w in words[:fixed]), " ".join(words[fixed:])
+        # a short word changed at will is any other word: most of a phrase's edits must be in the rest
+        self.head_edits = min(1, edits) if self.head and len(phrase) >= LONG else 0
+        ways = [f"{re.escape(self.head)}(?:{re.escape(self.tail)}){{e<={edits}}}"]
+        if self.head_edits:
+            ways.append(f"(?:{re.escape(self.head)}){{e<=1}}(?:{re.escape(self.tail)}){{e<={edits - 1}}}")
+        self.patterns = [regex.compile(rf"(?b)(?<![^ ]){way}(?![^ ])") for way in ways]
+
+    def verify(self, joined: str, a: int, b: int) -> tuple[int, int, int] | None:
+        """(start, end, edits) of the place in a window that begins and ends where words do."""
+        best = None
+        for pattern in self.patterns:
+            m = pattern.search(joined, a, b)
+            if m and (best is None or sum(m.fuzzy_counts) < best[2]):
+                best = (*m.span(), sum(m.fuzzy_counts))
+        return best
 
     def search(self, joined: str) -> Iterator[tuple[int, int, int]]:
         """(start, end, edits) of its places in words joined by single spaces, in their order.
@@ -68,12 +105,13 @@ class Notice:
         held: tuple[int, int, int] | None = None
         for start in sorted(starts):
             a, b = max(0, start - slack), start + len(self.phrase) + slack
+            if a and joined[a - 1] != " ":
+                a = joined.find(" ", a) + 1 or len(joined)
             if b < len(joined):
-                b = joined.rfind(" ", a, b + 1)  # the window ends where a word ends
-            m = self.pattern.search(joined, a, b) if b > a else None
-            if not m or m.start() and joined[m.start() - 1] != " ":
+                b = joined.rfind(" ", a, b + 1)
+            place = self.verify(joined, a, b) if b > a else None
+            if not place:
                 continue
-            place = (*m.span(), sum(m.fuzzy_counts))
             if held is None or place[0] >= held[1]:
                 if held:
                     yield held
@@ -83,9 +121,22 @@ class Notice:
         if held:
             yield held
 
+    def label_at(self, joined: str, end: int) -> str | None:
+        """The label of a place that ends here."""
+        if self.after is None:
+            return self.label
+        for words in sorted(self.after, key=len, reverse=True):
+            if joined.startswith(f" {words}", end) and joined[end + len(words) + 1 : end + len(words) + 2] in ("", " "):
+                return self.after[words]
+        return None
+
+
+def compiled(notices: list[tuple[str, str, int]], tag: tuple[str, int, dict[str, str]] | None) -> list[Notice]:
+    return [Notice(*n) for n in notices] + ([Notice(tag[0], "", tag[1], tag[2])] if tag else [])
+
 
 def scan_text(text: str | None, base: dict[str, str], notices: list[Notice]) -> tuple:
-    """n_words, base places as word starts, base labels, fuzzy hits (label, start, end, edits, text)."""
+    """n_words, base places as word starts, base labels, fuzzy hits (label, start, end, edits, text), the best hit's share of unchanged characters."""
     words = WORD.findall((text or "").translate(ASCII_LOWER))
     joined = " ".join(words)
     padded = f" {joined} "
@@ -98,14 +149,18 @@ def scan_text(text: str | None, base: dict[str, str], notices: list[Notice]) ->
             starts.append(spaces)
             labels.add(label)
             last, at = at, padded.find(f" {phrase} ", at + 1)
-    hits = []
+    hits, share = [], 0.0
     for n in notices:
         last, spaces = 0, 0
         for a, b, edits in n.search(joined):
+            label = n.label_at(joined, b)
+            if label is None:
+                continue
             spaces += joined.count(" ", last, a)
-            hits.append((n.label, spaces, spaces + joined.count(" ", a, b), edits, joined[a:b]))
+            hits.append((label, spaces, spaces + joined.count(" ", a, b), edits, joined[a:b]))
+            share = max(share, 1 - edits / len(n.phrase))
             last = a
-    return len(words), starts, labels, hits
+    return len(words), starts, labels, hits, share
 
 
 RESULT = (
@@ -120,27 +175,28 @@ def scan_licenses(
     text_col: str = "text",
     base: dict[str, str] = BASE_PHRASES,
     notices: list[tuple[str, str, int]] = NOTICES,
+    tag: tuple[str, int, dict[str, str]] | None = (TAG, TAG_EDITS, TAG_WORDS),
 ) -> DataFrame:
     """License labels of each whole text, one row per input row, in one pass without a shuffle.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and hits, the
     places found with edits as word spans with their text.  score is 1 with a base label, else the
     best hit's share of unchanged characters, else 0.  A null or empty text has no words, no places,
-    null first_word and last_word, empty labels.  Repeated rows each get their row; other columns,
-    whatever their names, are not read; an empty table gives an empty one.
+    null first_word and last_word, empty labels.  Of overlapping places of one notice the one with fewest edits
+    stays, the first in a tie; places of different notices may overlap.  A text of any length is read whole, in
+    time linear in its seeds.  Repeated rows each get their row; other columns, whatever their names, are not
+    read; an empty table gives an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = [Notice(*n) for n in notices]
-        longest = {n.label: len(n.phrase) for n in compiled}
+        known = compiled(notices, tag)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                n, starts, labels, hits = scan_text(text.as_py(), base, compiled)
-                score = 1.0 if starts else max((1 - h[3] / longest[h[0]] for h in hits), default=0.0)
+                n, starts, labels, hits, share = scan_text(text.as_py(), base, known)
                 rows.append((
                     doc, n, len(starts), min(starts, default=None), max(starts, default=None),
-                    ",".join(sorted(labels)), ",".join(sorted(labels | {h[0] for h in hits})), max(0.0, score),
+                    ",".join(sorted(labels)), ",".join(sorted(labels | {h[0] for h in hits})), 1.0 if starts else share,
                     [dict(zip(("label", "first_word", "last_word", "edits", "text"), h)) for h in hits],
                 ))
             hit = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int32()), ("text", pa.string())])
