@@ -3,9 +3,10 @@
 Documents are tokenised, pieces longer than a sequence are cut, and each partition packs its
 pieces by best-fit decreasing.  Dual feasible functions give a lower bound on the number of sequences of a
 partition: where the packing meets it, it is certified.  A partition with a gap gives up its emptiest
-sequences, as many as the gap calls for, and every partition gives up its two emptiest ones; the
-pieces given up meet those of other partitions in a smaller number of partitions, and best fit runs again.
-The last round is one partition, whose input is a few sequences from each of a few partitions.
+sequences, as many as the gap calls for but at most the share GIVEN, and every partition gives up its two
+emptiest ones; the pieces given up meet those of other partitions in a smaller number of partitions, and best fit
+runs again.  So a later round's partition is at most about half of an earlier one's, whatever the mix of lengths,
+and the last one is a single partition of that kind.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Partitions whose rest meets in one of the next round.
 FAN_IN = 8
+#: Share of its sequences that a partition gives up at most, so that a round's partitions are half of the last one's.
+GIVEN = 1 / (2 * FAN_IN)
 #: Texts of these characters alone are split and lower-cased here exactly as by the tokenizer file.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ÿ]*")
 #: The tokenizer file's own pattern, with its classes written out for lower-cased texts of these characters.
@@ -39,7 +42,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # the file's own tokens are found in raw text, before it is split
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.words = Remembered(self.of_text)
 
     def of_text(self, text: str) -> bytes:
@@ -53,7 +58,7 @@ def word_ids(path: str) -> WordIds:
 
 def token_bytes(text: str, known: WordIds) -> bytes:
     """The text's ids.  The tokenizer joins no words, so their ids can be looked up one by one."""
-    if PLAIN.fullmatch(text):
+    if PLAIN.fullmatch(text) and not known.added.search(text):
         return b"".join(map(known.words.__getitem__, SPLIT.findall(text.lower())))
     return known.of_text(text)
 
@@ -139,7 +144,7 @@ def pack_partition(batches: Iterator[pa.RecordBatch], capacity: int, last: bool,
     gap = len(fills) - bound
     given = np.zeros(len(fills), bool)
     if not last:
-        emptiest = np.argsort(fills, kind="stable")[: 2 + 2 * gap]
+        emptiest = np.argsort(fills, kind="stable")[: max(2, min(2 + 2 * gap, int(GIVEN * len(fills))))]
         given[emptiest[fills[emptiest] < capacity]] = True
     part = TaskContext.get().partitionId()
     table = table.append_column("sequence_id", pa.array((np.int64(level) << 58) + (np.int64(part) << 32) + bins))
@@ -177,8 +182,10 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every document.
 
     The whole text is tokenised by the file at `path` and followed by the end id; only longer
-    documents are cut.  Null and empty texts are the end id alone, a null id is kept, repeated rows
-    are packed each, an empty table gives an empty one, and extra columns are not read.
+    documents are cut.  The strings of the file's special tokens are those tokens, as the library reads them.
+    Null and empty texts are the end id alone, a null id is kept, repeated rows are packed each, an empty table
+    gives an empty one, and extra columns are not read.  Pieces of one length are taken in the order of
+    doc_id, piece and CRC; rows equal in all these are interchangeable.  A text of any length is held once, with its ids.
     """
     return pack(pieces_of(docs, path, id_col, text_col, capacity), capacity)
 
