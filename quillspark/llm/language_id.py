@@ -8,10 +8,10 @@ chosen.  Texts whose best two sums are close are rejected.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ BLOCK = 1 << 11
 #: The second best sum exceeds the best by less than this share of it: rejected.
 MARGIN = 0.005
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
