@@ -1,12 +1,13 @@
 """SentencePiece encoding and decoding (operator 9): streaming Viterbi.
 
-The best segmentation of a text is found while it streams by.  Only a window of the last
-`longest` positions, `longest` being the longest piece, is kept of the scores; ids are committed as
-soon as the backpointer paths of all positions in the window run through one boundary.  Memory
-so depends on the lattice's ambiguity and not on the text's length.
-
-Pieces that may hold a space do so only at their start or as runs of spaces, so words converge at
-each new word and the segmentation of a word is kept in a bounded table.
+The best segmentation of a text is found while it streams by.  Only a window of a few times `longest`
+characters, `longest` being the longest piece, is kept of the scores; ids are committed as soon as the
+backpointer paths of all positions that are still open run through one boundary.  Memory so depends
+on the lattice's ambiguity and not on the text's length.
+
+Pieces that may hold a space do so only at their start or as runs of spaces, so all paths meet before each run
+of spaces.  The stream is cut there, and what it commits for a word is kept in a bounded table.  Scores are whole
+numbers, so sums are exact and the cuts change nothing: streaming a text whole gives the same ids.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from __future__ import annotations
 import functools
 import math
 import re
+import sys
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import Remembered, enter
 
 SPACE = "▁"
-#: Words up to this length are searched whole: they are shorter than a few windows.
-SHORT = 64
+#: Scores are counted in whole units of this share of a nat.
+UNITS = 1 << 16
+#: Below every sum of scores.
+NEVER = -(1 << 60)
 
 
 class PieceModel:
@@ -45,12 +50,16 @@ class PieceModel:
         for i, p in enumerate(pieces):
             if i not in special and i not in self.bytes_of and p:
                 self.ids[p] = i
-                self.score[p] = -math.log(10 - scores[i]) if ranked else scores[i]
+                self.score[p] = round(UNITS * (-math.log(10 - scores[i]) if ranked else scores[i]))
         self.longest = max(map(len, self.ids), default=1)
-        worst = min(self.score.values(), default=-1.0)
-        self.fallback = worst - 10.0
-        # the scores, with minus infinity for what only begins a piece
-        self.extended = {p[:k]: -math.inf for p in self.score for k in range(1, len(p))} | self.score
+        self.fallback = min(self.score.values(), default=-UNITS) - 10 * UNITS
+        # pieces by their characters; a piece's score is under the empty string where it ends
+        self.tree: dict = {}
+        for p, s in self.score.items():
+            node = self.tree
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = s
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -73,68 +82,68 @@ class PieceModel:
             return [self.unknown]
         return [self.byte_ids[b] for b in char.replace(LITERAL, SPACE).encode()]
 
-    def stream(self, chars: Iterable[str]) -> Iterator[list[int]]:
-        """Committed ids, in parts, of a text given as characters (spaces already as SPACE)."""
-        # positions: 0 is the last committed boundary; best[i] and back[i] describe boundary i
-        held: list[str] = []
-        best: list[float] = [0.0]
-        back: list[int] = [0]
-        for c in chars:
-            held.append(c)
-            i = len(held)
-            value, origin = best[i - 1] + self.fallback, i - 1
-            text = "".join(held[max(0, i - self.longest) :])
-            for a in range(len(text)):
-                s = self.score.get(text[a:])
-                if s is not None and (v := best[i - len(text) + a] + s) > value:
-                    value, origin = v, i - len(text) + a
-            best.append(value)
-            back.append(origin)
-            # every later piece starts in the window; where all their paths meet is final
-            if i >= self.longest or c == SPACE:
-                live = set(range(max(0, i - self.longest + 1), i + 1))
-                while len(live) > 1:
-                    top = max(live)
-                    live.discard(top)
-                    live.add(back[top])
-                meet = live.pop()
-                if meet > 0:
-                    yield self.path(held, back, meet)
-                    held = held[meet:]
-                    best = best[meet:]
-                    back = [max(0, b - meet) for b in back[meet:]]
-        if held:
-            yield self.path(held, back, len(held))
-
-    def path(self, held: list[str], back: list[int], end: int) -> list[int]:
-        parts: list[list[int]] = []
-        while end > 0:
-            start = back[end]
-            piece = "".join(held[start:end])
-            own = self.ids.get(piece)
-            parts.append([own] if own is not None else self.spelled(piece))
-            end = start
-        return [i for p in reversed(parts) for i in p]
-
-    def segment_short(self, text: str) -> list[int]:
-        """The same for a short text held whole."""
-        n, get, fallback = len(text), self.extended.get, self.fallback
-        best, back = [-math.inf] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        for a in range(n):
-            own = best[a]
-            for b in range(a + 1, n + 1):
-                s = get(text[a:b])
-                if s is None:  # no piece begins like this
+    def advance(self, text: str, best: list[int], back: list[int], begin: int, end: int) -> None:
+        """Take up all pieces that start at begin, .. end - 1 of a text."""
+        tree, fallback = self.tree, self.fallback
+        for a in range(begin, end):
+            own, node, b = best[a], tree, a
+            for c in text[a:]:
+                node = node.get(c)
+                if node is None:
                     break
-                if own + s > best[b]:
-                    best[b], back[b] = own + s, a
+                b += 1
+                if "" in node:
+                    value = own + node[""]
+                    if value > best[b]:
+                        best[b], back[b] = value, a
             if own + fallback > best[a + 1]:
                 best[a + 1], back[a + 1] = own + fallback, a
-        return self.path(list(text), back, len(text))
 
-    def segment(self, text: str) -> list[int]:
-        return [i for part in self.stream(text) for i in part]
+    def stream(self, text: str) -> Iterator[list[int]]:
+        """Committed ids, in parts, of a text with its spaces as SPACE."""
+        longest, n, begin = self.longest, len(text), 0
+        # of the characters after the last committed boundary: how many starts are taken up,
+        # and each boundary's best score and where the last piece to it starts
+        done, best, back = 0, [0], [0]
+        while begin < n:
+            stop = min(n - begin, done + longest)
+            window = text[begin : begin + stop + longest]
+            room = len(window) + 1 - len(best)
+            best += [NEVER] * room
+            back += [0] * room
+            self.advance(window, best, back, done, stop)
+            if begin + stop == n:
+                yield self.path(window, back)
+                return
+            # what follows goes on from one of the boundaries reached: where all their paths meet is final
+            live = {i for i in range(stop, len(best)) if best[i] > NEVER}
+            while len(live) > 1:
+                top = max(live)
+                live.discard(top)
+                live.add(back[top])
+            meet = live.pop()
+            done = stop - meet
+            if meet:
+                yield self.path(window[:meet], back)
+                base = best[meet]
+                best = [x - base if x > NEVER else x for x in best[meet:]]
+                back = [max(0, x - meet) for x in back[meet:]]
+                begin += meet
+
+    def path(self, text: str, back: list[int]) -> list[int]:
+        """The ids along the backpointers from the text's end, in order."""
+        out: list[int] = []
+        ids, end = self.ids, len(text)
+        while end:
+            start = back[end]
+            own = ids.get(text[start:end])
+            if own is not None:
+                out.append(own)
+            else:
+                out += reversed(self.spelled(text[start:end]))
+            end = start
+        out.reverse()
+        return out
 
 
 #: Stands for SPACE in a text itself, which is spelled in bytes; no valid text holds this code point.
@@ -150,15 +159,19 @@ def prepared(text: str) -> str:
 
 
 class Words:
-    """Segmentations of words (a run of SPACE and what follows), as little-endian 32-bit ids."""
+    """What the stream commits for words (a run of SPACE and what follows), as little-endian 32-bit ids."""
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.known = Remembered(self.ids_of, longest=SHORT)
+        self.known = Remembered(self.ids_of)
 
     def ids_of(self, word: str) -> bytes:
-        ids = self.model.segment_short(word) if len(word) <= SHORT else self.model.segment(word)
-        return np.array(ids, "<u4").tobytes()
+        ids = array("I")
+        for part in self.model.stream(word):
+            ids.extend(part)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -167,7 +180,7 @@ def words_of(path: str) -> Words:
 
 
 def encode(text: str, words: Words) -> bytes:
-    """The text's ids as bytes: each run of spaces and the word after it is segmented on its own."""
+    """The text's ids as bytes; words are streamed once and then looked up."""
     return b"".join(map(words.known.__getitem__, RUN.findall(prepared(text)))) if text else b""
 
 
