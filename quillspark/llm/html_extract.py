@@ -1,10 +1,14 @@
 """HTML extraction (operator 4): a tree-structured graphical model over the DOM.
 
 Block elements are nodes with a hidden label, content or not.  A child's label depends on its parent's
-(the pairwise potential) and a node's features on its label.  One upward and one downward pass of sum-product
+(the pairwise potential) and a node's features on its label: its tag and what its names say, its own text and
+the texts next to it, and how text and links are spread under it.  One upward and one downward pass of sum-product
 messages give the exact marginal of each node; blocks whose node is more likely content than not
 make up the text.  All tables are estimated from labelled pages, which label_pages() writes: pages
 of many layouts whose content nodes carry a mark.
+
+Markup is read as browsers read it, as far as text needs it: attribute quoting, elements whose text is raw,
+implied ends, and end tags that match nothing.  Each tag takes constant time over all, however deep the page is.
 """
 
 from __future__ import annotations
@@ -22,160 +26,290 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled pages that the model is trained on, and their seed.
-PAGES, SEED = 600, 4
+PAGES, SEED = 1200, 4
 MARK = "data-content-label"
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)""", re.S)
-RAW = frozenset("script style noscript template textarea title iframe xmp select option svg math object".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: A name, then a value in quotes only if they follow the equals sign at once.
+ATTRIBUTE = r"""=?[^\s/>=]+(?:\s*=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*)?)?"""
+TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{ATTRIBUTE}|=)*+)(?:>|\Z)", re.S)
+NAMED = re.compile(r"""(?<![^\s/])(class|id|role)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s>"'][^\s>]*))|=\s*(?:"[^"]*"?|'[^']*'?)""", re.I)
+#: Elements whose content is raw up to their own end tag.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements whose text is not shown, or no part of a text; any block element ends those of FIELDS.
+MUTE = frozenset("noscript template svg canvas audio video button select option optgroup datalist".split())
+FIELDS = frozenset("svg select option optgroup datalist".split())
+VOID = frozenset("area base br col embed img input link meta param source track".split())
 BLOCK = frozenset(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tfoot tr td th caption article section main nav header footer "
-    "aside form fieldset figure figcaption blockquote pre address details summary dialog menu head center".split()
+    "aside form fieldset legend figure figcaption blockquote pre address details summary dialog menu head center search hgroup".split()
 )
-#: Tags that end an open element of the same kind.
-ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
-SCOPES = frozenset("ul ol dl table body html article section main div nav aside header footer form td th".split())
-#: What words in class, id and role say of an element.
+HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
+CELL = ("td", "th", "caption")
+ROW = (*CELL, "tr")
+PART = (*ROW, "thead", "tbody", "tfoot")
+#: What a start tag ends, up to the next scope; other blocks end a paragraph.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ROW, "td": CELL, "th": CELL, "tbody": PART, "thead": PART, "tfoot": PART}
+SCOPES = frozenset("ul ol dl table body html article section main div nav aside header footer form td th caption".split())
+#: End tags of other elements have no effect beyond these.
+WALLS = frozenset(("table", *CELL))
+TABLES = frozenset(("table", *PART))
+#: What words in class, id and role say of an element; the first line that has one counts.
 HINTS = [
-    ("comment", "comment reply replies discuss respond disqus"),
-    ("ad", "ad ads advert advertisement sponsor sponsored promo banner adslot"),
-    ("notice", "cookie consent notice alert popup modal gdpr newsletter subscribe signup overlay toast"),
+    ("comment", "comment comments reply replies discuss discussion respond disqus"),
+    ("ad", "ad ads advert adverts advertisement sponsor sponsored promo banner adslot"),
+    ("notice", "cookie cookies consent notice alert popup modal gdpr newsletter subscribe signup overlay toast"),
     ("nav", "nav navbar menu breadcrumb breadcrumbs pagination pager toc navigation skip"),
     ("foot", "footer foot copyright legal colophon contentinfo"),
     ("side", "sidebar aside related widget recommended trending popular more tags complementary"),
-    ("social", "share social follow login search form toolbar byline meta"),
-    ("head", "header masthead branding logo topbar site banner"),
+    ("social", "share sharing social follow login search form toolbar"),
+    ("head", "header masthead branding logo topbar site"),
     ("main", "article content post entry story main body text prose page copy"),
 ]
+#: Names that begin with one of these say what is elsewhere.
+ABOUT = frozenset("has with without no is".split())
 #: Elements whose texts look alike.
-GROUPS = {f"h{i}": "h" for i in range(1, 7)} | dict.fromkeys("li td th dt dd".split(), "i")
-HINT_OF = {w: name for name, words in reversed(HINTS) for w in words.split()}
-ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+GROUPS = dict.fromkeys(HEADINGS, "h") | dict.fromkeys("li td th dt dd".split(), "i")
+RANK_OF = {w: rank for rank, (_, words) in reversed(list(enumerate(HINTS))) for w in words.split()}
 WORDS = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?…。][\"')»”]?\s*$")
+#: Wordings of short texts that are no part of an article.
+FORMULA = re.compile(r"©|\(c\)|copyright|all rights reserved|cookies?\b|newsletter|subscribe|\b(?:log|sign) ?(?:in|up|out)\b|advertisement|sponsored|privacy policy|terms of (?:use|service)|read more|related (?:posts|articles|stories)|\bshare (?:this|on)\b|leave a (?:comment|reply)|skip to", re.I)
+
+
+def hint_of(attributes: str) -> str:
+    best = len(HINTS)
+    for m in NAMED.finditer(attributes):
+        if m[1]:
+            for name in (m[2] or m[3] or m[4] or "").split():
+                words = WORDS.findall(name.lower())
+                if words and words[0] not in ABOUT:
+                    best = min(best, *(RANK_OF.get(w, best) for w in words), best)
+    return HINTS[best][0] if best < len(HINTS) else "none"
 
 
 class Node:
-    __slots__ = ("tag", "hint", "label", "parent", "chars", "linked", "stops", "blocks", "children")
+    __slots__ = ("tag", "hint", "label", "parent", "chars", "linked", "stops", "formula", "prose", "near", "all_chars", "all_linked", "all_prose", "whole")
 
     def __init__(self, tag: str, attributes: str, parent: int):
         self.tag, self.parent = tag, parent
-        self.hint, self.label = "none", False
-        if attributes:
-            for m in ATTRIBUTE.finditer(attributes):
-                for w in WORDS.findall(m[1].lower()):
-                    if w in HINT_OF:
-                        self.hint = HINT_OF[w]
-                        break
-                if self.hint != "none":
-                    break
-            self.label = MARK in attributes
-        self.chars = self.linked = self.stops = self.blocks = self.children = 0
+        self.hint = hint_of(attributes) if attributes and tag not in ("html", "body") else "none"
+        self.label = bool(attributes) and MARK in attributes
+        self.chars = self.linked = self.stops = self.formula = self.prose = self.near = 0
+        self.all_chars = self.all_linked = self.all_prose = 0
+        self.whole = 1
+
+    def add(self, text: str, linked: int) -> None:
+        self.chars += len(text)
+        self.linked += min(linked, len(text))
+        stop = bool(SENTENCE.search(text))
+        self.stops += stop
+        if len(text) < 200 and FORMULA.search(text):
+            self.formula += 1
+        if len(text) >= 60 and stop and 3 * linked < len(text):
+            self.prose += len(text)
 
     def features(self) -> tuple:
-        """What is seen of the element; its own text says something only if there is any."""
-        if not self.chars:
-            return ((self.tag, self.hint), None, min(self.children, 4))
-        length = (self.chars >= 25) + (self.chars >= 80) + (self.chars >= 240)
-        links = 0 if not self.linked else 1 + (2 * self.linked >= self.chars)
-        return ((self.tag, self.hint), (GROUPS.get(self.tag, "p"), length, links, self.stops > 0), None)
+        """What is seen of the element; None where it says nothing."""
+        spread = own = near = formula = None
+        if self.all_chars > self.chars:  # text in elements under it
+            share = 4 * self.all_prose // self.whole
+            spread = (self.tag in ("html", "body"), share if self.all_prose else -1, (4 * self.all_linked >= self.all_chars) + (4 * self.all_linked >= 3 * self.all_chars))
+        if self.chars:
+            length = (self.chars >= 25) + (self.chars >= 80) + (self.chars >= 240)
+            links = 0 if not self.linked else 1 + (2 * self.linked >= self.chars)
+            own = (GROUPS.get(self.tag, "p"), length, links, self.stops > 0)
+            near = (length > 1, self.near)
+            formula = self.formula > 0
+        return (self.tag, self.hint), own, near, spread, formula
 
     def kind(self) -> tuple:
         """What the potential between this element and its children depends on."""
         return (self.tag, self.hint)
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
-    """Block nodes (parents before children) and the page's blocks of text with their node, in order."""
-    nodes = [Node("#root", "", -1)]
-    blocks: list[tuple[int, str]] = []
-    stack = [("#root", 0)]  # open elements with the nearest block node
-    held: list[str] = []
-    linked = anchors = 0
-    at, size = 0, len(page)
+class Reader:
+    """The open elements of a page, its block nodes and its blocks of text."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("#root", "", -1)]
+        self.blocks: list[tuple[int, str]] = []
+        self.stack: list[tuple[str, str, int]] = [("#root", "#root", 0)]  # name, kind, nearest block node
+        # how many are open of each kind: since the last scope, since the last wall, at all, and inline ones since the last block
+        self.scopes: list[tuple[str, Counter]] = [("#root", Counter())]
+        self.walls: list[tuple[str, Counter]] = [("#root", Counter())]
+        self.open: Counter = Counter()
+        self.inline: list[Counter] = [Counter()]
+        self.held: list[str] = []
+        self.linked = self.muted = 0
+
+    def push(self, name: str, attributes: str = "") -> None:
+        kind = "h" if name in HEADINGS else name
+        self.open[kind] += 1
+        if name in BLOCK:
+            self.flush()
+            self.nodes.append(Node(name, attributes, self.stack[-1][2]))
+            self.stack.append((name, kind, len(self.nodes) - 1))
+            self.scopes[-1][1][kind] += 1
+            self.walls[-1][1][kind] += 1
+            if name in SCOPES:
+                self.scopes.append((kind, Counter()))
+            if name in WALLS:
+                self.walls.append((kind, Counter()))
+            self.inline.append(Counter())
+        else:
+            self.stack.append((name, kind, self.stack[-1][2]))
+            self.inline[-1][name] += 1
+            self.muted += name in MUTE
 
-    def flush(owner: int) -> None:
-        nonlocal linked
-        if held:
-            text = "".join(held)
-            text = " ".join((html.unescape(text) if "&" in text else text).split())
-            held.clear()
+    def pop(self) -> str:
+        name, kind, _ = self.stack[-1]
+        if name in BLOCK:
+            self.flush()
+            self.inline.pop()
+            if name in SCOPES:
+                self.scopes.pop()
+            if name in WALLS:
+                self.walls.pop()
+            self.scopes[-1][1][kind] -= 1
+            self.walls[-1][1][kind] -= 1
+        else:
+            self.inline[-1][name] -= 1
+            self.muted -= name in MUTE
+        self.stack.pop()
+        self.open[kind] -= 1
+        return kind
+
+    def pop_to(self, kinds: tuple[str, ...]) -> None:
+        while self.pop() not in kinds:
+            pass
+
+    def within_body(self) -> None:
+        """A page without its outer tags has them all the same."""
+        if self.stack[-1][0] in ("#root", "html"):
+            self.push("body")
+
+    def text(self, raw: str) -> None:
+        if self.muted or self.stack[-1][0] in ("#root", "html") and raw.isspace():
+            return
+        self.within_body()
+        if "&" in raw:
+            raw = html.unescape(raw)
+        self.held.append(raw)
+        if self.open["a"]:
+            self.linked += len(raw)
+
+    def flush(self) -> None:
+        """The text held so far is a block of the innermost block element."""
+        if self.held:
+            text = " ".join("".join(self.held).split())
             if text:
-                node = nodes[owner]
-                node.chars += len(text)
-                node.linked += min(linked, len(text))
-                node.stops += bool(SENTENCE.search(text))
-                node.blocks += 1
-                blocks.append((owner, text))
-        linked = 0
+                owner = self.stack[-1][2]
+                self.nodes[owner].add(text, self.linked)
+                self.blocks.append((owner, text))
+            self.held.clear()
+        self.linked = 0
+
+    def start(self, name: str, attributes: str) -> None:
+        if name in VOID or name in ("hr", "wbr"):
+            if name == "hr":
+                self.flush()
+            elif name != "wbr" and not self.muted:
+                self.held.append(" ")
+            return
+        if name not in BLOCK:
+            if name == "a" and "href" not in attributes.lower():
+                return
+            if name == "a" and self.inline[-1]["a"]:
+                self.pop_to(("a",))
+            self.within_body()
+            self.push(name)
+            return
+        while self.muted and self.stack[-1][0] in FIELDS:
+            self.pop()
+        kinds = ENDS.get(name, ("p",))
+        while self.scopes[-1][0] in kinds or any(self.scopes[-1][1][k] for k in kinds):
+            self.pop_to(kinds)
+        if name in HEADINGS and self.stack[-1][1] == "h" or self.stack[-1][0] == "head" and name != "head":
+            self.pop()
+        if name not in ("html", "head", "body"):
+            self.within_body()
+        elif self.open[name]:  # there is but one of these
+            return
+        self.push(name, attributes)
+
+    def end(self, name: str) -> None:
+        kind = "h" if name in HEADINGS else name
+        if name == "br":
+            self.held.append(" ")
+        elif name not in BLOCK:
+            if self.inline[-1][name]:
+                self.pop_to((name,))
+        elif self.walls[-1][0] == kind or self.walls[-1][1][kind] or name in TABLES and self.open[kind]:
+            self.pop_to((kind,))
+        elif name == "p":
+            self.flush()
+
+    def finish(self) -> tuple[list[Node], list[tuple[int, str]]]:
+        self.flush()
+        nodes = self.nodes
+        for (a, before), (b, after) in zip(self.blocks, self.blocks[1:]):
+            if a != b:  # whether the texts before and after it in the page, of other elements, are long
+                nodes[b].near |= len(before) >= 60
+                nodes[a].near |= 2 * (len(after) >= 60)
+        for node in reversed(nodes):
+            node.all_chars += node.chars
+            node.all_linked += node.linked
+            node.all_prose += node.prose
+            if node.parent >= 0:
+                above = nodes[node.parent]
+                above.all_chars += node.all_chars
+                above.all_linked += node.all_linked
+                above.all_prose += node.all_prose
+        for node in nodes:
+            node.whole = max(1, nodes[0].all_prose)
+        return nodes, self.blocks
+
 
+def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
+    """Block nodes (parents before children) and the page's blocks of text with their node, in order."""
+    reader = Reader()
+    ends: dict[str, int] = {}  # where the next end tags of raw and mute elements are
+    at, size = 0, len(page)
     while at < size:
         lt = page.find("<", at)
         if lt < 0:
-            held.append(page[at:])
-            break
+            lt = size
         if lt > at:
-            held.append(page[at:lt])
-            if anchors:
-                linked += lt - at
+            reader.text(page[at:lt])
+        if lt == size:
+            break
         m = TOKEN.match(page, lt)
         if not m:  # a lone <
-            held.append("<")
+            reader.text("<")
             at = lt + 1
             continue
         at = m.end()
-        name = m[2]
+        name = (m[2] or "").lower()
         if not name:
             continue
-        name = name.lower()
         if m[1]:
-            if name == "a":
-                anchors = max(0, anchors - 1)
-            if any(tag == name for tag, _ in reversed(stack)):
-                if name in BLOCK:
-                    flush(stack[-1][1])
-                while stack[-1][0] != name:
-                    stack.pop()
-                stack.pop()
-            continue
-        if name in RAW:
-            end = re.compile(f"</{re.escape(name)}(?=[\\s/>])|\\Z", re.I).search(page, at) if not m[3].endswith("/") else None
-            if end:
-                close = page.find(">", end.end())
-                at = size if close < 0 or end.start() == size else close + 1
+            reader.end(name)
             continue
-        if name in VOID:
-            held.append(" ")
-            continue
-        if name in BLOCK:
-            flush(stack[-1][1])
-            anchors = 0
-            if name in ENDS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in ENDS[name]:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in SCOPES:
-                        break
-            else:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "p":  # any block ends a paragraph
-                        del stack[k:]
-                        break
-                    if stack[k][0] in SCOPES:
-                        break
-            if len(stack) == 1 and name not in ("html", "head", "body"):  # a page without its outer tags has them all the same
-                nodes.append(Node("body", "", 0))
-                stack.append(("body", len(nodes) - 1))
-            parent = stack[-1][1]
-            nodes[parent].children += 1
-            nodes.append(Node(name, m[3], parent))
-            stack.append((name, len(nodes) - 1))
-        else:
-            anchors += name == "a"
-            stack.append((name, stack[-1][1]))
-    flush(stack[-1][1])
-    return nodes, blocks
+        if name in RAW or name in MUTE:
+            if ends.get(name, -1) < at:
+                end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, at)
+                ends[name] = end.start() if end else size
+            if ends[name] == size and name not in ("option", "optgroup"):
+                # without an end tag a script is the rest of the page, of other elements only the tag goes
+                if name in ("script", "style"):
+                    break
+                continue
+            if name in RAW:
+                close = page.find(">", ends[name])
+                at = size if close < 0 else close + 1
+                continue
+        reader.start(name, m[3])
+    return reader.finish()
 
 
 class Model:
@@ -198,7 +332,8 @@ class Model:
                 total[node.label] += 1
                 if node.parent >= 0:
                     above = nodes[node.parent]
-                    steps.setdefault(above.kind(), [[0, 0], [0, 0]])[above.label][node.label] += 1
+                    for kind in (above.kind(), above.hint):
+                        steps.setdefault(kind, [[0, 0], [0, 0]])[above.label][node.label] += 1
                     whole[above.label][node.label] += 1
         # a kind of parent seen rarely, or under one label alone, leans on the table of all parents
         self.step = [[x / sum(row) for x in row] for row in whole]
@@ -212,7 +347,7 @@ class Model:
             kinds = set(none) | set(content)
             n0, n1 = sum(none.values()) + len(kinds), sum(content.values()) + len(kinds)
             self.ratio.append({v: math.log((content[v] + 1) / n1) - math.log((none[v] + 1) / n0) for v in kinds})
-        # a tag with a hint never seen together: what the tag and the hint say alone
+        # what a tag and a hint say alone, for a tag with a hint never seen together
         for part in (0, 1):
             none, content = Counter(), Counter()
             for v, c in seen[0][0].items():
@@ -223,17 +358,21 @@ class Model:
             for v in kinds:
                 self.ratio[0][(part, v)] = math.log((content[v] + 1) / (total[1] + len(kinds))) - math.log((none[v] + 1) / (total[0] + len(kinds)))
 
+    def table(self, node: Node) -> list[list[float]]:
+        """A child's label given this node's; of a tag never seen with these names, what the names alone say."""
+        return self.steps.get(node.kind()) or self.steps.get(node.hint) or self.step
+
     def evidence(self, node: Node) -> float:
         f = node.features()
         first = self.ratio[0].get(f[0])
         if first is None:
-            first = self.ratio[0].get((0, node.tag), 0.0) + self.ratio[0].get((1, node.hint), 0.0)
+            first = self.ratio[0].get((0, node.tag) if node.hint == "none" else (1, node.hint), 0.0)
         return first + sum(table.get(v, 0.0) for table, v in zip(self.ratio[1:], f[1:]))
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """The probability of content of each node."""
         n = len(nodes)
-        tables = [self.steps.get(node.kind(), self.step) for node in nodes]
+        tables = [self.table(node) for node in nodes]
         # odds of the evidence in a node's own subtree, content against none
         own = [self.evidence(node) for node in nodes]
         up = [0.0] * n
@@ -253,93 +392,184 @@ class Model:
         return [1 / (1 + math.exp(-max(-60.0, min(60.0, b)))) for b in belief]
 
 
-def label_pages(count: int = PAGES, seed: int = SEED) -> list[str]:
-    """Labelled pages: content elements of each carry MARK.  Layouts, wrappers, words and lengths vary."""
-    r = random.Random(seed)
-    mark = f' {MARK}="1"'
+class Writer:
+    """Writes labelled pages: content elements of each carry MARK.  Layouts, wrappers, words and lengths vary."""
+
+    MARKED = f' {MARK}="1"'
+    SYLLABLES = ["ka", "lo", "mi", "ren", "tu", "sa", "ve", "don", "e", "ist"]
+
+    def __init__(self, seed: int):
+        self.random = random.Random(seed)
+        self.plain = self.boxes = False
+
+    def chance(self, p: float) -> bool:
+        return self.random.random() < p
 
-    def words(a: int, b: int) -> str:
-        return " ".join("".join(r.choice(["ka", "lo", "mi", "ren", "tu", "sa", "ve", "don", "e", "ist"]) for _ in range(r.randint(1, 4))) for _ in range(r.randint(a, b)))
+    def pick(self, *choices: str) -> str:
+        return self.random.choice(choices)
 
-    def sentence() -> str:
-        text = words(1, 16)
-        if r.random() < 0.1:
-            text += f' <a href="/x">{words(1, 3)}</a> ' + words(1, 5)
-        if r.random() < 0.08:
-            text = f"<b>{text}" + r.choice(["</b>", ""])
-        return text.capitalize() + (r.choice("...?!") if r.random() < 0.8 else "") + r.choice(["", "", "", "<br>"])
+    def words(self, a: int, b: int) -> str:
+        r = self.random
+        return " ".join("".join(r.choice(self.SYLLABLES) for _ in range(r.randint(1, 4))) for _ in range(r.randint(a, b)))
 
-    def paragraph() -> str:
-        return " ".join(sentence() for _ in range(r.choice([1, 1, 2, 3, 5, 8])))
+    def sentence(self) -> str:
+        text = self.words(1, 16)
+        if self.chance(0.1):
+            text += f' <a href="/x">{self.words(1, 3)}</a> ' + self.words(1, 5)
+        if self.chance(0.08):
+            text = f"<b>{text}" + self.pick("</b>", "")
+        return text.capitalize() + (self.pick(".", ".", ".", "?", "!") if self.chance(0.8) else "") + self.pick("", "", "", "<br>")
 
-    def attrs(*names: str) -> str:
-        return f' {r.choice(["class", "class", "id"])}="{r.choice(names)}"' if names and r.random() < 0.85 else ""
+    def paragraph(self) -> str:
+        return " ".join(self.sentence() for _ in range(self.random.choice([1, 1, 2, 3, 5, 8])))
 
-    def links(n: int) -> str:
-        return "<ul>" + "".join(f'<li><a href="/{i}">{words(1, 3)}</a></li>' for i in range(n)) + "</ul>"
+    def short(self) -> str:
+        return self.random.choice([lambda: self.words(1, 4), self.sentence, self.sentence, self.paragraph])()
 
-    def short() -> str:
-        return r.choice([words(1, 4), sentence(), sentence(), paragraph()])
+    def attrs(self, *names: str) -> str:
+        """A class or id that says something; on plain pages one that says nothing, or none."""
+        if self.plain:
+            return self.pick("", "", f' class="{self.words(1, 1)}"', f' id="{self.words(1, 1)}"')
+        return f' {self.pick("class", "class", "id")}="{self.pick(*names)}"' if names and self.chance(0.85) else ""
 
-    def boiler(kind: str) -> str:
+    def named(self, tag: str, *names: str) -> str:
+        """A start tag whose name is what tells it from content."""
+        return f"<{tag}{self.attrs()}>" if self.plain else f'<{tag} {self.pick("class", "id")}="{self.pick(*names)}">'
+
+    def links(self, n: int) -> str:
+        items = [f'<a href="/{i}">{self.words(1, 3)}</a>' for i in range(n)]
+        return self.random.choice([lambda: "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>", lambda: self.pick(" | ", " ", " &middot; ").join(items)])()
+
+    def formula(self) -> str:
+        return self.pick(f"&copy; 20{self.random.randint(10, 30)} {self.words(1, 3)}", f"Copyright {self.words(1, 3)}. All rights reserved.", f"All rights reserved {self.words(1, 2)}.", f"{self.words(1, 2)} privacy policy")
+
+    def boiler(self, kind: str) -> str:
+        r, plain = self.random, self.plain
+        semantic = not self.boxes  # whether the page uses elements that tell what they are
         if kind == "nav":
-            return f"<nav{attrs('menu', 'nav', 'main-menu')}>{links(r.randint(2, 8))}</nav>" if r.random() < 0.7 else f'<div class="{r.choice(["menu", "navbar", "breadcrumb"])}">{links(r.randint(2, 6))}</div>'
+            if semantic and self.chance(0.7):
+                return f"<nav{self.attrs('menu', 'nav', 'main-menu')}>{self.links(r.randint(2, 8))}</nav>"
+            return self.named("div", "menu", "navbar", "breadcrumb") + f"{self.links(r.randint(2, 7))}</div>"
         if kind == "header":
-            return f"<header{attrs('header', 'masthead', 'site-header')}>{r.choice(['<h1>' + words(1, 3) + '</h1>', '<p>' + sentence() + '</p>', words(1, 4)])}{r.choice(['', links(3)])}</header>"
+            inner = r.choice([f"<h1>{self.words(1, 3)}</h1>", f"<p>{self.sentence()}</p>", self.words(1, 4)]) + self.pick("", self.links(3))
+            if not semantic:
+                return self.named("div", "header", "masthead", "site-title") + (f'<a href="/">{self.words(1, 3)}</a>' if plain else inner) + "</div>"
+            return f"<header{self.attrs('header', 'masthead', 'site-header')}>{inner}</header>"
         if kind == "footer":
-            return f"<{(t := r.choice(['footer', 'footer', 'div']))}{' class=' + chr(34) + 'footer' + chr(34) if t == 'div' else attrs('footer')}>{r.choice(['&copy; ', ''])}{r.choice([short(), '<p>' + short() + '</p>', links(3)])}</{t}>"
+            inner = r.choice([lambda: self.formula(), lambda: f"<p>{self.formula()}</p>", lambda: self.links(3), lambda: "<p>" + self.short() + "</p>", self.short] if not plain or semantic else [lambda: self.formula(), lambda: f"<p>{self.formula()}</p>", lambda: self.links(3) + self.formula()])()
+            return f"<footer{self.attrs('footer')}>{inner}</footer>" if semantic and self.chance(0.75) or semantic and plain else self.named("div", "footer", "site-foot", "colophon") + inner + "</div>"
         if kind == "side":
-            t = r.choice(["aside", "aside", "div"])
-            inner = r.choice([links(4), f"<p>{short()}</p>", f"<h2>{words(1, 3)}</h2><p>{paragraph()}</p>", f"<h3>{words(1, 3)}</h3>{links(3)}"])
-            return f"<{t}{' class=' + chr(34) + r.choice(['sidebar', 'related', 'widget']) + chr(34) if t == 'div' else attrs('sidebar', 'related')}>{inner}</{t}>"
+            t = self.pick("aside", "aside", "div") if semantic else "div"
+            if t == "aside":
+                inner = r.choice([self.links(4), f"<p>{self.short()}</p>", f"<h2>{self.words(1, 3)}</h2><p>{self.paragraph()}</p>", f"<h3>{self.words(1, 3)}</h3>{self.links(3)}"])
+                return f"<aside{self.attrs('sidebar', 'related')}>{inner}</aside>"
+            inner = f"<h3>{self.words(1, 3)}</h3>{self.links(r.randint(3, 6))}"
+            return self.named("div", "sidebar", "related", "widget") + (inner if plain else r.choice([inner, f"<p>{self.short()}</p>", f"<h2>{self.words(1, 3)}</h2><p>{self.paragraph()}</p>"])) + "</div>"
         if kind == "ad":
-            return f'<{(t := r.choice(["div", "div", "section", "p"]))} class="{r.choice(["ad", "ads", "advert", "promo", "sponsored", "banner"])}">{r.choice([short(), paragraph()]) if t == "p" else r.choice([short(), "<p>" + short() + "</p>"])}</{t}>'
+            if plain:
+                return f"<div{self.attrs()}>{self.pick('Advertisement', 'Sponsored', f'Sponsored {self.words(1, 3)}')}</div>"
+            t = self.pick("div", "div", "section", "p")
+            return self.named(t, "ad", "ads", "advert", "promo", "sponsored", "banner") + (r.choice([self.short, self.paragraph])() if t == "p" else r.choice([self.short(), "<p>" + self.short() + "</p>"])) + f"</{t}>"
         if kind == "notice":
-            return f'<div {r.choice(["class", "id"])}="{r.choice(["cookie-notice", "cookie", "consent", "notice", "newsletter", "popup"])}">{r.choice([short(), "<p>" + short() + "</p>"])}<button>{words(1, 2)}</button></div>'
+            inner = self.pick(f"{self.words(1, 6)} cookies {self.words(1, 4)}.", f"Subscribe {self.words(1, 5)} newsletter.") if plain else self.short()
+            return self.named("div", "cookie-notice", "cookie", "consent", "notice", "newsletter", "popup") + r.choice([inner, f"<p>{inner}</p>"]) + f"<button>{self.words(1, 2)}</button></div>"
         if kind == "form":
-            return f"<form{attrs('search', 'login')}>{r.choice(['', '<p>' + short() + '</p>', '<label>' + words(1, 3) + '</label>'])}<input><button>{words(1, 2)}</button></form>"
-        t = r.choice(["section", "div", "div"])
-        one = lambda: f"<{(k := r.choice(['p', 'div', 'li', 'article']))}{attrs('comment')}>{'<p>' + paragraph() + '</p>' if k in ('div', 'article') else paragraph()}</{k}>"
-        return f'<{t} {r.choice(["class", "id"])}="{r.choice(["comments", "comment-list", "replies", "discussion comments"])}"><h3>{words(1, 3)}</h3>{"".join(one() for _ in range(r.randint(1, 4)))}</{t}>'
-
-    def content() -> str:
-        parts = []
-        for _ in range(r.randint(1, 9)):
-            kind = r.random()
-            if kind < 0.78:
-                parts.append(f"<p{mark}>{paragraph()}" + r.choice(["</p>", "</p>", "</p>", ""]))
-            elif kind < 0.86:
-                parts.append(f"<h2{mark}>{words(1, 6)}</h2>")
-            elif kind < 0.91:
-                parts.append(f"<ul{mark}>" + "".join(f"<li{mark}>{r.choice([sentence(), words(1, 5)])}</li>" for _ in range(r.randint(1, 4))) + "</ul>")
-            elif kind < 0.94:
-                parts.append(f"<blockquote{mark}><p{mark}>{paragraph()}</p></blockquote>")
-            elif kind < 0.96:
-                parts.append(f"<table{mark}><tr{mark}><td{mark}>{words(1, 4)}</td><td{mark}>{words(1, 4)}</td></tr></table>")
+            return f"<form{self.attrs('search', 'login')}>{r.choice(['', '<p>' + self.short() + '</p>', '<label>' + self.words(1, 3) + '</label>'])}<input><button>{self.words(1, 2)}</button></form>"
+        # comments: what they say is like an article, so their names tell them apart
+        t = self.pick("section", "div", "div")
+
+        def one() -> str:
+            k = self.pick("p", "div", "li", "article")
+            mark = f' class="{self.pick("comment", "reply")}"' if self.chance(0.85) else ""
+            return f"<{k}{mark}>{'<p>' + self.paragraph() + '</p>' if k in ('div', 'article') else self.paragraph()}</{k}>"
+
+        name = self.pick("comments", "comment-list", "replies", "discussion comments")
+        return f'<{t} {self.pick("class", "id")}="{name}"><h3>{self.words(1, 3)}</h3>{"".join(one() for _ in range(r.randint(1, 4)))}</{t}>'
+
+    def part(self) -> str:
+        """A piece of an article."""
+        r, m = self.random, self.MARKED
+        kind = r.random()
+        if kind < 0.67:
+            return f"<p{m}>{self.paragraph()}" + self.pick("</p>", "</p>", "</p>", "")
+        if kind < 0.72:
+            t = self.pick("h2", "h2", "h3", "h4")
+            return f"<{t}{m}>{self.words(1, 6)}</{t}>"
+        if kind < 0.77:
+            t = self.pick("ul", "ul", "ol")
+            return f"<{t}{m}>" + "".join(f"<li{m}>{r.choice([self.sentence(), self.words(1, 5)])}" + self.pick("</li>", "") for _ in range(r.randint(1, 4))) + f"</{t}>"
+        if kind < 0.80:
+            return f"<blockquote{m}>{r.choice([f'<p{m}>{self.paragraph()}</p>', self.paragraph()])}</blockquote>"
+        if kind < 0.82:
+            return f"<table{m}>" + "".join(f"<tr{m}><td{m}>{self.words(1, 4)}</td><td{m}>{self.words(1, 4)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>"
+        if kind < 0.85:
+            return f'<figure{m}><img src="x.png"><figcaption{m}>{r.choice([self.sentence(), self.words(2, 8)])}</figcaption></figure>'
+        if kind < 0.87:
+            return f"<pre{m}>{self.words(1, 5)} = {self.words(1, 3)};\n{self.words(1, 6)}</pre>"
+        if kind < 0.89:
+            return f"<dl{m}><dt{m}>{self.words(1, 3)}</dt><dd{m}>{self.sentence()}</dd></dl>"
+        if kind < 0.9:
+            return f"<div{m}>{self.paragraph()}</div>"
+        if kind < 0.92:
+            return f"<p{m}>{self.formula()}</p>"
+        return self.boiler(self.pick("ad", "ad", "side", "notice", "form"))
+
+    def content(self) -> str:
+        r, m = self.random, self.MARKED
+        if self.chance(0.12):
+            parts = "".join(f"<p{m}>{self.words(1, 5)}{self.pick('', '.')}</p>" for _ in range(r.randint(1, 2)))
+        else:
+            parts = "".join(self.part() for _ in range(r.randint(1, 9)))
+        if self.plain and self.boxes:
+            # without names and telling elements an article is known by its prose
+            prose = lambda: " ".join(self.sentence() for _ in range(r.randint(3, 9)))
+            shape = r.random()
+            if shape < 0.5:
+                parts = f"<p{m}>{prose()}</p>" + parts + f"<p{m}>{prose()}</p>"
+            elif shape < 0.75:
+                parts = "".join(f"<div{m}>{prose()}</div>" for _ in range(r.randint(2, 5)))
             else:
-                parts.append(boiler(r.choice(["ad", "ad", "side", "notice", "form"])))
-        top = f"<h1{mark}>{words(1, 10)}</h1>" if r.random() < 0.8 else ""
-        t, hint = r.choice([("article", ""), ("article", ""), ("article", ' class="post"'), ("main", ""), ("main", ' id="content"'), ("div", ' class="article-body"'), ("div", ' id="content"'), ("div", ' class="post entry"'), ("section", ' class="story"')])
-        inside = top + "".join(parts) + (boiler("comment") if r.random() < 0.12 else "")
-        page = f"<{t}{hint}{mark}>{inside}</{t}>"
-        return f"<div{attrs('wrapper', 'container', 'row')}>{page}</div>" if r.random() < 0.2 else page
-
-    pages = []
-    for _ in range(count):
-        before = [boiler(k) for k in ("header", "nav", "notice", "ad", "form", "side") if r.random() < 0.45]
-        after = [boiler(k) for k in ("comment", "side", "ad", "form", "notice") if r.random() < 0.35]
-        r.shuffle(before)
-        r.shuffle(after)
-        page = "".join(before) + content() + "".join(after) + (boiler("footer") if r.random() < 0.85 else "")
-        shell = r.random()
+                parts = "<br><br>".join(prose() for _ in range(r.randint(2, 4)))
+        top = self.pick("h1", "h1", "h2") if self.chance(0.8) else ""
+        inside = (f"<{top}{m}>{self.words(1, 10)}</{top}>" if top else "") + parts + (self.boiler("comment") if self.chance(0.12) else "")
+        if self.boxes:
+            t, hint = "div", self.attrs("article-body", "content", "post entry", "story", "main-text")
+        else:
+            t, hint = r.choice([("article", ""), ("article", ""), ("article", ' class="post"'), ("main", ""), ("main", ' id="content"'), ("div", ' class="article-body"'), ("div", ' id="content"'), ("div", ' class="post entry"'), ("section", ' class="story"')])
+            if self.plain and t in ("article", "main"):
+                hint = self.attrs()
+        page = f"<{t}{hint}{m}>{inside}</{t}>"
+        return f"<div{self.attrs('wrapper', 'container', 'row')}>{page}</div>" if self.chance(0.2) else page
+
+    def page(self) -> str:
+        self.boxes = self.chance(0.4)
+        self.plain = self.chance(0.6 if self.boxes else 0.2)
+        before = [self.boiler(k) for k in ("header", "nav", "notice", "ad", "form", "side") if self.chance(0.45)]
+        after = [self.boiler(k) for k in ("comment", "side", "ad", "form", "notice") if self.chance(0.35)]
+        self.random.shuffle(before)
+        self.random.shuffle(after)
+        foot = self.boiler("footer") if self.chance(0.85) else ""
+        if self.boxes and self.chance(0.3):  # a table lays the page out; a cell is the article's box
+            inside = self.content()
+            cells = [f"<td>{''.join(before)}</td>", f"<td>{inside}</td>", f"<td>{''.join(after)}</td>"]
+            page = f"<table><tr>{''.join(cells)}</tr></table>" + foot
+        else:
+            page = "".join(before) + self.content() + "".join(after) + foot
+            if self.chance(0.15):
+                page = f"<div{self.attrs('wrapper', 'container', 'page')}>{page}</div>"
+        shell = self.random.random()
         if shell < 0.85:
-            page = f"<!DOCTYPE html><html><head><title>{words(1, 6)}</title><style>p{{margin:0}}</style></head><body>{page}</body></html>"
+            page = f"<!DOCTYPE html><html><head><title>{self.words(1, 6)}</title><style>p{{margin:0}}</style></head><body>{page}</body></html>"
         elif shell < 0.93:
             page = f"<body>{page}"
-        if r.random() < 0.08:  # a page that was cut
-            page = page[: r.randint(len(page) // 2, len(page))]
-        pages.append(page)
-    return pages
+        if self.chance(0.08):  # a page that was cut
+            page = page[: self.random.randint(len(page) // 2, len(page))]
+        return page
+
+
+def label_pages(count: int = PAGES, seed: int = SEED) -> list[str]:
+    writer = Writer(seed)
+    return [writer.page() for _ in range(count)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -360,12 +590,14 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
     joined in page order by two line ends.  A null or empty page, or one without content, has an empty text.
-    Broken markup (unclosed tags, a lone <, cut pages) is read as far as it goes; repeated rows each
-    give a row; extra columns are not read; an empty table gives an empty one.
+    Broken markup (unclosed tags, a lone <, cut pages) is read as far as it goes.  A page of any length is read
+    whole, in time linear in it.  A node as likely content as not is no content.  Repeated rows each
+    give a row; extra columns, whatever their names, are not read; an empty table gives an empty one.
+    The model is trained on the driver and sent with the tasks: tables of some hundred numbers.
     """
+    model = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = trained()
         for batch in batches:
             rows = [extract(x.as_py(), model) for x in batch.column(2)]
             texts, counts, sure = (list(x) for x in zip(*rows)) if rows else ([], [], [])
