@@ -372,7 +372,7 @@ def test_html_marginals_are_exact():
         labels = (0, *labels)
         w = np.exp(sum(model.evidence(n) for n, x in zip(nodes, labels) if x))
         for n, x in list(zip(nodes, labels))[1:]:
-            w *= model.steps.get(nodes[n.parent].kind(), model.step)[labels[n.parent]][x]
+            w *= model.table(nodes[n.parent])[labels[n.parent]][x]
         whole += w
         mass += w * np.array(labels)
     assert np.allclose(got[1:], (mass / whole)[1:], atol=1e-6)
