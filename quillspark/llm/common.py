@@ -39,25 +39,50 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths of the tables that settle() has written and that are not deleted yet, in their order.
+_SETTLED: list[str] = []
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and return a read of it: cuts the lineage.
 
-    The table outlives any executor.  drop_settled() removes one that is no longer needed.
+    The table outlives any executor.  drop_settled() removes one that is no longer needed, drop_settled_since()
+    all that were written since a mark.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillspark-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled_path = path
+    _SETTLED.append(path)
     return out
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+
+
 def drop_settled(df: DataFrame) -> None:
     """Delete the table behind a DataFrame that settle() returned."""
-    spark, path = df.sparkSession, getattr(df, "_settled_path", None)
-    if path:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    path = getattr(df, "_settled_path", None)
+    if path in _SETTLED:
+        _SETTLED.remove(path)
+        delete_folder(df.sparkSession, path)
+
+
+def settled_mark() -> int:
+    """For drop_settled_since()."""
+    return len(_SETTLED)
+
+
+def drop_settled_since(spark: SparkSession, mark: int, keep: DataFrame | None = None) -> None:
+    """Delete the tables settled since the mark but the one behind `keep`: once a result is written, what it was made from can go."""
+    kept = getattr(keep, "_settled_path", None)
+    for path in _SETTLED[mark:]:
+        if path != kept:
+            _SETTLED.remove(path)
+            delete_folder(spark, path)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ most one bit.  A segment is indexed under its 32 variants with one bit replaced
 such segments share a variant: an equality on (wildcard, variant) finds all candidates, and the
 whole fingerprints are then compared.
 
-Only distinct fingerprints are linked, each standing for its smallest document.  In a bucket the
+Only distinct fingerprints are linked, whatever documents they stand for.  In a bucket the
 linked ones are told as a spanning forest, not as pairs: a search from member to member compares
 each with those not yet reached.  A bucket of more than BUCKET members is dealt again by the
 four bytes of the other segment, of which one at least is equal in any pair to be linked.
@@ -56,15 +56,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each whole text."""
+    """doc_id, fp (the fingerprint as a signed long) and text_hash (which tells rows of one id apart) of each whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("simhash_dedup")
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary"), F.xxhash64(text_col)).mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
@@ -85,86 +85,89 @@ def forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
 
 
 def link_sorted(batches: Iterator[pa.RecordBatch], bits: int, limit: float) -> Iterator[pa.RecordBatch]:
-    """From (key, fp, rep) in the order of key: edges between reps, and the members of too large buckets."""
+    """From (key, fp) in the order of key: edges between fingerprints, and the members of too large buckets."""
 
-    def solved(key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+    def solved(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         size = np.diff(cut)
         two = cut[:-1][size == 2]
         two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= bits]
-        a, b, again = [rep[two]], [rep[two + 1]], []
+        a, b, again = [fp[two]], [fp[two + 1]], [np.empty(0, int)]
         for at in np.flatnonzero(size > 2):
             lo, hi = cut[at], cut[at + 1]
             if hi - lo > limit:
                 again.append(np.arange(lo, hi))
             elif edges := forest(fp[lo:hi], bits):
                 x = np.array(edges) + lo
-                a.append(rep[x[:, 0]])
-                b.append(rep[x[:, 1]])
-        pairs = np.stack([np.concatenate(a), np.concatenate(b)])
-        pairs = np.unique(np.sort(pairs, axis=0), axis=1)
-        more = np.concatenate(again) if again else np.empty(0, int)
-        nothing = np.zeros(len(more), np.int64)
-        columns = [np.r_[pairs[0], rep[more]], np.r_[pairs[1], nothing], np.r_[np.zeros(pairs.shape[1], np.int64), key[more]], np.r_[np.zeros(pairs.shape[1], np.int64), fp[more].view(np.int64)]]
-        again_flag = np.r_[np.zeros(pairs.shape[1], bool), np.ones(len(more), bool)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns] + [pa.array(again_flag)], ["a", "b", "key", "fp", "again"])
-
-    rest: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                a.append(fp[x[:, 0]])
+                b.append(fp[x[:, 1]])
+        pairs = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
+        more, n = np.concatenate(again), pairs.shape[1]
+        left, right = np.r_[pairs[0], fp[more]].view(np.int64), np.r_[pairs[1], fp[more]].view(np.int64)
+        columns = [left, right, np.r_[np.zeros(n, np.int64), key[more]], np.r_[np.zeros(n, bool), np.ones(len(more), bool)]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "key", "again"])
+
+    rest: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, fp, rep = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        fp = fp.view(np.uint64)
-        if rest and rest[-1][0][-1] == key[-1]:
-            rest.append((key, fp, rep))
+        key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        rest.append((key, fp.view(np.uint64)))
+        if len(rest) > 1 and rest[-2][0][-1] == key[-1]:
             continue
-        rest.append((key, fp, rep))
-        key, fp, rep = (np.concatenate(x) for x in zip(*rest))
+        key, fp = (np.concatenate(x) for x in zip(*rest))
         open_at = int(np.searchsorted(key, key[-1]))  # the last bucket may go on in the next batch
         if open_at:
-            yield solved(key[:open_at], fp[:open_at], rep[:open_at])
-        rest = [(key[open_at:], fp[open_at:], rep[open_at:])]
+            yield solved(key[:open_at], fp[:open_at])
+        rest = [(key[open_at:], fp[open_at:])]
     if rest:
         yield solved(*(np.concatenate(x) for x in zip(*rest)))
 
 
-LINKS = "a long, b long, key long, fp long, again boolean"
+LINKS = "a long, b long, key long, again boolean"
 
 
-def near_edges(classes: DataFrame, bits: int = BITS) -> DataFrame:
-    """Edges (a, b) between the reps of classes (fp, rep) that join all fingerprints at most 3 bits apart."""
+def near_edges(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (fp) that join all of them at most 3 bits apart."""
     if bits > 3:
         raise ValueError("two segments with one wildcard find pairs of at most 3 differing bits")
-    n = width(classes.sparkSession)
+    n = width(prints.sparkSession)
     half = F.when(F.col("bit") < 32, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 32))
     within = F.expr("shiftleft(1L, cast(bit % 32 as int))")
     variant = half.bitwiseAND(F.bitwise_not(within))
-    signed = classes.select("fp", "rep", F.explode(F.expr("sequence(0L, 63L)")).alias("bit"))
-    signed = signed.select(F.expr("shiftleft(bit, 32)").bitwiseOR(variant).alias("key"), "fp", "rep")
+    signed = prints.select("fp", F.explode(F.expr("sequence(0L, 63L)")).alias("bit"))
+    signed = signed.select(F.expr("shiftleft(bit, 32)").bitwiseOR(variant).alias("key"), "fp")
     # a bucket is one sorted stretch of a partition, so a task holds one bucket and not its partition
     found = signed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: link_sorted(it, bits, BUCKET), LINKS)
     found = settle(found)
     other = F.when(F.shiftrightunsigned("key", 32) < 32, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
     byte = F.expr("shiftright(other, cast(8 * nth as int))").bitwiseAND(F.lit(255))
-    again = found.where("again").select("key", "fp", F.col("a").alias("rep"), other.alias("other"), F.explode(F.expr("sequence(0L, 3L)")).alias("nth"))
-    again = again.select(F.xxhash64("key", "nth", byte).alias("key"), "fp", "rep")
+    again = found.where("again").select("key", F.col("a").alias("fp")).select("key", "fp", other.alias("other"), F.explode(F.expr("sequence(0L, 3L)")).alias("nth"))
+    again = again.select(F.xxhash64("key", "nth", byte).alias("key"), "fp")
     more = again.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: link_sorted(it, bits, float("inf")), LINKS)
     return found.where("not again").select("a", "b").unionByName(more.select("a", "b")).distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp and component_id (least doc_id reachable by links of at most `bits` bits) of each row.
+    """doc_id, fp, text_hash, group_id and component_id (least doc_id reachable by links of at most `bits` bits) of each row.
+
+    group_id, the least fingerprint reachable, tells groups apart even where no row has an id.
 
     Whole texts, A-Z in lower case, words between ASCII white space, shingles of `shingle` words with
-    repeats; a shorter text is one shingle; null, empty and blank texts have fingerprint 0 and are
-    linked like any other.  Repeated rows keep their rows.  A null doc_id is linked but never the
-    least.  An empty table gives an empty one; extra columns are not read.
+    repeats, counted in stretches in very long texts; a shorter text is one shingle; null, empty and blank texts
+    have fingerprint 0 and are linked like any other.  Repeated rows keep their rows.  A null doc_id is linked, and
+    links others, but is never the least: it is the component only where no other id is.  An empty table gives an
+    empty one; extra columns, whatever their names, are not read.
     """
     prints = settle(fingerprints(docs, id_col, text_col, shingle))
-    classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    linked = components(near_edges(classes.where("rep is not null"), bits))
-    named = classes.join(linked, classes["rep"] == linked["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    linked = components(near_edges(classes.select("fp"), bits))
+    placed = classes.join(linked, classes["fp"] == linked["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    # two columns of one plan of the classes: written once
+    placed = settle(placed)
+    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(least, "component").select("fp", F.col("component").alias("group_id"), "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "text_hash", "group_id", "component_id")
 
 
 def fingerprint_hex(fp: str = "fp"):
