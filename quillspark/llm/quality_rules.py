@@ -1,9 +1,13 @@
 """Quality rules (operator 6): robust multivariate outliers, in built-in functions only.
 
 Statistics of each text are transformed to a vector; a minimum-covariance-determinant estimate is made
-for each language and source, and texts are rejected by their Mahalanobis distance.  The estimate
-starts from medians and median deviations and is improved by concentration steps: keep the share H of rows
-that are nearest, take their mean and covariance, measure anew.
+for each language and source, and texts are rejected by their Mahalanobis distance.  The estimate is searched
+from three deterministic starts (median deviations alone, with correlations of squashed values, with those of
+directions) by concentration steps: of the h rows that are nearest take mean and covariance, measure anew, until the
+determinant falls no more; the start that ends at the least determinant counts.
+
+Values are counted in whole units and sums are sums of whole numbers, so results are the same however
+rows are dealt over partitions.
 """
 
 from __future__ import annotations
@@ -13,20 +17,25 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import drop_settled, settle
 
 #: Base rules.
 MIN_WORDS = 50
 MOST_REPEATED = 50
-#: Rows of a group used for its estimate, as a share; concentration steps.
+#: Rows of a group used for its estimate, as a share.
 H = 0.75
-STEPS = 2
+#: The logarithm of the determinant falls by this at least, or steps end.
+LEAST_FALL = 1e-3
 #: Fewest rows of a language and source for an estimate of its own; smaller ones are pooled by language.
 LEAST_ROWS = 200
 #: Fewest rows of such a pool: six for each statistic.
 LEAST_POOL = 30
-#: Accuracy of percentile_approx.
-ACCURACY = 1000
+#: Parts of one in which a statistic is counted, and parts of these in which its median is.
+UNIT, COARSE = 1 << 16, 1 << 6
+#: Classes of squared distance to a doubling, in which the h nearest rows are told.
+CLASSES = 1 << 10
+#: Parts of one in which squashed values and directions are counted.
+FINE = 1 << 12
 #: The transformed statistics, and the least standard deviation that counts for each.
 FEATURES = {"x0": 0.06, "x1": 0.6, "x2": 0.06, "x3": 0.15, "x4": 0.2}
 #: Median of the chi-square distribution with 5 degrees of freedom.
@@ -86,102 +95,150 @@ def with_features(stats: DataFrame) -> DataFrame:
     })
 
 
-def squared_distance(x: list[Column], mean: list[Column], cov: dict[tuple[int, int], Column]) -> list[tuple[str, Column]]:
-    """Mahalanobis distance by forward substitution with the Cholesky factor, as (name, expression) steps.
+GROUP = ["_g0", "_g1"]
+N = len(FEATURES)
+PAIRS = [(i, j) for i in range(N) for j in range(i + 1)]
+
+
+def factored(estimate: DataFrame) -> DataFrame:
+    """Adds the Cholesky factor c** of the covariance v** with the least deviations on its diagonal, and the logarithm of its determinant.
 
     Each entry becomes a column, so that none is expanded into the next.
     """
-    steps: list[tuple[str, Column]] = []
-    n = len(x)
-    for i in range(n):
-        for j in range(i + 1):
-            rest = cov[i, j]
-            for k in range(j):
-                rest = rest - F.col(f"_c{i}{k}") * F.col(f"_c{j}{k}")
-            steps.append((f"_c{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"_c{j}{j}")))
-    for i in range(n):
-        rest = x[i] - mean[i]
+    least = [d**2 for d in FEATURES.values()]
+    for i, j in PAIRS:
+        rest = F.col(f"v{i}{j}") + (least[i] if i == j else 0)
+        for k in range(j):
+            rest = rest - F.col(f"c{i}{k}") * F.col(f"c{j}{k}")
+        estimate = estimate.withColumn(f"c{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"c{j}{j}"))
+    return estimate.withColumn("logdet", 2 * sum((F.log(F.col(f"c{i}{i}")) for i in range(1, N)), F.log("c00")))
+
+
+def measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """rows joined to the estimates of their group, with the squared distance d2 and its class."""
+    out = rows.join(estimate.select(*GROUP, "start", *[f"m{i}" for i in range(N)], *[f"c{i}{j}" for i, j in PAIRS]), GROUP)
+    for i in range(N):
+        rest = F.col(f"x{i}") / UNIT - F.col(f"m{i}")
         for k in range(i):
-            rest = rest - F.col(f"_c{i}{k}") * F.col(f"_z{k}")
-        steps.append((f"_z{i}", rest / F.col(f"_c{i}{i}")))
-    return steps
-
-
-def distances(rows: DataFrame, estimate: DataFrame, names: list[str]) -> DataFrame:
-    """rows with d2, from the means m* and covariances v** of their group."""
-    n = len(names)
-    # the factor is made once for each group, the distances for each row
-    cov = {(i, j): F.col(f"v{i}{j}") + (F.lit(FEATURES[names[i]] ** 2) if i == j else 0) for i in range(n) for j in range(i + 1)}
-    steps = squared_distance([F.col(x) for x in names], [F.col(f"m{i}") for i in range(n)], cov)
-    factor, solve = steps[: -n], steps[-n:]
-    small = estimate
-    for name, value in factor:
-        small = small.withColumn(name, value)
-    keep = rows.columns
-    out = rows.join(settle(small), ["_g0", "_g1"], "left")
-    for name, value in solve:
-        out = out.withColumn(name, value)
-    return out.select(*keep, sum((F.col(f"_z{i}") ** 2 for i in range(1, n)), F.col("_z0") ** 2).alias("d2"))
-
-
-def mean_and_covariance(rows: DataFrame, names: list[str]) -> DataFrame:
-    n = len(names)
-    return rows.groupBy("_g0", "_g1").agg(
-        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(names)],
-        *[F.covar_pop(names[i], names[j]).alias(f"v{i}{j}") for i in range(n) for j in range(i + 1)],
-    )
+            rest = rest - F.col(f"c{i}{k}") * F.col(f"_z{k}")
+        out = out.withColumn(f"_z{i}", rest / F.col(f"c{i}{i}"))
+    out = out.withColumn("d2", sum((F.col(f"_z{i}") ** 2 for i in range(1, N)), F.col("_z0") ** 2))
+    return out.withColumn("class", F.floor(F.log2(F.col("d2") + 2.0**-20) * CLASSES)).select(*rows.columns, "start", "d2", "class")
+
+
+def class_at(rows: DataFrame, share: float) -> DataFrame:
+    """For each group and start the least class up to which there is the share of its rows, by counts of classes."""
+    counts = rows.groupBy(*GROUP, "start", "class").count()
+    upto = F.expr("sum(count) over (partition by _g0, _g1, start order by class)")
+    total = F.expr("sum(count) over (partition by _g0, _g1, start)")
+    return counts.select(*GROUP, "start", "class", upto.alias("upto"), total.alias("total")).where(F.col("upto") >= F.ceil(F.col("total") * share)).groupBy(*GROUP, "start").agg(F.min("class").alias("bar"))
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Three estimates for each group, from medians and median deviations, not yet of a subset of the rows."""
+    half = lambda x: F.percentile(F.floor(x / COARSE), 0.5) * COARSE + COARSE / 2
+    middle = settle(rows.groupBy(*GROUP).agg(*[half(F.col(f"x{i}")).alias(f"_m{i}") for i in range(N)]))
+    off = rows.join(middle, GROUP).groupBy(*GROUP).agg(*[half(F.abs(F.col(f"x{i}") - F.col(f"_m{i}"))).alias(f"_s{i}") for i in range(N)])
+    scale = [F.col(f"_s{i}") * 1.4826 / UNIT for i in range(N)]
+    base = settle(middle.join(off, GROUP).select(*GROUP, *[(F.col(f"_m{i}") / UNIT).alias(f"m{i}") for i in range(N)], *[s.alias(f"s{i}") for i, s in enumerate(scale)]))
+    z = rows.join(base, GROUP)
+    for i, least in enumerate(FEATURES.values()):
+        z = z.withColumn(f"_z{i}", (F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.sqrt(F.col(f"s{i}") ** 2 + least**2))
+    z = z.withColumn("_r", F.sqrt(sum((F.col(f"_z{i}") ** 2 for i in range(1, N)), F.col("_z0") ** 2)))
+    for i in range(N):
+        z = z.withColumns({f"_t{i}": F.rint(F.tanh(f"_z{i}") * FINE).cast("long"), f"_u{i}": F.rint(F.when(F.col("_r") > 0, F.col(f"_z{i}") / F.col("_r") * FINE).otherwise(0)).cast("long")})
+    sums = z.groupBy(*GROUP).agg(*[F.sum(F.col(f"_{k}{i}") * F.col(f"_{k}{j}")).cast("double").alias(f"{k}{i}{j}") for k in "tu" for i, j in PAIRS])
+    joined = base.join(sums, GROUP)
+
+    def covariance(k: str | None, i: int, j: int) -> Column:
+        own = F.col(f"s{i}") * F.col(f"s{j}")
+        if i == j:
+            return own
+        if k is None:
+            return F.lit(0.0)
+        size = F.sqrt(F.col(f"{k}{i}{i}") * F.col(f"{k}{j}{j}"))
+        return F.when(size > 0, own * F.col(f"{k}{i}{j}") / size).otherwise(0.0)
+
+    kinds = [F.struct(F.lit(n).alias("start"), *[covariance(k, i, j).alias(f"v{i}{j}") for i, j in PAIRS]) for n, k in enumerate((None, "t", "u"))]
+    told = joined.select(*GROUP, *[f"m{i}" for i in range(N)], F.explode(F.array(*kinds)).alias("_k")).select(*GROUP, *[f"m{i}" for i in range(N)], "_k.*")
+    return factored(told).withColumns({"logdet": F.lit(float("inf")), "done": F.lit(False)})
+
+
+def concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Means and covariances of the h rows nearest to each estimate; rows that tie with the last in class are among them."""
+    near = measured(rows, estimate)
+    near = near.join(class_at(near, H), [*GROUP, "start"]).where(F.col("class") <= F.col("bar"))
+    # sums of products in two halves, none of which overflows
+    halves = {f"{i}{j}": F.col(f"x{i}") * F.col(f"x{j}") for i, j in PAIRS}
+    sums = near.groupBy(*GROUP, "start").agg(
+        F.count("*").alias("n"), *[F.sum(f"x{i}").cast("double").alias(f"_x{i}") for i in range(N)],
+        *[F.sum(F.shiftright(p, 20)).alias(f"_h{k}") for k, p in halves.items()], *[F.sum(p.bitwiseAND(F.lit((1 << 20) - 1))).alias(f"_l{k}") for k, p in halves.items()],
+    )
+    mean = [F.col(f"_x{i}") / F.col("n") for i in range(N)]
+    moment = {(i, j): (F.col(f"_h{i}{j}").cast("double") * (1 << 20) + F.col(f"_l{i}{j}")) / F.col("n") for i, j in PAIRS}
+    return factored(sums.select(*GROUP, "start", *[(m / UNIT).alias(f"m{i}") for i, m in enumerate(mean)], *[((moment[i, j] - mean[i] * mean[j]) / UNIT**2).alias(f"v{i}{j}") for i, j in PAIRS]))
+
+
+def least_determinant(rows: DataFrame) -> DataFrame:
+    """The estimate of each group: concentration steps from all starts until no determinant falls, then the least one."""
+    state = settle(starts(rows))
+    while True:
+        after = concentrated(rows, state.where("not done")).select(*GROUP, "start", F.struct(*[c for c in state.columns if c not in (*GROUP, "start", "done")]).alias("new"))
+        both = state.join(after, [*GROUP, "start"], "left")
+        fell = F.coalesce(F.col("new.logdet") < F.col("logdet") - LEAST_FALL, F.lit(False))
+        kept = [F.when(fell, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in state.columns if c not in (*GROUP, "start", "done")]
+        moved = settle(both.select(*GROUP, "start", *kept, (~fell).alias("done")))
+        drop_settled(state)
+        state = moved
+        if state.where("not done").isEmpty():
+            break
+    best = state.groupBy(*GROUP).agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
+    return state.join(best, [*GROUP, "start"])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, d2, kept.
+    """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, d2, kept, measure.
 
     base_failed: under MIN_WORDS words, or over MOST_REPEATED % of words in repeated three-word windows.
     Such rows are not kept and take no part in estimates.  Other rows are kept unless d2, the squared robust
     distance in their language and source, exceeds CUT.  Languages and sources with under
     LEAST_ROWS such rows are pooled by language, languages with under LEAST_POOL in their pool are pooled
     together, and where these are under LEAST_POOL too, they are measured by an estimate of all such rows of
-    the table, however few.  So each such row has a d2.
+    the table, however few.  So each such row has a d2; `measure` tells by what it was judged: base, own, language,
+    pool or all.
 
     Null and empty texts have no words and fail; null languages and sources are groups of their own;
-    very long texts are counted whole; repeated rows count each; an empty table gives an empty one.
+    very long texts are counted whole; repeated rows count each; rows at equal distance are judged alike; an
+    empty table gives an empty one; extra columns, whatever their names, are not read.
     Group estimates are small tables joined to the rows: the optimizer broadcasts one if its size allows.
     """
-    names = list(FEATURES)
     stats = text_statistics(docs, id_col, text_col, (lang_col, source_col))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     stats = settle(with_features(stats.withColumn("base_failed", failed)))
     none = F.lit("\x00")
     stats = stats.withColumns({"_g0": F.coalesce("g0", none), "_g1": F.coalesce("g1", none)})
-    sizes = settle(stats.where("not base_failed").groupBy("_g0", "_g1").count())
+    sizes = settle(stats.where("not base_failed").groupBy(*GROUP).count())
     # small groups pool by language, small pools over each other, and a small pool of these is judged by all rows
     by_lang = sizes.where(F.col("count") < LEAST_ROWS).groupBy("_g0").agg(F.sum("count").alias("pool"))
-    plan = sizes.join(by_lang, "_g0", "left").select("_g0", "_g1", "count", F.when(F.col("count") >= LEAST_ROWS, 0).when(F.col("pool") >= LEAST_POOL, 1).otherwise(2).alias("level"))
+    plan = sizes.join(by_lang, "_g0", "left").select(*GROUP, "count", F.when(F.col("count") >= LEAST_ROWS, 0).when(F.col("pool") >= LEAST_POOL, 1).otherwise(2).alias("level"))
     plan = settle(plan)
     last = plan.where("level = 2").agg(F.sum("count")).first()[0]
-    rows = stats.where("not base_failed").join(plan, ["_g0", "_g1"])
+    lonely = last is not None and last < LEAST_POOL
+    rows = stats.where("not base_failed").join(plan.select(*GROUP, "level"), GROUP)
     pooled = F.lit("\x01")
     rows = rows.withColumns({"_g0": F.when(F.col("level") == 2, pooled).otherwise(F.col("_g0")), "_g1": F.when(F.col("level") >= 1, pooled).otherwise(F.col("_g1"))})
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = settle(rows.select("doc_id", "_g0", "_g1", *names, *counts, F.lit(True).alias("own")))
-    if last is not None and last < LEAST_POOL:
+    measure = F.when(F.col("level") == 0, "own").when(F.col("level") == 1, "language").otherwise("all" if lonely else "pool")
+    rows = settle(rows.select("doc_id", *GROUP, *[F.rint(F.col(x) * UNIT).cast("long").alias(x) for x in FEATURES], *counts, measure.alias("measure"), F.lit(True).alias("own")))
+    own = rows
+    if lonely:
         # the other rows take part in the last pool's estimate, but are judged in their own groups
-        lent = rows.where(F.col("_g0") != pooled).withColumns({"_g0": pooled, "_g1": pooled, "own": F.lit(False)})
-        rows = rows.unionByName(lent)
-    group = rows.groupBy("_g0", "_g1")
-    middle = settle(group.agg(*[F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(names)]))
-    off = rows.join(middle, ["_g0", "_g1"]).groupBy("_g0", "_g1").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"s{i}") for i, x in enumerate(names)])
-    n = len(names)
-    estimate = middle.join(off, ["_g0", "_g1"]).select("_g0", "_g1", *[f"m{i}" for i in range(n)], *[((1.4826 * F.col(f"s{i}")) ** 2 if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i in range(n) for j in range(i + 1)])
-    for _ in range(STEPS):
-        measured = settle(distances(rows, estimate, names))
-        near = settle(measured.groupBy("_g0", "_g1").agg(F.percentile_approx("d2", H, ACCURACY).alias("bar")))
-        estimate = mean_and_covariance(measured.join(near, ["_g0", "_g1"]).where("d2 <= bar"), names)
-    measured = settle(distances(rows, estimate, names))
+        rows = rows.unionByName(rows.where(F.col("_g0") != pooled).withColumns({"_g0": pooled, "_g1": pooled, "own": F.lit(False)}))
+    points = rows.select(*GROUP, *FEATURES)
+    estimate = settle(least_determinant(points))
     # the covariance of the nearest rows is too small: its scale is set by the median distance
-    scale = settle(measured.groupBy("_g0", "_g1").agg(F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, ACCURACY) / CHI_MEDIAN).alias("scale")))
+    scale = settle(class_at(measured(points, estimate), 0.5).select(*GROUP, F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.col("bar") / CLASSES) / CHI_MEDIAN).alias("scale")))
     d2 = F.col("d2") / F.col("scale")
-    judged = measured.where("own").join(scale, ["_g0", "_g1"]).select("doc_id", *counts, F.lit(False).alias("base_failed"), d2.alias("d2"), (d2 <= CUT).alias("kept"))
-    out = stats.where("base_failed").select("doc_id", *counts, "base_failed", F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"))
+    judged = measured(own, estimate).join(scale, GROUP).select("doc_id", *counts, F.lit(False).alias("base_failed"), d2.alias("d2"), (d2 <= CUT).alias("kept"), "measure")
+    out = stats.where("base_failed").select("doc_id", *counts, "base_failed", F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"), F.lit("base").alias("measure"))
     return judged.unionByName(out)
-
-
