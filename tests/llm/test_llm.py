@@ -402,6 +402,18 @@ def test_simhash(docs):
     assert every(out.select("doc_id", simhash_dedup.fingerprint_hex().alias("f"), "component_id"), "doc_id", "f", "component_id") == sorted(want, key=repr)
 
 
+def test_rows_without_an_id_link_others(spark, monkeypatch):
+    """A chain of fingerprints whose middle has no id."""
+    ids = {"a": 7, "b": None, "c": 9, "d": None}
+    chain = {"a": 0b111, "b": 0b111000111, "c": 0b111111000111 << 0 | 1 << 40, "d": 1 << 63 | 0xFFFF0000}
+    monkeypatch.setattr(simhash_dedup, "fingerprints", lambda docs, *_: docs)
+    rows = [(ids[k], int(np.uint64(f).view(np.int64)), 0) for k, f in chain.items()]
+    got = every(simhash_dedup.simhash_components(spark.createDataFrame(rows, "doc_id long, fp long, text_hash long")), "doc_id", "component_id")
+    near = lambda x, y: bin(chain[x] ^ chain[y]).count("1") <= 3
+    assert near("a", "b") and not near("a", "c") and not near("b", "c")
+    assert got == sorted([(7, 7), (None, 7), (9, 9), (None, None)], key=repr)
+
+
 @pytest.mark.parametrize("bucket", [4096, 3])
 def test_near_edges_lose_no_link(spark, monkeypatch, bucket):
     monkeypatch.setattr(simhash_dedup, "BUCKET", bucket)
@@ -415,9 +427,12 @@ def test_near_edges_lose_no_link(spark, monkeypatch, bucket):
                 x ^= 1 << int(bit)
             fps.add(x)
     fps = sorted(fps)
-    rows = [(int(np.uint64(f).view(np.int64)), i) for i, f in enumerate(fps)]
-    edges = simhash_dedup.near_edges(spark.createDataFrame(rows, "fp long, rep long"))
-    got = dict(every(components(edges), "node", "component"))
+    place = {int(np.uint64(f).view(np.int64)): i for i, f in enumerate(fps)}
+    edges = simhash_dedup.near_edges(spark.createDataFrame([(f,) for f in place], "fp long"))
+    groups = {}
+    for node, component in every(components(edges), "node", "component"):
+        groups.setdefault(component, []).append(place[node])
+    got = {i: min(g) for g in groups.values() for i in g}
     own = list(range(len(fps)))
     for _ in fps:
         for i, j in itertools.combinations(range(len(fps)), 2):
@@ -640,6 +655,14 @@ def test_line_dedup(docs, spark):
 # the pipeline
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows of one id, an id with two texts, groups without an id."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(5, a, "en", "s", 1), (5, a, "en", "s", 1), (5, a, "de", "s", 1), (9, a, "en", "s", 1), (5, b, "en", "s", 2), (None, b, "en", "s", 2), (None, c, "en", "s", 3), (None, c, "en", "t", 3)]
+    got = every(corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, SCHEMA), ""), "doc_id", "text", "lang", "source")
+    assert got == sorted([(5, a, "de", "s"), (5, b, "en", "s"), (None, c, "en", "s")], key=repr)
+
+
 def test_pipeline(spark, tmp_path):
     kinds = {"aa": ("the", "and", "ing", "tion"), "bb": ("der", "und", "sch", "ung")}
     rows = [(i, prose(i, 80, kinds[k]), k, "s", 0) for i, k in enumerate(list(kinds) * 60)]
