@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import language_id, line_dedup, packing, simhash_dedup, suffix_dedup
-from quillspark.llm.common import settle, table
+from quillspark.llm.common import drop_settled_since, settle, settled_mark, table
 
 
 def positional(docs: DataFrame) -> tuple[DataFrame, str, str]:
@@ -43,10 +43,20 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies."""
-    groups = simhash_dedup.simhash_components(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stays"]), "left_semi")
+    """One document of each group of near copies: the row of its least id, of several such rows the least row.
+
+    Where no row of a group has an id, the least row of the group stays.
+    """
+    groups = settle(simhash_dedup.simhash_components(docs))
+    least = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    count = settle(least.groupBy("group_id").agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash")))
+    plain, own, text = positional(docs)
+    key = [F.col(own).eqNullSafe(F.col("doc_id")), F.xxhash64(text) == F.col("text_hash")]
+    single = plain.join(count.where("n = 1"), key, "left_semi")
+    # of several rows with the least id the whole rows are compared
+    several = least.join(count.where("n > 1").select("group_id"), "group_id").select("group_id", "doc_id", "text_hash").distinct()
+    first = plain.join(several, key).groupBy("group_id").agg(F.min(F.struct(*plain.columns)).alias("row")).select("row.*")
+    return single.unionByName(first).toDF(*docs.columns)
 
 
 def unrepeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +84,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages, each written to the shared folder; what a stage was made from is deleted when it is written."""
+    docs, mark = table(spark, sf_dir, "documents"), settled_mark()
     for _, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir))
+        drop_settled_since(spark, mark, keep=docs)
     return docs
