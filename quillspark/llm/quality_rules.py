@@ -98,96 +98,91 @@ def with_features(stats: DataFrame) -> DataFrame:
 GROUP = ["_g0", "_g1"]
 N = len(FEATURES)
 PAIRS = [(i, j) for i in range(N) for j in range(i + 1)]
+MEANS, FACTOR = [f"m{i}" for i in range(N)], [f"c{i}{j}" for i, j in PAIRS]
 
 
 def factored(estimate: DataFrame) -> DataFrame:
     """Adds the Cholesky factor c** of the covariance v** with the least deviations on its diagonal, and the logarithm of its determinant.
 
-    Each entry becomes a column, so that none is expanded into the next.
+    A column of the factor is made of those before it, so that none is expanded into the next.
     """
     least = [d**2 for d in FEATURES.values()]
-    for i, j in PAIRS:
-        rest = F.col(f"v{i}{j}") + (least[i] if i == j else 0)
-        for k in range(j):
-            rest = rest - F.col(f"c{i}{k}") * F.col(f"c{j}{k}")
-        estimate = estimate.withColumn(f"c{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"c{j}{j}"))
-    return estimate.withColumn("logdet", 2 * sum((F.log(F.col(f"c{i}{i}")) for i in range(1, N)), F.log("c00")))
+
+    def rest(i: int, j: int) -> str:
+        return " - ".join([f"(v{i}{j} + {least[i]})" if i == j else f"v{i}{j}", *(f"c{i}{k} * c{j}{k}" for k in range(j))])
+
+    for j in range(N):
+        estimate = estimate.selectExpr("*", f"sqrt(greatest({rest(j, j)}, 1e-12D)) as c{j}{j}")
+        if j < N - 1:
+            estimate = estimate.selectExpr("*", *(f"({rest(i, j)}) / c{j}{j} as c{i}{j}" for i in range(j + 1, N)))
+    return estimate.selectExpr("*", " + ".join(f"2 * ln(c{i}{i})" for i in range(N)) + " as logdet")
 
 
 def measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """rows joined to the estimates of their group, with the squared distance d2 and its class."""
-    out = rows.join(estimate.select(*GROUP, "start", *[f"m{i}" for i in range(N)], *[f"c{i}{j}" for i, j in PAIRS]), GROUP)
+    out = rows.join(estimate.select(*GROUP, "start", *MEANS, *FACTOR), GROUP)
     for i in range(N):
-        rest = F.col(f"x{i}") / UNIT - F.col(f"m{i}")
-        for k in range(i):
-            rest = rest - F.col(f"c{i}{k}") * F.col(f"_z{k}")
-        out = out.withColumn(f"_z{i}", rest / F.col(f"c{i}{i}"))
-    out = out.withColumn("d2", sum((F.col(f"_z{i}") ** 2 for i in range(1, N)), F.col("_z0") ** 2))
-    return out.withColumn("class", F.floor(F.log2(F.col("d2") + 2.0**-20) * CLASSES)).select(*rows.columns, "start", "d2", "class")
+        off = " - ".join([f"(x{i} / {UNIT}D - m{i})", *(f"c{i}{k} * _z{k}" for k in range(i))])
+        out = out.selectExpr("*", f"({off}) / c{i}{i} as _z{i}")
+    out = out.selectExpr(*rows.columns, "start", " + ".join(f"_z{i} * _z{i}" for i in range(N)) + " as d2")
+    return out.selectExpr("*", f"floor(log2(d2 + {2.0**-20}D) * {CLASSES}) as class")
 
 
 def class_at(rows: DataFrame, share: float) -> DataFrame:
     """For each group and start the least class up to which there is the share of its rows, by counts of classes."""
     counts = rows.groupBy(*GROUP, "start", "class").count()
-    upto = F.expr("sum(count) over (partition by _g0, _g1, start order by class)")
-    total = F.expr("sum(count) over (partition by _g0, _g1, start)")
-    return counts.select(*GROUP, "start", "class", upto.alias("upto"), total.alias("total")).where(F.col("upto") >= F.ceil(F.col("total") * share)).groupBy(*GROUP, "start").agg(F.min("class").alias("bar"))
+    told = counts.selectExpr(*GROUP, "start", "class", "sum(count) over (partition by _g0, _g1, start order by class) as upto", "sum(count) over (partition by _g0, _g1, start) as total")
+    return told.where(f"upto >= ceil(total * {share}D)").groupBy(*GROUP, "start").agg(F.min("class").alias("bar"))
 
 
 def starts(rows: DataFrame) -> DataFrame:
     """Three estimates for each group, from medians and median deviations, not yet of a subset of the rows."""
-    half = lambda x: F.percentile(F.floor(x / COARSE), 0.5) * COARSE + COARSE / 2
-    middle = settle(rows.groupBy(*GROUP).agg(*[half(F.col(f"x{i}")).alias(f"_m{i}") for i in range(N)]))
-    off = rows.join(middle, GROUP).groupBy(*GROUP).agg(*[half(F.abs(F.col(f"x{i}") - F.col(f"_m{i}"))).alias(f"_s{i}") for i in range(N)])
-    scale = [F.col(f"_s{i}") * 1.4826 / UNIT for i in range(N)]
-    base = settle(middle.join(off, GROUP).select(*GROUP, *[(F.col(f"_m{i}") / UNIT).alias(f"m{i}") for i in range(N)], *[s.alias(f"s{i}") for i, s in enumerate(scale)]))
+
+    def half(x: str, name: str) -> Column:
+        return F.expr(f"percentile(floor({x} / {COARSE}D), 0.5D) * {COARSE} + {COARSE // 2} as {name}")
+
+    middle = settle(rows.groupBy(*GROUP).agg(*[half(f"x{i}", f"_m{i}") for i in range(N)]))
+    off = rows.join(middle, GROUP).groupBy(*GROUP).agg(*[half(f"abs(x{i} - _m{i})", f"_s{i}") for i in range(N)])
+    base = settle(middle.join(off, GROUP).selectExpr(*GROUP, *(f"_m{i} / {UNIT}D as m{i}" for i in range(N)), *(f"_s{i} * 1.4826D / {UNIT}D as s{i}" for i in range(N))))
     z = rows.join(base, GROUP)
-    for i, least in enumerate(FEATURES.values()):
-        z = z.withColumn(f"_z{i}", (F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.sqrt(F.col(f"s{i}") ** 2 + least**2))
-    z = z.withColumn("_r", F.sqrt(sum((F.col(f"_z{i}") ** 2 for i in range(1, N)), F.col("_z0") ** 2)))
-    for i in range(N):
-        z = z.withColumns({f"_t{i}": F.rint(F.tanh(f"_z{i}") * FINE).cast("long"), f"_u{i}": F.rint(F.when(F.col("_r") > 0, F.col(f"_z{i}") / F.col("_r") * FINE).otherwise(0)).cast("long")})
-    sums = z.groupBy(*GROUP).agg(*[F.sum(F.col(f"_{k}{i}") * F.col(f"_{k}{j}")).cast("double").alias(f"{k}{i}{j}") for k in "tu" for i, j in PAIRS])
-    joined = base.join(sums, GROUP)
+    z = z.selectExpr(*GROUP, *(f"(x{i} / {UNIT}D - m{i}) / sqrt(s{i} * s{i} + {least**2}D) as _z{i}" for i, least in enumerate(FEATURES.values())))
+    z = z.selectExpr("*", "sqrt(" + " + ".join(f"_z{i} * _z{i}" for i in range(N)) + ") as _r")
+    z = z.selectExpr(*GROUP, *(f"cast(rint(tanh(_z{i}) * {FINE}) as long) as t{i}" for i in range(N)), *(f"cast(rint(if(_r > 0, _z{i} / _r * {FINE}, 0D)) as long) as u{i}" for i in range(N)))
+    sums = z.groupBy(*GROUP).agg(*[F.expr(f"cast(sum({k}{i} * {k}{j}) as double) as {k}{i}{j}") for k in "tu" for i, j in PAIRS])
 
-    def covariance(k: str | None, i: int, j: int) -> Column:
-        own = F.col(f"s{i}") * F.col(f"s{j}")
+    def covariance(k: str, i: int, j: int) -> str:
         if i == j:
-            return own
-        if k is None:
-            return F.lit(0.0)
-        size = F.sqrt(F.col(f"{k}{i}{i}") * F.col(f"{k}{j}{j}"))
-        return F.when(size > 0, own * F.col(f"{k}{i}{j}") / size).otherwise(0.0)
+            return f"s{i} * s{j}"
+        if not k:
+            return "0D"
+        return f"if({k}{i}{i} * {k}{j}{j} > 0, s{i} * s{j} * {k}{i}{j} / sqrt({k}{i}{i} * {k}{j}{j}), 0D)"
 
-    kinds = [F.struct(F.lit(n).alias("start"), *[covariance(k, i, j).alias(f"v{i}{j}") for i, j in PAIRS]) for n, k in enumerate((None, "t", "u"))]
-    told = joined.select(*GROUP, *[f"m{i}" for i in range(N)], F.explode(F.array(*kinds)).alias("_k")).select(*GROUP, *[f"m{i}" for i in range(N)], "_k.*")
-    return factored(told).withColumns({"logdet": F.lit(float("inf")), "done": F.lit(False)})
+    kinds = [f"named_struct('start', {n}, " + ", ".join(f"'v{i}{j}', {covariance(k, i, j)}" for i, j in PAIRS) + ")" for n, k in enumerate(("", "t", "u"))]
+    told = base.join(sums, GROUP).selectExpr(*GROUP, *MEANS, f"inline(array({', '.join(kinds)}))")
+    return factored(told).selectExpr(*GROUP, "start", *MEANS, *FACTOR, "double('infinity') as logdet", "false as done")
 
 
 def concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """Means and covariances of the h rows nearest to each estimate; rows that tie with the last in class are among them."""
     near = measured(rows, estimate)
-    near = near.join(class_at(near, H), [*GROUP, "start"]).where(F.col("class") <= F.col("bar"))
+    near = near.join(class_at(near, H), [*GROUP, "start"]).where("class <= bar")
     # sums of products in two halves, none of which overflows
-    halves = {f"{i}{j}": F.col(f"x{i}") * F.col(f"x{j}") for i, j in PAIRS}
-    sums = near.groupBy(*GROUP, "start").agg(
-        F.count("*").alias("n"), *[F.sum(f"x{i}").cast("double").alias(f"_x{i}") for i in range(N)],
-        *[F.sum(F.shiftright(p, 20)).alias(f"_h{k}") for k, p in halves.items()], *[F.sum(p.bitwiseAND(F.lit((1 << 20) - 1))).alias(f"_l{k}") for k, p in halves.items()],
-    )
-    mean = [F.col(f"_x{i}") / F.col("n") for i in range(N)]
-    moment = {(i, j): (F.col(f"_h{i}{j}").cast("double") * (1 << 20) + F.col(f"_l{i}{j}")) / F.col("n") for i, j in PAIRS}
-    return factored(sums.select(*GROUP, "start", *[(m / UNIT).alias(f"m{i}") for i, m in enumerate(mean)], *[((moment[i, j] - mean[i] * mean[j]) / UNIT**2).alias(f"v{i}{j}") for i, j in PAIRS]))
+    sums = near.groupBy(*GROUP, "start").agg(*map(F.expr, [
+        "count(*) as n", *(f"cast(sum(x{i}) as double) as _x{i}" for i in range(N)),
+        *(f"sum(shiftright(x{i} * x{j}, 20)) as _h{i}{j}" for i, j in PAIRS), *(f"sum(x{i} * x{j} & {(1 << 20) - 1}) as _l{i}{j}" for i, j in PAIRS),
+    ]))
+    mean = [f"_x{i} / n" for i in range(N)]
+    spread = [f"((cast(_h{i}{j} as double) * {1 << 20} + _l{i}{j}) / n - ({mean[i]}) * ({mean[j]})) / {UNIT**2}D as v{i}{j}" for i, j in PAIRS]
+    return factored(sums.selectExpr(*GROUP, "start", *(f"{m} / {UNIT}D as m{i}" for i, m in enumerate(mean)), *spread)).select(*GROUP, "start", *MEANS, *FACTOR, "logdet")
 
 
 def least_determinant(rows: DataFrame) -> DataFrame:
     """The estimate of each group: concentration steps from all starts until no determinant falls, then the least one."""
     state = settle(starts(rows))
     while True:
-        after = concentrated(rows, state.where("not done")).select(*GROUP, "start", F.struct(*[c for c in state.columns if c not in (*GROUP, "start", "done")]).alias("new"))
-        both = state.join(after, [*GROUP, "start"], "left")
-        fell = F.coalesce(F.col("new.logdet") < F.col("logdet") - LEAST_FALL, F.lit(False))
-        kept = [F.when(fell, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in state.columns if c not in (*GROUP, "start", "done")]
-        moved = settle(both.select(*GROUP, "start", *kept, (~fell).alias("done")))
+        after = concentrated(rows, state.where("not done")).selectExpr(*GROUP, "start", f"struct({', '.join([*MEANS, *FACTOR, 'logdet'])}) as new")
+        both = state.join(after, [*GROUP, "start"], "left").selectExpr("*", f"coalesce(new.logdet < logdet - {LEAST_FALL}, false) as fell")
+        moved = settle(both.selectExpr(*GROUP, "start", *(f"if(fell, new.{c}, {c}) as {c}" for c in [*MEANS, *FACTOR, "logdet"]), "not fell as done"))
         drop_settled(state)
         state = moved
         if state.where("not done").isEmpty():
