@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,18 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ÿ]*")
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 
 
+#: How the tokenizer's byte level spells bytes, printable ones as they are, the others in their order from U+0100 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SPELLED = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+
+
+def as_bytes(ids) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordIds:
     """Little-endian 32-bit ids by the tokenizer file at `path`."""
 
@@ -45,10 +59,15 @@ class WordIds:
         # the file's own tokens are found in raw text, before it is split
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.words = Remembered(self.of_text)
+        self.model = self.tokenizer.model
+        self.words = Remembered(self.of_word)
 
     def of_text(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def of_word(self, word: str) -> bytes:
+        """What is left of of_text() for a word that is split off and in lower case: byte level and merges."""
+        return as_bytes(t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(SPELLED)))
 
 
 @functools.lru_cache(maxsize=2)
