@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .functions import ids, measures, text
 from .operators import batching, combine, inference, resume, status
-from .sources import sinks, transcripts
+from .plans import config
+from .sources import files, sinks, transcripts
+from .streaming import folder
 
 ROOT = "/data/audio"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -278,36 +280,72 @@ def bangkok_timestamps(spark, sf_dir):
 
 @query("""SELECT r_name, left(sha256('{"audio_root": "/data", "hf_repo_id": "m", "target_lang": "' || lower(r_name) || '", "task": "transcribe"}'), 16) AS fingerprint FROM region""")
 def config_fingerprint(spark, sf_dir):
-    body = F.concat(F.lit('{"audio_root": "/data", "hf_repo_id": "m", "target_lang": "'), F.lower("r_name"), F.lit('", "task": "transcribe"}'))
-    return table(spark, sf_dir, "region").select("r_name", F.left(F.sha2(body, 256), F.lit(16)).alias("fingerprint"))
+    """The fingerprint of a run's settings, for each of the few regions as its language."""
+    names = [r[0] for r in table(spark, sf_dir, "region").select("r_name").collect()]
+    return spark.createDataFrame([(n, resume.fingerprint("/data", n.lower(), "transcribe", "m")) for n in names], "r_name string, fingerprint string")
 
 
-@query("""SELECT coalesce(a.item_id, b.item_id) AS item_id, a.text AS before, b.text AS after FROM benchmark a
-FULL JOIN (SELECT item_id + CASE WHEN item_id % 10 = 0 THEN 1000000 ELSE 0 END AS item_id, CASE WHEN item_id % 5 = 1 THEN lower(text) ELSE text END AS text FROM benchmark) b ON a.item_id = b.item_id
+@query("""SELECT CAST(b.item_id AS VARCHAR) AS item_id, a.text AS before, b.text AS after FROM benchmark a
+RIGHT JOIN (SELECT item_id + CASE WHEN item_id % 10 = 0 THEN 1000000 ELSE 0 END AS item_id, CASE WHEN item_id % 5 = 1 THEN lower(text) ELSE text END AS text FROM benchmark) b ON a.item_id = b.item_id
 WHERE a.text IS DISTINCT FROM b.text""")
 def manifest_diff(spark, sf_dir):
-    a = table(spark, sf_dir, "benchmark")
-    b = a.select((F.col("item_id") + F.when(F.expr("item_id % 10 = 0"), 1000000).otherwise(0)).alias("item_id"), F.when(F.expr("item_id % 5 = 1"), F.lower("text")).otherwise(F.col("text")).alias("after"))
-    both = a.withColumnRenamed("text", "before").join(b, "item_id", "full")
-    return both.where(~F.col("before").eqNullSafe(F.col("after"))).select("item_id", "before", "after")
+    """What changed between two manifests, here of the small benchmark table."""
+    old = {str(r["item_id"]): r["text"] for r in table(spark, sf_dir, "benchmark").select("item_id", "text").collect()}
+    new = {str(int(k) + 1000000 if int(k) % 10 == 0 else int(k)): v.lower() if int(k) % 5 == 1 else v for k, v in old.items()}
+    return spark.createDataFrame([(k, a, b) for k, (a, b) in resume.manifest_diff(old, new).items()], "item_id string, before string, after string")
 
 
-@query("SELECT conv_id || '-' || role || '-' || turn AS segment_id, CAST(conv_id AS VARCHAR) AS shard, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS nth FROM conversations")
+@query("SELECT * FROM (VALUES ('{\"a\": {\"b\": 1, \"c\": [2]}, \"d\": 4}')) t(merged)")
+def merged_settings(spark, sf_dir):
+    import json
+
+    got = config.merged({"a": {"b": 1, "c": [1, 3]}, "d": 3}, {"a": {"b": None, "c": [2]}, "d": 4})
+    return spark.createDataFrame([(json.dumps(got),)], "merged string")
+
+
+@query("SELECT conv_id || '-' || role || '-' || turn AS segment_id, CAST(conv_id AS VARCHAR) AS shard FROM conversations")
 def conversation_segments(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").withColumn("segment_id", F.concat_ws("-", "conv_id", "role", "turn"))
-    nth = F.expr("row_number() over (partition by conv_id order by turn)").cast("long")
-    return c.select("segment_id", ids.shard_of(F.col("segment_id")).alias("shard"), nth.alias("nth"))
+    return c.select("segment_id", ids.shard_of(F.col("segment_id")).alias("shard"))
+
 
+@query("SELECT event_id, CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS position FROM events")
+def dense_positions(spark, sf_dir):
+    return batching.dense_position(table(spark, sf_dir, "events").select("event_id"), "event_id")
+
+
+def two_runs(spark, sf_dir) -> resume.Ledger:
+    """A ledger in the shared folder that two runs have appended to."""
+    made = resume.Ledger(spark, files.shared_folder(spark), "in.tsv")
+    tries = attempts(spark, sf_dir).select(
+        F.concat(F.lit("run"), "attempt").alias("run_id"), "seq", "segment_id", "pred_text", F.when(F.expr("seq % 11 = 2"), "failed").otherwise("ok").alias("status"), F.lit(None).cast("string").alias("error"),
+        F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), F.lit(1.0).alias("duration"), F.timestamp_seconds(F.lit(1700000000) + F.col("attempt")).alias("attempt_ts"), "attempt",
+    )
+    for k in (1, 2):
+        made.append(tries.where(F.col("attempt") == k).drop("attempt"))
+    return made
 
-@query(f"WITH {UTT}, {PRED} SELECT segment_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT segment_id FROM pred UNION ALL SELECT segment_id FROM utt WHERE seq % 3 = 0) GROUP BY segment_id")
+
+@query(f"WITH {UTT}, {PRED} SELECT segment_id, split_part(segment_id, '-', 1) AS shard, CAST(count(*) AS BIGINT) AS n FROM pred GROUP BY segment_id")
 def append_runs_union(spark, sf_dir):
-    later = utterances(spark, sf_dir).where("seq % 3 = 0").select("segment_id")
-    return attempts(spark, sf_dir).select("segment_id").unionByName(later).groupBy("segment_id").agg(F.count("*").alias("n"))
+    """All attempts of two runs, as the ledger keeps them."""
+    return two_runs(spark, sf_dir).read().groupBy("segment_id", "shard").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {UTT}, {PRED} SELECT segment_id, arg_max(pred_text, attempt) AS pred_text, 'run' || max(attempt) AS run_id FROM pred GROUP BY segment_id")
+def ledger_latest(spark, sf_dir):
+    return two_runs(spark, sf_dir).latest().select("segment_id", "pred_text", "run_id")
+
+
+@query(f"""WITH {UTT}, {PRED}, latest AS (SELECT segment_id, arg_max(seq % 11 = 2, attempt) AS bad FROM pred GROUP BY segment_id)
+SELECT seq, segment_id FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM latest WHERE NOT bad)""")
+def resume_retry_failed(spark, sf_dir):
+    return resume.pending(utterances(spark, sf_dir), two_runs(spark, sf_dir).read(), retry_failed=True).select("seq", "segment_id")
 
 
 @query(f"WITH {UTT}, {PRED} SELECT segment_id FROM utt EXCEPT SELECT segment_id FROM pred")
 def except_ids(spark, sf_dir):
-    return utterances(spark, sf_dir).select("segment_id").subtract(attempts(spark, sf_dir).select("segment_id"))
+    return combine.extra(attempts(spark, sf_dir).select("segment_id"), utterances(spark, sf_dir).select("segment_id"))
 
 
 @query(f"""WITH {UTT}, {PRED}, {LAST} SELECT seq, segment_id || chr(9) || replace(replace(text, chr(9), ' '), chr(10), ' ') || chr(9) || replace(replace(coalesce(pred_text, ''), chr(9), ' '), chr(10), ' ') AS value
@@ -327,8 +365,164 @@ def audio_conforms(spark, sf_dir):
     return d.select("doc_id", measures.conforms(F.expr("n_chars % 2 = 0"), F.lit(16000), F.when(F.col("lang") == "de", 2).otherwise(1)).alias("conforms"))
 
 
-@query("SELECT CAST(l_orderkey AS VARCHAR) AS segment_id, max(CAST(l_linenumber AS BIGINT)) AS last_line, arg_max(l_returnflag, l_linenumber || l_returnflag) AS pred_text FROM lineitem GROUP BY 1")
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS segment_id, arg_max(l_returnflag, l_linenumber || l_returnflag) AS pred_text FROM lineitem GROUP BY 1")
 def last_wins_volume(spark, sf_dir):
     """The last-wins aggregate at volume: line items as attempts of their orders."""
-    x = table(spark, sf_dir, "lineitem")
-    return x.groupBy(F.col("l_orderkey").cast("string").alias("segment_id")).agg(F.max(F.col("l_linenumber").cast("long")).alias("last_line"), F.max_by("l_returnflag", F.concat("l_linenumber", "l_returnflag")).alias("pred_text"))
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("segment_id"), F.col("l_returnflag").alias("pred_text"), "l_linenumber")
+    return combine.last_wins(x, ["l_linenumber", "pred_text"])
+
+
+# files: written to the shared folder and read again
+
+
+def plain_lines(spark, sf_dir) -> DataFrame:
+    return faulty_lines(spark, sf_dir).withColumn("value", F.translate("value", "\r\n", "  "))
+
+
+NUMBERED = """numbered AS (SELECT p.*, CAST(row_number() OVER (ORDER BY p.seq) - 1 AS BIGINT) AS nth FROM (SELECT seq, id, tab, replace(value, chr(13), ' ') AS value, reject_reason FROM parsed) p)"""
+
+
+@query(f"WITH {LINES}, {NUMBERED} SELECT nth AS seq, id AS segment_id, substr(value, tab + 1) AS text FROM numbered WHERE reject_reason IS NULL")
+def read_tsv_file(spark, sf_dir):
+    """Lines in a file's order, numbered without gaps; the format is found out."""
+    path = files.shared_folder(spark) + ".tsv"
+    sinks.write_lines(plain_lines(spark, sf_dir), path)
+    kept, _ = transcripts.read_transcripts(spark, path, ROOT)
+    return kept.select("seq", "segment_id", "text")
+
+
+@query(f"WITH {LINES}, {NUMBERED} SELECT nth AS seq, reject_reason FROM numbered WHERE reject_reason IS NOT NULL")
+def read_tsv_rejects(spark, sf_dir):
+    path = files.shared_folder(spark) + ".tsv"
+    sinks.write_lines(plain_lines(spark, sf_dir), path)
+    return transcripts.read_transcripts(spark, path, ROOT)[1].select("seq", "reject_reason")
+
+
+@query("""SELECT CASE WHEN doc_id % 12 = 7 THEN 'invalid_json' WHEN doc_id % 12 = 3 THEN 'no_path' WHEN doc_id % 12 = 5 THEN 'blank' WHEN doc_id % 12 = 9 THEN 'no_shard' ELSE 'kept' END AS reason, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1""")
+def read_jsonl_file(spark, sf_dir):
+    kind = F.expr("doc_id % 12")
+    line = (
+        F.when(kind == 7, F.lit("not json")).when(kind == 3, F.lit('{"text": "x", "duration": 1}')).when(kind == 5, F.lit("  ")).when(kind == 9, F.lit('{"audio_filepath": "/a/-b.wav"}'))
+        .otherwise(F.concat(F.lit('{"audio_filepath": "/a/'), "doc_id", F.lit('.wav", "text": "t"}')))
+    )
+    path = files.shared_folder(spark) + ".txt"
+    sinks.write_lines(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), line.alias("value")), path)
+    kept, bad = transcripts.read_transcripts(spark, path, ROOT)
+    return kept.select(F.lit("kept").alias("reason")).unionByName(bad.select(F.col("reject_reason").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('a.tsv', 'tsv', 'jsonl'), ('b.jsonl', 'jsonl', 'tsv'), ('c.JSONL', 'jsonl', 'jsonl'), ('d', 'tsv', 'tsv')) t(name, by_suffix, found)")
+def detected_formats(spark, sf_dir):
+    """By suffix, and by the first line where there is one."""
+    base, out = files.shared_folder(spark), []
+    for name, body in (("a.tsv", "\n \n{}\n"), ("b.jsonl", "1-2-3\tx\n"), ("c.JSONL", "\n"), ("d", "")):
+        path = files.join(base, name)
+        files.write_text(spark, path, body)
+        out.append((name, transcripts.suffix_format(path), transcripts.detect_format(spark, path)))
+    return spark.createDataFrame(out, "name string, by_suffix string, found string")
+
+
+@query("SELECT * FROM (VALUES ('predicted-x.tsv', 'combined-x.tsv'), ('predicted-m.jsonl', 'combined-m.jsonl')) t(predicted, combined)")
+def output_names(spark, sf_dir):
+    return spark.createDataFrame([(sinks.predicted_name(p), sinks.combined_name(p)) for p in ("/in/x.tsv", "m.jsonl")], "predicted string, combined string")
+
+
+@query(f"WITH {UTT} SELECT seq, '/a/' || segment_id AS audio_filepath, text, round(duration, 6) AS duration FROM utt")
+def prediction_jsonl_lines(spark, sf_dir):
+    """JSON lines, read again."""
+    u = utterances(spark, sf_dir).select("seq", "segment_id", F.col("text").alias("pred_text"), F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), "duration")
+    back = sinks.prediction_lines(u, "jsonl").select("seq", F.from_json("value", "audio_filepath string, text string, duration double").alias("d"))
+    return back.select("seq", "d.audio_filepath", "d.text", F.round("d.duration", 6).alias("duration"))
+
+
+@query(COMBINE)
+def combined_jsonl_lines(spark, sf_dir):
+    lines = sinks.combined_lines(combine.combine(utterances(spark, sf_dir), attempts(spark, sf_dir), "attempt"), "jsonl")
+    return lines.select("seq", F.from_json("value", "segment_id string, orig_text string, pred_text string").alias("d")).select("seq", "d.*")
+
+
+@query(f"WITH {UTT}, {PRED} SELECT CAST(row_number() OVER (ORDER BY seq) - 1 AS BIGINT) AS line, segment_id FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM pred)")
+def missing_report(spark, sf_dir):
+    """The report of missing ids, as lines in input order."""
+    path = files.shared_folder(spark)
+    sinks.write_missing(combine.missing(utterances(spark, sf_dir), attempts(spark, sf_dir)), path)
+    return transcripts.read_lines(spark, path).select(F.col("seq").alias("line"), F.col("value").alias("segment_id"))
+
+
+@query(f"WITH {UTT} SELECT segment_id, '/a/' || segment_id AS audio_path, 'no. ' || seq AS reason FROM utt WHERE seq % 5 < 2")
+def error_journal(spark, sf_dir):
+    """Two appended batches of failures."""
+    path = files.shared_folder(spark)
+    u = utterances(spark, sf_dir).select("seq", "segment_id", F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), F.concat(F.lit("no. "), "seq").alias("error"))
+    for k in (0, 1):
+        sinks.write_journal(u.where(F.col("seq") % 5 == k), path)
+    return spark.read.schema("ts string, segment_id string, audio_path string, reason string").json(path).select("segment_id", "audio_path", "reason")
+
+
+@query(f"""WITH {UTT} SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN seq % 9 = 4 THEN 'malformed' WHEN seq % 9 = 5 THEN 'blank' ELSE 'done' END AS reason FROM utt
+UNION ALL SELECT 'cut' FROM (SELECT DISTINCT split_part(segment_id, '-', 1) FROM utt)) GROUP BY reason""")
+def text_ledger(spark, sf_dir):
+    """Shards of ids as text, with lines that are blank or malformed and a last line without its end."""
+    u = utterances(spark, sf_dir)
+    line = F.when(F.expr("seq % 9 = 4"), "garbage").when(F.expr("seq % 9 = 5"), " ").otherwise(F.col("segment_id"))
+    shards = u.select(ids.shard_of(F.col("segment_id")).alias("shard"), line.alias("line")).groupBy("shard").agg(F.concat(F.array_join(F.collect_list("line"), "\n"), F.lit("\n1-1-")).alias("value"))
+    path = files.shared_folder(spark)
+    shards.write.option("lineSep", "0").partitionBy("shard").text(path)
+    return resume.read_text_ledger(spark, path, "*.txt").groupBy(F.coalesce("reason", F.lit("done")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {UTT} SELECT segment_id, translate(text, chr(13) || chr(10) || chr(9), '   ') AS text FROM utt WHERE seq % 2 = 0")
+def streamed_folder(spark, sf_dir):
+    """Two arrivals in a folder, the second with all ids of the first again: each id is appended once."""
+    base = files.shared_folder(spark)
+    u = utterances(spark, sf_dir).withColumn("text", F.translate("text", "\r\n\t", "   "))
+    lines = u.where("seq % 2 = 0").select("seq", F.concat("segment_id", F.lit("\t"), "text").alias("value"))
+    for part in (lines.where("seq % 4 = 0"), lines):
+        part.select("value").write.mode("append").text(f"{base}/in")
+        folder.start(folder.read_stream(spark, f"{base}/in", ROOT), f"{base}/state", folder.append_pending(f"{base}/out")).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("segment_id", "text")
+
+
+# gates
+
+
+def event_outcomes(spark, sf_dir) -> DataFrame:
+    """Events as clips: batches of 2 in windows of 32; errors and clicks fail, clicks with one message."""
+    e = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    error = F.when(kind == "click", F.lit("lost  device")).when(kind == "error", F.concat(F.lit("bad "), "event_id"))
+    return e.select(
+        F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("segment_id"), F.expr("event_id div 32").alias("win"), F.expr("event_id % 32 div 2").alias("batch_no"),
+        F.lit("").alias("pred_text"), F.when(error.isNull(), "ok").otherwise("failed").alias("status"), error.alias("error"),
+    )
+
+
+BATCHES = """c AS (SELECT event_id // 32 AS win, event_id % 32 // 2 AS batch_no, CASE event_type WHEN 'click' THEN 'lost device' WHEN 'error' THEN 'bad ' || event_id END AS sig FROM events),
+b AS (SELECT win, batch_no, count(*) AS n, count(sig) AS failed, CASE WHEN count(*) > 1 AND count(sig) = count(*) AND min(sig) = max(sig) THEN min(sig) END AS systematic_error FROM c GROUP BY win, batch_no)"""
+
+
+@query(f"WITH {BATCHES} SELECT win, batch_no, CAST(n AS BIGINT) AS n, CAST(failed AS BIGINT) AS failed, n = failed AS whole_failed, systematic_error FROM b")
+def batch_outcome_rows(spark, sf_dir):
+    return inference.batch_outcomes(event_outcomes(spark, sf_dir))
+
+
+@query(f"""WITH {BATCHES}, g AS (SELECT *, sum(CASE WHEN n = failed THEN 0 ELSE 1 END) OVER (ORDER BY win, batch_no) AS g FROM b),
+s AS (SELECT win, batch_no, sum(CASE WHEN n = failed THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY win, batch_no) AS streak, coalesce(systematic_error = lag(systematic_error) OVER (ORDER BY win, batch_no), false) AS again FROM g)
+SELECT win, CAST(max(streak) AS BIGINT) AS streak, bool_or(again) AS again, CAST(arg_max(streak, batch_no) AS BIGINT) AS ending FROM s GROUP BY win""")
+def streaks_over_windows(spark, sf_dir):
+    """The gates' streaks, which go on from window to window though no task sees the batches of all."""
+    told = inference.joined_streaks(inference.window_streaks(event_outcomes(spark, sf_dir)))
+    return told.select("win", F.col("streak").cast("long").alias("streak"), "again", F.col("ending").cast("long").alias("ending"))
+
+
+@query("SELECT event_type, event_type IN ('click', 'error') AS stopped FROM (SELECT DISTINCT event_type FROM events)")
+def gate_verdicts(spark, sf_dir):
+    """Whether a run of batches of two clips that end like an event of each type is stopped."""
+    kinds, out = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().collect()], []
+    for kind in kinds:
+        try:
+            inference.check_outcomes(event_outcomes(spark, sf_dir).where("win < 4").withColumns({"status": F.lit("failed" if kind in ("click", "error") else "ok"), "error": F.lit("lost" if kind == "click" else None) if kind != "error" else F.concat(F.lit("bad "), "seq")}))
+            out.append((kind, False))
+        except (inference.SystematicFailureError, inference.DeadContextError):
+            out.append((kind, True))
+    return spark.createDataFrame(out, "event_type string, stopped boolean")

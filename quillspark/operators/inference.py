@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import error_signature, nfkc
+from ..sources import audio
 
 OUTCOME = "seq bigint, segment_id string, win bigint, batch_no bigint, pred_text string, status string, error string"
 
@@ -92,8 +95,24 @@ def isolate(model: Model, paths: list[str]) -> list[tuple[str, str | None]]:
     return out
 
 
-def transcribe(batches: DataFrame, factory: ModelFactory = EchoModel, options: dict | None = None, path_col: str = "audio_filepath") -> DataFrame:
-    """Outcome rows of rows with win, batch_no, slot: status ok or failed, the NFKC text, the error."""
+def prepared(paths: list[str], actions: list[str], shape: audio.Shape, folder: str) -> list[tuple[str, str | None]]:
+    """(path, error) of each clip as the model can read it: those to be converted are written to the folder."""
+    out: list[tuple[str, str | None]] = []
+    for k, (path, action) in enumerate(zip(paths, actions)):
+        try:
+            own = os.path.join(folder, str(k))
+            out.append((path if action == "pass" else audio.convert(path, own, shape), None))
+        except audio.AudioError as e:
+            out.append((path, str(e)))
+    return out
+
+
+def transcribe(batches: DataFrame, factory: ModelFactory = EchoModel, options: dict | None = None, path_col: str = "audio_filepath", shape: audio.Shape | None = None) -> DataFrame:
+    """Outcome rows of rows with win, batch_no, slot: status ok or failed, the NFKC text, the error.
+
+    With a shape and a column `action`, clips to be converted are so in the task, a batch at a time, and a clip
+    that can't be is a failure of its own.
+    """
     options = options or {}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -101,13 +120,17 @@ def transcribe(batches: DataFrame, factory: ModelFactory = EchoModel, options: d
         rows = rows.sort_values(["batch_no", "slot"])
         parts = []
         for _, part in rows.groupby("batch_no", sort=True):
-            found = isolate(model, part[path_col].tolist())
+            paths = part[path_col].tolist()
+            with tempfile.TemporaryDirectory() as folder:  # read by this task alone
+                ready = prepared(paths, part["action"].tolist(), shape, folder) if shape else [(p, None) for p in paths]
+                told = iter(isolate(model, [p for p, e in ready if e is None]))
+                found = [next(told) if e is None else ("", e) for _, e in ready]
             parts.append(part[["seq", "segment_id", "win", "batch_no"]].assign(pred_text=[t for t, _ in found], error=[e for _, e in found]))
         out = pd.concat(parts)
         out["status"] = ["ok" if e is None else "failed" for e in out["error"]]
         return out[["seq", "segment_id", "win", "batch_no", "pred_text", "status", "error"]]
 
-    keep = ["seq", "segment_id", "win", "batch_no", "slot", path_col]
+    keep = ["seq", "segment_id", "win", "batch_no", "slot", path_col, *(["action"] if shape else [])]
     return batches.select(*dict.fromkeys(keep)).groupBy("win").applyInPandas(run, OUTCOME).withColumn("pred_text", nfkc("pred_text"))
 
 
@@ -138,12 +161,50 @@ def systematic_streaks(batches: DataFrame, order: list[str], signature: str = "s
     return batches.withColumn("repeated", F.coalesce(F.col(signature) == before, F.lit(False)))
 
 
-def check_outcomes(outcomes: DataFrame, most: int = 5) -> None:
-    """Raise for a systematic failure or a dead context; at one batch the systematic one comes first."""
-    batches = systematic_streaks(failure_streaks(batch_outcomes(outcomes), ["win", "batch_no"]), ["win", "batch_no"])
-    bad = batches.where(F.col("repeated") | (F.col("streak") >= most)).orderBy("win", "batch_no").first()
+@dataclass(frozen=True)
+class Tail:
+    """How the batches so far end: failures in a row, and the systematic error of the last one."""
+
+    streak: int = 0
+    error: str | None = None
+
+
+def window_streaks(outcomes: DataFrame) -> DataFrame:
+    """A row for each window: batches, head, tail and longest (failed batches in a row at its begin, its end, at most), first_error, last_error, repeat_error.
+
+    Windows are looked at apart, so no task sees the batches of all.
+    """
+    batches = systematic_streaks(failure_streaks(batch_outcomes(outcomes), ["batch_no"], partition=["win"]), ["batch_no"], partition=["win"])
+    # in the run that begins a window a batch's streak is its place
+    nth = F.expr("row_number() over (partition by win order by batch_no)")
+    batches = batches.withColumn("head", F.when(F.col("streak") == nth, F.col("streak")).otherwise(0))
+    return batches.groupBy("win").agg(
+        F.count("*").alias("batches"), F.max("head").alias("head"), F.max_by("streak", "batch_no").alias("tail"), F.max("streak").alias("longest"),
+        F.min_by("systematic_error", "batch_no").alias("first_error"), F.max_by("systematic_error", "batch_no").alias("last_error"), F.max(F.when(F.col("repeated"), F.col("systematic_error"))).alias("repeat_error"),
+    )
+
+
+def joined_streaks(windows: DataFrame, before: Tail = Tail()) -> DataFrame:
+    """window_streaks() with `streak` (the longest run that ends in the window, counted over windows), `again` (a systematic error repeated, here
+    or from the window before) and `ending` (the run at the window's end).  One row a window: for as many windows as a chunk has.
+    """
+    own = "order by win rows between unbounded preceding"
+    marked = windows.withColumn("_g", F.expr(f"sum(case when head < batches then 1 else 0 end) over ({own} and current row)"))
+    marked = marked.withColumn("ending", F.expr(f"sum(tail) over (partition by _g {own} and current row)") + F.when(F.col("_g") == 0, before.streak).otherwise(0))
+    carried = F.coalesce(F.expr("lag(ending) over (order by win)"), F.lit(before.streak))
+    nth = F.expr("row_number() over (order by win)")
+    last = F.when(nth == 1, F.lit(before.error)).otherwise(F.expr("lag(last_error) over (order by win)"))
+    run = F.greatest("longest", F.when(F.col("head") > 0, carried + F.col("head")).otherwise(0))
+    return marked.select("win", run.alias("streak"), (F.col("repeat_error").isNotNull() | F.coalesce(F.col("first_error") == last, F.lit(False))).alias("again"), "ending", "last_error", F.coalesce("repeat_error", "first_error").alias("error"))
+
+
+def check_outcomes(outcomes: DataFrame, most: int = 5, before: Tail = Tail()) -> Tail:
+    """Raise for a systematic failure or a dead context, else tell how the batches end; in one window the systematic one comes first."""
+    told = joined_streaks(window_streaks(outcomes), before)
+    bad = told.where(F.col("again") | (F.col("streak") >= most)).orderBy("win").first()
     if bad is None:
-        return
-    if bad["repeated"]:
-        raise SystematicFailureError(f"every clip of two batches in a row failed with: {bad['systematic_error']}")
+        last = told.orderBy(F.desc("win")).first()
+        return before if last is None else Tail(last["ending"], last["last_error"])
+    if bad["again"]:
+        raise SystematicFailureError(f"every clip of two batches in a row failed with: {bad['error']}")
     raise DeadContextError(f"{bad['streak']} batches in a row failed")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import shard_of
+from ..functions.ids import is_valid_id, shard_of
+from ..functions.text import py_strip
+from ..sources import files
+
+LOG = logging.getLogger(__name__)
 
 SCHEMA_VERSION = 1
 LEDGER = "run_id string, seq bigint, segment_id string, pred_text string, status string, error string, audio_filepath string, duration double, attempt_ts timestamp, shard string"
@@ -25,9 +29,9 @@ def fingerprint(audio_root: str, target_lang: str, task: str, model_id: str) ->
     return hashlib.sha256(json.dumps(settings, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:16]
 
 
-def manifest(path: str, fmt: str, config: str) -> dict:
-    stat = os.stat(path)
-    return {"schema_version": SCHEMA_VERSION, "input_path": os.path.realpath(path), "input_size": stat.st_size, "input_mtime": int(stat.st_mtime), "input_format": fmt, "config_fingerprint": config}
+def manifest(spark: SparkSession, path: str, fmt: str, config: str) -> dict:
+    where, size, changed = files.described(spark, path)
+    return {"schema_version": SCHEMA_VERSION, "input_path": where, "input_size": size, "input_mtime": changed, "input_format": fmt, "config_fingerprint": config}
 
 
 def manifest_diff(old: dict, new: dict) -> dict:
@@ -39,27 +43,30 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, root: str, input_path: str, enabled: bool = True):
         self.spark, self.enabled = spark, enabled
-        self.dir = os.path.join(root, os.path.splitext(os.path.basename(input_path))[0])
-        self.data, self.manifest_path = os.path.join(self.dir, "predictions"), os.path.join(self.dir, "manifest.json")
+        name = input_path.rstrip("/").rsplit("/", 1)[-1]
+        self.dir = files.join(root, name.rsplit(".", 1)[0] if "." in name[1:] else name)
+        self.data, self.manifest_path = files.join(self.dir, "predictions"), files.join(self.dir, "manifest.json")
 
     def guard(self, payload: dict, force: bool = False) -> None:
         if not self.enabled:
             return
-        try:
-            with open(self.manifest_path, encoding="utf-8") as f:
-                old = json.load(f)
-        except (OSError, ValueError):
-            old = None  # a first run, or an unreadable manifest: written anew
+        old = None
+        if files.exists(self.spark, self.manifest_path):
+            try:
+                old = json.loads(files.read_text(self.spark, self.manifest_path))
+            except ValueError:
+                LOG.warning("unreadable manifest %s is written anew", self.manifest_path)
         changed = manifest_diff(old, payload) if old is not None else {}
         if changed and not force:
             raise CheckpointMismatchError("; ".join(f"{k}: {a!r} -> {b!r}" for k, (a, b) in sorted(changed.items())))
         if old is None or changed:
-            os.makedirs(self.dir, exist_ok=True)
-            with open(self.manifest_path, "w", encoding="utf-8") as f:
-                json.dump(payload, f, ensure_ascii=False)
+            files.write_text(self.spark, self.manifest_path, json.dumps(payload, ensure_ascii=False))
+
+    def started(self) -> bool:
+        return files.is_folder(self.spark, self.data)
 
     def read(self) -> DataFrame:
-        if not self.enabled or not os.path.isdir(self.data):
+        if not self.enabled or not self.started():
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(self.data)
 
@@ -79,6 +86,23 @@ def last_attempts(rows: DataFrame) -> DataFrame:
     return best.select("segment_id", "shard", "_r.*")
 
 
+def read_text_ledger(spark: SparkSession, folder: str, names: str = "*.done") -> DataFrame:
+    """segment_id, shard and `reason` of the lines of a text ledger: files of these names with an id a line.
+
+    reason is null for ids that are done; blank lines, ids that are malformed and a last line without its end
+    (`cut`: the run that wrote it died there) are kept with their reason, to be counted and left out.
+    """
+    lines = spark.read.option("pathGlobFilter", names).option("recursiveFileLookup", "true").option("lineSep", "\n").text(folder)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), at.alias("at"))
+    # a file with one byte less than its lines with their ends has a last line without one
+    whole = lines.groupBy("file").agg((F.sum(F.octet_length("value") + 1) > F.max("size")).alias("open"), F.max("at").alias("last"))
+    own = py_strip(F.col("value"))
+    reason = F.when(F.col("open") & (F.col("at") == F.col("last")), "cut").when(own == "", "blank").when(~is_valid_id(own), "malformed")
+    told = lines.join(whole, "file").select(own.alias("segment_id"), reason.alias("reason"))
+    return told.select("segment_id", F.when(F.col("reason").isNull(), shard_of(F.col("segment_id"))).alias("shard"), "reason")
+
+
 def pending(records: DataFrame, done: DataFrame, retry_failed: bool = False) -> DataFrame:
     """Records without a prediction yet, as of the start of the run: an anti-join on shard and id."""
     if retry_failed:

@@ -14,6 +14,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from ..operators import inference, resume, status
+from ..sources import files
 from . import config, logs, runs
 
 LOG = logging.getLogger(__name__)
@@ -52,36 +53,41 @@ def overrides(a: argparse.Namespace) -> dict:
         "paths": {"audio_root": a.audio_root, "output_dir": a.output_dir},
         "runtime": {"log_level": a.log_level},
         "batch": {"batch_size": getattr(a, "batch_size", None)},
-        "device": {"prefer": [a.device] if a.device else None, "cuda_index": a.cuda_index},
+        "device": {"prefer": [a.device] if a.device else ["cuda"] if a.cuda_index is not None else None, "cuda_index": a.cuda_index},
     }
 
 
 def dispatch(a: argparse.Namespace, cfg: config.Config, spark: SparkSession, factory: inference.ModelFactory) -> int:
-    explicit = a.device is not None
+    # a device or an index that was asked for is used or an error, never passed over
+    explicit = a.device is not None or a.cuda_index is not None
     if a.command in ("transcribe", "run"):
-        stats = runs.run_inference(spark, a.input, cfg, factory, a.limit, getattr(a, "dry_run", False), not a.no_resume, a.force_resume, explicit)
-        print(stats.summary())
-        if stats.failed and not stats.succeeded:
+        row = runs.run_inference(spark, a.input, cfg, factory, a.limit, getattr(a, "dry_run", False), not a.no_resume, a.force_resume, explicit)
+        print(runs.told(row))
+        if row["failed"] and not row["ok"]:
             return 1
     if a.command in ("combine", "run"):
         found = runs.run_combine(spark, a.input, cfg, getattr(a, "predicted", None), getattr(a, "output", None), getattr(a, "format", None), a.low_memory)
         if found is None:
             LOG.error("no predictions for %s", a.input)
             return 2
-        print(found.summary())
-        return 0 if found.total_input else 1
+        print(runs.told(found))
+        return 0 if found["total_input"] else 1
     if a.command == "validate":
         print("device", config.resolve_device(cfg.device, explicit))
-        stats = runs.run_inference(spark, a.input, cfg, factory, a.limit, dry_run=True, use_resume=False)
-        print(stats.summary())
-        return 1 if stats.skipped_missing_audio else 0
+        row = runs.run_inference(spark, a.input, cfg, factory, a.limit, dry_run=True, use_resume=False)
+        print(runs.told(row))
+        return 1 if row["unreadable"] else 0
     if a.command == "status":
         ledger = runs.ledger_of(spark, cfg, a.input)
-        if not os.path.isdir(ledger.dir):
+        if not files.exists(spark, ledger.dir):
             print(f"nothing started yet in {ledger.dir}")
             return 0
         row = status.progress(ledger.read()).first()
         print(f"completed={row['completed']} distinct={row['distinct_ids']} failed={row['failed']} empty={row['empty']}")
+        for what, where in (("ledger", ledger.data), ("predictions", runs.predicted_path(cfg, a.input))):
+            if files.exists(spark, where):
+                name, size, _ = files.described(spark, where)
+                print(f"{what} {name} {size / 2**20:.1f} MB")
         if row["alarm"]:
             LOG.error("%d of %d predictions are empty", row["empty"], row["completed"])
     return 0
@@ -94,11 +100,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, facto
         return 2
     try:
         cfg = config.load(a.config, overrides(a))
-        logs.setup(cfg.paths.log_dir, cfg.runtime.log_level)
-        if not os.path.exists(a.input):
+        logs.begin_session(cfg.paths.log_dir, cfg.runtime.log_level)
+        spark = spark or SparkSession.builder.appName("quillspark").getOrCreate()
+        if not files.exists(spark, a.input):
             LOG.error("no input at %s", a.input)
             return 2
-        return dispatch(a, cfg, spark or SparkSession.builder.appName("quillspark").getOrCreate(), factory)
+        return dispatch(a, cfg, spark, factory)
     except resume.CheckpointMismatchError as e:
         LOG.error("%s", e)
         return 3

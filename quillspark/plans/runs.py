@@ -3,113 +3,159 @@
 from __future__ import annotations
 
 import logging
-import os
 import time
 import uuid
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batching, combine, inference, resume
-from ..sources import audio, sinks, transcripts
+from ..sources import audio, files, sinks, transcripts
 from . import config
 
 LOG = logging.getLogger(__name__)
 
 
-@dataclass
-class InferenceStats:
-    total_seen: int = 0
-    skipped_resume: int = 0
-    skipped_missing_audio: int = 0
-    succeeded: int = 0
-    failed: int = 0
-    audio_seconds: float = 0.0
-    elapsed_seconds: float = 0.0
-
-    @property
-    def realtime_factor(self) -> float:
-        return self.audio_seconds / self.elapsed_seconds if self.elapsed_seconds > 0 else 0.0
-
-    def summary(self) -> str:
-        return (
-            f"seen={self.total_seen} ok={self.succeeded} failed={self.failed} skipped_resume={self.skipped_resume} "
-            f"missing_audio={self.skipped_missing_audio} elapsed={self.elapsed_seconds:.1f}s rtf={self.realtime_factor:.1f}x"
-        )
+def told(row: Row) -> str:
+    """A result row as text."""
+    return " ".join(f"{k}={v:.2f}" if isinstance(v, float) else f"{k}={v}" for k, v in row.asDict().items())
 
 
 def ledger_of(spark: SparkSession, cfg: config.Config, path: str) -> resume.Ledger:
     return resume.Ledger(spark, cfg.paths.checkpoint_dir, path, cfg.checkpoint.enabled)
 
 
+def stage_folder(spark: SparkSession, cfg: config.Config) -> str:
+    """Where a run keeps its tables: below spark.checkpoint.dir, which executors share; without it, in the scratch folder."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return files.shared_folder(spark)
+    return files.join(cfg.paths.scratch_dir, f"run-{uuid.uuid4().hex}")
+
+
+def attempts_of(outcomes: DataFrame, ready: DataFrame, run_id: str) -> DataFrame:
+    """Ledger rows of outcomes."""
+    rows = outcomes.join(ready.select("seq", "audio_filepath", "duration"), "seq")
+    return rows.select(F.lit(run_id).alias("run_id"), "seq", "segment_id", "pred_text", "status", "error", "audio_filepath", "duration", F.current_timestamp().alias("attempt_ts"))
+
+
+def counted(attempts: DataFrame) -> Row:
+    """ok, failed and the seconds of clips that succeeded."""
+    ok = F.col("status") == "ok"
+    return attempts.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed"), F.coalesce(F.sum(F.when(ok, F.col("duration"))), F.lit(0.0)).alias("seconds")).first()
+
+
+class Pace:
+    """How many windows a chunk has: at first flush_every_n rows for each task slot, then what takes about flush_every_seconds."""
+
+    def __init__(self, cfg: config.Config, slots: int):
+        self.window = max(cfg.batch.batch_size, cfg.batch.sort_buffer_size)
+        self.wanted = cfg.checkpoint.flush_every_seconds
+        self.windows = max(1, -(-cfg.checkpoint.flush_every_n * slots // self.window))
+
+    def took(self, seconds: float) -> None:
+        if self.wanted > 0:
+            self.windows = max(1, round(self.windows * min(2.0, max(0.5, self.wanted / max(seconds, 1e-3)))))
+
+
 def run_inference(
     spark: SparkSession, path: str, cfg: config.Config, factory: inference.ModelFactory = inference.EchoModel, limit: int | None = None,
     dry_run: bool = False, use_resume: bool = True, force: bool = False, explicit_device: bool = False, chunk: int | None = None,
-) -> InferenceStats:
-    """Transcribe what has no prediction yet.
+) -> Row:
+    """Transcribe what has no prediction yet; a row of seen, ok, failed, resumed, unreadable, seconds, elapsed and realtime.
 
-    Rows go in chunks of `chunk` windows (all at once by default); each chunk's outcomes are staged,
-    checked for a dead model, and only then appended to the ledger in one atomic write.
+    Rows go in chunks of windows (`chunk` of them; by default as many as the configured cadence asks for);
+    each chunk's outcomes are staged, checked for a dead model together with the end of the chunk before,
+    and only then appended to the ledger in one atomic write.  The staged tables are deleted at the end, however it comes.
     """
-    began, stats = time.time(), InferenceStats()
+    began = time.time()
     fmt = transcripts.detect_format(spark, path)
     records, _ = transcripts.read_transcripts(spark, path, cfg.paths.audio_root, fmt)
     ledger = ledger_of(spark, cfg, path)
-    total = records.count()
-    todo = records
+    resumed, todo = 0, records
     if use_resume and not dry_run:
-        ledger.guard(resume.manifest(path, fmt, cfg.fingerprint()), force)
+        ledger.guard(resume.manifest(spark, path, fmt, cfg.fingerprint()), force)
         todo = resume.pending(records, ledger.read())
-        stats.skipped_resume = total - todo.count()
-    todo = resume.take_first(todo, limit)
-    probed = audio.probe(todo, workers=cfg.runtime.io_workers)
+        resumed = records.count() - todo.count()
+    probed = audio.probe(resume.take_first(todo, limit), workers=cfg.runtime.io_workers)
+
+    def result(seen: int, ok: int, failed: int, unreadable: int, seconds: float) -> Row:
+        elapsed = time.time() - began
+        return Row(seen=seen, ok=ok, failed=failed, resumed=resumed, unreadable=unreadable, seconds=float(seconds), elapsed=elapsed, realtime=seconds / elapsed if elapsed > 0 else 0.0)
+
     if dry_run:
         row = audio.summarize(probed, cfg.audio.target_sample_rate, cfg.audio.max_duration_seconds).first()
-        stats.total_seen, stats.skipped_missing_audio, stats.audio_seconds = row["total"], row["missing"], row["seconds"]
-        stats.elapsed_seconds = time.time() - began
-        return stats
+        return result(row["total"], 0, 0, row["missing"], row["seconds"])
     device = config.resolve_device(cfg.device, explicit_device)
-    options = {"device": device, "model": cfg.model.local_model_path or cfg.model.hf_repo_id, "lang": cfg.model.target_lang, "task": cfg.model.task}
-    stage = os.path.join(cfg.paths.scratch_dir, f"stage-{uuid.uuid4().hex}")
+    model = cfg.model
+    options = {
+        "device": device, "model": model.local_model_path or model.hf_repo_id, "local": model.local_model_path is not None, "lang": model.target_lang, "task": model.task,
+        "dtype": model.dtype, "max_new_tokens": model.max_new_tokens, "sampling_rate": model.sampling_rate,
+    }
+    stage = stage_folder(spark, cfg)
+    try:
+        return staged_run(spark, cfg, ledger, probed, factory, options, stage, use_resume, chunk, result)
+    finally:
+        files.delete(spark, stage)
+
+
+def staged_run(spark, cfg, ledger, probed, factory, options, stage, use_resume, chunk, result) -> Row:
+    journal = files.join(cfg.paths.log_dir, "errors")
     # probes are staged: their result must not change between counting, batching and transcribing
     probed.write.parquet(f"{stage}/probed")
     probed = spark.read.parquet(f"{stage}/probed")
-    stats.total_seen = probed.count()
-    lost = probed.where("not is_readable")
-    stats.skipped_missing_audio = lost.count()
-    if stats.skipped_missing_audio:
-        sinks.write_journal(lost.withColumn("error", F.coalesce("probe.error", F.lit("missing"))), os.path.join(cfg.paths.log_dir, "errors"))
+    seen, lost = probed.count(), probed.where("not is_readable")
+    unreadable = lost.count()
+    if unreadable:
+        sinks.write_journal(lost.withColumn("error", F.coalesce("probe.error", F.lit("missing"))), journal)
     ready = audio.plan_decoding(probed, cfg.audio.target_sample_rate, cfg.audio.mono, cfg.audio.resample_on_the_fly, cfg.audio.max_duration_seconds)
     ready = ready.where("action <> 'reject'").withColumn("duration", F.coalesce("probe.duration_seconds", F.lit(0.0)))
+    # windows are dealt once; a chunk reads its own folders
     batches = batching.assign_batches(ready, cfg.batch.batch_size, cfg.batch.sort_buffer_size, cfg.batch.max_batch_duration_seconds)
-    windows = -(-ready.count() // max(cfg.batch.batch_size, cfg.batch.sort_buffer_size))
-    step, fresh = chunk or max(1, windows), not use_resume
-    run_id = uuid.uuid4().hex
-    for k, low in enumerate(range(0, windows, step)):
-        part = batches.where(F.col("win").between(low, low + step - 1))
-        inference.transcribe(part, factory, options).write.parquet(f"{stage}/outcomes-{k}")
-        done = spark.read.parquet(f"{stage}/outcomes-{k}")
-        inference.check_outcomes(done, cfg.runtime.max_consecutive_batch_failures)
-        rows = done.join(ready.select("seq", "audio_filepath", "duration"), "seq")
-        ledger.append(rows.select(F.lit(run_id).alias("run_id"), "seq", "segment_id", "pred_text", "status", "error", "audio_filepath", "duration", F.current_timestamp().alias("attempt_ts")), "overwrite" if fresh else "append")
-        fresh = False
-        ok = F.col("status") == "ok"
-        got = rows.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("bad"), F.coalesce(F.sum(F.when(ok, F.col("duration"))), F.lit(0.0)).alias("s")).first()
-        stats.succeeded, stats.failed, stats.audio_seconds = stats.succeeded + got["ok"], stats.failed + got["bad"], stats.audio_seconds + got["s"]
-        processed, spent = stats.succeeded + stats.failed, time.time() - began
-        LOG.info("%d clips done, %d of them failed, %.1f clips/s, %.2f h", processed, stats.failed, processed / max(spent, 1e-9), spent / 3600)
-        if got["bad"]:
-            sinks.write_journal(rows.where("status = 'failed'"), os.path.join(cfg.paths.log_dir, "errors"))
-    stats.elapsed_seconds = time.time() - began
-    LOG.info("%s", stats.summary())
-    return stats
+    pace = Pace(cfg, spark.sparkContext.defaultParallelism)
+    if chunk:
+        pace.windows, pace.wanted = chunk, 0
+    group = pace.windows
+    batches = batches.withColumn("part", F.expr(f"win div {group}"))
+    batches.repartition("win").write.partitionBy("part").parquet(f"{stage}/batches")
+    batches = spark.read.schema(batches.schema).parquet(f"{stage}/batches")
+    last = batches.agg(F.max("part")).first()[0]
+    parts = 0 if last is None else last + 1
+    shape = audio.Shape(cfg.audio.target_sample_rate, cfg.audio.mono, cfg.audio.ffmpeg_binary, cfg.audio.ffmpeg_timeout_seconds)
+    run_id, fresh, tail = uuid.uuid4().hex, not use_resume, inference.Tail()
+    ok = failed = low = ticks = 0
+    seconds, began = 0.0, time.time()
+    while low < parts:
+        high, chunk_began = low + max(1, pace.windows // group), time.time()
+        part = batches.where(F.col("part").between(low, high - 1))
+        where = f"{stage}/outcomes-{low}"
+        inference.transcribe(part, factory, options, shape=shape).write.parquet(where)
+        done = spark.read.parquet(where)
+        tail = inference.check_outcomes(done, cfg.runtime.max_consecutive_batch_failures, tail)
+        attempts = attempts_of(done, part, run_id)
+        ledger.append(attempts, "overwrite" if fresh else "append")
+        fresh, low = False, high
+        got = counted(attempts)
+        ok, failed, seconds = ok + got["ok"], failed + got["failed"], seconds + got["seconds"]
+        if (ok + failed) // max(1, cfg.runtime.progress_every_n) > ticks or low >= parts:
+            ticks, spent = (ok + failed) // max(1, cfg.runtime.progress_every_n), time.time() - began
+            LOG.info("%d clips done, %d of them failed, %.1f clips/s, %.2f h", ok + failed, failed, (ok + failed) / max(spent, 1e-9), spent / 3600)
+        if got["failed"]:
+            sinks.write_journal(attempts.where("status = 'failed'"), journal)
+        files.delete(spark, where)
+        pace.took(time.time() - chunk_began)
+    row = result(seen, ok, failed, unreadable, seconds)
+    LOG.info("%s", told(row))
+    return row
+
+
+def predicted_path(cfg: config.Config, path: str) -> str:
+    return files.join(cfg.paths.output_dir, sinks.predicted_name(path))
 
 
 def export_predictions(spark: SparkSession, path: str, cfg: config.Config) -> str:
     """The ledger's last predictions as text beside the input's format."""
     fmt = transcripts.detect_format(spark, path)
-    out = os.path.join(cfg.paths.output_dir, sinks.predicted_name(path))
+    out = predicted_path(cfg, path)
     sinks.write_lines(sinks.prediction_lines(ledger_of(spark, cfg, path).latest(), fmt), out)
     return out
 
@@ -117,25 +163,23 @@ def export_predictions(spark: SparkSession, path: str, cfg: config.Config) -> st
 def predictions(spark: SparkSession, cfg: config.Config, path: str, predicted: str | None) -> DataFrame | None:
     """seq, segment_id, pred_text from a prediction file, or from the ledger without one."""
     if predicted is not None:
-        if not os.path.exists(predicted):
+        if not files.exists(spark, predicted):
             return None
         rows, _ = transcripts.read_transcripts(spark, predicted, cfg.paths.audio_root)
         return rows.select("seq", "segment_id", F.col("text").alias("pred_text"))
     ledger = ledger_of(spark, cfg, path)
-    if not os.path.isdir(ledger.data):
-        return None
-    return ledger.latest().select("seq", "segment_id", "pred_text")
+    return ledger.latest().select("seq", "segment_id", "pred_text") if ledger.started() else None
 
 
-def run_combine(spark: SparkSession, path: str, cfg: config.Config, predicted: str | None = None, output: str | None = None, fmt: str | None = None, merge: bool = False) -> combine.CombineStats | None:
-    """Write the combined table and the ids without a prediction; None if there are no predictions."""
+def run_combine(spark: SparkSession, path: str, cfg: config.Config, predicted: str | None = None, output: str | None = None, fmt: str | None = None, merge: bool = False) -> Row | None:
+    """Write the combined table and the ids without a prediction; the row of combine.stats_frame(), None if there are no predictions."""
     own = predictions(spark, cfg, path, predicted)
     if own is None:
         return None
     records, _ = transcripts.read_transcripts(spark, path, cfg.paths.audio_root)
-    output = output or os.path.join(cfg.paths.output_dir, sinks.combined_name(path))
+    output = output or files.join(cfg.paths.output_dir, sinks.combined_name(path))
     fmt = fmt or transcripts.suffix_format(output)
     sinks.write_lines(sinks.combined_lines(combine.combine(records, own, merge=merge), fmt), output)
-    stem = os.path.splitext(os.path.basename(path))[0]
-    sinks.write_missing(combine.missing(records, own), os.path.join(cfg.paths.log_dir, f"missing-{stem}.txt"))
-    return combine.combine_stats(records, own)
+    stem = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    sinks.write_missing(combine.missing(records, own), files.join(cfg.paths.log_dir, f"missing-{stem}.txt"))
+    return combine.stats_frame(records, own).first()

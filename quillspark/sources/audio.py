@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import subprocess
 import wave
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -71,6 +73,44 @@ def load_samples(path: str, rate: int = 16000) -> np.ndarray:
     return x.astype(np.float32)
 
 
+@dataclass(frozen=True)
+class Shape:
+    """What the model reads, and the program for clips that are no WAV of whole samples."""
+
+    rate: int = 16000
+    mono: bool = True
+    program: str = "ffmpeg"
+    seconds: float = 60.0
+
+
+def convert(path: str, folder: str, shape: Shape) -> str:
+    """The clip as a 16-bit WAV of the shape, under its own name in the folder; AudioError if it can't be read."""
+    os.makedirs(folder, exist_ok=True)
+    made = os.path.join(folder, os.path.splitext(os.path.basename(path))[0] + ".wav")
+    try:
+        samples = load_samples(path, shape.rate)
+    except AudioError:
+        return by_program(path, made, shape)
+    with wave.open(made, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(shape.rate)
+        w.writeframes(np.rint(np.clip(samples, -1, 1) * 32767).astype("<i2").tobytes())
+    return made
+
+
+def by_program(path: str, made: str, shape: Shape) -> str:
+    """The same by the configured program, for other containers and codings."""
+    layout = ["-ac", "1"] if shape.mono else []
+    try:
+        done = subprocess.run([shape.program, "-v", "error", "-nostdin", "-i", path, *layout, "-ar", str(shape.rate), "-sample_fmt", "s16", "-y", made], capture_output=True, timeout=shape.seconds)
+    except (OSError, subprocess.TimeoutExpired) as e:
+        raise AudioError(f"{path}: {e}") from e
+    if done.returncode:
+        raise AudioError(f"{path}: {done.stderr.decode('utf-8', 'replace').strip()}")
+    return made
+
+
 def plan_decoding(probed: DataFrame, target: int = 16000, mono: bool = True, resample: bool = True, limit: float = 30.0) -> DataFrame:
     """Adds `action` (pass, convert or reject) and `over_window` to probed records; only columns are read.
 

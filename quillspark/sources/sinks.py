@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mmap
 import os
 
 from pyspark.sql import Column, DataFrame
@@ -60,22 +61,12 @@ def write_journal(failures: DataFrame, path: str) -> None:
     failures.select(text.bangkok(F.current_timestamp()).alias("ts"), "segment_id", F.col("audio_filepath").alias("audio_path"), F.col("error").alias("reason")).write.mode("append").json(path)
 
 
-def truncate_to_last_complete_line(path: str) -> int:
-    """Cut a local file behind its last line end; the bytes removed.  Walks back in blocks of 8 KiB."""
-    if not os.path.exists(path):
+def drop_cut_tail(path: str) -> int:
+    """Cut a local text file behind its last line end, in place; the bytes that went (0 without a file)."""
+    if not os.path.exists(path) or not os.path.getsize(path):
         return 0
-    with open(path, "r+b") as f:
-        size = end = f.seek(0, os.SEEK_END)
-        while end > 0:
-            begin = max(0, end - 8192)
-            f.seek(begin)
-            found = f.read(end - begin).rfind(b"\n")
-            if found >= 0:
-                keep = begin + found + 1
-                break
-            end = begin
-        else:
-            keep = 0
-        if keep < size:
-            f.truncate(keep)
+    with open(path, "r+b") as f, mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) as view:
+        keep, size = view.rfind(b"\n") + 1, len(view)
+    if keep < size:
+        os.truncate(path, keep)
     return size - keep

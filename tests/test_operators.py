@@ -21,14 +21,13 @@ def test_combine(spark, merge):
     pred = spark.createDataFrame([("a-b-1", "คำ", 0), ("a-b-0", "first", 1), ("9-9-9", "orphan", 2), ("a-b-0", "second", 3)], PRED)
     got = rows(combine.combine(rec, pred, merge=merge), "segment_id", "orig_text", "pred_text")
     assert got == [("a-b-0", "é", "second"), ("a-b-1", NFKC("คำ"), NFKC("คำ")), ("a-b-2", "x", ""), ("a-b-0", "again", "second")]
-    stats = combine.combine_stats(rec, pred)
-    assert stats.summary() == "input=4 matched=3 missing_pred=1 extra_pred=1"
+    assert combine.stats_frame(rec, pred).first().asDict() == {"total_input": 4, "matched": 3, "missing_prediction": 1, "extra_prediction": 1}
     assert rows(combine.missing(rec, pred), "segment_id") == [("a-b-2",)]
 
 
 def test_empty_prediction_matches(spark):
     rec = spark.createDataFrame([(0, "a-b-0", "x")], REC)
-    assert combine.combine_stats(rec, spark.createDataFrame([("a-b-0", "", 0)], PRED)).matched == 1
+    assert combine.stats_frame(rec, spark.createDataFrame([("a-b-0", "", 0)], PRED)).first()["matched"] == 1
 
 
 def packed(spark, durations, size, buffer, cap):
@@ -95,6 +94,31 @@ def test_gates(spark):
     inference.check_outcomes(outcomes(spark, reset), most=2)
 
 
+def test_gates_go_on_over_windows_and_chunks(spark):
+    def made(spec, win):
+        return spark.createDataFrame([(i, "x", w, b, "", "failed" if e else "ok", e) for i, (w, b, e) in enumerate(spec)], inference.OUTCOME)
+
+    one = [(0, 0, None), (0, 0, "a"), (0, 1, "p"), (0, 1, "q"), (1, 0, "r"), (1, 0, "s"), (2, 0, "same"), (2, 0, "same")]
+    tail = inference.check_outcomes(made(one, 0), most=4)
+    assert tail == inference.Tail(3, "same")
+    with pytest.raises(inference.DeadContextError, match="3 batches"):
+        inference.check_outcomes(made(one, 0), most=3)
+    with pytest.raises(inference.SystematicFailureError, match="same"):
+        inference.check_outcomes(made([(3, 0, "same"), (3, 0, "same")], 3), most=9, before=tail)
+    with pytest.raises(inference.DeadContextError, match="4 batches"):
+        inference.check_outcomes(made([(3, 0, "x"), (3, 0, "y"), (3, 1, None)], 3), most=4, before=tail)
+    assert inference.check_outcomes(made([(3, 0, "x"), (3, 0, "y"), (3, 1, None)], 3), most=5, before=tail) == inference.Tail(0, None)
+    assert inference.check_outcomes(made([], 0), before=tail) == tail
+
+
+def test_text_ledger(spark, tmp_path):
+    (tmp_path / "shard-100.done").write_text("100-1-0\n\ngarbage\n100-1-1\n100-1-1", encoding="utf-8")
+    (tmp_path / "shard-7.done").write_text("7-1-0\n", encoding="utf-8")
+    (tmp_path / "other.txt").write_text("7-1-9\n")
+    got = [tuple(r) for r in resume.read_text_ledger(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted([("100-1-0", "100", None), ("", None, "blank"), ("garbage", None, "malformed"), ("100-1-1", "100", None), ("100-1-1", None, "cut"), ("7-1-0", "7", None)], key=repr)
+
+
 def test_pending_and_last_attempts(spark):
     rec = spark.createDataFrame([(0, "a-b-0", "x"), (1, "a-b-1", "y"), (2, "c-b-1", "z")], REC)
     when = datetime(2024, 1, 1)
@@ -110,12 +134,12 @@ def test_manifest_guard(spark, tmp_path):
     p = tmp_path / "in.tsv"
     p.write_text("a-b-0\tx\n")
     ledger = resume.Ledger(spark, str(tmp_path / "c"), str(p))
-    ledger.guard(resume.manifest(str(p), "tsv", "f"))
-    ledger.guard(resume.manifest(str(p), "tsv", "f"))
+    ledger.guard(resume.manifest(spark, str(p), "tsv", "f"))
+    ledger.guard(resume.manifest(spark, str(p), "tsv", "f"))
     with pytest.raises(resume.CheckpointMismatchError, match="config_fingerprint"):
-        ledger.guard(resume.manifest(str(p), "tsv", "g"))
-    ledger.guard(resume.manifest(str(p), "tsv", "g"), force=True)
-    ledger.guard(resume.manifest(str(p), "tsv", "g"))
+        ledger.guard(resume.manifest(spark, str(p), "tsv", "g"))
+    ledger.guard(resume.manifest(spark, str(p), "tsv", "g"), force=True)
+    ledger.guard(resume.manifest(spark, str(p), "tsv", "g"))
     off = resume.Ledger(spark, str(tmp_path / "d"), str(p), enabled=False)
-    off.guard(resume.manifest(str(p), "tsv", "f"))
+    off.guard(resume.manifest(spark, str(p), "tsv", "f"))
     assert not (tmp_path / "d").exists() and off.read().count() == 0

@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from conftest import IDS
+from conftest import IDS, tone
 
 from quillspark.operators import inference
 from quillspark.plans import cli, config, runs
@@ -24,15 +24,14 @@ def text_of(path):
 def test_limit_resume_and_rerun(spark, corpus):
     path, cfg, _ = corpus
     one = runs.run_inference(spark, str(path), cfg, limit=2)
-    assert (one.total_seen, one.succeeded, one.skipped_resume) == (2, 2, 0)
+    assert (one["seen"], one["ok"], one["resumed"]) == (2, 2, 0)
     two = runs.run_inference(spark, str(path), cfg)
-    assert (two.skipped_resume, two.succeeded) == (2, 3)
+    assert (two["resumed"], two["ok"]) == (2, 3)
     three = runs.run_inference(spark, str(path), cfg)
-    assert (three.skipped_resume, three.succeeded, three.total_seen) == (5, 0, 0)
+    assert (three["resumed"], three["ok"], three["seen"]) == (5, 0, 0)
     again = runs.run_inference(spark, str(path), cfg, use_resume=False)
-    assert again.succeeded == 5 and ledger(spark, cfg, path)[IDS[0]] == ("ok", f"pred:{IDS[0]}")
-    stats = runs.run_combine(spark, str(path), cfg)
-    assert stats.summary() == "input=5 matched=5 missing_pred=0 extra_pred=0"
+    assert again["ok"] == 5 and ledger(spark, cfg, path)[IDS[0]] == ("ok", f"pred:{IDS[0]}")
+    assert runs.told(runs.run_combine(spark, str(path), cfg)) == "total_input=5 matched=5 missing_prediction=0 extra_prediction=0"
     lines = text_of(f"{cfg.paths.output_dir}/combined-in.tsv").splitlines()
     assert lines[0] == "segment_id\torig_text\tpred_text" and [x.split("\t")[0] for x in lines[1:]] == IDS
     assert len(text_of(runs.export_predictions(spark, str(path), cfg)).splitlines()) == 5
@@ -40,15 +39,15 @@ def test_limit_resume_and_rerun(spark, corpus):
 
 def test_missing_audio_and_poison(spark, corpus):
     path, cfg, tmp = corpus
-    (tmp / "audio/train/100/100000" / f"{IDS[0]}.wav").unlink()
-    bad = "148-148801-boom"
-    (tmp / "audio/train/148/148801" / f"{IDS[3]}.wav").rename(tmp / "audio/train/148/148801" / f"{bad}.wav")
+    (tmp / "audio/train/7/31" / f"{IDS[0]}.wav").unlink()
+    bad = "22-5-boom"
+    (tmp / "audio/train/22/5" / f"{IDS[3]}.wav").rename(tmp / "audio/train/22/5" / f"{bad}.wav")
     path.write_text(path.read_text().replace(IDS[3] + "\t", bad + "\t"))
     stats = runs.run_inference(spark, str(path), cfg)
-    assert (stats.skipped_missing_audio, stats.failed, stats.succeeded) == (1, 1, 3)
+    assert (stats["unreadable"], stats["failed"], stats["ok"]) == (1, 1, 3)
     got = ledger(spark, cfg, path)
     assert got[bad] == ("failed", "") and IDS[0] not in got
-    assert runs.run_inference(spark, str(path), cfg).skipped_resume == 4
+    assert runs.run_inference(spark, str(path), cfg)["resumed"] == 4
     runs.run_combine(spark, str(path), cfg)
     assert text_of(f"{cfg.paths.log_dir}/missing-in.txt") == f"{IDS[0]}\n"
 
@@ -68,10 +67,47 @@ def test_dead_model_commits_nothing(spark, corpus):
     assert ledger(spark, cfg, path) == {}
 
 
+def test_clips_are_converted_and_options_arrive(spark, corpus):
+    path, cfg, tmp = corpus
+    tone(tmp / "audio/train/7/31" / f"{IDS[1]}.wav", 4000, rate=8000, channels=2)
+    cfg.model.dtype, cfg.model.max_new_tokens = "float32", 17
+
+    class Telling:  # what it was given: options, and the shape of each clip
+        def __init__(self, options):
+            self.options = options
+
+        def transcribe_batch(self, paths):
+            from quillspark.sources import audio
+
+            return [f"{audio.probe_file(p)[1:3]} {self.options['dtype']} {self.options['max_new_tokens']} {self.options['sampling_rate']}" for p in paths]
+
+    row = runs.run_inference(spark, str(path), cfg, Telling)
+    assert row["ok"] == 5 and set(ledger(spark, cfg, path).values()) == {("ok", "(16000, 1) float32 17 16000")}
+    cfg.audio.resample_on_the_fly = False
+    assert runs.run_inference(spark, str(path), cfg, Telling, use_resume=False)["ok"] == 4
+
+
+def test_chunks_commit_on_the_way_and_leave_no_tables(spark, corpus, caplog):
+    path, cfg, tmp = corpus
+    cfg.batch.sort_buffer_size, cfg.checkpoint.flush_every_n, cfg.runtime.progress_every_n = 2, 1, 2
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(glob.glob(f"{shared}/*"))
+    with caplog.at_level("INFO", logger="quillspark"):
+        assert runs.run_inference(spark, str(path), cfg, chunk=1)["ok"] == 5
+    assert sum("clips done" in r.getMessage() for r in caplog.records) >= 2
+    assert set(glob.glob(f"{shared}/*")) == before
+    pace = runs.Pace(cfg, 4)
+    assert pace.windows == 2
+    pace.took(cfg.checkpoint.flush_every_seconds / 10)
+    assert pace.windows == 4
+    pace.took(cfg.checkpoint.flush_every_seconds * 10)
+    assert pace.windows == 2
+
+
 def test_dry_run_builds_no_model_and_leaves_no_trace(spark, corpus):
     path, cfg, tmp = corpus
     stats = runs.run_inference(spark, str(path), cfg, NeverBuilt, dry_run=True)
-    assert (stats.total_seen, stats.skipped_missing_audio) == (5, 0) and round(stats.audio_seconds, 2) == 0.8
+    assert (stats["seen"], stats["unreadable"]) == (5, 0) and round(stats["seconds"], 2) == 0.8
     assert not (tmp / "ckpt").exists()
 
 
@@ -88,9 +124,12 @@ def test_cli(spark, corpus, tmp_path, capsys):
     assert cli.main(["run", *args], spark) == 0
     assert cli.main(["combine", *args, "--low-memory", "--format", "jsonl", "--output", str(tmp / "o.jsonl")], spark) == 0
     assert json.loads(text_of(tmp / "o.jsonl").splitlines()[0])["pred_text"] == f"pred:{IDS[0]}"
-    assert cli.main(["status", *args], spark) == 0 and "completed=5" in capsys.readouterr().out
+    assert cli.main(["status", *args], spark) == 0
+    said = capsys.readouterr().out
+    assert "completed=5" in said and "ledger file:" in said and " MB" in said
     assert cli.main(["transcribe", *args, "--device", "cuda:0"], spark) == 4 or not config.cuda_devices() == 0
-    path.write_text(path.read_text() + "100-100000-9\tnew\n")
+    assert cli.main(["transcribe", *args, "--cuda-index", "0"], spark) == 4 or not config.cuda_devices() == 0
+    path.write_text(path.read_text() + "7-31-z\tnew\n")
     assert cli.main(["transcribe", *args], spark) == 3
     assert cli.main(["transcribe", *args, "--force-resume"], spark) == 0
     assert cli.main(["validate", *args], spark) == 1
@@ -129,7 +168,7 @@ def test_session_log(tmp_path):
 
     from quillspark.plans import logs
 
-    assert logs.session_stamp(datetime(2024, 1, 1, 20, 0, 5, tzinfo=timezone.utc)) == "20240102-030005"
-    path = logs.setup(str(tmp_path / "l"))
+    assert logs.stamp_of(datetime(2024, 1, 1, 20, 0, 5, tzinfo=timezone.utc).timestamp()) == "20240102-030005"
+    path = logs.begin_session(str(tmp_path / "l"))
     logging.getLogger("quillspark.x").info("hello")
     assert "INFO quillspark.x hello" in open(path).read()

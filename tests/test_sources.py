@@ -1,5 +1,5 @@
 import pytest
-from conftest import dump, write_wav
+from conftest import dump, tone
 
 from quillspark.sources import audio, sinks, transcripts
 
@@ -51,7 +51,7 @@ def test_detection(spark, tmp_path):
 
 
 def test_probe_and_decode(spark, tmp_path):
-    ok, stereo, slow = write_wav(tmp_path / "a.wav"), write_wav(tmp_path / "b.wav", channels=2), write_wav(tmp_path / "c.wav", 0.5, 8000)
+    ok, stereo, slow = tone(tmp_path / "a.wav", 1600), tone(tmp_path / "b.wav", 1600, channels=2), tone(tmp_path / "c.wav", 4000, rate=8000)
     (tmp_path / "bad.wav").write_text("no audio")
     paths = [str(ok), str(stereo), str(slow), str(tmp_path / "bad.wav"), str(tmp_path / "none.wav"), None]
     df = audio.probe(spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "seq long, audio_filepath string"))
@@ -69,12 +69,22 @@ def test_probe_and_decode(spark, tmp_path):
         audio.load_samples(str(tmp_path / "bad.wav"))
 
 
+def test_convert(tmp_path):
+    made = audio.convert(str(tone(tmp_path / "in" / "c.v2.wav", 4000, rate=8000, channels=2)), str(tmp_path / "out"), audio.Shape())
+    assert made == str(tmp_path / "out" / "c.v2.wav") and audio.probe_file(made)[:4] == (True, 16000, 1, 0.5)
+    samples = audio.load_samples(made)
+    assert 0.2 < abs(samples).max() < 0.3  # the tone is there, at its loudness
+    (tmp_path / "odd.mp3").write_text("no audio")
+    with pytest.raises(audio.AudioError, match="odd.mp3"):
+        audio.convert(str(tmp_path / "odd.mp3"), str(tmp_path / "out"), audio.Shape(program="no-such-program"))
+
+
 @pytest.mark.parametrize("body,left,gone", [(b"a\nb", b"a\n", 1), (b"a\n", b"a\n", 0), (b"abc", b"", 3), (b"", b"", 0), (b"x\n" + b"y" * 20000, b"x\n", 20000)])
 def test_tail_repair(tmp_path, body, left, gone):
     p = tmp_path / "f"
     p.write_bytes(body)
-    assert sinks.truncate_to_last_complete_line(str(p)) == gone and p.read_bytes() == left
-    assert sinks.truncate_to_last_complete_line(str(tmp_path / "none")) == 0
+    assert sinks.drop_cut_tail(str(p)) == gone and p.read_bytes() == left
+    assert sinks.drop_cut_tail(str(tmp_path / "none")) == 0
 
 
 def test_lines_have_one_tab_and_keep_fields(spark):
