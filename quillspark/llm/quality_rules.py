@@ -33,7 +33,7 @@ LEAST_POOL = 30
 #: Parts of one in which a statistic is counted, and parts of these in which its median is.
 UNIT, COARSE = 1 << 16, 1 << 6
 #: Classes of squared distance to a doubling, in which the h nearest rows are told.
-CLASSES = 1 << 10
+CLASSES = 1 << 8
 #: Parts of one in which squashed values and directions are counted.
 FINE = 1 << 12
 #: The transformed statistics, and the least standard deviation that counts for each.
