@@ -32,6 +32,8 @@ SKETCH_BITS = 256
 SKETCH_MOST = 64
 #: Rows of a cell compared at once.
 BLOCK = 2048
+#: Stored rows of a cell that one task holds; a cell with more is dealt in parts of about so many.
+PART_ROWS = 1 << 16
 
 
 def minimal_vectors() -> np.ndarray:
@@ -85,6 +87,9 @@ class Hasher:
         for t in range(len(self.planes)):
             x = unit @ self.planes[t] + self.shift[t]
             own = nearest_e8(x)
+            if not self.probes:
+                yield self.key(t, own), np.empty((len(x), 0), np.int64)
+                continue
             toward = (x - own) @ self.minimal.T
             best = np.argpartition(-toward, self.probes, axis=1)[:, : self.probes]
             near = [self.key(t, own + self.minimal[best[:, j]]) for j in range(self.probes)]
@@ -119,7 +124,7 @@ def hash_classes(batches: Iterator[pa.RecordBatch], tables: int, probes: int) ->
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in the order of (key, looks): pairs in a cell whose sketches are near.
 
-    A cell's stored rows are held, 40 bytes each; those that look into it are compared as they come.
+    A part's stored rows are held, 40 bytes each; those that look into it are compared as they come.
     """
     at = None
     stored: list[tuple[int, np.ndarray]] = []
@@ -155,6 +160,26 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
+def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
+    """hash_classes() of (id, v), with cells of over PART_ROWS stored rows dealt in parts.
+
+    A part stores some of a cell's rows; all that look into the cell look into each part, and a stored row looks
+    into the parts after its own, so a pair still meets, and stored rows meet once.
+    """
+    columns = "key long, looks boolean, id long, sketch binary"
+    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), columns)
+    stored = points.mapInArrow(lambda it: hash_classes(it, tables, 0), columns)
+    hot = settle(stored.groupBy("key").count().where(F.col("count") > PART_ROWS).select("key", F.ceil(F.col("count") / PART_ROWS).alias("parts")))
+    if hot.isEmpty():
+        return hashed
+    own = F.when(~F.col("looks"), F.pmod(F.xxhash64("id"), F.col("parts")))
+    dealt = hashed.join(hot, "key", "left").withColumn("own", own)
+    # the parts from a stored row's own on, or all
+    dealt = dealt.withColumn("part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.coalesce("own", F.lit(0).cast("long")), F.col("parts") - 1))))
+    looks = F.col("looks") | (F.col("parts").isNotNull() & (F.col("part") > F.col("own")))
+    return dealt.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), looks.alias("looks"), "id", "sketch")
+
+
 def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row, linked at cosine >= `cosine`.
 
@@ -162,7 +187,8 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     reachable, the own id without links; kept marks the row that has its component's id.  Vectors that are null, empty,
     zero or hold null or non-finite components link with nothing; vectors of different length do not
     link.  Repeated rows (same id and vector) count as vectors of their own.  A null id keeps its row,
-    with its links but a null component if alone.  An empty table gives an empty one.
+    with its links but a null component if alone.  Ties at the threshold are links.  An empty table gives an empty
+    one; extra columns, whatever their names, are not read.
 
     Links are found by hashing: `tables` and `probes` set the recall (measured in the tests against
     brute force), and every link reported is verified.
@@ -176,8 +202,7 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = settle(rows.select("id", "v", F.when(F.col("v").isNotNull(), F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)).alias("h")))
     classes = settle(rows.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")).where("rep is not null"))
     points = classes.select(F.col("rep").alias("id"), "v")
-    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), "key long, looks boolean, id long, sketch binary")
-    met = hashed.repartition(n, "key").sortWithinPartitions("key", "looks").mapInArrow(meet, "a long, b long").distinct()
+    met = in_parts(points, tables, probes).repartition(n, "key").sortWithinPartitions("key", "looks").mapInArrow(meet, "a long, b long").distinct()
     one = met.join(points.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
     two = one.join(points.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
 
