@@ -466,6 +466,66 @@ def test_quality_statistics_and_verdicts(docs, spark):
     assert all(verdict[i] for i in range(600)) and not any(verdict[i] for i in verdict if i >= 1000)
 
 
+def least_determinant_distances(x):
+    """The same estimate in numpy: starts, steps to the end, the least determinant, the scaled distances."""
+    q, least = np.rint(x * quality_rules.UNIT), np.array(list(quality_rules.FEATURES.values())) ** 2
+    half = lambda v: np.median(np.floor(v / quality_rules.COARSE), axis=0) * quality_rules.COARSE + quality_rules.COARSE / 2
+    middle = half(q)
+    spread = half(np.abs(q - middle)) * 1.4826 / quality_rules.UNIT
+    x, middle = q / quality_rules.UNIT, middle / quality_rules.UNIT
+    z = (x - middle) / np.sqrt(spread**2 + least)
+    r = np.linalg.norm(z, axis=1, keepdims=True)
+    kinds = [np.rint(np.tanh(z) * quality_rules.FINE), np.rint(np.divide(z, r, out=np.zeros_like(z), where=r > 0) * quality_rules.FINE)]
+    starts = [np.diag(spread**2)]
+    for k in kinds:
+        m = k.T @ k
+        size = np.sqrt(np.outer(np.diag(m), np.diag(m)))
+        c = np.divide(m, size, out=np.zeros_like(m), where=size > 0) * np.outer(spread, spread)
+        np.fill_diagonal(c, spread**2)
+        starts.append(c)
+
+    def distance(mean, cov):
+        d = ((x - mean) @ np.linalg.inv(cov + np.diag(least)) * (x - mean)).sum(axis=1)
+        return d, np.floor(np.log2(d + 2.0**-20) * quality_rules.CLASSES)
+
+    best = (np.inf, None, None)
+    for cov in starts:
+        at, mean = np.inf, middle
+        while True:
+            _, kind = distance(mean, cov)
+            near = x[kind <= np.sort(kind)[int(np.ceil(len(x) * quality_rules.H)) - 1]]
+            after, now = near.mean(axis=0), np.cov(near.T, bias=True)
+            det = np.linalg.slogdet(now + np.diag(least))[1]
+            if not det < at - quality_rules.LEAST_FALL:
+                break
+            at, mean, cov = det, after, now
+        if at < best[0] - 1e-9:
+            best = (at, mean, cov)
+    d, kind = distance(*best[1:])
+    return d / max(1.0, 2 ** (np.sort(kind)[int(np.ceil(len(x) / 2)) - 1] / quality_rules.CLASSES) / quality_rules.CHI_MEDIAN)
+
+
+def test_quality_estimates_against_numpy_and_any_dealing(spark):
+    draw, rows = np.random.default_rng(8), []
+    for i in range(420):
+        words = prose(7000 + i, int(draw.integers(60, 160)), ("ba", "do", "ki", "lumer", "sta") if i % 3 else ("a", "o", "veri", "ns")).split()
+        for k in draw.integers(0, len(words), draw.integers(0, 9)):
+            words[k] = words[k].capitalize() + ("$" if i % 5 == 0 else "")
+        if i % 40 == 0:
+            words = [w.upper() + "##" for w in words]
+        rows.append((i, " ".join(words) + "\nsame\nsame" * (i % 4), "en", "a", 0))
+    df = spark.createDataFrame(rows, SCHEMA)
+    names = list(quality_rules.FEATURES)
+    x = np.array(every(quality_rules.with_features(quality_rules.text_statistics(df)).orderBy("doc_id"), "doc_id", *names), float)
+    x = x[np.argsort(x[:, 0])][:, 1:]
+    want = least_determinant_distances(x)
+    got = sorted((tuple(r) for r in quality_rules.judge(df).select("doc_id", "d2", "kept", "measure").collect()))
+    assert [r[0] for r in got] == list(range(420)) and {r[3] for r in got} == {"own"}
+    assert np.allclose([r[1] for r in got], want, rtol=1e-6)
+    assert [r[2] for r in got] == [bool(d <= quality_rules.CUT) for d in want] and not all(r[2] for r in got)
+    assert sorted(tuple(r) for r in quality_rules.judge(df.repartition(7)).select("doc_id", "d2", "kept", "measure").collect()) == got
+
+
 @pytest.mark.parametrize("rare", [150, 8])
 def test_small_groups_are_judged(spark, rare):
     clean = [(i, prose(100 + i, 120), "en", "a", 0) for i in range(300)] + [(1000 + i, prose(2000 + i, 120), "de", "a", 0) for i in range(rare)]
@@ -503,6 +563,19 @@ def test_embeddings(spark):
     assert e8_dedup.dedup_embeddings(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_hot_cells_in_parts_lose_nothing(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=64)
+    rows = [(i, (base + 0.1 * draw.normal(size=64)).tolist(), i) for i in range(150)] + [(200 + i, draw.normal(size=64).tolist(), i) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, key long").repartition(3)
+    for c in ("id", "v", "h", "rep", "looks", "a", "b"):
+        df = df.withColumn(c, df["vec_id"])
+    whole = every(e8_dedup.dedup_embeddings(df), "vec_id", "n_links", "component_id", "kept")
+    monkeypatch.setattr(e8_dedup, "PART_ROWS", 7)
+    assert every(e8_dedup.dedup_embeddings(df), "vec_id", "n_links", "component_id", "kept") == whole
+    assert sum(r[1] for r in whole) > 150 * 100
+
+
 def test_embeddings_near_the_threshold(spark):
     draw, n = np.random.default_rng(17), 1500
     a, b = draw.normal(size=(2, n, 64))
