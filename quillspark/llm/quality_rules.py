@@ -48,7 +48,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """doc_id, g0, g1.. (the group columns), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper.
 
-    Each array that a lambda reads is a column of its own, so that it is computed once for a text.
+    Each array that a lambda reads is a column of its own, so that it is computed once for a text.  Words of a text
+    are compared by 64-bit hashes, and windows by hashes of these: two different ones pass for equal once in 2^64 pairs.
     """
     text = F.col("_t")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), *[F.col(f"`{g}`").cast("string").alias(f"g{i}") for i, g in enumerate(groups)], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_t"))

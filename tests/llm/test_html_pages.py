@@ -80,6 +80,18 @@ def test_page(found, name):
     assert [x for x in found[name] if x] == PAGES[name][1]
 
 
+def test_tables(spark):
+    """An empty table, null and repeated rows, columns with the result's names, a very long page, a tie-free order of rows."""
+    schema = "page_id long, url string, html string, text string, n_chars long"
+    assert html_extract.extract_pages(spark.createDataFrame([], schema)).count() == 0
+    long = f"<article><h1>{T}</h1>" + f"<p>{A}</p>" * 20000 + "</article>"
+    page = PAGES["character references"][0]
+    rows = [(1, "u", page, "x", 5), (1, "u", page, "x", 5), (None, None, page, None, None), (2, "u", None, "x", 1), (3, "u", long, "x", 1)]
+    got = [(r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract_pages(spark.createDataFrame(rows, schema)).collect()]
+    want = "\n\n".join(PAGES["character references"][1])
+    assert sorted(got, key=repr) == sorted([(1, want, len(want))] * 2 + [(None, want, len(want)), (2, "", 0), (3, x := "\n\n".join([T] + [A] * 20000), len(x))], key=repr)
+
+
 @pytest.mark.parametrize("part", ["<b>", "</i>", "<div>", "<p>", "<td>", "<h1>", "<select>", "<textarea>", "<a href=x>", "<!--", "<x y='", "</p>", "< ", "<li><b>"])
 def test_linear_in_the_page(part):
     began = time.time()
