@@ -70,6 +70,13 @@ class Ledger:
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(self.data)
 
+    def done(self) -> DataFrame:
+        """shard and segment_id of what needs no attempt: predictions, and the ids of text shards (*.done) that lie in the ledger's folder."""
+        own = self.read().select("shard", "segment_id")
+        if self.enabled and files.any_like(self.spark, files.join(self.dir, "*.done")):
+            own = own.unionByName(read_text_ledger(self.spark, self.dir).where("reason is null").select("shard", "segment_id"))
+        return own
+
     def append(self, outcomes: DataFrame, mode: str = "append") -> None:
         """One atomic write, clustered by shard so that a shard gets few files."""
         if self.enabled:

@@ -74,7 +74,7 @@ def run_inference(
     resumed, todo = 0, records
     if use_resume and not dry_run:
         ledger.guard(resume.manifest(spark, path, fmt, cfg.fingerprint()), force)
-        todo = resume.pending(records, ledger.read())
+        todo = resume.pending(records, ledger.done())
         resumed = records.count() - todo.count()
     probed = audio.probe(resume.take_first(todo, limit), workers=cfg.runtime.io_workers)
 

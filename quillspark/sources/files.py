@@ -27,6 +27,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
+def any_like(spark: SparkSession, pattern: str) -> bool:
+    """Whether there is a file of such a name (* and ? stand for characters)."""
+    fs, where = _at(spark, pattern)
+    return bool(fs.globStatus(where))
+
+
 def described(spark: SparkSession, path: str) -> tuple[str, int, int]:
     """The qualified path, the bytes in it (a folder's are those of all its files), and the second of the last change."""
     fs, where = _at(spark, path)

@@ -37,6 +37,14 @@ def test_limit_resume_and_rerun(spark, corpus):
     assert len(text_of(runs.export_predictions(spark, str(path), cfg)).splitlines()) == 5
 
 
+def test_ids_of_a_text_ledger_are_done(spark, corpus):
+    path, cfg, tmp = corpus
+    (tmp / "ckpt" / "in").mkdir(parents=True)
+    (tmp / "ckpt" / "in" / "shard-7.done").write_text(f"{IDS[0]}\n{IDS[1]}\n{IDS[2]}")
+    row = runs.run_inference(spark, str(path), cfg)
+    assert (row["resumed"], row["ok"]) == (2, 3) and set(ledger(spark, cfg, path)) == set(IDS[2:])
+
+
 def test_missing_audio_and_poison(spark, corpus):
     path, cfg, tmp = corpus
     (tmp / "audio/train/7/31" / f"{IDS[0]}.wav").unlink()
