@@ -27,6 +27,8 @@ PROBES = 6
 #: pairs at cosine 0.95 itself meet in one of the tables, and more of nearer ones.
 CELL = 0.8
 SEED = 8
+#: Vectors whose links a task counts before it tells them.
+TOLD = 1 << 18
 SKETCH_BITS = 256
 #: Bits of the sketch in which a pair may differ: 26 expected at cosine 0.95, deviation 5.
 SKETCH_MOST = 64
@@ -160,6 +162,55 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
+def cosines(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
+    """The cosine of each pair of vectors; -2 for vectors of different length."""
+    n, m = (np.diff(v.offsets.to_numpy()) for v in (x, y))
+    out = np.full(len(x), -2.0)
+    for dim in np.unique(n[n == m]).tolist():
+        rows = np.flatnonzero((n == dim) & (m == dim))
+        a, b = (v.take(pa.array(rows)).flatten().to_numpy().reshape(-1, dim) for v in (x, y))
+        a, b = (v / np.abs(v).max(axis=1, keepdims=True) for v in (a, b))
+        dot = lambda p, q: np.einsum("ij,ij->i", p, q)
+        out[rows] = dot(a, b) / np.sqrt(dot(a, a) * dot(b, b))
+    return out
+
+
+def verified(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+    """From pairs (a, b, ca, cb, va, vb) with the copies and vectors of both: what their links come to.
+
+    Rows (a, a, n) tell that a is linked to n vectors more, rows (a, b, 0) are a spanning forest of the links
+    seen: links themselves, whose number may grow as the square of a cluster, are not told one by one.
+    """
+    counts: dict[int, int] = {}
+    above: dict[int, int] = {}
+    trees: list[tuple[int, int]] = []
+
+    def root(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    def told() -> pa.RecordBatch:
+        ids, n = list(counts), list(counts.values())
+        a, b = [x for x, _ in trees], [y for _, y in trees]
+        return pa.RecordBatch.from_arrays([pa.array(ids + a, pa.int64()), pa.array(ids + b, pa.int64()), pa.array(n + [0] * len(trees), pa.int64())], ["a", "b", "n"])
+
+    for batch in batches:
+        keep = np.flatnonzero(cosines(batch.column(4), batch.column(5)) >= cosine)
+        for a, b, ca, cb in zip(*(batch.column(i).take(pa.array(keep)).to_pylist() for i in range(4))):
+            counts[a] = counts.get(a, 0) + cb
+            counts[b] = counts.get(b, 0) + ca
+            x, y = root(a), root(b)
+            if x != y:
+                above[max(x, y)] = min(x, y)
+                trees.append((a, b))
+        if len(counts) > TOLD:
+            yield told()
+            counts, above, trees = {}, {}, []
+    yield told()
+
+
 def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
     """hash_classes() of (id, v), with cells of over PART_ROWS stored rows dealt in parts.
 
@@ -201,30 +252,13 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = rows.select("id", F.when(F.coalesce(usable, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0))).alias("v"))
     rows = settle(rows.select("id", "v", F.when(F.col("v").isNotNull(), F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)).alias("h")))
     classes = settle(rows.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")).where("rep is not null"))
-    points = classes.select(F.col("rep").alias("id"), "v")
-    met = in_parts(points, tables, probes).repartition(n, "key").sortWithinPartitions("key", "looks").mapInArrow(meet, "a long, b long").distinct()
-    one = met.join(points.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
-    two = one.join(points.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, va, vb = (batch.column(i) for i in range(4))
-            keep = []
-            for x, y in zip(va, vb):
-                x, y = np.asarray(x.values), np.asarray(y.values)
-                if len(x) != len(y):
-                    keep.append(False)
-                    continue
-                x, y = x / np.abs(x).max(), y / np.abs(y).max()
-                keep.append(bool(x @ y >= cosine * np.sqrt((x @ x) * (y @ y))))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-
-    links = settle(two.select("a", "b", "va", "vb").mapInArrow(verified, "a long, b long"))
-    linked = components(links)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = classes.select(F.col("rep").alias("b"), "copies")
-    beyond = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("beyond"))
+    points = classes.select(F.col("rep").alias("id"), "v", "copies")
+    met = in_parts(points.select("id", "v"), tables, probes).repartition(n, "key").sortWithinPartitions("key", "looks").mapInArrow(meet, "a long, b long").distinct()
+    one = met.join(points.toDF("a", "va", "ca"), "a")
+    two = one.join(points.toDF("b", "vb", "cb"), "b").select("a", "b", "ca", "cb", "va", "vb")
+    links = settle(two.mapInArrow(lambda it: verified(it, cosine), "a long, b long, n long"))
+    linked = components(links.where("n = 0").select("a", "b"))
+    beyond = links.where("n > 0").groupBy("a").agg(F.sum("n").alias("beyond"))
     named = classes.join(linked, classes["rep"] == linked["node"], "left").join(beyond, classes["rep"] == beyond["a"], "left")
     named = named.select("h", (F.col("copies") - 1 + F.coalesce("beyond", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c"))
     out = rows.select("id", "h").join(named, "h", "left")
