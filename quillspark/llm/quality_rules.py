@@ -40,7 +40,7 @@ FINE = 1 << 12
 FEATURES = {"x0": 0.06, "x1": 0.6, "x2": 0.06, "x3": 0.15, "x4": 0.2}
 #: Median of the chi-square distribution with 5 degrees of freedom.
 CHI_MEDIAN = 4.351
-#: Rejected beyond this squared distance (the chi-square tail there is 1e-7: real statistics have heavier tails).
+#: Rejected beyond this squared distance (the chi-square tail there is 6e-8: real statistics have heavier tails).
 CUT = 42.0
 SPACES = r"[\x20\x09-\x0D]+"
 
