@@ -53,6 +53,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     plain, own, text = positional(docs)
     key = [F.col(own).eqNullSafe(F.col("doc_id")), F.xxhash64(text) == F.col("text_hash")]
     single = plain.join(count.where("n = 1"), key, "left_semi")
+    if count.where("n > 1").isEmpty():  # then documents move once
+        return single.toDF(*docs.columns)
     # of several rows with the least id the whole rows are compared
     several = least.join(count.where("n > 1").select("group_id"), "group_id").select("group_id", "doc_id", "text_hash").distinct()
     first = plain.join(several, key).groupBy("group_id").agg(F.min(F.struct(*plain.columns)).alias("row")).select("row.*")
