@@ -7,7 +7,7 @@ of equal suffixes is exactly a repeated window.  The passes:
    hash is its anchor (equal windows have equal anchors), and windows that share an anchor form a run.  The
    windows of a run that begin SIDE bytes or more before the anchor all hold these bytes and the gram, the
    others the gram and SIDE bytes after it.  Both stretches are exchanged as 32-bit tags in buckets of
-   tags.  Stretches in a single document retire: no later digit revives them.
+   tags, and answered by a bit each.  Stretches in a single document retire: no later digit revives them.
 2. Windows around surviving stretches are exchanged as contexts (one for each run, equal contexts of a
    block collapsed) and sorted by digits of eight bytes; a window that is alone after a digit retires.
    What remains is equal in all bytes, so hashes only thin out candidates and never decide.
@@ -16,6 +16,10 @@ of equal suffixes is exactly a repeated window.  The passes:
 
 Documents sit in blocks by the hash of their id, and all three passes use that one exchange.  Contexts
 of a stretch found in very many documents are dealt by window, so no group lands in one task.
+
+What is exchanged takes disk until the result is written, so it is packed: texts and contexts by
+zstandard, sorted numbers by their steps.  Answers name no context or tag; they hold to the order in which
+a block, which finds its stretches and contexts anew in each pass, has told them.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +42,10 @@ SPAN = WINDOW - GRAM + 1
 SIDE = (SPAN - 1) // 2
 #: Text of a block, about; a block is what one Python call holds.
 BLOCK_BYTES = 8 << 20
+#: A block of up to so many bytes keeps its runs for a second look; those of a larger one are found again.
+KEPT_BYTES = 4 * BLOCK_BYTES
+#: zstandard's level for what is exchanged.
+LEVEL = 3
 #: Documents with a stretch (of a block 255 count at most) from which on its windows are dealt one by one.
 HOT_DOCUMENTS = 2000
 #: Windows that one sorting step holds.
@@ -64,6 +73,28 @@ def coded(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((g >> U(32)) * U(buckets)) >> U(32) << U(32)) | (g & LOW)
 
 
+def shrunk(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, packed byte place by byte place."""
+    planes = [binary(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T) for x in columns]
+    return zstandard.compress(b"".join(planes), LEVEL)
+
+
+def grown(packed: bytes, *types) -> list[np.ndarray]:
+    """What shrunk() has packed."""
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    sizes = [np.dtype(t).itemsize for t in types]
+    planes, at, out = planes.reshape(sum(sizes), -1), 0, []
+    for t, size in zip(types, sizes):
+        out.append(np.ascontiguousarray(planes[at : at + size].T).view(t).ravel())
+        at += size
+    return out
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """What each number adds to the one before; np.cumsum gives the numbers back."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
 def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows that share their anchor: first and last start, last start of the left
     side, hash of the gram, and hashes of the left and the right stretch (0 where no window has it).
@@ -108,11 +139,15 @@ class Block:
     """The documents of a block in the order of their ids, and their runs."""
 
     def __init__(self, docs: pa.Table):
-        ids = docs["_id"].to_numpy(zero_copy_only=False).astype(np.int64)
-        self.order = np.argsort(ids, kind="stable")
+        ids, at, size = (docs[c].to_numpy().astype(np.int64) for c in ("_id", "_at", "_size"))
+        # packs hold the texts in the order of _at, which also settles the order of equal ids
+        told = np.argsort(at)
+        raw = pa.py_buffer(b"".join(zstandard.decompress(p) for p in docs["_pack"].take(pa.array(told)).drop_null().to_pylist()))
+        ends = np.cumsum(size[told])
+        rank = np.argsort(ids[told], kind="stable")
+        self.order = told[rank]
         self.ids = ids[self.order]
-        texts = docs["_bytes"].combine_chunks().take(pa.array(self.order))
-        self.texts = [t.as_buffer() for t in texts]
+        self.texts = [raw.slice(end - n, n) for end, n in zip(ends[rank].tolist(), size[self.order].tolist())]
 
     def pieces(self):
         """Stretches of at most CHUNK_BYTES: (bytes, ends, document numbers, offsets in the documents)."""
@@ -145,8 +180,28 @@ class Block:
             shift = offsets[part] - np.r_[0, ends[:-1]][part]
             yield data, docs[part], shift, *found
 
-    def contexts(self, codes: np.ndarray, hot: np.ndarray, buckets: int):
-        """Distinct contexts of grams among codes, and their uses (document number, start, end, context)."""
+    def contexts(self, answers: list[tuple[int, bytes, bytes]], buckets: int):
+        """Distinct contexts of stretches that survive, and their uses (document number, start, end, context).
+
+        answers: for each bucket a bit for each distinct code of the block there, in their order, and the
+        same for hot ones, or nothing if none is.
+        """
+        codes = hot = np.empty(0, U)
+        parts = self.runs
+        if any(map(any, (keep for _, keep, _ in answers))):
+            if sum(t.size for t in self.texts) <= KEPT_BYTES:
+                kept = list(self.runs())
+                parts = lambda: kept
+            codes = np.concatenate([coded(x[x != 0], buckets) for *_, left, right in parts() for x in (left, right)])
+            codes.sort()
+            codes = codes[np.r_[True, codes[1:] != codes[:-1]]]
+            whole, whole_hot = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+            for bucket, keep, hot in answers:
+                a, b = np.searchsorted(codes, [U(bucket << 32), U(bucket + 1 << 32)])
+                whole[a:b] = np.unpackbits(np.frombuffer(keep, np.uint8), count=b - a)
+                if hot:
+                    whole_hot[a:b] = np.unpackbits(np.frombuffer(hot, np.uint8), count=b - a)
+            codes, hot = codes[whole], whole_hot[whole]
         known: dict[bytes | tuple[bytes], int] = {}
         owner: list[int] = []
         code_of: list[int] = []
@@ -157,7 +212,7 @@ class Block:
             there = (codes[place] == code) & (stretch != 0)
             return there, there & hot[place]
 
-        for data, docs, shift, first, last, turn, h, left, right in self.runs() if len(codes) else ():
+        for data, docs, shift, first, last, turn, h, left, right in parts() if len(codes) else ():
             (on_left, hot_left), (on_right, hot_right) = among(left), among(right)
             keep = np.flatnonzero(on_left | on_right)
             raw = data.tobytes()
@@ -196,6 +251,11 @@ def split_by_bucket(code: np.ndarray, order: np.ndarray | None = None):
         yield int(bucket[a]), order[a:b]
 
 
+def in_buckets(code: np.ndarray):
+    """split_by_bucket() with the positions of each bucket in their order."""
+    return split_by_bucket(code, np.argsort(code >> U(32), kind="stable"))
+
+
 def equal_windows(digits: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Most-significant-digit passes over rows of digits in groups: the rows that have an equal, and their new group.
 
@@ -291,10 +351,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = docs.select(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"] or 0
     buckets = width(spark)
     blocks = max(buckets, -(-total // BLOCK_BYTES))
+    held = [f"c{i}" for i in range(len(carry))]
+    fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
+
+    def pack(batches):
+        """The texts of a batch that go to one block travel together, with the first of their rows."""
+        enter("suffix_dedup")
+        for batch in batches:
+            block, texts = batch["block"].to_numpy(), batch["_bytes"]
+            order = np.argsort(block, kind="stable")
+            packs: list[bytes | None] = [None] * len(order)
+            for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                if len(rows):
+                    packs[rows[0]] = zstandard.compress(b"".join(texts.take(pa.array(rows)).to_pylist()), LEVEL)
+            yield pa.RecordBatch.from_arrays(
+                [batch["block"], batch["_id"], batch["_at"], pc.binary_length(texts).cast(pa.int64()), pa.array(packs, pa.binary()), *[batch[c] for c in held]],
+                names=["block", "_id", "_at", "_size", "_pack", *held],
+            )
+
     placed = docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(blocks)).alias("block"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("_id"), body.alias("_bytes"), *carried,
-    ).repartition(blocks, "block")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("_id"), F.monotonically_increasing_id().alias("_at"), body.alias("_bytes"), *carried,
+    ).mapInArrow(pack, T.StructType([*T.StructType.fromDDL("block long, _id long, _at long, _size long, _pack binary").fields, *fields])).repartition(blocks, "block")
 
     def tags(key, table):
         enter("suffix_dedup")
@@ -316,67 +394,68 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         count = np.add.reduceat(other | np.r_[True, doc[1:] != doc[:-1]], first, dtype=np.int64) if len(code) else np.empty(0, int)
         count = np.minimum(count, 255).astype(np.uint8)
         code = code[first]
-        rows = [(b, binary((code[p] & LOW).astype(np.uint32)), binary(count[p])) for b, p in split_by_bucket(code, np.arange(len(code)))]
+        rows = []
+        for b, p in split_by_bucket(code, np.arange(len(code))):
+            step = steps((code[p] & LOW).astype(np.uint32))
+            # the lower half of a step is noise
+            rows.append((b, binary(step.astype(np.uint16)), shrunk((step >> 16).astype(np.uint16), count[p])))
         columns = list(zip(*rows)) or [[], [], []]
-        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "tags": pa.array(columns[1], pa.binary()), "count": pa.array(columns[2], pa.binary())})
+        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "low": pa.array(columns[1], pa.binary()), "high": pa.array(columns[2], pa.binary())})
 
     def shared(key, table):
-        tag, sizes = gathered(table["tags"], np.uint32)
-        count, _ = gathered(table["count"], np.uint8)
+        tag_parts, count_parts = [], []
+        for low, high in zip(table["low"].to_pylist(), table["high"].to_pylist()):
+            above, count = grown(high, np.uint16, np.uint8)
+            tag_parts.append(np.cumsum(above.astype(np.uint32) << 16 | np.frombuffer(low, np.uint16), dtype=np.uint32))
+            count_parts.append(count)
+        tag, count, sizes = np.concatenate(tag_parts), np.concatenate(count_parts), [len(x) for x in tag_parts]
         kinds, which = np.unique(tag, return_inverse=True)
         total = np.bincount(which, count, len(kinds))[which]
         keep, hot = total > 1, total >= HOT_DOCUMENTS
-        out_tags, out_hot, at = [], [], 0
+        out_keep, out_hot, at = [], [], 0
         for n in sizes:
-            k = keep[at : at + n]
-            out_tags.append(binary(tag[at : at + n][k]))
-            out_hot.append(binary(hot[at : at + n][k].astype(np.uint8)))
+            some = hot[at : at + n]
+            out_keep.append(binary(np.packbits(keep[at : at + n])))
+            out_hot.append(binary(np.packbits(some)) if some.any() else b"")
             at += n
-        return pa.table({"block": table["block"].combine_chunks(), "bucket": table["bucket"].combine_chunks(), "tags": pa.array(out_tags, pa.binary()), "hot": pa.array(out_hot, pa.binary())})
+        return pa.table({"block": table["block"].combine_chunks(), "bucket": table["bucket"].combine_chunks(), "told": pa.array(out_keep, pa.binary()), "hot": pa.array(out_hot, pa.binary())})
 
-    def survivors(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        tag, sizes = gathered(replies["tags"], np.uint32)
-        hot, _ = gathered(replies["hot"], np.uint8)
-        bucket = np.repeat(replies["bucket"].to_numpy().astype(U), sizes)
-        code = (bucket << U(32)) | tag.astype(U)
-        order = np.argsort(code, kind="stable")
-        return code[order], hot[order].astype(bool)
+    def answers(replies: pa.Table) -> list[tuple[int, bytes, bytes]]:
+        return list(zip(*(replies[c].to_pylist() for c in ("bucket", "told", "hot"))))
 
     def offered(key, table, replies):
         enter("suffix_dedup")
-        texts, owner, code, _ = Block(table).contexts(*survivors(replies), buckets) if table.num_rows else ([], [], np.empty(0, U), [])
+        texts, owner, code, _ = Block(table).contexts(answers(replies), buckets) if table.num_rows else ([], [], np.empty(0, U), [])
         rows = []
-        size = np.array([len(t) for t in texts], np.uint16)
-        for b, p in split_by_bucket(code):
-            rows.append((b, binary(p.astype(np.uint32)), binary((code[p] & LOW).astype(np.uint32)), binary(size[p]), binary(owner[p]), b"".join([texts[i] for i in p.tolist()])))
-        columns = list(zip(*rows)) or [[]] * 6
-        names = ["number", "tags", "size", "owner", "data"]
+        size = np.array([len(t) for t in texts], np.uint8)
+        for b, p in in_buckets(code):
+            # contexts are numbered in the order of their owners
+            rows.append((b, binary((code[p] & LOW).astype(np.uint32)), shrunk(size[p], steps(owner[p])), zstandard.compress(b"".join([texts[i] for i in p.tolist()]), LEVEL)))
+        columns = list(zip(*rows)) or [[]] * 4
+        names = ["tags", "owner", "data"]
         return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64())} | {n: pa.array(c, pa.binary()) for n, c in zip(names, columns[1:])})
 
     def judged(key, table):
         enter("suffix_dedup")
-        number, sizes = gathered(table["number"], np.uint32)
-        tag, _ = gathered(table["tags"], np.uint32)
-        size = gathered(table["size"], np.uint16)[0].astype(np.int64)
-        owner, _ = gathered(table["owner"], np.int64)
-        data, _ = gathered(table["data"], np.uint8)
+        tag, sizes = gathered(table["tags"], np.uint32)
+        size_parts, owner_parts = zip(*(grown(x, np.uint8, np.int64) for x in table["owner"].to_pylist()))
+        size = np.concatenate(size_parts).astype(np.int64)
+        owner = np.concatenate([np.cumsum(x) for x in owner_parts])
+        data = np.frombuffer(b"".join(zstandard.decompress(x) for x in table["data"].to_pylist()), np.uint8)
         flags = flag_smaller(tag, owner, size, np.cumsum(size) - size, data)
-        out_number, out_flags, at = [], [], 0
-        for n in sizes:
-            k = flags[at : at + n] != 0
-            out_number.append(binary(number[at : at + n][k]))
-            out_flags.append(binary(flags[at : at + n][k]))
-            at += n
-        return pa.table({"block": table["block"].combine_chunks(), "bucket": pa.array([-1] * len(sizes), pa.int64()), "tags": pa.array(out_number, pa.binary()), "hot": pa.array(out_flags, pa.binary())})
+        told = [shrunk(x) for x in np.split(flags, np.cumsum(sizes)[:-1])]
+        # a bucket's judgements are told from its replies by a number below zero
+        return pa.table({"block": table["block"].combine_chunks(), "bucket": pc.bit_wise_not(table["bucket"].combine_chunks()), "told": pa.array(told, pa.binary()), "hot": pa.array([b""] * len(told), pa.binary())})
 
     def merged(key, table, replies):
         enter("suffix_dedup")
         judgement = pc.less(replies["bucket"], 0)
         block = Block(table)
-        _, owner, _, uses = block.contexts(*survivors(replies.filter(pc.invert(judgement))), buckets)
-        told = replies.filter(judgement)
+        _, owner, code, uses = block.contexts(answers(replies.filter(pc.invert(judgement))), buckets)
+        judged_bucket = {~b: told for b, told, _ in answers(replies.filter(judgement))}
         flags = np.zeros(len(owner), np.uint32)
-        flags[gathered(told["tags"], np.uint32)[0]] = gathered(told["hot"], np.uint32)[0]
+        for b, p in in_buckets(code):
+            flags[p] = grown(judged_bucket[b], np.uint32)[0]
         flags, owners, ids = flags.tolist(), np.asarray(owner).tolist(), block.ids.tolist()
         gone: list[list[tuple[int, int]]] = [[] for _ in ids]
         for k, a, b, own in uses:
@@ -406,12 +485,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({f"c{i}": rest[f"c{i}"].combine_chunks() for i in range(len(carry))} | {"n_bytes": pa.array([t.size for t in block.texts], pa.int64()), "spans": pa.array(spans, span), "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())})
 
-    by_block = "block long, bucket long, tags binary, hot binary"
-    asked = placed.select("block", "_id", "_bytes", *[f"c{i}" for i in range(len(carry))]).groupBy("block").applyInArrow(tags, "bucket long, block long, tags binary, count binary")
+    by_block = "block long, bucket long, told binary, hot binary"
+    asked = placed.groupBy("block").applyInArrow(tags, "bucket long, block long, low binary, high binary")
     replies = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shared, by_block)
-    offers = placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(offered, "bucket long, block long, number binary, tags binary, size binary, owner binary, data binary")
+    offers = placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(offered, "bucket long, block long, tags binary, owner binary, data binary")
     judgements = offers.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(judged, by_block)
-    fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
     schema = T.StructType([*fields, *T.StructType.fromDDL("n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if as_text else "binary")).fields])
     out = placed.groupBy("block").cogroup(replies.unionByName(judgements).groupBy("block")).applyInArrow(merged, schema)
     return out.toDF(*carry, "n_bytes", "spans", "kept")

@@ -9,8 +9,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 
 import corpus_pipeline
 from quillspark.llm import e8_dedup, html_extract, language_id, license_scan, line_dedup, packing, piece_coding, quality_rules, simhash_dedup, suffix_dedup
@@ -250,6 +252,53 @@ def test_hot_stretches_lose_nothing(spark, monkeypatch, hot):
     assert got == sorted(removed_brute(rows))
 
 
+def shuffled(spark, since=-1):
+    """Bytes that stages after one have written to exchanges, and the last stage."""
+    context = spark.sparkContext
+    store, none = context._jsc.sc().statusStore(), context._gateway.new_array(context._jvm.double, 0)
+    stages = store.stageList(None, False, False, none, None)
+    stages = [stages.apply(i) for i in range(stages.size())]
+    return sum(s.shuffleWriteBytes() for s in stages if s.stageId() > since), max((s.stageId() for s in stages), default=since)
+
+
+def test_exchanges_stay_small_where_all_repeats(spark):
+    """The more documents, the more of their text repeats; at the end all of it does."""
+    draw = random.Random(5)
+    words = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(draw.choices(words, k=500)) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts + texts)]
+    before = shuffled(spark)[1]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(len(r["kept"]) == (r["n_bytes"] if r["doc_id"] < 150 else 0) for r in got) and len(got) == 300
+    assert shuffled(spark, before)[0] < 3.6 * sum(len(t) for _, t in rows)
+
+
+def test_blocks_find_their_contexts_again(monkeypatch):
+    """Whatever the order of rows, equal ids too, and whether runs are kept or found twice."""
+    texts = [x.encode() for x in (prose(31), prose(32), "", prose(31)[300:] + prose(33), "short", prose(32)[:400])]
+    packs = [zstandard.compress(b"".join(texts[:4])), None, None, None, zstandard.compress(b"".join(texts[4:])), None]
+    table = pa.table({"_id": [4, 7, 7, 7, 1, 7], "_at": [0, 1, 2, 3, 9, 10], "_size": [len(x) for x in texts], "_pack": pa.array(packs, pa.binary())})
+    code = np.unique(np.concatenate([suffix_dedup.coded(x[x != 0], 3) for *_, left, right in suffix_dedup.Block(table).runs() for x in (left, right)]))
+    answers = [(b, np.packbits(np.arange(len(p)) % 3 > 0).tobytes(), np.packbits(np.arange(len(p)) % 5 == 1).tobytes()) for b, p in suffix_dedup.split_by_bucket(code)]
+    found = []
+    for order, most in (((0, 1, 2, 3, 4, 5), 1 << 20), ((5, 3, 0, 4, 2, 1), 1 << 20), ((1, 2, 3, 5, 4, 0), 0)):
+        monkeypatch.setattr(suffix_dedup, "KEPT_BYTES", most)
+        block = suffix_dedup.Block(table.take(pa.array(order)))
+        assert [bytes(x) for x in block.texts] == [texts[i] for i in (4, 0, 1, 2, 3, 5)]
+        names, owner, of, uses = block.contexts(answers, 3)
+        assert len(names) and (np.diff(owner) >= 0).all()
+        found.append((names, owner.tolist(), of.tolist(), uses))
+    assert found[0] == found[1] == found[2]
+
+
+def test_packed_numbers_come_back():
+    draw = np.random.default_rng(3)
+    for n in (1, 2, 500):
+        ids, size = np.sort(draw.integers(-(2**63), 2**63 - 1, n)), draw.integers(0, 256, n).astype(np.uint8)
+        back = suffix_dedup.grown(suffix_dedup.shrunk(size, suffix_dedup.steps(ids)), np.uint8, np.int64)
+        assert (back[0] == size).all() and (np.cumsum(back[1]) == ids).all()
+
+
 def test_runs_tile_the_windows():
     text = np.frombuffer(prose(9, 60).encode(), np.uint8)
     first, last, turn, h, left, right = suffix_dedup.runs_of(text, np.array([len(text)]))
