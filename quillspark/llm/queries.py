@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import e8_dedup, html_extract, language_id, license_scan, line_dedup, packing, piece_coding, quality_rules, simhash_dedup, suffix_dedup
+from . import (
+    conversation_trie, decontaminate, e8_dedup, fill_middle, html_extract, language_id, license_scan, line_dedup, packing, piece_coding, quality_rules,
+    simhash_dedup, suffix_dedup,
+)
 from .common import table
 
 
@@ -59,10 +62,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"], clean=False)
+    items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    told = out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", fill_middle.digests().alias("_d"))
+    return told.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "_d.*")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.turn_sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.spliced(turns)).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_suffix_dedup, op3_packing, op4_html_extraction, op5_simhash_dedup, op6_quality_rules, op7_embedding_dedup, op8_language_id, op9_piece_coding, op10_line_dedup)
-}
+    for f in (
+        op1_license_scan, op2_suffix_dedup, op3_packing, op4_html_extraction, op5_simhash_dedup, op6_quality_rules, op7_embedding_dedup, op8_language_id, op9_piece_coding, op10_line_dedup,
+        op11_decontamination, op12_fill_middle, op13_conversation_trie,
+    )
+}
 
 ORACLE_SQL = {
     "op2_suffix_dedup": """
@@ -100,4 +123,46 @@ sets AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
   sha256(CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(g, i)), lambda i: l[i]), chr(10)), '') END) AS kept_sha256
 FROM d LEFT JOIN sets USING (doc_id)""",
+    "op11_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, least(10, len(w)) AS m FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, m, list_slice(w, i, i + m - 1) AS v FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM s)),
+kinds AS (SELECT DISTINCT m FROM wins),
+runs AS (SELECT doc_id, i, m, list_slice(w, i, i + m - 1) AS v FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, kinds)),
+hit AS (SELECT runs.doc_id, runs.i, runs.m, wins.item_id FROM runs JOIN wins ON runs.m = wins.m AND runs.v = wins.v),
+words AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM (SELECT DISTINCT doc_id, i, m FROM hit)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(t, ',' ORDER BY t) AS t FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items.t, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_fill_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+g AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(list_slice(u, 1, a), ''), '') AS x, coalesce(array_to_string(list_slice(u, a + 1, b), ''), '') AS y,
+  coalesce(array_to_string(list_slice(u, b + 1, n), ''), '') AS z FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(x) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(y) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""",
+    "op13_conversation_trie": r"""
+WITH bits AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_concat([CAST(i AS BIGINT)], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+own AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, s, c - c % 100 AS b, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda v, x: xor(v >> 8, tab[xor(v & 255, x) + 1])), 4294967295) % 6 AS h FROM own, bits),
+r AS (SELECT h.c, list_concat(coalesce(list_slice(o.s, 1, h.h), []), coalesce(list_slice(h.s, h.h + 1, len(h.s)), [])) AS s FROM h LEFT JOIN own o ON o.c = h.b),
+p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM r),
+q AS (SELECT c, d, list_slice(s, 1, d) AS k, len(s) = d AS ends, CASE WHEN d > 0 THEN length(s[d].t) ELSE 0 END AS chars FROM p),
+node AS (SELECT d, k, min(c) AS c, count(*) AS n, max(chars) AS chars, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends) AS ids FROM q GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, list_slice(k, 1, d - 1) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2),
+whole AS (SELECT node.*, coalesce(kids.n, 0) AS children FROM node LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k),
+up AS (SELECT u.d, list_slice(whole.k, 1, u.d) AS k, count(*) FILTER (children = 0) AS leaves, sum((whole.n - 1) * chars) AS saved
+  FROM whole JOIN (SELECT DISTINCT d FROM node) u ON u.d <= whole.d GROUP BY 1, 2)
+SELECT whole.c AS conv_id, whole.d AS depth, par.c AS parent_conv_id, CAST(whole.n AS BIGINT) AS n_convs, CAST(whole.children AS BIGINT) AS n_children, CAST(up.leaves AS BIGINT) AS n_leaves,
+  CAST(up.saved AS BIGINT) AS saved_tokens, sha256(coalesce(whole.ids, '')) AS ends_sha256
+FROM whole JOIN up ON up.d = whole.d AND up.k = whole.k LEFT JOIN whole par ON par.d = whole.d - 1 AND par.k = list_slice(whole.k, 1, whole.d - 1)""",
 }
