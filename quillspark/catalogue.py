@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import ids, measures, text
-from .operators import batching, combine, inference, resume, status
+from .operators import batching, combine, commits, inference, resume, status
 from .plans import config
-from .sources import files, sinks, transcripts
+from .sources import datasource, files, ranges, sinks, transcripts
 from .streaming import folder
 
 ROOT = "/data/audio"
@@ -278,29 +280,38 @@ def bangkok_timestamps(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.bangkok(F.col("ts")).alias("local_time"), text.bangkok(F.col("ts"), "yyyyMMdd-HHmmss").alias("stamp"))
 
 
-@query("""SELECT r_name, left(sha256('{"audio_root": "/data", "hf_repo_id": "m", "target_lang": "' || lower(r_name) || '", "task": "transcribe"}'), 16) AS fingerprint FROM region""")
+@query("""SELECT DISTINCT lang, source, left(sha256('{"audio_root": "/data/' || source || '", "hf_repo_id": "m", "target_lang": "' || lang || '", "task": "transcribe"}'), 16) AS fingerprint
+FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL""")
 def config_fingerprint(spark, sf_dir):
-    """The fingerprint of a run's settings, for each of the few regions as its language."""
-    names = [r[0] for r in table(spark, sf_dir, "region").select("r_name").collect()]
-    return spark.createDataFrame([(n, resume.fingerprint("/data", n.lower(), "transcribe", "m")) for n in names], "r_name string, fingerprint string")
+    """Fingerprints of the settings of runs, one for each language and source of the documents."""
+    d = table(spark, sf_dir, "documents").where("lang is not null and source is not null").select("lang", "source").distinct()
+    return d.select("lang", "source", resume.fingerprints(F.concat(F.lit("/data/"), "source"), F.col("lang"), F.lit("transcribe"), F.lit("m")).alias("fingerprint"))
 
 
-@query("""SELECT CAST(b.item_id AS VARCHAR) AS item_id, a.text AS before, b.text AS after FROM benchmark a
-RIGHT JOIN (SELECT item_id + CASE WHEN item_id % 10 = 0 THEN 1000000 ELSE 0 END AS item_id, CASE WHEN item_id % 5 = 1 THEN lower(text) ELSE text END AS text FROM benchmark) b ON a.item_id = b.item_id
-WHERE a.text IS DISTINCT FROM b.text""")
+@query("""SELECT doc_id, k, before, after FROM (SELECT doc_id, 'input_path' AS k, source AS before, CASE WHEN doc_id % 3 = 0 THEN source ELSE source || '/new' END AS after FROM documents
+UNION ALL SELECT doc_id, 'input_size', CAST(n_chars AS VARCHAR), CASE WHEN doc_id % 4 = 0 THEN CAST(n_chars + 1 AS VARCHAR) ELSE CAST(n_chars AS VARCHAR) END FROM documents
+UNION ALL SELECT doc_id, 'input_format', CASE WHEN doc_id % 5 <> 0 THEN 'tsv' END, 'tsv' FROM documents) WHERE before IS DISTINCT FROM after""")
 def manifest_diff(spark, sf_dir):
-    """What changed between two manifests, here of the small benchmark table."""
-    old = {str(r["item_id"]): r["text"] for r in table(spark, sf_dir, "benchmark").select("item_id", "text").collect()}
-    new = {str(int(k) + 1000000 if int(k) % 10 == 0 else int(k)): v.lower() if int(k) % 5 == 1 else v for k, v in old.items()}
-    return spark.createDataFrame([(k, a, b) for k, (a, b) in resume.manifest_diff(old, new).items()], "item_id string, before string, after string")
+    """What changed between two manifests of each document; a key that was not there before has changed, one that is there no more has not."""
+    d = table(spark, sf_dir, "documents")
+    size = F.col("n_chars").cast("string")
+    both = F.create_map(F.lit("input_path"), "source", F.lit("input_size"), size, F.lit("gone"), F.lit("x"))
+    old = F.when(F.expr("doc_id % 5 <> 0"), F.map_concat(both, F.create_map(F.lit("input_format"), F.lit("tsv")))).otherwise(both)
+    new = F.create_map(
+        F.lit("input_path"), F.when(F.expr("doc_id % 3 = 0"), F.col("source")).otherwise(F.concat("source", F.lit("/new"))),
+        F.lit("input_size"), F.when(F.expr("doc_id % 4 = 0"), (F.col("n_chars") + 1).cast("string")).otherwise(size), F.lit("input_format"), F.lit("tsv"),
+    )
+    return d.select("doc_id", F.explode(resume.manifest_diffs(old, new)).alias("k", "v")).select("doc_id", "k", "v.before", "v.after")
 
 
-@query("SELECT * FROM (VALUES ('{\"a\": {\"b\": 1, \"c\": [2]}, \"d\": 4}')) t(merged)")
+@query("""SELECT doc_id, lang AS target_lang, CASE WHEN doc_id % 2 = 0 THEN 'translate' ELSE 'transcribe' END AS task, CASE WHEN doc_id % 3 = 0 THEN '8' ELSE '16' END AS batch_size, source AS extra FROM documents""")
 def merged_settings(spark, sf_dir):
-    import json
-
-    got = config.merged({"a": {"b": 1, "c": [1, 3]}, "d": 3}, {"a": {"b": None, "c": [2]}, "d": 4})
-    return spark.createDataFrame([(json.dumps(got),)], "merged string")
+    """Settings over defaults, document by document: nulls are passed over, new keys come in."""
+    one, two = F.expr("doc_id % 2 = 0"), F.expr("doc_id % 3 = 0")
+    base = F.create_map(F.lit("task"), F.lit("transcribe"), F.lit("batch_size"), F.lit("16"), F.lit("target_lang"), F.col("lang"))
+    over = F.create_map(F.lit("task"), F.when(one, "translate"), F.lit("batch_size"), F.when(two, "8"), F.lit("extra"), F.col("source"))
+    got = config.merged_maps(base, over)
+    return table(spark, sf_dir, "documents").select("doc_id", *[F.try_element_at(got, F.lit(k)).alias(k) for k in ("target_lang", "task", "batch_size", "extra")])
 
 
 @query("SELECT conv_id || '-' || role || '-' || turn AS segment_id, CAST(conv_id AS VARCHAR) AS shard FROM conversations")
@@ -314,15 +325,19 @@ def dense_positions(spark, sf_dir):
     return batching.dense_position(table(spark, sf_dir, "events").select("event_id"), "event_id")
 
 
+def ledger_rows(spark, sf_dir) -> DataFrame:
+    """All attempts as rows of a ledger; run1 and run2 are their runs."""
+    return attempts(spark, sf_dir).select(
+        F.concat(F.lit("run"), "attempt").alias("run_id"), "seq", "segment_id", "pred_text", F.when(F.expr("seq % 11 = 2"), "failed").otherwise("ok").alias("status"), F.lit(None).cast("string").alias("error"),
+        F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), F.lit(1.0).alias("duration"), F.timestamp_seconds(F.lit(1700000000) + F.col("attempt")).alias("attempt_ts"),
+    )
+
+
 def two_runs(spark, sf_dir) -> resume.Ledger:
     """A ledger in the shared folder that two runs have appended to."""
     made = resume.Ledger(spark, files.shared_folder(spark), "in.tsv")
-    tries = attempts(spark, sf_dir).select(
-        F.concat(F.lit("run"), "attempt").alias("run_id"), "seq", "segment_id", "pred_text", F.when(F.expr("seq % 11 = 2"), "failed").otherwise("ok").alias("status"), F.lit(None).cast("string").alias("error"),
-        F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), F.lit(1.0).alias("duration"), F.timestamp_seconds(F.lit(1700000000) + F.col("attempt")).alias("attempt_ts"), "attempt",
-    )
-    for k in (1, 2):
-        made.append(tries.where(F.col("attempt") == k).drop("attempt"))
+    for run in ("run1", "run2"):
+        made.commit(ledger_rows(spark, sf_dir).where(F.col("run_id") == run), run)
     return made
 
 
@@ -385,7 +400,7 @@ NUMBERED = """numbered AS (SELECT p.*, CAST(row_number() OVER (ORDER BY p.seq) -
 @query(f"WITH {LINES}, {NUMBERED} SELECT nth AS seq, id AS segment_id, substr(value, tab + 1) AS text FROM numbered WHERE reject_reason IS NULL")
 def read_tsv_file(spark, sf_dir):
     """Lines in a file's order, numbered without gaps; the format is found out."""
-    path = files.shared_folder(spark) + ".tsv"
+    path = files.join(files.shared_folder(spark), "in.tsv")
     sinks.write_lines(plain_lines(spark, sf_dir), path)
     kept, _ = transcripts.read_transcripts(spark, path, ROOT)
     return kept.select("seq", "segment_id", "text")
@@ -393,7 +408,7 @@ def read_tsv_file(spark, sf_dir):
 
 @query(f"WITH {LINES}, {NUMBERED} SELECT nth AS seq, reject_reason FROM numbered WHERE reject_reason IS NOT NULL")
 def read_tsv_rejects(spark, sf_dir):
-    path = files.shared_folder(spark) + ".tsv"
+    path = files.join(files.shared_folder(spark), "in.tsv")
     sinks.write_lines(plain_lines(spark, sf_dir), path)
     return transcripts.read_transcripts(spark, path, ROOT)[1].select("seq", "reject_reason")
 
@@ -405,26 +420,33 @@ def read_jsonl_file(spark, sf_dir):
         F.when(kind == 7, F.lit("not json")).when(kind == 3, F.lit('{"text": "x", "duration": 1}')).when(kind == 5, F.lit("  ")).when(kind == 9, F.lit('{"audio_filepath": "/a/-b.wav"}'))
         .otherwise(F.concat(F.lit('{"audio_filepath": "/a/'), "doc_id", F.lit('.wav", "text": "t"}')))
     )
-    path = files.shared_folder(spark) + ".txt"
+    path = files.join(files.shared_folder(spark), "in.txt")
     sinks.write_lines(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), line.alias("value")), path)
     kept, bad = transcripts.read_transcripts(spark, path, ROOT)
     return kept.select(F.lit("kept").alias("reason")).unionByName(bad.select(F.col("reject_reason").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('a.tsv', 'tsv', 'jsonl'), ('b.jsonl', 'jsonl', 'tsv'), ('c.JSONL', 'jsonl', 'jsonl'), ('d', 'tsv', 'tsv')) t(name, by_suffix, found)")
+@query("""SELECT kind || '-' || part || suffix AS name, CASE suffix WHEN '.tsv' THEN 'tsv' ELSE 'jsonl' END AS by_suffix, CASE kind WHEN 'json' THEN 'jsonl' WHEN 'text' THEN 'tsv' WHEN 'none' THEN CASE suffix WHEN '.tsv' THEN 'tsv' ELSE 'jsonl' END END AS found
+FROM (SELECT DISTINCT CASE doc_id % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'text' ELSE 'none' END AS kind, doc_id % 12 AS part, CASE WHEN doc_id % 2 = 0 THEN '.tsv' ELSE '.JSONL' END AS suffix FROM documents)""")
 def detected_formats(spark, sf_dir):
-    """By suffix, and by the first line where there is one."""
-    base, out = files.shared_folder(spark), []
-    for name, body in (("a.tsv", "\n \n{}\n"), ("b.jsonl", "1-2-3\tx\n"), ("c.JSONL", "\n"), ("d", "")):
-        path = files.join(base, name)
-        files.write_text(spark, path, body)
-        out.append((name, transcripts.suffix_format(path), transcripts.detect_format(spark, path)))
-    return spark.createDataFrame(out, "name string, by_suffix string, found string")
+    """By suffix, and by the first line that is not blank, of files that hold all documents."""
+    base = files.join(files.shared_folder(spark), "in")
+    d = table(spark, sf_dir, "documents")
+    kind = F.expr("case doc_id % 3 when 0 then 'json' when 1 then 'text' else 'none' end")
+    line = F.when(kind == "json", F.to_json(F.struct("doc_id", "text"))).when(kind == "text", F.concat(F.lit("1-2-"), "doc_id", F.lit("\t"), F.translate("text", "\r\n", "  "))).otherwise("  ")
+    name = F.concat_ws("-", kind, F.expr("doc_id % 12"), F.expr("case when doc_id % 2 = 0 then '.tsv' else '.JSONL' end"))
+    rows = d.select(F.regexp_replace(name, "-[.]", ".").alias("name"), F.explode(F.array(F.lit(" "), line)).alias("value"), "doc_id", F.when(line == F.col("value"), 1).otherwise(0).alias("late"))
+    rows.repartition("name").sortWithinPartitions("name", "late", "doc_id").select("name", "value").write.partitionBy("name").text(base)
+    # Spark names folders, a file of one has the suffix of its own: the folder's name stands for the file's
+    found = transcripts.detect_formats(spark, base, F.regexp_extract(F.col("_metadata.file_path"), "name=([^/]+)/", 1))
+    return found.select(F.col("file").alias("name"), "by_suffix", "found")
 
 
-@query("SELECT * FROM (VALUES ('predicted-x.tsv', 'combined-x.tsv'), ('predicted-m.jsonl', 'combined-m.jsonl')) t(predicted, combined)")
+@query(f"WITH {UTT} SELECT segment_id, 'predicted-' || segment_id || '.tsv' AS predicted, 'combined-' || segment_id || '.tsv' AS combined FROM utt")
 def output_names(spark, sf_dir):
-    return spark.createDataFrame([(sinks.predicted_name(p), sinks.combined_name(p)) for p in ("/in/x.tsv", "m.jsonl")], "predicted string, combined string")
+    """Names of the outputs of one input a document."""
+    path = F.concat(F.lit("/in/put/"), "segment_id", F.lit(".tsv"))
+    return utterances(spark, sf_dir).select("segment_id", sinks.named_after(path, "predicted").alias("predicted"), sinks.named_after(path, "combined").alias("combined"))
 
 
 @query(f"WITH {UTT} SELECT seq, '/a/' || segment_id AS audio_filepath, text, round(duration, 6) AS duration FROM utt")
@@ -444,7 +466,7 @@ def combined_jsonl_lines(spark, sf_dir):
 @query(f"WITH {UTT}, {PRED} SELECT CAST(row_number() OVER (ORDER BY seq) - 1 AS BIGINT) AS line, segment_id FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM pred)")
 def missing_report(spark, sf_dir):
     """The report of missing ids, as lines in input order."""
-    path = files.shared_folder(spark)
+    path = files.join(files.shared_folder(spark), "lines")
     sinks.write_missing(combine.missing(utterances(spark, sf_dir), attempts(spark, sf_dir)), path)
     return transcripts.read_lines(spark, path).select(F.col("seq").alias("line"), F.col("value").alias("segment_id"))
 
@@ -452,7 +474,7 @@ def missing_report(spark, sf_dir):
 @query(f"WITH {UTT} SELECT segment_id, '/a/' || segment_id AS audio_path, 'no. ' || seq AS reason FROM utt WHERE seq % 5 < 2")
 def error_journal(spark, sf_dir):
     """Two appended batches of failures."""
-    path = files.shared_folder(spark)
+    path = files.join(files.shared_folder(spark), "lines")
     u = utterances(spark, sf_dir).select("seq", "segment_id", F.concat(F.lit("/a/"), "segment_id").alias("audio_filepath"), F.concat(F.lit("no. "), "seq").alias("error"))
     for k in (0, 1):
         sinks.write_journal(u.where(F.col("seq") % 5 == k), path)
@@ -460,27 +482,112 @@ def error_journal(spark, sf_dir):
 
 
 @query(f"""WITH {UTT} SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN seq % 9 = 4 THEN 'malformed' WHEN seq % 9 = 5 THEN 'blank' ELSE 'done' END AS reason FROM utt
-UNION ALL SELECT 'cut' FROM (SELECT DISTINCT split_part(segment_id, '-', 1) FROM utt)) GROUP BY reason""")
+UNION ALL SELECT 'cut' FROM (SELECT DISTINCT split_part(segment_id, '-', 1), seq // 500 FROM utt)) GROUP BY reason""")
 def text_ledger(spark, sf_dir):
-    """Shards of ids as text, with lines that are blank or malformed and a last line without its end."""
+    """Files of ids as text, of 500 lines at most, with lines that are blank or malformed and a last line without its end."""
     u = utterances(spark, sf_dir)
     line = F.when(F.expr("seq % 9 = 4"), "garbage").when(F.expr("seq % 9 = 5"), " ").otherwise(F.col("segment_id"))
-    shards = u.select(ids.shard_of(F.col("segment_id")).alias("shard"), line.alias("line")).groupBy("shard").agg(F.concat(F.array_join(F.collect_list("line"), "\n"), F.lit("\n1-1-")).alias("value"))
-    path = files.shared_folder(spark)
-    shards.write.option("lineSep", "0").partitionBy("shard").text(path)
+    pieces = u.select(ids.shard_of(F.col("segment_id")).alias("shard"), F.expr("seq div 500").alias("piece"), line.alias("line"))
+    shards = pieces.groupBy("shard", "piece").agg(F.concat(F.array_join(F.collect_list("line"), "\n"), F.lit("\n1-1-")).alias("value"))
+    path = files.join(files.shared_folder(spark), "done")
+    shards.write.option("lineSep", "0").partitionBy("shard", "piece").text(path)
     return resume.read_text_ledger(spark, path, "*.txt").groupBy(F.coalesce("reason", F.lit("done")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+def arrivals(spark, sf_dir, base: str, parts: list[DataFrame], keep, mode: str = "append") -> DataFrame:
+    """The table that a folder's files have been appended to, files arriving part by part."""
+    for part in parts:
+        part.select("value").write.mode("append").text(f"{base}/in")
+        folder.start(keep(folder.read_stream(spark, f"{base}/in", ROOT)), f"{base}/state", folder.append_to(f"{base}/out"), mode=mode).awaitTermination()
+    return folder.read_table(spark, f"{base}/out")
+
+
 @query(f"WITH {UTT} SELECT segment_id, translate(text, chr(13) || chr(10) || chr(9), '   ') AS text FROM utt WHERE seq % 2 = 0")
 def streamed_folder(spark, sf_dir):
-    """Two arrivals in a folder, the second with all ids of the first again: each id is appended once."""
-    base = files.shared_folder(spark)
+    """Two arrivals in a folder, the second with all ids of the first again and all its own twice: each id is appended once."""
     u = utterances(spark, sf_dir).withColumn("text", F.translate("text", "\r\n\t", "   "))
     lines = u.where("seq % 2 = 0").select("seq", F.concat("segment_id", F.lit("\t"), "text").alias("value"))
-    for part in (lines.where("seq % 4 = 0"), lines):
-        part.select("value").write.mode("append").text(f"{base}/in")
-        folder.start(folder.read_stream(spark, f"{base}/in", ROOT), f"{base}/state", folder.append_pending(f"{base}/out")).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("segment_id", "text")
+    parts = [lines.where("seq % 4 = 0"), lines.unionByName(lines)]
+    return arrivals(spark, sf_dir, files.shared_folder(spark), parts, folder.first_of_each).select("segment_id", "text")
+
+
+@query(f"""WITH {UTT} SELECT segment_id, CASE WHEN seq % 4 = 0 THEN 'v2' ELSE 'v1' END AS text, CAST(CASE WHEN seq % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS told FROM utt WHERE seq % 2 = 0""")
+def streamed_last_texts(spark, sf_dir):
+    """Arrivals in which texts change: the last text of each id, and how often it was told; what comes again unchanged is not."""
+    lines = utterances(spark, sf_dir).where("seq % 2 = 0").select("seq", F.concat("segment_id", F.lit("\tv1")).alias("value"))
+    again = utterances(spark, sf_dir).where("seq % 2 = 0").select(F.concat("segment_id", F.when(F.expr("seq % 4 = 0"), F.lit("\tv2")).otherwise("\tv1")).alias("value"))
+    out = arrivals(spark, sf_dir, files.shared_folder(spark), [lines, again], folder.last_of_each, "update")
+    return out.groupBy("segment_id").agg(F.max_by("text", "arrival").alias("text"), F.count("*").alias("told"))
+
+
+@query(f"""WITH {UTT}, {PRED} SELECT segment_id, CAST(count(*) AS BIGINT) AS n, min(attempt) AS first_attempt FROM pred GROUP BY segment_id""")
+def committed_chunks(spark, sf_dir):
+    """A ledger of two chunks, which its log also tells of: a chunk entered twice, one cut off in the log, and one whose writer died before the log."""
+    made = resume.Ledger(spark, files.shared_folder(spark), "in.tsv")
+    tries = ledger_rows(spark, sf_dir)
+    made.commit(tries.where("seq % 2 = 0"), "even", 0, 1)
+    made.commit(tries.where("seq % 2 = 0"), "even", 0, 1)
+    twice = made.stage(tries.where("seq % 2 = 0"), "even", 0, 1)
+    made.stage(tries, "never entered")
+    made.commit(tries.where("seq % 2 = 1"), "odd", 1, 2)
+    version = made.log.state().version
+    files.create_text(spark, files.join(made.log.folder, f"{version + 1:012d}.json"), commits.sealed(asdict(twice)))
+    files.create_text(spark, files.join(made.log.folder, f"{version + 2:012d}.json"), commits.sealed(asdict(replace(twice, chunk="cut")))[:-9])
+    made.compact()
+    return made.read().groupBy("segment_id").agg(F.count("*").alias("n"), F.min(F.substring("run_id", 4, 9).cast("int")).alias("first_attempt"))
+
+
+@query(f"WITH {UTT}, {PRED} SELECT seq, segment_id FROM utt WHERE segment_id NOT IN (SELECT segment_id FROM pred)")
+def resume_from_ledger(spark, sf_dir):
+    """What a ledger of a merged chunk and a later one leaves to do: the merged one is joined where it lies."""
+    made = resume.Ledger(spark, files.shared_folder(spark), "in.tsv")
+    tries = ledger_rows(spark, sf_dir)
+    made.commit(tries.where("attempt_ts <= timestamp_seconds(1700000001)"), "one")
+    made.compact()
+    made.commit(tries.where("attempt_ts > timestamp_seconds(1700000001)"), "two")
+    return made.pending(utterances(spark, sf_dir).select("seq", "segment_id")).select("seq", "segment_id")
+
+
+# the named formats
+
+
+@query(f"WITH {LINES}, {NUMBERED} SELECT nth AS seq, id AS segment_id, substr(value, tab + 1) AS text FROM numbered WHERE reject_reason IS NULL")
+def read_format_transcripts(spark, sf_dir):
+    """The rows of read_tsv_file by the named format, files read in ranges of 64 KiB."""
+    datasource.register(spark)
+    path = files.join(files.shared_folder(spark), "in.tsv")
+    sinks.write_lines(plain_lines(spark, sf_dir), path)
+    rows = spark.read.format("transcripts").option("audio_root", ROOT).option("range_bytes", 1 << 16).load(path)
+    return datasource.numbered(rows).where("reject_reason is null").select("seq", "segment_id", "text")
+
+
+@query(f"WITH {UTT} SELECT segment_id, translate(text, chr(9) || chr(10), '  ') AS text FROM utt WHERE NOT contains(text, chr(13))")
+def write_format_predictions(spark, sf_dir):
+    """Predictions written by the named format and read again."""
+    datasource.register(spark)
+    path = files.join(files.shared_folder(spark), "out")
+    u = utterances(spark, sf_dir).where(~F.contains("text", F.lit("\r"))).select("segment_id", F.col("text").alias("pred_text"))
+    u.write.format("predictions").mode("append").save(path)
+    return transcripts.read_transcripts(spark, path, ROOT)[0].select("segment_id", "text")
+
+
+@query("""SELECT s_suppkey || '.wav' AS name, 8000 * (1 + s_suppkey % 3) AS sample_rate, 1 + s_suppkey % 2 AS channels, round((s_suppkey % 50) / CAST(8000 * (1 + s_suppkey % 3) AS DOUBLE), 9) AS seconds FROM supplier""")
+def clip_headers(spark, sf_dir):
+    """Headers of clips, one for each supplier, by the named format."""
+    datasource.register(spark)
+    base = files.join(files.shared_folder(spark), "clips")
+    table(spark, sf_dir, "supplier").select("s_suppkey").foreachPartition(lambda rows: [write_clip(f"{base}/{r[0]}.wav", 8000 * (1 + r[0] % 3), 1 + r[0] % 2, r[0] % 50) for r in rows] and None)
+    out = spark.read.format("wav_headers").option("clips_per_task", 50).load(base)
+    return out.select(F.substring_index("path", "/", -1).alias("name"), "sample_rate", "channels", F.round("duration_seconds", 9).alias("seconds"))
+
+
+def write_clip(path: str, rate: int, channels: int, frames: int) -> None:
+    """A silent clip."""
+    system, where = ranges.located(path)
+    system.create_dir(where.rpartition("/")[0], recursive=True)
+    size = 2 * channels * frames
+    with system.open_output_stream(where) as out:
+        out.write(b"RIFF" + struct.pack("<I4s4sIHHIIHH4sI", 36 + size, b"WAVE", b"fmt ", 16, 1, channels, rate, 2 * channels * rate, 2 * channels, 16, b"data", size) + bytes(size))
 
 
 # gates
@@ -515,14 +622,9 @@ def streaks_over_windows(spark, sf_dir):
     return told.select("win", F.col("streak").cast("long").alias("streak"), "again", F.col("ending").cast("long").alias("ending"))
 
 
-@query("SELECT event_type, event_type IN ('click', 'error') AS stopped FROM (SELECT DISTINCT event_type FROM events)")
+@query(f"""WITH {BATCHES}, g AS (SELECT *, sum(CASE WHEN n = failed THEN 0 ELSE 1 END) OVER (ORDER BY win, batch_no) AS g FROM b),
+s AS (SELECT win, batch_no, sum(CASE WHEN n = failed THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY win, batch_no) AS streak, coalesce(systematic_error = lag(systematic_error) OVER (ORDER BY win, batch_no), false) AS again FROM g)
+SELECT win, CASE WHEN bool_or(again) THEN 'systematic' WHEN max(streak) >= 3 THEN 'dead' END AS verdict FROM s GROUP BY win""")
 def gate_verdicts(spark, sf_dir):
-    """Whether a run of batches of two clips that end like an event of each type is stopped."""
-    kinds, out = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().collect()], []
-    for kind in kinds:
-        try:
-            inference.check_outcomes(event_outcomes(spark, sf_dir).where("win < 4").withColumns({"status": F.lit("failed" if kind in ("click", "error") else "ok"), "error": F.lit("lost" if kind == "click" else None) if kind != "error" else F.concat(F.lit("bad "), "seq")}))
-            out.append((kind, False))
-        except (inference.SystematicFailureError, inference.DeadContextError):
-            out.append((kind, True))
-    return spark.createDataFrame(out, "event_type string, stopped boolean")
+    """After which of all windows a run would be stopped, and why; three failed batches in a row are the end here."""
+    return inference.verdicts(event_outcomes(spark, sf_dir), most=3).select("win", "verdict")

@@ -29,4 +29,5 @@ def stem(path: Column) -> Column:
 
 
 def under_root(path: Column, root: str) -> Column:
-    return F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", F.lit(root), path))
+    """Absolute paths and addresses with a scheme stay."""
+    return F.when(path.rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"), path).otherwise(F.concat_ws("/", F.lit(root), path))

@@ -1,22 +1,24 @@
-"""Resume: the predictions dataset is the ledger, and a manifest guards it."""
+"""Resume: the predictions dataset is the ledger, chunks get into it by a log of commits, and a manifest guards it."""
 
 from __future__ import annotations
 
 import hashlib
 import json
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import is_valid_id, shard_of
 from ..functions.text import py_strip
 from ..sources import files
+from .commits import Commit, CommitLog
 
 LOG = logging.getLogger(__name__)
 
 SCHEMA_VERSION = 1
-LEDGER = "run_id string, seq bigint, segment_id string, pred_text string, status string, error string, audio_filepath string, duration double, attempt_ts timestamp, shard string"
+LEDGER = "run_id string, seq bigint, segment_id string, pred_text string, status string, error string, audio_filepath string, duration double, attempt_ts timestamp, win bigint, batch_no bigint, shard string"
 
 
 class CheckpointMismatchError(Exception):
@@ -29,6 +31,13 @@ def fingerprint(audio_root: str, target_lang: str, task: str, model_id: str) ->
     return hashlib.sha256(json.dumps(settings, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:16]
 
 
+def fingerprints(audio_root: Column, target_lang: Column, task: Column, model_id: Column) -> Column:
+    """fingerprint() of settings in columns, for tables of runs; texts must need no escape in JSON."""
+    named = {"audio_root": audio_root, "hf_repo_id": model_id, "target_lang": target_lang, "task": task}
+    body = F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": "'), c, F.lit('"')) for k, c in named.items()])
+    return F.left(F.sha2(F.concat(F.lit("{"), body, F.lit("}")), 256), F.lit(16))
+
+
 def manifest(spark: SparkSession, path: str, fmt: str, config: str) -> dict:
     where, size, changed = files.described(spark, path)
     return {"schema_version": SCHEMA_VERSION, "input_path": where, "input_size": size, "input_mtime": changed, "input_format": fmt, "config_fingerprint": config}
@@ -38,14 +47,21 @@ def manifest_diff(old: dict, new: dict) -> dict:
     return {k: (old.get(k), v) for k, v in new.items() if old.get(k) != v}
 
 
+def manifest_diffs(old: Column, new: Column) -> Column:
+    """manifest_diff() of maps in columns: for each key of the new one whose value differs, both values."""
+    both = F.map_zip_with(old, new, lambda k, a, b: F.struct(a.alias("before"), b.alias("after")))
+    return F.map_filter(both, lambda k, v: F.map_contains_key(new, k) & ~v["before"].eqNullSafe(v["after"]))
+
+
 class Ledger:
-    """Predictions as Parquet by shard; each attempt is a row, the last one of an id counts."""
+    """Predictions as Parquet, in chunks that the log of commits names; each attempt is a row, the last one of an id counts."""
 
     def __init__(self, spark: SparkSession, root: str, input_path: str, enabled: bool = True):
         self.spark, self.enabled = spark, enabled
         name = input_path.rstrip("/").rsplit("/", 1)[-1]
         self.dir = files.join(root, name.rsplit(".", 1)[0] if "." in name[1:] else name)
         self.data, self.manifest_path = files.join(self.dir, "predictions"), files.join(self.dir, "manifest.json")
+        self.log = CommitLog(spark, self.data)
 
     def guard(self, payload: dict, force: bool = False) -> None:
         if not self.enabled:
@@ -63,24 +79,102 @@ class Ledger:
             files.write_text(self.spark, self.manifest_path, json.dumps(payload, ensure_ascii=False))
 
     def started(self) -> bool:
-        return files.is_folder(self.spark, self.data)
+        return bool(self.log.state().live)
 
     def read(self) -> DataFrame:
-        if not self.enabled or not self.started():
-            return self.spark.createDataFrame([], LEDGER)
-        return self.spark.read.schema(LEDGER).parquet(self.data)
-
-    def done(self) -> DataFrame:
-        """shard and segment_id of what needs no attempt: predictions, and the ids of text shards (*.done) that lie in the ledger's folder."""
-        own = self.read().select("shard", "segment_id")
+        """All attempts of the live chunks."""
+        live = self.live()
+        return self._rows(live) if live else self.spark.createDataFrame([], LEDGER)
+
+    def live(self) -> list[Commit]:
+        return list(self.log.state().live.values()) if self.enabled else []
+
+    def _rows(self, commits: list[Commit]) -> DataFrame:
+        return self.spark.read.schema(LEDGER).parquet(*self.log.paths(commits))
+
+    def _bucketed(self, commit: Commit) -> DataFrame:
+        """A merged chunk as a table whose buckets Spark knows, so that joins and groups by shard and id don't move it."""
+        name = f"quillspark_{uuid.uuid4().hex}"
+        where = files.described(self.spark, files.join(self.log.table, commit.folder))[0].replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {name} ({LEDGER}) USING parquet CLUSTERED BY (shard, segment_id) INTO {commit.buckets} BUCKETS LOCATION '{where}'")
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")  # the name alone; the files stay
+
+    def _parts(self) -> list[DataFrame]:
+        """The merged chunk, if there is one, then the rows of the chunks after it, then the ids of text shards (*.done) in the ledger's folder."""
+        live = self.live()
+        late = [c for c in live if not c.buckets]
+        out = [self._bucketed(c) for c in live if c.buckets]
+        if late:
+            out.append(self._rows(late))
         if self.enabled and files.any_like(self.spark, files.join(self.dir, "*.done")):
-            own = own.unionByName(read_text_ledger(self.spark, self.dir).where("reason is null").select("shard", "segment_id"))
-        return own
+            out.append(read_text_ledger(self.spark, self.dir).where("reason is null"))
+        return out
 
-    def append(self, outcomes: DataFrame, mode: str = "append") -> None:
-        """One atomic write, clustered by shard so that a shard gets few files."""
-        if self.enabled:
-            outcomes.withColumn("shard", shard_of(F.col("segment_id"))).repartition("shard").write.mode(mode).partitionBy("shard").parquet(self.data)
+    def done(self) -> DataFrame:
+        """shard and segment_id of what needs no attempt."""
+        out = self.spark.createDataFrame([], "shard string, segment_id string")
+        for part in self._parts():
+            out = out.unionByName(part.select("shard", "segment_id"))
+        return out
+
+    def pending(self, records: DataFrame, retry_failed: bool = False) -> DataFrame:
+        """Records without a prediction yet.  The merged chunk is joined where it lies; only what came after it is moved."""
+        if retry_failed:
+            return pending(records, self.read(), retry_failed=True)
+        out = records.withColumn("shard", F.substring_index("segment_id", "-", 1))
+        for part in self._parts():
+            out = out.join(part.select("shard", "segment_id"), ["shard", "segment_id"], "left_anti")
+        return out.drop("shard")
+
+    def commit(self, outcomes: DataFrame, chunk: str, low: int | None = None, high: int | None = None, replace: bool = False) -> bool:
+        """Enter a chunk of attempts; a chunk of a name that is there already changes nothing (False).
+
+        With `replace` the ledger begins anew with this chunk: until it is entered readers find the old one.
+        """
+        return self.enabled and self.enter(self.stage(outcomes, chunk, low, high, replace))
+
+    def stage(self, outcomes: DataFrame, chunk: str, low: int | None = None, high: int | None = None, replace: bool = False) -> Commit:
+        """Write a chunk's attempts where they are to stay; they count for nothing until they are entered."""
+        return self.log.stage(outcomes.withColumn("shard", shard_of(F.col("segment_id"))), chunk, low, high, replace)
+
+    def staged(self, commit: Commit) -> DataFrame:
+        paths = self.log.paths([commit])
+        return self.spark.read.schema(LEDGER).parquet(*paths) if paths else self.spark.createDataFrame([], LEDGER)
+
+    def enter(self, commit: Commit) -> bool:
+        """A ledger that is switched off keeps no chunk."""
+        if not self.enabled or not self.log.add(commit):
+            self.drop(commit)
+            return False
+        return True
+
+    def drop(self, commit: Commit) -> None:
+        files.delete(self.spark, files.join(self.log.table, commit.folder))
+
+    def vacuum(self, older_than: float = 86400.0) -> int:
+        return self.log.vacuum(older_than) if self.enabled else 0
+
+    def compact(self, share: float = 0.5, bucket_bytes: int = 1 << 27) -> bool:
+        """Merge all live chunks in one of buckets by shard and id, if those since the last merge have `share` of its bytes; whether it did.
+
+        Merging only by such shares, a ledger is rewritten a number of times that grows as the logarithm of its size.
+        """
+        live = self.live()
+        size = lambda cs: sum(sum(c.files.values()) for c in cs)
+        late = [c for c in live if not c.buckets]
+        if not late or size(late) < share * size([c for c in live if c.buckets]):
+            return False
+        buckets = max(1, -(-size(live) // bucket_bytes), int(self.spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        folder, name = f"chunk-{uuid.uuid4().hex}", f"quillspark_{uuid.uuid4().hex}"
+        where = files.join(self.log.table, folder)
+        rows = self._rows(live).repartition(buckets, "shard", "segment_id")
+        rows.write.bucketBy(buckets, "shard", "segment_id").sortBy("shard", "segment_id").option("path", where).format("parquet").saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        merged = Commit(f"merged-{folder}", folder, files.sizes(self.spark, where), merged=[c.chunk for c in live], buckets=buckets)
+        return self.log.add(merged)
 
     def latest(self) -> DataFrame:
         return last_attempts(self.read())

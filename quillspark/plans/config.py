@@ -8,6 +8,9 @@ import logging
 import os
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from ..operators.resume import fingerprint
 
 LOG = logging.getLogger(__name__)
@@ -74,6 +77,8 @@ class Runtime:
     io_workers: int = 8
     progress_every_n: int = 500
     max_consecutive_batch_failures: int = 5
+    #: GPUs of a task on clusters that schedule them; 0 leaves that to the session
+    gpus_per_task: float = 0.0
     log_level: str = "INFO"
 
 
@@ -100,6 +105,11 @@ def merged(base: dict, over: dict) -> dict:
     return out
 
 
+def merged_maps(base: Column, over: Column) -> Column:
+    """merged() of flat maps in columns."""
+    return F.map_zip_with(base, over, lambda k, a, b: F.coalesce(b, a))
+
+
 def boolean(v) -> bool:
     """Words count by their meaning: "false" is false."""
     if isinstance(v, str):

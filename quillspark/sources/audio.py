@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import struct
 import subprocess
 import wave
 from collections.abc import Iterator
@@ -11,10 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
+from . import ranges
 
 PROBE = "exists boolean, sample_rate int, channels int, duration_seconds double, error string"
 
@@ -23,15 +28,65 @@ class AudioError(Exception):
     """A clip that can't be read or decoded."""
 
 
+#: Bytes that a header is looked for in at once.
+HEADER_BYTES = 4096
+#: Codings of a WAV's samples: whole numbers, and the extension that tells the coding in its own field.
+PCM, EXTENSIBLE = 1, 0xFFFE
+
+
+@dataclass(frozen=True)
+class Wave:
+    """What a WAV's header tells: samples a second, channels, bytes and number of samples, and where they begin."""
+
+    rate: int
+    channels: int
+    width: int
+    frames: int
+    start: int
+
+
+def read_header(f: pa.NativeFile) -> Wave:
+    """Of an open file, from its chunks: their heads are read, and the samples are not; AudioError if it is no WAV of whole samples."""
+    head = f.read(HEADER_BYTES)
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        raise AudioError("file does not start with RIFF id" if head[:4] != b"RIFF" else "not a WAVE file")
+    at, shape = 12, None
+    while True:
+        if at + 64 > len(head):  # behind a long chunk: the next one's head alone
+            f.seek(at)
+            part = f.read(64)
+        else:
+            part = head[at : at + 64]
+        if len(part) < 8:
+            raise AudioError("fmt chunk and/or data chunk missing")
+        name, size = part[:4], int.from_bytes(part[4:8], "little")
+        if name == b"fmt ":
+            if len(part) < 24:
+                raise AudioError("fmt chunk is cut")
+            coding, channels, rate, _, _, bits = struct.unpack("<HHLLHH", part[8:24])
+            if coding == EXTENSIBLE and len(part) >= 34:
+                coding = int.from_bytes(part[32:34], "little")
+            if coding != PCM:
+                raise AudioError(f"unknown format: {coding}")
+            if not channels or not bits:
+                raise AudioError("bad # of channels" if not channels else "bad sample width")
+            shape = rate, channels, (bits + 7) // 8
+        elif name == b"data":
+            if shape is None:
+                raise AudioError("data chunk before fmt chunk")
+            return Wave(*shape, size // (shape[1] * shape[2]), at + 8)
+        at += 8 + size + size % 2
+
+
 def probe_file(path: str | None) -> tuple:
-    """exists, sample_rate, channels, duration_seconds, error; reads the header only and never raises."""
-    if not path or not os.path.isfile(path):
-        return False, None, None, None, "missing"
+    """exists, sample_rate, channels, duration_seconds, error of a clip on any file system; reads the header only and never raises."""
     try:
-        with wave.open(path, "rb") as w:
-            rate = w.getframerate()
-            return True, rate, w.getnchannels(), w.getnframes() / rate if rate else None, None
-    except (wave.Error, EOFError, OSError) as e:
+        if not path or not ranges.is_file(path):
+            return False, None, None, None, "missing"
+        with ranges.opened(path) as f:
+            w = read_header(f)
+        return True, w.rate, w.channels, w.frames / w.rate if w.rate else None, None
+    except (AudioError, EOFError, OSError, pa.ArrowException, ValueError) as e:
         return True, None, None, None, f"{type(e).__name__}: {e}"
 
 
@@ -55,20 +110,22 @@ def probe(records: DataFrame, path_col: str = "audio_filepath", workers: int = 8
 def load_samples(path: str, rate: int = 16000) -> np.ndarray:
     """Mono samples from -1 to 1 at `rate`: channels averaged, other rates interpolated linearly."""
     try:
-        with wave.open(path, "rb") as w:
-            width, channels, own, n = w.getsampwidth(), w.getnchannels(), w.getframerate(), w.getnframes()
-            raw = w.readframes(n)
-    except (wave.Error, EOFError, OSError) as e:
+        with ranges.opened(path) as f:
+            w = read_header(f)
+            f.seek(w.start)
+            raw = f.read(w.frames * w.channels * w.width)
+    except (AudioError, EOFError, OSError, pa.ArrowException) as e:
         raise AudioError(f"{path}: {e}") from e
-    if width == 1:
+    raw = raw[: len(raw) // (w.channels * w.width) * w.channels * w.width]
+    if w.width == 1:
         x = np.frombuffer(raw, np.uint8).astype(np.float32) / 128 - 1
-    elif width in (2, 4):
-        x = np.frombuffer(raw, f"<i{width}").astype(np.float32) / 2.0 ** (8 * width - 1)
+    elif w.width in (2, 4):
+        x = np.frombuffer(raw, f"<i{w.width}").astype(np.float32) / 2.0 ** (8 * w.width - 1)
     else:
-        raise AudioError(f"{path}: samples of {width} bytes")
-    x = x.reshape(-1, channels).mean(axis=1)
-    if own != rate and len(x):
-        m = max(1, round(len(x) / own * rate))
+        raise AudioError(f"{path}: samples of {w.width} bytes")
+    x = x.reshape(-1, w.channels).mean(axis=1)
+    if w.rate != rate and len(x):
+        m = max(1, round(len(x) / w.rate * rate))
         x = np.interp(np.linspace(0, len(x) - 1, m), np.arange(len(x)), x)
     return x.astype(np.float32)
 
@@ -99,8 +156,23 @@ def convert(path: str, folder: str, shape: Shape) -> str:
     return made
 
 
+def local_copy(path: str, folder: str) -> str:
+    """A path that programs can open: the clip's own, or that of a copy in the folder."""
+    system, where = ranges.located(path)
+    if isinstance(system, pafs.LocalFileSystem):
+        return where
+    copy = os.path.join(folder, "whole-" + os.path.basename(where))
+    try:
+        with system.open_input_stream(where) as f, open(copy, "wb") as out:
+            shutil.copyfileobj(f, out)
+    except (OSError, pa.ArrowException) as e:
+        raise AudioError(f"{path}: {e}") from e
+    return copy
+
+
 def by_program(path: str, made: str, shape: Shape) -> str:
     """The same by the configured program, for other containers and codings."""
+    path = local_copy(path, os.path.dirname(made))
     layout = ["-ac", "1"] if shape.mono else []
     try:
         done = subprocess.run([shape.program, "-v", "error", "-nostdin", "-i", path, *layout, "-ar", str(shape.rate), "-sample_fmt", "s16", "-y", made], capture_output=True, timeout=shape.seconds)

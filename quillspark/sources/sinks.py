@@ -21,6 +21,11 @@ def combined_name(path: str) -> str:
     return f"combined-{os.path.basename(path)}"
 
 
+def named_after(path: Column, prefix: str) -> Column:
+    """predicted_name() and combined_name() of paths in a column."""
+    return F.concat(F.lit(prefix + "-"), F.substring_index(path, "/", -1))
+
+
 def tsv_line(*columns: Column) -> Column:
     """Never quoted: tabs and line ends in the values are spaces."""
     return F.concat_ws("\t", *[text.neutralize(F.coalesce(c, F.lit(""))) for c in columns])

@@ -36,6 +36,20 @@ def detect_format(spark: SparkSession, path: str) -> str:
     return seen or named
 
 
+def detect_formats(spark: SparkSession, folder: str, name: Column | None = None) -> DataFrame:
+    """file, by_suffix, found (by the first line that is not blank, else by the suffix) of all files in a folder, in one pass.
+
+    `name` takes the place of the file's path, as where a file is many parts in a folder of its name.
+    """
+    file = F.col("_metadata.file_path") if name is None else name
+    raw = spark.read.option("recursiveFileLookup", "true").text(folder).select(file.alias("file"), "_metadata.file_block_start", "value", F.monotonically_increasing_id().alias("nth"))
+    bare = text.py_strip(text.strip_bom(F.col("value")))
+    first = F.min_by(F.when(bare != "", bare.startswith("{")), F.when(bare != "", F.struct("file_block_start", "nth")))
+    named = F.when(F.lower("file").endswith(".jsonl"), "jsonl").otherwise("tsv")
+    found = F.when(F.col("json").isNull(), F.col("by_suffix")).when(F.col("json"), "jsonl").otherwise("tsv")
+    return raw.groupBy("file").agg(first.alias("json")).withColumn("by_suffix", named).select("file", "by_suffix", found.alias("found"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """seq (dense, in the order of files and lines), value; byte-order marks in front of a file removed.
 

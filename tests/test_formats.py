@@ -1,0 +1,147 @@
+"""Byte ranges, headers of clips and the named formats."""
+
+import glob
+import io
+import random
+import re
+import struct
+import wave
+
+import pytest
+from conftest import tone
+from pyspark.sql import functions as F
+
+from quillspark.sources import audio, datasource, ranges, transcripts
+
+
+def lines_brute(body):
+    out, at = [], 0
+    for m in re.finditer(rb"\r\n|\r|\n", body):
+        out.append((at, body[at : m.start()]))
+        at = m.end()
+    return out + ([(at, body[at:])] if at < len(body) else [])
+
+
+def test_ranges_hold_each_line_once(tmp_path):
+    draw, path = random.Random(1), tmp_path / "x.txt"
+    for _ in range(300):
+        body = b"".join(draw.choice([b"a", b"bb", b"\n", b"\r", b"\r\n", "é".encode()]) for _ in range(draw.randint(0, 40)))
+        path.write_bytes(body)
+        for most in (1, 2, 3, 7, 100):
+            got = [x for _, p, a, b in ranges.split_ranges(ranges.listed(f"file://{path}"), most) for x in ranges.lines(p, a, b, draw.choice([1, 2, 5, 64]))]
+            assert got == lines_brute(body)
+
+
+def test_listing_leaves_out_what_is_no_data(tmp_path):
+    for name in ("b/2.wav", "b/_x/3.wav", ".h.wav", "_SUCCESS", "1.WAV", "c.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"12")
+    assert ranges.listed(str(tmp_path), ".wav") == [(f"{tmp_path}/1.WAV", 2), (f"{tmp_path}/b/2.wav", 2)]
+    with pytest.raises(FileNotFoundError):
+        ranges.listed(str(tmp_path / "none"))
+
+
+def wav(rate=16000, channels=1, frames=10, before=b"", coding=1, bits=16, extra=b""):
+    data = bytes(frames * channels * bits // 8)
+    shape = struct.pack("<HHIIHH", coding, channels, rate, rate * channels * bits // 8, channels * bits // 8, bits) + extra
+    chunks = before + b"fmt " + struct.pack("<I", len(shape)) + shape + b"data" + struct.pack("<I", len(data)) + data
+    return b"RIFF" + struct.pack("<I", 4 + len(chunks)) + b"WAVE" + chunks
+
+
+class Counting(io.BytesIO):
+    read_bytes = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.read_bytes += len(got)
+        return got
+
+
+def test_headers_are_read_and_no_samples():
+    long = b"LIST" + struct.pack("<I", 9001) + bytes(9002)
+    for body in (wav(), wav(8000, 2, 100000), wav(before=long), wav(coding=0xFFFE, extra=struct.pack("<HHI", 22, 16, 0) + struct.pack("<H", 1) + bytes(14))):
+        f = Counting(body)
+        got = audio.read_header(f)
+        if body[20:22] == b"\x01\x00":
+            with wave.open(io.BytesIO(body)) as w:
+                assert (got.rate, got.channels, got.width, got.frames) == (w.getframerate(), w.getnchannels(), w.getsampwidth(), w.getnframes())
+        assert f.read_bytes <= audio.HEADER_BYTES + 128 and body[got.start - 8 : got.start - 4] == b"data"
+    for bad in (b"", b"RIFF", b"not a wav at all", wav()[:30], wav(coding=3), wav().replace(b"data", b"atad")):
+        with pytest.raises(audio.AudioError):
+            audio.read_header(io.BytesIO(bad))
+
+
+def test_clips_by_address(spark, tmp_path):
+    tone(tmp_path / "a" / "x.wav", 1600)
+    tone(tmp_path / "a" / "y.wav", 800, rate=8000, channels=2)
+    (tmp_path / "a" / "z.wav").write_bytes(b"junk")
+    datasource.register(spark)
+    rows = {r["path"].rsplit("/", 1)[-1]: r for r in spark.read.format("wav_headers").option("clips_per_task", 1).load(f"file://{tmp_path}").collect()}
+    assert (rows["x.wav"]["sample_rate"], rows["x.wav"]["duration_seconds"]) == (16000, 0.1) and rows["y.wav"]["channels"] == 2
+    assert rows["z.wav"]["exists"] and "RIFF" in rows["z.wav"]["error"]
+    assert audio.probe_file(f"file://{tmp_path}/a/x.wav")[:3] == (True, 16000, 1) and audio.probe_file(f"file://{tmp_path}/a/none.wav")[4] == "missing"
+    assert len(audio.load_samples(f"file://{tmp_path}/a/y.wav")) == 1600
+    assert audio.probe_file("none:/x")[4] is not None
+
+
+TSV = "﻿1-2-3\thello\tx\n\n \t \nbad\n 2-3-4 \tyy\r\n-1-2\tq\n\tno id\n1-1-\tlast"
+JSONL = "\n".join(['{"audio_filepath": "sub/a.wav", "text": null, "duration": 1}', "not json", "[1]", '{"text": "x"}', '{"audio_filepath": "/r/-b.wav"}', '{"audio_filepath": "/r/b.tar.gz", "text": true, "duration": "long"}', "", '{"audio_filepath": "s3://k/c.wav", "text": 4.5, "duration": true}'])
+
+
+@pytest.mark.parametrize("name,body", [("a.tsv", TSV), ("b.jsonl", JSONL), ("c.txt", JSONL), ("d.tsv", "")])
+def test_named_format_reads_what_the_scan_reads(spark, tmp_path, name, body):
+    datasource.register(spark)
+    path = tmp_path / name
+    path.write_bytes(body.encode())
+    rows = spark.read.format("transcripts").option("audio_root", "/root").option("range_bytes", 16).load(str(path))
+    assert body == "" or rows.rdd.getNumPartitions() > 2
+    kept, bad = transcripts.read_transcripts(spark, str(path), "/root")
+    columns = ["seq", "segment_id", "text", "audio_filepath", "duration"]
+    told = lambda df, cs: sorted((tuple(r[c] for c in cs) for r in df.collect()), key=repr)
+    got = datasource.numbered(rows)
+    assert told(got.where("reject_reason is null"), columns) == told(kept, columns)
+    assert told(got.where("reject_reason is not null"), ["seq", "reject_reason"]) == told(bad, ["seq", "reject_reason"])
+
+
+def test_filters_on_shards_go_down_and_formats_come_in(spark, tmp_path):
+    datasource.register(spark)
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"{k}.tsv").write_text("".join(f"{s}-1-{k}\tt\n" for s in range(50)))
+    rows = spark.read.format("transcripts").load(str(tmp_path / "in"))
+    some = rows.where("shard in ('7', '8') and segment_id <> '8-1-0'")
+    assert sorted(r["segment_id"] for r in some.collect()) == ["7-1-0", "7-1-1", "7-1-2", "8-1-1", "8-1-2"]
+    assert "shard" not in next(x for x in some._jdf.queryExecution().executedPlan().toString().splitlines() if "Filter " in x).replace("isnotnull(shard", "")
+    reader = datasource.TranscriptReader({"path": str(tmp_path / "in"), "format": "tsv"})
+    assert list(reader.pushFilters([datasource.EqualTo(("shard",), "7"), datasource.EqualTo(("text",), "t")])) == [datasource.EqualTo(("text",), "t")]
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 3
+    datasource.register_lines("pipes", lambda line, root: (*line.split("|")[:2], root, None, None))
+    (tmp_path / "p.txt").write_text("1-2-3|text\n")
+    with pytest.raises(Exception, match="unknown format"):
+        spark.read.format("transcripts").option("format", "none").load(str(tmp_path / "p.txt")).collect()
+    own = datasource.TranscriptReader({"path": str(tmp_path / "p.txt"), "format": "pipes", "audio_root": "/r"})
+    assert [b.to_pylist()[0]["text"] for p in own.partitions() for b in own.read(p)] == ["text"]
+    named = spark.read.format("transcripts").option("parser", "quillspark.sources.datasource:jsonl_record").load(str(tmp_path / "p.txt"))
+    assert [r["reject_reason"] for r in named.collect()] == ["invalid_json"]
+
+
+def text_of(folder):
+    return "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{folder}/part-*")))
+
+
+def test_predictions_are_written_by_all_tasks_or_none(spark, tmp_path):
+    datasource.register(spark)
+    out = str(tmp_path / "out")
+    rows = spark.range(9).select(F.concat(F.lit("1-1-"), "id").alias("segment_id"), F.lit("a\tb\nค").alias("pred_text"), F.lit("/x.wav").alias("audio_filepath"), F.when(F.col("id") > 4, 1.5).alias("duration")).repartition(3)
+    rows.write.format("predictions").mode("append").save(out)
+    assert sorted(text_of(out).splitlines()) == [f"1-1-{k}\ta b ค" for k in range(9)] and len(glob.glob(f"{out}/*")) == 3
+    rows.where("segment_id > '1-1-3'").write.format("predictions").option("format", "jsonl").mode("overwrite").save(out)
+    assert sorted(text_of(out).splitlines())[0] == '{"audio_filepath": "/x.wav", "text": "a\\tb\\nค", "duration": 1.5}' and len(text_of(out).splitlines()) == 5
+    before = sorted(glob.glob(f"{out}/*"))
+    # one task can't write its row: a text of a kind that has no lines
+    broken = rows.withColumn("pred_text", F.when(F.col("segment_id") == "1-1-7", F.array(F.lit(1))))
+    with pytest.raises(Exception):
+        broken.write.format("predictions").mode("overwrite").save(out)
+    assert sorted(glob.glob(f"{out}/*")) == before
+    with pytest.raises(Exception, match="need columns"):
+        rows.drop("pred_text").write.format("predictions").mode("append").save(out)

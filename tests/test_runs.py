@@ -105,11 +105,119 @@ def test_chunks_commit_on_the_way_and_leave_no_tables(spark, corpus, caplog):
     assert sum("clips done" in r.getMessage() for r in caplog.records) >= 2
     assert set(glob.glob(f"{shared}/*")) == before
     pace = runs.Pace(cfg, 4)
-    assert pace.windows == 2
+    assert pace.windows == 2 and pace.grain == 1
     pace.took(cfg.checkpoint.flush_every_seconds / 10)
     assert pace.windows == 4
-    pace.took(cfg.checkpoint.flush_every_seconds * 10)
-    assert pace.windows == 2
+    for wanted in (2, 1, 1):
+        pace.took(cfg.checkpoint.flush_every_seconds * 10)
+        assert pace.windows == wanted
+    wide = runs.Pace(cfg, 640)
+    assert (wide.windows, wide.grain, wide.grains()) == (320, 20, 16)
+    for _ in range(9):
+        wide.took(cfg.checkpoint.flush_every_seconds * 10)
+    assert (wide.windows, wide.grains()) == (20, 1)  # below what was guessed first
+
+
+def test_clips_over_the_window_are_journalled_and_transcribed(spark, corpus):
+    import json
+
+    path, cfg, tmp = corpus
+    tone(tmp / "audio/train/7/31" / f"{IDS[0]}.wav", 31 * 16000)
+    tone(tmp / "audio/train/7/31" / f"{IDS[1]}.wav", 30 * 16000)
+    row = runs.run_inference(spark, str(path), cfg)
+    assert (row["ok"], row["over_window"]) == (5, 1) and ledger(spark, cfg, path)[IDS[0]][0] == "ok"
+    told = [json.loads(x) for p in glob.glob(f"{cfg.paths.log_dir}/errors/part-*") for x in open(p)]
+    assert [(t["segment_id"], t["reason"]) for t in told] == [(IDS[0], "31.0 s is over the window of 30.0 s, the text may be cut")]
+    assert told[0]["audio_path"].endswith(f"{IDS[0]}.wav")
+
+
+def test_a_dead_model_stops_its_chunk_early(spark, tmp_path):
+    """Of 64 batches in 16 windows each worker tries a few, then the job is cancelled; nothing of it is left."""
+    from pyspark.sql import functions as F
+
+    calls = str(tmp_path / "calls")
+
+    class Dying:
+        def __init__(self, options):
+            pass
+
+        def transcribe_batch(self, paths):
+            import time
+
+            open(calls, "a").write("x\n" * (len(paths) > 1))
+            time.sleep(0.05)
+            raise RuntimeError(f"lost {paths}")
+
+    clips = spark.range(256).select(F.col("id").alias("seq"), F.concat(F.lit("1-1-"), "id").alias("segment_id"), F.concat(F.lit("/x/"), "id").alias("audio_filepath"), F.lit(1.0).alias("duration"))
+    batches = clips.withColumns({"win": F.expr("seq div 16"), "batch_no": F.expr("seq % 16 div 4"), "slot": F.expr("seq % 4")})
+    with pytest.raises(inference.DeadContextError, match="3 batches in a row failed"):
+        with inference.guarded(spark, 3, "run-x") as guard:
+            inference.transcribe(batches, Dying, tasks=8, guard=guard).write.parquet(str(tmp_path / "out"))
+    assert len(open(calls).readlines()) < 32
+    same = type("Same", (Dying,), {"transcribe_batch": lambda self, paths: (_ for _ in ()).throw(RuntimeError("all alike"))})
+    with pytest.raises(inference.SystematicFailureError, match="all alike"):
+        with inference.guarded(spark, 3, "run-y") as guard:
+            inference.transcribe(batches, same, tasks=4, guard=guard).count()
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None and spark.range(3).count() == 3
+
+
+def test_a_model_that_cannot_be_loaded(spark, corpus):
+    path, cfg, _ = corpus
+
+    class Absent:
+        def __init__(self, options):
+            raise OSError("no such folder")
+
+    with pytest.raises(inference.ModelLoadError, match="no such folder"):
+        runs.run_inference(spark, str(path), cfg, Absent)
+    cfg.model.dtype = "bf8"
+    with pytest.raises(inference.ModelLoadError, match="bf8"):
+        runs.run_inference(spark, str(path), cfg)
+
+
+def test_clips_of_the_next_batch_are_made_ready_meanwhile(tmp_path, monkeypatch):
+    import os
+    import time
+
+    import pandas as pd
+
+    from quillspark.sources import audio
+
+    made = []
+
+    def convert(path, folder, shape):
+        made.append((path, time.time()))
+        os.makedirs(folder)
+        where = os.path.join(folder, "clip.wav")
+        open(where, "w").write(path)
+        if path == "b1":
+            raise audio.AudioError("cannot")
+        return where
+
+    monkeypatch.setattr(audio, "convert", convert)
+    parts = [pd.DataFrame({"p": [f"{b}{k}" for k in range(4)], "action": ["convert"] * 3 + ["pass"]}) for b in "abc"]
+    folders, ends = set(), []
+    for part, ready in inference.ready_batches(iter(parts), "p", audio.Shape(), 3):
+        time.sleep(0.2)
+        ends.append(time.time())
+        own = part["p"].tolist()
+        assert [e is None for _, e in ready] == [p != "b1" for p in own] and ready[3] == (own[3], None)
+        assert [open(w).read() for (w, e), p in zip(ready[:3], own) if e is None] == [p for p in own[:3] if p != "b1"]
+        folders |= {os.path.dirname(os.path.dirname(w)) for w, e in ready[:3] if e is None}
+        assert sum(os.path.isdir(f) for f in folders) == 1  # of the batches before nothing is left
+    begun = {p: t for p, t in made}
+    assert len(folders) == 3 and max(begun[p] for p in ("b0", "b1", "b2")) < ends[0] and max(begun[p] for p in ("c0", "c1", "c2")) < ends[1]
+    assert len(list(inference.ready_batches(iter([]), "p", audio.Shape(), 3))) == 0
+
+
+def test_a_task_takes_the_gpu_that_it_is_given(monkeypatch):
+    profile = inference.gpu_profile(0.5)
+    assert profile.taskResources["gpu"].amount == 0.5
+    given = type("Given", (), {"addresses": ["3"]})
+    monkeypatch.setattr(inference.TaskContext, "get", classmethod(lambda cls: type("T", (), {"resources": lambda self: {"gpu": given}})()))
+    assert inference.placed({"device": "cuda:0", "x": 1}) == {"device": "cuda:3", "x": 1}
+    monkeypatch.setattr(inference.TaskContext, "get", classmethod(lambda cls: None))
+    assert inference.placed({"device": "cpu"}) == {"device": "cpu"}
 
 
 def test_dry_run_builds_no_model_and_leaves_no_trace(spark, corpus):
@@ -161,13 +269,28 @@ def test_config(tmp_path):
 
 def test_streaming_folder(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    table = str(tmp_path / "table")
-    for k, body in enumerate(["1-2-0\ta\nbad\n", "1-2-1\tb\n1-2-0\trepeat\n"]):
+    table, kinds = str(tmp_path / "table"), {"first": (folder.first_of_each, "append"), "forget": (lambda p: folder.first_of_each(p, "1 day"), "append"), "last": (folder.last_of_each, "update")}
+    for k, body in enumerate(["1-2-0\ta\nbad\n1-2-0\ta\n", "1-2-1\tb\n1-2-0\trepeat\n1-2-1\tb\n", "1-2-0\trepeat\n"]):
         (tmp_path / "in" / f"{k}.tsv").write_text(body)
-        parsed = folder.read_stream(spark, str(tmp_path / "in"), "/r")
-        folder.start(parsed, str(tmp_path / "ck"), folder.append_pending(table)).awaitTermination()
-    got = sorted((r["segment_id"], r["text"]) for r in spark.read.parquet(table).collect())
-    assert got == [("1-2-0", "a"), ("1-2-1", "b")]
+        for name, (keep, mode) in kinds.items():
+            parsed = keep(folder.read_stream(spark, str(tmp_path / "in"), "/r"))
+            folder.start(parsed, str(tmp_path / f"ck-{name}"), folder.append_to(f"{table}-{name}"), mode=mode).awaitTermination()
+    for name in ("first", "forget"):
+        got = sorted((r["segment_id"], r["text"]) for r in folder.read_table(spark, f"{table}-{name}").collect())
+        assert got == [("1-2-0", "a"), ("1-2-1", "b")]
+    got = sorted((r["segment_id"], r["arrival"], r["text"]) for r in folder.read_table(spark, f"{table}-last").collect())
+    assert got == [("1-2-0", 0, "a"), ("1-2-0", 1, "repeat"), ("1-2-1", 0, "b")]
+
+
+def test_an_epoch_that_comes_again_changes_nothing(spark, tmp_path):
+    process, rows = folder.append_to(str(tmp_path / "t")), spark.createDataFrame([("1-2-3", "x", None, None, 0)], folder.RECORD)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    for epoch in (0, 1, 1, 0):
+        process(rows, epoch)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "another")
+    process(rows, 0)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert folder.read_table(spark, str(tmp_path / "t")).count() == 3 and folder.read_table(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_session_log(tmp_path):
