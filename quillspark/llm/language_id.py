@@ -13,15 +13,17 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import enter
 
-#: Bounds of the sample that a model is made of: bytes and texts of a language, bytes of a text.
+#: Bounds of the sample that a model is made of: bytes and texts of a language, bytes of a text, bytes of the model, languages.
 DICTIONARY_BYTES = 1 << 16
 SAMPLE_TEXTS = 400
 TEXT_BYTES = 1 << 11
+MODEL_BYTES = 1 << 24
+LABELS = 1 << 14
 #: zstandard's level and its shortest match: matches of three bytes tell short texts apart.
 LEVEL, MATCH = 9, 3
 #: Bytes of text compressed at once; a longer text is many blocks, so each is coded by the dictionary.
@@ -33,34 +35,42 @@ LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    """Never null: a null id counts as the empty string."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language of the labelled rows (text and lang not null).
 
-    Every label has its dictionary, so the model grows with the number of labels.  A language's
-    sample is bounded by SAMPLE_TEXTS and DICTIONARY_BYTES whatever the input's size: labels are counted
-    over all rows, a language's share of rows is chosen by a hash of the id, and texts are taken in
-    that hash's order.  Without labelled rows the model is empty.
+    Every label has its dictionary, an empty line where all its texts are empty.  The sample of a language is of its distinct
+    texts, in the order of a hash of the text: at most SAMPLE_TEXTS of them and as many as fill the dictionary.  Ids play no part,
+    so repeated and null ids change nothing, and a text that many rows repeat counts once.  Distinct texts are estimated
+    over all rows first, so that about twice as many as are wanted are looked at; a language of few texts keeps all.  What
+    is collected is as large as the model, MODEL_BYTES at most; beyond LABELS languages a ValueError says so.
+    Without labelled rows the model is empty.
     """
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(8)).alias("h"), F.col(text_col).alias("text")
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.where(text.isNotNull() & F.col(f"`{lang_col}`").isNotNull()).select(
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.xxhash64(text, F.lit(8)).alias("h"), F.substring(text.cast("binary"), 1, TEXT_BYTES).alias("t")
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(LABELS + 1).collect()}
+    if len(counts) > LABELS:
+        raise ValueError(f"more than {LABELS} languages")
     if not counts:
         return {}
+    room = min(DICTIONARY_BYTES, MODEL_BYTES // len(counts))
     # about twice the texts wanted pass, evenly over the range of the hash
-    bar = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * SAMPLE_TEXTS / n))])
-    passed = rows.where((F.col("h") / F.lit(2.0**63)) < F.try_element_at(bar, F.col("lang")) * 2 - 1)
-    cut = F.substring(F.col("text").cast("binary"), 1, TEXT_BYTES)
-    best = passed.select("lang", "h", cut.alias("t")).groupBy("lang").agg(F.collect_list(F.struct("h", "t")).alias("x"))
-    model = {}
-    for lang, x in best.collect():
-        texts = [bytes(t).decode("utf-8", "ignore").lower().encode() for _, t in sorted(x, key=lambda r: (r[0], bytes(r[1])))[:SAMPLE_TEXTS]]
-        # the end of a dictionary is the cheapest to refer to; all texts end in a line end
-        model[lang] = b"\n".join(texts)[:DICTIONARY_BYTES]
-    return dict(sorted(model.items()))
+    bar = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * SAMPLE_TEXTS / max(1, n)))])
+    passed = rows.where((F.col("h") / F.lit(2.0**63)) <= F.try_element_at(bar, F.col("lang")) * 2 - 1)
+    texts = passed.groupBy("lang", "h").agg(F.min("t").alias("t"))
+    order = Window.partitionBy("lang").orderBy("h")
+    placed = texts.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_TEXTS)
+    before = F.coalesce(F.sum(F.octet_length("t") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    model: dict[str, list[bytes]] = {k: [] for k in counts}
+    for r in placed.withColumn("before", before).where(F.col("before") < room).select("lang", "nth", "t").orderBy("lang", "nth").collect():
+        model[r["lang"]].append(bytes(r["t"]).decode("utf-8", "ignore").lower().encode())
+    # the end of a dictionary is the cheapest to refer to; all texts end in a line end
+    return {lang: b"\n".join(found)[:room] or b"\n" for lang, found in sorted(model.items())}
 
 
 @functools.lru_cache(maxsize=4)
@@ -97,13 +107,13 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     model.  A carried column of a result's name gives way.  Ties go to the language first in the alphabet and are rejected.  One row per input row.
     """
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score", "rejected")]
-    parts = tuple(model.items())
+    parts = docs.sparkSession.sparkContext.broadcast(tuple(model.items()))
     schema = docs.select(*[F.col(f"`{c}`") for c in carry]).schema
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("language_id", coders.cache_clear)
-        known = coders(parts)
+        known = coders(parts.value)
         for batch in batches:
             found = [classify(t.as_py(), known) for t in batch.column(batch.num_columns - 1)]
             columns = list(zip(*found)) or [[], [], []]

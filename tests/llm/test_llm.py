@@ -699,6 +699,31 @@ def test_every_label_has_a_dictionary(spark):
     assert sorted(model) == sorted(r[2] for r in rows)
 
 
+@pytest.mark.parametrize("own", [7, 11, 12, None])
+def test_ids_decide_nothing_about_the_model(spark, own):
+    """One id for all rows, no ids, and a text that most rows repeat: no language is lost, and the model is that of rows with ids of their own."""
+    kinds = {"aa": ("the", "and", "ing", "tion"), "bb": ("der", "und", "sch", "ung")}
+    rows = [(i, prose(i, 20, kinds[k]), k, "s", 0) for i, k in enumerate(list(kinds) * 1000)]
+    want = language_id.fit(spark.createDataFrame(rows, SCHEMA))
+    one = spark.createDataFrame([(own, *r[1:]) for r in rows] + [(own, prose(1, 20, kinds["bb"]), "bb", "s", 0)] * 3000 + [(own, "just one", "cc", "s", 0), (own, "", "dd", "s", 0)], SCHEMA).repartition(5)
+    model = language_id.fit(one)
+    assert {k: model[k] for k in kinds} == want and model["cc"] == b"just one" and model["dd"] == b"\n"
+    told = language_id.identify(one, model).withColumn("h", language_id.held_out())
+    assert told.where("lang in ('aa', 'bb') and lang_pred <> lang").count() < 60 and told.where("h is null").count() == 0
+    kept = corpus_pipeline.known_language(spark, one.withColumn("doc_id", one["doc_id"].cast("long")), "")
+    assert kept.where("lang in ('aa', 'bb')").count() > 4900
+
+
+def test_a_model_is_bounded_whatever_the_labels(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 1 << 12)
+    rows = [(i, prose(i, 200), f"x{i % 16}", "s", 0) for i in range(320)]
+    model = language_id.fit(spark.createDataFrame(rows, SCHEMA))
+    assert len(model) == 16 and all(200 < len(v) <= 256 for v in model.values())
+    monkeypatch.setattr(language_id, "LABELS", 15)
+    with pytest.raises(ValueError, match="more than 15 languages"):
+        language_id.fit(spark.createDataFrame(rows, SCHEMA))
+
+
 # 9
 
 
