@@ -13,7 +13,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from ..operators import inference, resume, status
+from ..operators import inference, models, resume, status
 from ..sources import files
 from . import config, logs, runs
 
@@ -93,7 +93,8 @@ def dispatch(a: argparse.Namespace, cfg: config.Config, spark: SparkSession, fac
     return 0
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None, factory: inference.ModelFactory = inference.EchoModel) -> int:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None, factory: inference.ModelFactory | None = None) -> int:
+    """Without a factory the configured model is loaded; where none is configured the stand-in echoes."""
     a = parser().parse_args(argv)
     if a.config and not os.path.exists(a.config):
         print(f"no configuration at {a.config}", file=sys.stderr)
@@ -105,7 +106,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, facto
         if not files.exists(spark, a.input):
             LOG.error("no input at %s", a.input)
             return 2
-        return dispatch(a, cfg, spark, factory)
+        return dispatch(a, cfg, spark, factory or (models.SpeechModel if cfg.model.hf_repo_id or cfg.model.local_model_path else inference.EchoModel))
     except resume.CheckpointMismatchError as e:
         LOG.error("%s", e)
         return 3

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
+from ..functions import ids
 from ..operators.batching import dense_position
 from . import audio, ranges
 
@@ -43,10 +44,19 @@ Parser = Callable[[str, str], Parsed]
 
 def tsv_record(line: str, root: str) -> Parsed:
     head, tab, rest = line.partition("\t")
-    own = head.strip(BLANKS)
-    parts = own.split("-")
-    reason = "blank" if not line.strip(BLANKS) else "no_tab" if not tab else "empty_id" if not own else "malformed_id" if len(parts) < 3 or not parts[0] or not parts[1] else None
-    return own, rest, None if reason else f"{root.rstrip('/')}/train/{parts[0]}/{parts[1]}/{own}.wav", None, reason
+    own, path, reason = head.strip(BLANKS), None, None
+    if not line.strip(BLANKS):
+        reason = "blank"
+    elif not tab:
+        reason = "no_tab"
+    elif not own:
+        reason = "empty_id"
+    else:
+        try:
+            path = ids.path_of(own, root)
+        except ids.MalformedSegmentIdError:
+            reason = "malformed_id"
+    return own, rest, path, None, reason
 
 
 def jsonl_record(line: str, root: str) -> Parsed:

@@ -26,7 +26,7 @@ def _system(base: str) -> pafs.FileSystem:
 def located(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
     if not SCHEME.match(path):
-        return _system("file:///"), os.path.abspath(path)
+        return _system("file:///"), path if path.startswith("/") else os.path.abspath(path)
     scheme, rest = path.split(":", 1)
     if scheme == "file":
         return _system("file:///"), "/" + rest.lstrip("/")
@@ -45,6 +45,8 @@ def opened(path: str) -> pa.NativeFile:
 
 def is_file(path: str) -> bool:
     system, where = located(path)
+    if isinstance(system, pafs.LocalFileSystem):
+        return os.path.isfile(where)  # several times as fast, and most paths are looked at once
     return system.get_file_info(where).is_file
 
 

@@ -143,3 +143,69 @@ def test_manifest_guard(spark, tmp_path):
     off = resume.Ledger(spark, str(tmp_path / "d"), str(p), enabled=False)
     off.guard(resume.manifest(spark, str(p), "tsv", "f"))
     assert not (tmp_path / "d").exists() and off.read().count() == 0
+
+
+def test_an_id_without_its_parts_is_an_error_of_its_own():
+    from quillspark.functions import ids
+
+    assert ids.path_of("1-2-3-4", "/r") == "/r/train/1/2/1-2-3-4.wav" and ids.path_of("1-2-", "/r").endswith("/1-2-.wav")
+    for bad in ("", "148", "148-148801", "-148801-11", "148--11"):
+        with pytest.raises(ids.MalformedSegmentIdError):
+            ids.path_of(bad, "/r")
+
+
+def test_models_are_loaded_from_folder_or_hub(monkeypatch, tmp_path):
+    import sys
+    import types
+
+    from conftest import tone
+
+    from quillspark.operators import inference, models
+
+    options = {"device": "cpu", "model": "/m", "local": True, "lang": "th", "task": "transcribe", "dtype": "float16", "max_new_tokens": 7, "sampling_rate": 16000}
+    monkeypatch.setitem(sys.modules, "torch", None)
+    with pytest.raises(inference.ModelLoadError, match="torch"):
+        models.SpeechModel(options)
+    asked = []
+
+    class Part:
+        def __init__(self, **parts):
+            self.parts = parts
+
+        @classmethod
+        def from_pretrained(cls, source, **how):
+            asked.append((source, how))
+            if source == "/none":
+                raise OSError("no folder")
+            return cls()
+
+        def to(self, *where):
+            asked.append(where)
+            return self
+
+        def eval(self):
+            return self
+
+        def __call__(self, clips, **how):
+            self.input_features, self.n = self, len(clips)
+            return self
+
+        def generate(self, heard, **how):
+            asked.append(how)
+            return heard.n
+
+        def batch_decode(self, n, skip_special_tokens):
+            return [" text "] * n
+
+    names = ("WhisperFeatureExtractor", "WhisperTokenizer", "WhisperProcessor", "WhisperForConditionalGeneration")
+    import contextlib
+
+    monkeypatch.setitem(sys.modules, "torch", types.SimpleNamespace(float16="half", bfloat16="brain", float32="whole", no_grad=contextlib.nullcontext))
+    monkeypatch.setitem(sys.modules, "transformers", types.SimpleNamespace(**{n: Part for n in names}))
+    model = models.SpeechModel(options)
+    clip = str(tone(tmp_path / "a.wav", 800))
+    assert inference.isolate(model, [clip, clip]) == [("text", None)] * 2 and model.transcribe_batch([]) == []
+    assert ("/m", {"torch_dtype": "half", "local_files_only": True}) in asked and {"language": "th", "task": "transcribe", "max_new_tokens": 7} in asked
+    for change in ({"model": "/none"}, {"dtype": "int4"}):
+        with pytest.raises(inference.ModelLoadError):
+            models.SpeechModel(options | change)
