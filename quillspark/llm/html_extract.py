@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled pages that the model is trained on, and their seed.
-PAGES, SEED = 1200, 4
+PAGES, SEED = 700, 4
 MARK = "data-content-label"
 
 #: A name, then a value in quotes only if they follow the equals sign at once.
@@ -55,6 +55,7 @@ WALLS = frozenset(("table", *CELL))
 TABLES = frozenset(("table", *PART))
 #: What words in class, id and role say of an element; the first line that has one counts.
 HINTS = [
+    ("hidden", ""),  # by the attribute or the style, no name says so
     ("comment", "comment comments reply replies discuss discussion respond disqus"),
     ("ad", "ad ads advert adverts advertisement sponsor sponsored promo banner adslot"),
     ("notice", "cookie cookies consent notice alert popup modal gdpr newsletter subscribe signup overlay toast"),
@@ -63,6 +64,7 @@ HINTS = [
     ("side", "sidebar aside related widget recommended trending popular more tags complementary"),
     ("social", "share sharing social follow login search form toolbar"),
     ("head", "header masthead branding logo topbar site"),
+    ("meta", "byline author meta dateline timestamp posted published"),
     ("main", "article content post entry story main body text prose page copy"),
 ]
 #: Names that begin with one of these say what is elsewhere.
@@ -71,12 +73,33 @@ ABOUT = frozenset("has with without no is".split())
 GROUPS = dict.fromkeys(HEADINGS, "h") | dict.fromkeys("li td th dt dd".split(), "i")
 RANK_OF = {w: rank for rank, (_, words) in reversed(list(enumerate(HINTS))) for w in words.split()}
 WORDS = re.compile(r"[a-z]+")
-SENTENCE = re.compile(r"[.!?…。][\"')»”]?\s*$")
+SENTENCE = re.compile(r"[.!?…。！？؟।][\"')»”」』]?\s*$")
+#: Characters that each say as much as some letters of an alphabet: ideographs and syllables.
+DENSE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+ATTRIBUTES = re.compile(r"""([^\s/=>]+)(?:\s*=\s*(?:"([^"]*)|'([^']*)|([^\s>]*)))?""")
+UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Wordings of short texts that are no part of an article.
 FORMULA = re.compile(r"©|\(c\)|copyright|all rights reserved|cookies?\b|newsletter|subscribe|\b(?:log|sign) ?(?:in|up|out)\b|advertisement|sponsored|privacy policy|terms of (?:use|service)|read more|related (?:posts|articles|stories)|\bshare (?:this|on)\b|leave a (?:comment|reply)|skip to", re.I)
 
 
+def units(text: str) -> int:
+    """The length of a text in letters of an alphabet."""
+    return len(text) if text.isascii() else len(text) + 2 * len(DENSE.findall(text))
+
+
+def is_hidden(attributes: str) -> bool:
+    """Whether the element is not shown: the attribute hidden (but not until-found), or a style of its own."""
+    for m in ATTRIBUTES.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" and value.lower() != "until-found" or name == "style" and UNSHOWN.search(value):
+            return True
+    return False
+
+
 def hint_of(attributes: str) -> str:
+    low = attributes.lower()
+    if ("hidden" in low or "none" in low) and is_hidden(attributes):
+        return "hidden"
     best = len(HINTS)
     for m in NAMED.finditer(attributes):
         if m[1]:
@@ -87,33 +110,40 @@ def hint_of(attributes: str) -> str:
     return HINTS[best][0] if best < len(HINTS) else "none"
 
 
+#: Least length of a sentence that counts as prose.
+PROSE = 40
+
+
 class Node:
-    __slots__ = ("tag", "hint", "label", "parent", "chars", "linked", "stops", "formula", "prose", "near", "all_chars", "all_linked", "all_prose", "whole")
+    __slots__ = ("tag", "hint", "label", "parent", "chars", "linked", "stops", "formula", "prose", "near", "all_chars", "all_linked", "all_prose", "most", "whole")
 
     def __init__(self, tag: str, attributes: str, parent: int):
         self.tag, self.parent = tag, parent
         self.hint = hint_of(attributes) if attributes and tag not in ("html", "body") else "none"
         self.label = bool(attributes) and MARK in attributes
         self.chars = self.linked = self.stops = self.formula = self.prose = self.near = 0
-        self.all_chars = self.all_linked = self.all_prose = 0
+        self.all_chars = self.all_linked = self.all_prose = self.most = 0
         self.whole = 1
 
     def add(self, text: str, linked: int) -> None:
-        self.chars += len(text)
-        self.linked += min(linked, len(text))
+        size = units(text)
+        self.chars += size
+        self.linked += min(linked * size // max(1, len(text)), size)
         stop = bool(SENTENCE.search(text))
         self.stops += stop
         if len(text) < 200 and FORMULA.search(text):
             self.formula += 1
-        if len(text) >= 60 and stop and 3 * linked < len(text):
-            self.prose += len(text)
+        if size >= PROSE and (stop or size >= 240) and 3 * linked < len(text):
+            self.prose += size
 
     def features(self) -> tuple:
         """What is seen of the element; None where it says nothing."""
         spread = own = near = formula = None
         if self.all_chars > self.chars:  # text in elements under it
             share = 4 * self.all_prose // self.whole
-            spread = (self.tag in ("html", "body"), share if self.all_prose else -1, (4 * self.all_linked >= self.all_chars) + (4 * self.all_linked >= 3 * self.all_chars))
+            # of the elements that have all prose the innermost, where it parts, is told from those around it
+            parts = self.all_prose > self.most
+            spread = (self.tag in ("html", "body"), (share, parts) if self.all_prose else None, (4 * self.all_linked >= self.all_chars) + (4 * self.all_linked >= 3 * self.all_chars))
         if self.chars:
             length = (self.chars >= 25) + (self.chars >= 80) + (self.chars >= 240)
             links = 0 if not self.linked else 1 + (2 * self.linked >= self.chars)
@@ -148,6 +178,8 @@ class Reader:
         if name in BLOCK:
             self.flush()
             self.nodes.append(Node(name, attributes, self.stack[-1][2]))
+            if self.nodes[self.stack[-1][2]].hint == "hidden":
+                self.nodes[-1].hint = "hidden"
             self.stack.append((name, kind, len(self.nodes) - 1))
             self.scopes[-1][1][kind] += 1
             self.walls[-1][1][kind] += 1
@@ -254,8 +286,8 @@ class Reader:
         nodes = self.nodes
         for (a, before), (b, after) in zip(self.blocks, self.blocks[1:]):
             if a != b:  # whether the texts before and after it in the page, of other elements, are long
-                nodes[b].near |= len(before) >= 60
-                nodes[a].near |= 2 * (len(after) >= 60)
+                nodes[b].near |= units(before) >= 60
+                nodes[a].near |= 2 * (units(after) >= 60)
         for node in reversed(nodes):
             node.all_chars += node.chars
             node.all_linked += node.linked
@@ -265,6 +297,7 @@ class Reader:
                 above.all_chars += node.all_chars
                 above.all_linked += node.all_linked
                 above.all_prose += node.all_prose
+                above.most = max(above.most, node.all_prose)
         for node in nodes:
             node.whole = max(1, nodes[0].all_prose)
         return nodes, self.blocks
@@ -363,18 +396,22 @@ class Model:
         return self.steps.get(node.kind()) or self.steps.get(node.hint) or self.step
 
     def evidence(self, node: Node) -> float:
+        if node.hint == "hidden":  # nor is anything in it shown
+            return -60.0
         f = node.features()
         first = self.ratio[0].get(f[0])
         if first is None:
             first = self.ratio[0].get((0, node.tag) if node.hint == "none" else (1, node.hint), 0.0)
         return first + sum(table.get(v, 0.0) for table, v in zip(self.ratio[1:], f[1:]))
 
-    def marginals(self, nodes: list[Node]) -> list[float]:
-        """The probability of content of each node."""
+    def marginals(self, nodes: list[Node], given: int | None = None) -> list[float]:
+        """The probability of content of each node; of a node that is given, and so of those around it, as content."""
         n = len(nodes)
         tables = [self.table(node) for node in nodes]
         # odds of the evidence in a node's own subtree, content against none
         own = [self.evidence(node) for node in nodes]
+        if given:
+            own[given] += 60.0
         up = [0.0] * n
         for i in range(n - 1, 0, -1):
             own[i] = max(-60.0, min(60.0, own[i]))
@@ -398,9 +435,19 @@ class Writer:
     MARKED = f' {MARK}="1"'
     SYLLABLES = ["ka", "lo", "mi", "ren", "tu", "sa", "ve", "don", "e", "ist"]
 
+    #: Letters or syllables of other scripts, what words are joined by, and what ends a sentence.
+    SCRIPTS = [
+        ("да но ме ри ста ол ку в не тел".split(), " ", ".?!"),
+        (list("的一是了我不在人有他这上大来以中到说"), "", "。？！"),
+        (list("のにはをたがでとしれさあいうカキト水車"), "", "。"),
+        ("ال من في على كان هذا ما لا قد".split(), " ", ".؟"),
+        ("กา ที่ นี่ มี ไม่ เรา วัน คน ไป".split(), "", " "),
+    ]
+
     def __init__(self, seed: int):
         self.random = random.Random(seed)
         self.plain = self.boxes = False
+        self.syllables, self.blank, self.stops = self.SYLLABLES, " ", "...?!"
 
     def chance(self, p: float) -> bool:
         return self.random.random() < p
@@ -410,7 +457,7 @@ class Writer:
 
     def words(self, a: int, b: int) -> str:
         r = self.random
-        return " ".join("".join(r.choice(self.SYLLABLES) for _ in range(r.randint(1, 4))) for _ in range(r.randint(a, b)))
+        return self.blank.join("".join(r.choice(self.syllables) for _ in range(r.randint(1, 4))) for _ in range(r.randint(a, b)))
 
     def sentence(self) -> str:
         text = self.words(1, 16)
@@ -418,7 +465,7 @@ class Writer:
             text += f' <a href="/x">{self.words(1, 3)}</a> ' + self.words(1, 5)
         if self.chance(0.08):
             text = f"<b>{text}" + self.pick("</b>", "")
-        return text.capitalize() + (self.pick(".", ".", ".", "?", "!") if self.chance(0.8) else "") + self.pick("", "", "", "<br>")
+        return text.capitalize() + (self.pick(*self.stops) if self.chance(0.8) else "") + self.pick("", "", "", "<br>")
 
     def paragraph(self) -> str:
         return " ".join(self.sentence() for _ in range(self.random.choice([1, 1, 2, 3, 5, 8])))
@@ -473,6 +520,10 @@ class Writer:
         if kind == "notice":
             inner = self.pick(f"{self.words(1, 6)} cookies {self.words(1, 4)}.", f"Subscribe {self.words(1, 5)} newsletter.") if plain else self.short()
             return self.named("div", "cookie-notice", "cookie", "consent", "notice", "newsletter", "popup") + r.choice([inner, f"<p>{inner}</p>"]) + f"<button>{self.words(1, 2)}</button></div>"
+        if kind == "hidden":
+            t = self.pick("p", "div", "div", "section")
+            how = self.pick(" hidden", ' hidden=""', ' style="display:none"', " style='visibility: hidden; top: 0'")
+            return f"<{t}{self.attrs('text', 'content', 'box')}{how}>{r.choice([self.paragraph(), self.short()]) if t == 'p' or self.chance(0.4) else '<p>' + self.paragraph() + '</p>'}</{t}>"
         if kind == "form":
             return f"<form{self.attrs('search', 'login')}>{r.choice(['', '<p>' + self.short() + '</p>', '<label>' + self.words(1, 3) + '</label>'])}<input><button>{self.words(1, 2)}</button></form>"
         # comments: what they say is like an article, so their names tell them apart
@@ -512,12 +563,23 @@ class Writer:
             return f"<div{m}>{self.paragraph()}</div>"
         if kind < 0.92:
             return f"<p{m}>{self.formula()}</p>"
-        return self.boiler(self.pick("ad", "ad", "side", "notice", "form"))
+        return self.boiler(self.pick("ad", "ad", "side", "notice", "form", "hidden"))
+
+    def titled(self, title: str) -> str:
+        """An article's own header: its title is content, who wrote it and when is not."""
+        about = f'<p class="{self.pick("byline", "author", "post-meta", "entry-meta", "dateline")}">{self.words(2, 5)}</p>' if self.chance(0.4) else ""
+        return f"<header{self.attrs('entry-header', 'article-header')}{self.MARKED}>{title}{about}</header>"
+
+    def about(self) -> str:
+        """An article's own footer: no content."""
+        return f"<footer{self.attrs('entry-footer', 'post-footer')}>{self.random.choice([lambda: self.words(1, 3) + ': ' + self.links(1), lambda: '<p>' + self.words(2, 5) + '</p>', lambda: self.links(3)])()}</footer>"
 
     def content(self) -> str:
         r, m = self.random, self.MARKED
-        if self.chance(0.12):
-            parts = "".join(f"<p{m}>{self.words(1, 5)}{self.pick('', '.')}</p>" for _ in range(r.randint(1, 2)))
+        short = self.chance(0.2)
+        if short:
+            one = lambda: self.words(1, 5) + self.pick("", ".") if self.chance(0.4) else self.words(6, 16).capitalize() + self.stops[0]
+            parts = "".join(f"<p{m}>{one()}</p>" for _ in range(r.randint(1, 2)))
         else:
             parts = "".join(self.part() for _ in range(r.randint(1, 9)))
         if self.plain and self.boxes:
@@ -531,7 +593,11 @@ class Writer:
             else:
                 parts = "<br><br>".join(prose() for _ in range(r.randint(2, 4)))
         top = self.pick("h1", "h1", "h2") if self.chance(0.8) else ""
-        inside = (f"<{top}{m}>{self.words(1, 10)}</{top}>" if top else "") + parts + (self.boiler("comment") if self.chance(0.12) else "")
+        title = f"<{top}{m}>{self.words(1, 10)}</{top}>" if top else ""
+        if title and not self.boxes and self.chance(0.2):
+            title = self.titled(title)
+        end = self.about() if not self.boxes and self.chance(0.15) else ""
+        inside = title + parts + end + (self.boiler("comment") if self.chance(0.12) else "")
         if self.boxes:
             t, hint = "div", self.attrs("article-body", "content", "post entry", "story", "main-text")
         else:
@@ -542,17 +608,26 @@ class Writer:
         return f"<div{self.attrs('wrapper', 'container', 'row')}>{page}</div>" if self.chance(0.2) else page
 
     def page(self) -> str:
+        usual = self.SYLLABLES, " ", "...?!"
+        self.syllables, self.blank, self.stops = self.random.choice(self.SCRIPTS) if self.chance(0.25) else usual
         self.boxes = self.chance(0.4)
         self.plain = self.chance(0.6 if self.boxes else 0.2)
         before = [self.boiler(k) for k in ("header", "nav", "notice", "ad", "form", "side") if self.chance(0.45)]
         after = [self.boiler(k) for k in ("comment", "side", "ad", "form", "notice") if self.chance(0.35)]
+        if self.chance(0.1):
+            self.random.choice([before, after]).append(self.boiler("hidden"))
         self.random.shuffle(before)
         self.random.shuffle(after)
         foot = self.boiler("footer") if self.chance(0.85) else ""
         if self.boxes and self.chance(0.3):  # a table lays the page out; a cell is the article's box
             inside = self.content()
             cells = [f"<td>{''.join(before)}</td>", f"<td>{inside}</td>", f"<td>{''.join(after)}</td>"]
-            page = f"<table><tr>{''.join(cells)}</tr></table>" + foot
+            if self.chance(0.5):
+                page = f"<table><tr>{''.join(cells)}</tr></table>" + foot
+            else:  # rows over and under it, and the article in its cell without a box or in one
+                cell = f"<td{self.MARKED}>{inside}</td>" if self.chance(0.3) else cells[1]
+                rows = [f"<td colspan=2>{''.join(before) or self.links(4)}</td>", cell + (f"<td>{self.links(4)}</td>" if self.chance(0.5) else ""), f"<td colspan=2>{foot if foot and self.chance(0.4) else self.formula()}</td>"]
+                page = "<table>" + "".join(f"<tr>{x}</tr>" for x in rows) + "</table>"
         else:
             page = "".join(before) + self.content() + "".join(after) + foot
             if self.chance(0.15):
@@ -577,10 +652,33 @@ def trained() -> Model:
     return Model(label_pages())
 
 
+#: Elements and names that say that they hold no article, and elements that say that they do.
+OTHERS, OTHER_HINTS = frozenset("nav footer aside header form dialog menu".split()), frozenset(("hidden", "comment", "ad", "notice", "nav", "foot", "side", "social", "head", "meta"))
+HOLDERS = ("article", "main")
+
+
+def holder(nodes: list[Node]) -> int | None:
+    """The element that must hold the article of a page none of whose prose seems to be content: of those that nothing around them speaks against
+    an article or main element with text, or the innermost that has all the prose.  None if there is neither: such a page has no article.
+    """
+    free, prose = [True] * len(nodes), [0] * len(nodes)
+    for i, node in enumerate(nodes):
+        free[i] = node.tag not in OTHERS and node.hint not in OTHER_HINTS and (node.parent < 0 or free[node.parent])
+        prose[i] = node.prose if free[i] and not node.formula else 0
+    for i in range(len(nodes) - 1, 0, -1):
+        prose[nodes[i].parent] += prose[i]
+    said = [i for i, node in enumerate(nodes) if node.tag in HOLDERS and free[i] and node.all_chars > node.all_linked]
+    if said:
+        return max(said, key=lambda i: (prose[i], nodes[i].all_chars, -i))
+    return max((i for i in range(1, len(nodes)) if prose[i] == prose[0]), default=None) if prose[0] else None
+
+
 def extract(page: str | None, model: Model) -> tuple[str, int, float]:
     """The main text, its number of blocks, and the least sure of all decisions (0.5 to 1)."""
     nodes, blocks = parse(page or "")
     content = model.marginals(nodes)
+    if not any(nodes[o].prose and content[o] > 0.5 for o, _ in blocks) and (given := holder(nodes)):
+        content = model.marginals(nodes, given)
     kept = [text for owner, text in blocks if content[owner] > 0.5]
     return "\n\n".join(kept), len(kept), min((max(content[o], 1 - content[o]) for o, _ in blocks), default=1.0)
 
@@ -591,7 +689,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
     joined in page order by two line ends.  A null or empty page, or one without content, has an empty text.
     Broken markup (unclosed tags, a lone <, cut pages) is read as far as it goes.  A page of any length is read
-    whole, in time linear in it.  A node as likely content as not is no content.  Repeated rows each
+    whole, in time linear in it.  A node as likely content as not is no content.  Elements that are not shown, by the attribute hidden
+    or a style of their own, are no content, as menus are none.  Where no prose is likely, an article or main element, else the innermost
+    element with all prose that no menu or the like holds, is given as content and the messages are passed anew: a page with an article has a text.  Repeated rows each
     give a row; extra columns, whatever their names, are not read; an empty table gives an empty one.
     The model is trained on the driver and sent with the tasks: tables of some hundred numbers.
     """
