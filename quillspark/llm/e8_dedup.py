@@ -3,7 +3,8 @@
 Each table projects unit vectors to eight random dimensions and decodes them to the nearest point of the
 E8 lattice.  A vector is stored in its own cell and looks also into neighbouring cells, those of the
 lattice's minimal vectors that come nearest to it.  Pairs that meet are thinned out by a
-bit sketch and verified by cosine in double precision.
+bit sketch and verified by cosine in double precision.  A row carries its own cells of all tables, so a pair that
+has one in common is told in the first of these alone, and elsewhere not.
 
 Equal vectors form one class with a count, so copies are never paired with each other.
 """
@@ -101,8 +102,11 @@ class Hasher:
         return np.packbits(unit @ self.sketch > 0, axis=1)
 
 
+HASHED = "key long, looks boolean, id long, sketch binary, cells binary, nth byte"
+
+
 def hash_classes(batches: Iterator[pa.RecordBatch], tables: int, probes: int) -> Iterator[pa.RecordBatch]:
-    """From (id, vector): key, looks (whether the row looks into the cell or is stored there), id, sketch."""
+    """From (id, vector): key, looks (whether the row looks into the cell or is stored there), id, sketch, cells (32 bits of the own cells of all tables), nth (table)."""
     hashers: dict[int, Hasher] = {}
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -112,50 +116,60 @@ def hash_classes(batches: Iterator[pa.RecordBatch], tables: int, probes: int) ->
             by_dim.setdefault(len(v), []).append(i)
         for dim, rows in by_dim.items():
             h = hashers.setdefault(dim, Hasher(dim, tables, probes))
-            x = np.stack([vectors[i] for i in rows])
+            x = np.stack([vectors[i] for i in rows]).astype(np.float64)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             sketch = [b.tobytes() for b in h.bits(unit)]
-            for own, near in h.cells(unit):
+            cells = list(h.cells(unit))
+            owns = [b.tobytes() for b in np.stack([own for own, _ in cells], axis=1).astype(np.uint32)]
+            for nth, (own, near) in enumerate(cells):
                 key = np.concatenate([own, near.T.reshape(-1)])
                 looks = np.r_[np.zeros(len(own), bool), np.ones(near.size, bool)]
                 times = 1 + near.shape[1]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), pa.array(sketch * times, pa.binary())], ["key", "looks", "id", "sketch"])
+                columns = [pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), pa.array(sketch * times, pa.binary()), pa.array(owns * times, pa.binary()), pa.array(np.full(len(key), nth, np.int8))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "looks", "id", "sketch", "cells", "nth"])
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in the order of (key, looks): pairs in a cell whose sketches are near.
 
-    A part's stored rows are held, 40 bytes each; those that look into it are compared as they come.
+    A pair with a common own cell is told where both are stored in the first such cell; one without wherever it meets.
+    A part's stored rows are held, 80 bytes each; those that look into it are compared as they come.
     """
     at = None
-    stored: list[tuple[int, np.ndarray]] = []
+    stored: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for batch in batches:
         key, looks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         if not len(key):
             continue
         sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(len(key), -1)
+        owns = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(len(key), -1)
+        nth = batch.column(5).to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
             if key[lo] != at:
                 at, stored = key[lo], []
             if hi - lo == 1 and not stored:
-                stored = [] if looks[lo] else [(ids[lo : lo + 1], sketch[lo : lo + 1])]
+                stored = [] if looks[lo] else [(ids[lo : lo + 1], sketch[lo : lo + 1], owns[lo : lo + 1])]
                 continue
             mid = lo + int(np.searchsorted(looks[lo:hi], True))
             if mid > lo:
-                stored.append((ids[lo:mid], sketch[lo:mid]))
+                stored.append((ids[lo:mid], sketch[lo:mid], owns[lo:mid]))
             # stored rows meet each other (the last part all parts), those that look meet all stored
             for begin, end in ((lo, mid), (mid, hi)):
                 for a in range(begin, end, BLOCK):
                     b = min(a + BLOCK, end)
-                    for other, bits in stored:
+                    for other, bits, cells in stored:
                         for c in range(0, len(other), BLOCK):
                             far = np.bitwise_count(sketch[a:b, None, :] ^ bits[None, c : c + BLOCK, :]).sum(axis=2, dtype=np.uint16)
                             x, y = np.nonzero(far <= SKETCH_MOST)
-                            found_a.append(ids[a:b][x])
-                            found_b.append(other[c : c + BLOCK][y])
+                            common = owns[a:b][x] == cells[c : c + BLOCK][y]
+                            # the first common own cell; a pair that has one meets there, and is told there alone
+                            first = np.where(common.any(axis=1), common.argmax(axis=1), -1)
+                            here = (first < 0) | (first == nth[a:b][x]) & common[np.arange(len(x)), nth[a:b][x]]
+                            found_a.append(ids[a:b][x[here]])
+                            found_b.append(other[c : c + BLOCK][y[here]])
         pairs = np.stack([np.concatenate(found_a), np.concatenate(found_b)])
         pairs = np.sort(pairs[:, pairs[0] != pairs[1]], axis=0)
         pairs = np.unique(pairs, axis=1)
@@ -168,7 +182,7 @@ def cosines(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
     out = np.full(len(x), -2.0)
     for dim in np.unique(n[n == m]).tolist():
         rows = np.flatnonzero((n == dim) & (m == dim))
-        a, b = (v.take(pa.array(rows)).flatten().to_numpy().reshape(-1, dim) for v in (x, y))
+        a, b = (v.take(pa.array(rows)).flatten().to_numpy().reshape(-1, dim).astype(np.float64) for v in (x, y))
         a, b = (v / np.abs(v).max(axis=1, keepdims=True) for v in (a, b))
         dot = lambda p, q: np.einsum("ij,ij->i", p, q)
         out[rows] = dot(a, b) / np.sqrt(dot(a, a) * dot(b, b))
@@ -178,12 +192,12 @@ def cosines(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
 def verified(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
     """From pairs (a, b, ca, cb, va, vb) with the copies and vectors of both: what their links come to.
 
-    Rows (a, a, n) tell that a is linked to n vectors more, rows (a, b, 0) are a spanning forest of the links
-    seen: links themselves, whose number may grow as the square of a cluster, are not told one by one.
+    Rows (a, a, n) tell that a is linked to n vectors more, rows (a, b, 0) that a hangs together with b, the least
+    vector of those that links seen here join: links themselves, whose number may grow as the square of a cluster, are not
+    told one by one, and tasks that see parts of one cluster tell much the same rows.
     """
     counts: dict[int, int] = {}
     above: dict[int, int] = {}
-    trees: list[tuple[int, int]] = []
 
     def root(x: int) -> int:
         while (up := above.get(x, x)) != x:
@@ -193,8 +207,9 @@ def verified(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Re
 
     def told() -> pa.RecordBatch:
         ids, n = list(counts), list(counts.values())
-        a, b = [x for x, _ in trees], [y for _, y in trees]
-        return pa.RecordBatch.from_arrays([pa.array(ids + a, pa.int64()), pa.array(ids + b, pa.int64()), pa.array(n + [0] * len(trees), pa.int64())], ["a", "b", "n"])
+        a = list(above)
+        b = [root(x) for x in a]
+        return pa.RecordBatch.from_arrays([pa.array(ids + a, pa.int64()), pa.array(ids + b, pa.int64()), pa.array(n + [0] * len(a), pa.int64())], ["a", "b", "n"])
 
     for batch in batches:
         keep = np.flatnonzero(cosines(batch.column(4), batch.column(5)) >= cosine)
@@ -204,10 +219,9 @@ def verified(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Re
             x, y = root(a), root(b)
             if x != y:
                 above[max(x, y)] = min(x, y)
-                trees.append((a, b))
         if len(counts) > TOLD:
             yield told()
-            counts, above, trees = {}, {}, []
+            counts, above = {}, {}
     yield told()
 
 
@@ -217,9 +231,8 @@ def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
     A part stores some of a cell's rows; all that look into the cell look into each part, and a stored row looks
     into the parts after its own, so a pair still meets, and stored rows meet once.
     """
-    columns = "key long, looks boolean, id long, sketch binary"
-    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), columns)
-    stored = points.mapInArrow(lambda it: hash_classes(it, tables, 0), columns)
+    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), HASHED)
+    stored = points.mapInArrow(lambda it: hash_classes(it, tables, 0), HASHED)
     hot = settle(stored.groupBy("key").count().where(F.col("count") > PART_ROWS).select("key", F.ceil(F.col("count") / PART_ROWS).alias("parts")))
     if hot.isEmpty():
         return hashed
@@ -228,7 +241,7 @@ def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
     # the parts from a stored row's own on, or all
     dealt = dealt.withColumn("part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.coalesce("own", F.lit(0).cast("long")), F.col("parts") - 1))))
     looks = F.col("looks") | (F.col("parts").isNotNull() & (F.col("part") > F.col("own")))
-    return dealt.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), looks.alias("looks"), "id", "sketch")
+    return dealt.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), looks.alias("looks"), "id", "sketch", "cells", "nth")
 
 
 def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
@@ -247,9 +260,11 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     n = width(vectors.sparkSession)
     v = F.col("v")
     usable = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    # vectors of floats travel as such, which is half as much, and are doubles where they are reckoned with
+    kind = "float" if vectors.select(F.col(vector_col)).dtypes[0][1] == "array<float>" else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     # -0.0 and 0.0 are one value
-    rows = rows.select("id", F.when(F.coalesce(usable, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0))).alias("v"))
+    rows = rows.select("id", F.when(F.coalesce(usable, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0).cast(kind))).alias("v"))
     rows = settle(rows.select("id", "v", F.when(F.col("v").isNotNull(), F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)).alias("h")))
     classes = settle(rows.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")).where("rep is not null"))
     points = classes.select(F.col("rep").alias("id"), "v", "copies")
