@@ -26,13 +26,20 @@ BASE_PHRASES = {
 NOTICES = [
     ("gnu general public license", "gpl", 3),
     ("gnu lesser general public license", "lgpl", 3),
+    ("gnu library general public license", "lgpl", 3),
     ("gnu affero general public license", "agpl", 3),
+    ("gplv2", "gpl", 0),
+    ("gplv3", "gpl", 0),
+    ("lgplv2", "lgpl", 0),
+    ("lgplv3", "lgpl", 0),
+    ("agplv3", "agpl", 0),
     ("apache license", "apache", 2),
     ("licensed under the apache license version 2", "apache", 4),
     ("mit license", "mit", 1),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
     ("bsd license", "bsd", 1),
     ("redistribution and use in source and binary forms with or without modification", "bsd", 6),
+    ("redistribution and use in source and binary forms are permitted", "bsd", 5),
     ("isc license", "isc", 1),
     ("permission to use copy modify and or distribute this software for any purpose", "isc", 6),
     ("mozilla public license", "mpl", 2),
@@ -46,14 +53,20 @@ NOTICES = [
     ("creative commons attribution sharealike", "cc-by-sa", 3),
     ("creative commons attribution noncommercial", "cc-by-nc", 3),
     ("creative commons attribution noderivatives", "cc-by-nd", 3),
+    ("creative commons attribution noncommercial sharealike", "cc-by-nc-sa", 3),
+    ("creative commons attribution noncommercial noderivatives", "cc-by-nc-nd", 3),
     ("creative commons zero", "cc0", 2),
 ]
-#: A tag searched with edits, and the labels of the words that must follow it unchanged (the longest counts).
+#: A tag searched with edits, and the labels of the words that must follow it unchanged (the longest counts).  More of them may follow, joined by
+#: JOINS, behind VERSIONS and an EXCEPTION.
 TAG, TAG_EDITS = "spdx license identifier", 2
 TAG_WORDS = {
-    "0bsd": "bsd", "agpl": "agpl", "apache": "apache", "bsd": "bsd", "bsl": "bsl", "cc by": "cc-by", "cc by nc": "cc-by-nc", "cc by nd": "cc-by-nd", "cc by sa": "cc-by-sa",
+    "0bsd": "bsd", "agpl": "agpl", "apache": "apache", "bsd": "bsd", "bsl": "bsl", "cc by": "cc-by", "cc by nc": "cc-by-nc", "cc by nc nd": "cc-by-nc-nd", "cc by nc sa": "cc-by-nc-sa", "cc by nd": "cc-by-nd", "cc by sa": "cc-by-sa",
     "cc0": "cc0", "cddl": "cddl", "epl": "epl", "eupl": "eupl", "gpl": "gpl", "isc": "isc", "lgpl": "lgpl", "mit": "mit", "mpl": "mpl", "unlicense": "unlicense", "zlib": "zlib",
 }
+JOINS = re.compile(r" (?:and|or)(?= )")
+VERSIONS = re.compile(r"(?: (?:\d+|v\d+|only|plus|clause))*(?: or later)?(?= |$)")
+EXCEPTION = re.compile(r" with(?: (?!and |or )\S+){0,5}? exception(?: \d+)*(?= |$)")
 #: Leading words of up to this length are short; a phrase of at least LONG characters may have one of its edits in these, others none.
 SHORT_WORD, LONG = 3, 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -65,6 +78,7 @@ class Notice:
 
     def __init__(self, phrase: str, label: str, edits: int, after: dict[str, str] | None = None):
         self.phrase, self.label, self.edits, self.after = phrase, label, edits, after
+        self.longest = sorted(after or (), key=len, reverse=True)
         cuts = [len(phrase) * i // (edits + 1) for i in range(edits + 2)]
         self.seeds = [(a, phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
         words = phrase.split(" ")
@@ -121,14 +135,24 @@ class Notice:
         if held:
             yield held
 
-    def label_at(self, joined: str, end: int) -> str | None:
-        """The label of a place that ends here."""
+    def labels_at(self, joined: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+        """(label, start, end) of a place; of a tag's, one for each of the words that follow it."""
         if self.after is None:
-            return self.label
-        for words in sorted(self.after, key=len, reverse=True):
-            if joined.startswith(f" {words}", end) and joined[end + len(words) + 1 : end + len(words) + 2] in ("", " "):
-                return self.after[words]
-        return None
+            yield self.label, start, end
+            return
+        while True:
+            words = next((w for w in self.longest if joined.startswith(f" {w}", end) and joined[end + len(w) + 1 : end + len(w) + 2] in ("", " ")), None)
+            if words is None:
+                return
+            yield self.after[words], start, end + len(words) + 1
+            end += len(words) + 1
+            for part in (VERSIONS, EXCEPTION):
+                m = part.match(joined, end)
+                end = m.end() if m else end
+            m = JOINS.match(joined, end)
+            if not m:
+                return
+            start, end = m.end() + 1, m.end()
 
 
 def compiled(notices: list[tuple[str, str, int]], tag: tuple[str, int, dict[str, str]] | None) -> list[Notice]:
@@ -150,17 +174,21 @@ def scan_text(text: str | None, base: dict[str, str], notices: list[Notice]) ->
             labels.add(label)
             last, at = at, padded.find(f" {phrase} ", at + 1)
     hits, share = [], 0.0
-    for n in notices:
+    for order, n in enumerate(notices):
         last, spaces = 0, 0
         for a, b, edits in n.search(joined):
-            label = n.label_at(joined, b)
-            if label is None:
-                continue
-            spaces += joined.count(" ", last, a)
-            hits.append((label, spaces, spaces + joined.count(" ", a, b), edits, joined[a:b]))
-            share = max(share, 1 - edits / len(n.phrase))
-            last = a
-    return len(words), starts, labels, hits, share
+            for label, x, y in n.labels_at(joined, a, b):
+                spaces += joined.count(" ", last, x)
+                hits.append((order, label, spaces, spaces + joined.count(" ", x, y), edits, joined[x:y], 1 - edits / len(n.phrase)))
+                last = x
+    # a place inside a longer one is part of it: the longest notice counts
+    end, kept = (-1, -1), []
+    for hit in sorted(hits, key=lambda h: (h[2], -h[3])):
+        if hit[3] > end[1] or (hit[2], hit[3]) == end:
+            end = hit[2], hit[3]
+            kept.append(hit)
+    share = max((h[6] for h in kept), default=0.0)
+    return len(words), starts, labels, [h[1:6] for h in sorted(kept)], share
 
 
 RESULT = (
@@ -183,7 +211,8 @@ def scan_licenses(
     places found with edits as word spans with their text.  score is 1 with a base label, else the
     best hit's share of unchanged characters, else 0.  A null or empty text has no words, no places,
     null first_word and last_word, empty labels.  Of overlapping places of one notice the one with fewest edits
-    stays, the first in a tie; places of different notices may overlap.  A text of any length is read whole, in
+    stays, the first in a tie; a place that lies inside a longer one, of whatever notice, is part of that and tells nothing; other
+    places of different notices may overlap.  All ids of a tag's expression count.  A text of any length is read whole, in
     time linear in its seeds.  Repeated rows each get their row; other columns, whatever their names, are not
     read; an empty table gives an empty one.
     """

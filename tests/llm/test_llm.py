@@ -164,7 +164,15 @@ def test_license_short_notices_and_precision():
     assert labels("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee") == ["isc"]
     assert labels("GNU Afero General Public License") == ["agpl"] and labels("Gnv General Public Licence") == ["gpl"]
     assert labels("// SPDX-License-Identifier: Apache-2.0") == ["apache"] and labels("spdx licence identifier gpl 2 0 only") == ["gpl"] and labels("SPDX License Identifier: CC-BY-SA-4.0") == ["cc-by-sa"]
-    assert labels("Creative Commons Attribution-ShareAlike 4.0") == ["cc-by", "cc-by-sa"]
+    assert labels("Creative Commons Attribution-ShareAlike 4.0") == ["cc-by-sa"] and labels("Creative Commons Attribution 4.0") == ["cc-by"]
+    assert labels("Creative Commons Attribution-NonCommercial-NoDerivatives") == ["cc-by-nc-nd"] and labels("creative commons attribution noncomercial share-alike") == ["cc-by-nc-sa"]
+    assert labels("SPDX-License-Identifier: CC-BY-NC-SA-4.0") == ["cc-by-nc-sa"] and labels("SPDX-License-Identifier: (MIT OR Apache-2.0)") == ["apache", "mit"]
+    assert labels("SPDX-License-Identifier: (MIT OR Apache-2.0)".replace("License-Identifier", "Licence-Identifier")) == ["apache", "mit"]
+    assert labels("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR BSD-3-Clause AND LGPL-2.1-only") == ["bsd", "gpl", "lgpl"]
+    assert labels("SPDX-License-Identifier: MIT or later or else") == ["mit"] and labels("SPDX-License-Identifier: MIT and more text follows") == ["mit"]
+    assert labels("GNU Library General Public License") == ["lgpl"] and labels("This program is under GPLv3.") == ["gpl"] and labels("gplv4 gplv33") == []
+    assert labels("Redistribution and use in source and binary forms are permitted provided that") == ["bsd"]
+    assert labels("Licensed under the Apache License, Version 2.0; MIT License") == ["apache", "mit"]
     for clean in ("the general public license", "a bit license", "it license", "commit license", "bad license", "permission is granted to any person", "spdx license identifier unknown", "redistribution in binary form", "creative comments", "public licence"):
         assert labels(clean) == [], clean
 
