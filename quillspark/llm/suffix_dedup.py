@@ -400,7 +400,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             # the lower half of a step is noise
             rows.append((b, binary(step.astype(np.uint16)), shrunk((step >> 16).astype(np.uint16), count[p])))
         columns = list(zip(*rows)) or [[], [], []]
-        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "low": pa.array(columns[1], pa.binary()), "high": pa.array(columns[2], pa.binary())})
+        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64()), "low": pa.array(columns[1], pa.binary()), "high": pa.array(columns[2], pa.binary())})
 
     def shared(key, table):
         tag_parts, count_parts = [], []
@@ -433,7 +433,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rows.append((b, binary((code[p] & LOW).astype(np.uint32)), shrunk(size[p], steps(owner[p])), zstandard.compress(b"".join([texts[i] for i in p.tolist()]), LEVEL)))
         columns = list(zip(*rows)) or [[]] * 4
         names = ["tags", "owner", "data"]
-        return pa.table({"bucket": pa.array(columns[0], pa.int64()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64())} | {n: pa.array(c, pa.binary()) for n, c in zip(names, columns[1:])})
+        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64())} | {n: pa.array(c, pa.binary()) for n, c in zip(names, columns[1:])})
 
     def judged(key, table):
         enter("suffix_dedup")
@@ -485,11 +485,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({f"c{i}": rest[f"c{i}"].combine_chunks() for i in range(len(carry))} | {"n_bytes": pa.array([t.size for t in block.texts], pa.int64()), "spans": pa.array(spans, span), "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())})
 
-    by_block = "block long, bucket long, told binary, hot binary"
-    asked = placed.groupBy("block").applyInArrow(tags, "bucket long, block long, low binary, high binary")
-    replies = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shared, by_block)
-    offers = placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(offered, "bucket long, block long, tags binary, owner binary, data binary")
-    judgements = offers.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(judged, by_block)
+    by_block = "block long, bucket int, told binary, hot binary"
+    # a bucket is a partition: by a hash of their numbers some tasks would get several and others none
+    asked = placed.groupBy("block").applyInArrow(tags, "bucket int, block long, low binary, high binary")
+    replies = asked.repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(shared, by_block)
+    offers = placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(offered, "bucket int, block long, tags binary, owner binary, data binary")
+    judgements = offers.repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(judged, by_block)
     schema = T.StructType([*fields, *T.StructType.fromDDL("n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if as_text else "binary")).fields])
     out = placed.groupBy("block").cogroup(replies.unionByName(judgements).groupBy("block")).applyInArrow(merged, schema)
     return out.toDF(*carry, "n_bytes", "spans", "kept")
