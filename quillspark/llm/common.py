@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,22 +40,32 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-#: Paths of the tables that settle() has written and that are not deleted yet, in their order.
-_SETTLED: list[str] = []
+class _Settled(threading.local):
+    """Paths of the tables that settle() has written in this thread and that are not deleted yet, in their order: pipelines in several
+    threads do not see each other's.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_SETTLED = _Settled()
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and return a read of it: cuts the lineage.
 
     The table outlives any executor.  drop_settled() removes one that is no longer needed, drop_settled_since()
-    all that were written since a mark.
+    all that this thread has written since a mark; what is left goes when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillspark-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled_path = path
-    _SETTLED.append(path)
+    _SETTLED.paths.append(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
     return out
 
 
@@ -66,22 +77,22 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 def drop_settled(df: DataFrame) -> None:
     """Delete the table behind a DataFrame that settle() returned."""
     path = getattr(df, "_settled_path", None)
-    if path in _SETTLED:
-        _SETTLED.remove(path)
+    if path in _SETTLED.paths:
+        _SETTLED.paths.remove(path)
         delete_folder(df.sparkSession, path)
 
 
 def settled_mark() -> int:
     """For drop_settled_since()."""
-    return len(_SETTLED)
+    return len(_SETTLED.paths)
 
 
 def drop_settled_since(spark: SparkSession, mark: int, keep: DataFrame | None = None) -> None:
     """Delete the tables settled since the mark but the one behind `keep`: once a result is written, what it was made from can go."""
     kept = getattr(keep, "_settled_path", None)
-    for path in _SETTLED[mark:]:
+    for path in _SETTLED.paths[mark:]:
         if path != kept:
-            _SETTLED.remove(path)
+            _SETTLED.paths.remove(path)
             delete_folder(spark, path)
 
 

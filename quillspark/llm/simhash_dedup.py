@@ -85,9 +85,9 @@ def forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
 
 
 def link_sorted(batches: Iterator[pa.RecordBatch], bits: int, limit: float) -> Iterator[pa.RecordBatch]:
-    """From (key, fp) in the order of key: edges between fingerprints, and the members of too large buckets."""
+    """From (key, fp, path) in the order of key: edges between fingerprints, and the members of too large buckets."""
 
-    def solved(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    def solved(key: np.ndarray, fp: np.ndarray, path: np.ndarray) -> pa.RecordBatch:
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         size = np.diff(cut)
         two = cut[:-1][size == 2]
@@ -104,27 +104,40 @@ def link_sorted(batches: Iterator[pa.RecordBatch], bits: int, limit: float) -> I
         pairs = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
         more, n = np.concatenate(again), pairs.shape[1]
         left, right = np.r_[pairs[0], fp[more]].view(np.int64), np.r_[pairs[1], fp[more]].view(np.int64)
-        columns = [left, right, np.r_[np.zeros(n, np.int64), key[more]], np.r_[np.zeros(n, bool), np.ones(len(more), bool)]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "key", "again"])
+        columns = [left, right, np.r_[np.zeros(n, np.int64), key[more]], np.r_[np.zeros(n, np.int64), path[more]], np.r_[np.zeros(n, bool), np.ones(len(more), bool)]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "key", "path", "again"])
 
-    rest: list[tuple[np.ndarray, np.ndarray]] = []
+    rest: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        rest.append((key, fp.view(np.uint64)))
+        key, fp, path = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        rest.append((key, fp.view(np.uint64), path))
         if len(rest) > 1 and rest[-2][0][-1] == key[-1]:
             continue
-        key, fp = (np.concatenate(x) for x in zip(*rest))
+        key, fp, path = (np.concatenate(x) for x in zip(*rest))
         open_at = int(np.searchsorted(key, key[-1]))  # the last bucket may go on in the next batch
         if open_at:
-            yield solved(key[:open_at], fp[:open_at])
-        rest = [(key[open_at:], fp[open_at:])]
+            yield solved(key[:open_at], fp[:open_at], path[:open_at])
+        rest = [(key[open_at:], fp[open_at:], path[open_at:])]
     if rest:
         yield solved(*(np.concatenate(x) for x in zip(*rest)))
 
 
-LINKS = "a long, b long, key long, again boolean"
+LINKS = "a long, b long, key long, path long, again boolean"
+#: Parts that the bits of the other segment are cut in when a bucket is dealt again: of four parts with three differing bits at most one is equal.
+PARTS = 4
+#: How often: 32 bits leave 24, 18, 14 and 11 that may differ, so the last buckets have 2,048 members at most, 4,096 with the wildcard.
+DEALS = 4
+
+
+def masks(path: int, deal: int) -> list[int]:
+    """The parts of the bits that are open at this deal, the parts chosen before being the digits of path."""
+    left = list(range(32))
+    for k in range(deal):
+        nth = path // PARTS ** (deal - 1 - k) % PARTS
+        left = [b for i, b in enumerate(left) if i % PARTS != nth]
+    return [sum(1 << b for i, b in enumerate(left) if i % PARTS == nth) for nth in range(PARTS)]
 
 
 def near_edges(prints: DataFrame, bits: int = BITS) -> DataFrame:
@@ -136,16 +149,32 @@ def near_edges(prints: DataFrame, bits: int = BITS) -> DataFrame:
     within = F.expr("shiftleft(1L, cast(bit % 32 as int))")
     variant = half.bitwiseAND(F.bitwise_not(within))
     signed = prints.select("fp", F.explode(F.expr("sequence(0L, 63L)")).alias("bit"))
-    signed = signed.select(F.expr("shiftleft(bit, 32)").bitwiseOR(variant).alias("key"), "fp")
-    # a bucket is one sorted stretch of a partition, so a task holds one bucket and not its partition
-    found = signed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: link_sorted(it, bits, BUCKET), LINKS)
-    found = settle(found)
-    other = F.when(F.shiftrightunsigned("key", 32) < 32, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
-    byte = F.expr("shiftright(other, cast(8 * nth as int))").bitwiseAND(F.lit(255))
-    again = found.where("again").select("key", F.col("a").alias("fp")).select("key", "fp", other.alias("other"), F.explode(F.expr("sequence(0L, 3L)")).alias("nth"))
-    again = again.select(F.xxhash64("key", "nth", byte).alias("key"), "fp")
-    more = again.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: link_sorted(it, bits, float("inf")), LINKS)
-    return found.where("not again").select("a", "b").unionByName(more.select("a", "b")).distinct()
+    signed = signed.select(F.expr("shiftleft(bit, 32)").bitwiseOR(variant).alias("key"), "fp", F.lit(0).cast("long").alias("path"))
+
+    def linked(dealt: DataFrame, limit: float) -> DataFrame:
+        # a bucket is one sorted stretch of a partition, so a task holds one bucket and not its partition
+        return dealt.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: link_sorted(it, bits, limit), LINKS)
+
+    found = settle(linked(signed, BUCKET))
+    edges = found.where("not again").select("a", "b")
+    # which segment the signature leaves open; from the second deal on it is in the path, above the digits
+    lower = F.shiftrightunsigned("key", 32) >= 32
+    again = found.where("again").select("key", F.col("a").alias("fp"), F.when(lower, F.lit(1 << 40)).otherwise(F.lit(0)).cast("long").alias("path"))
+    for deal in range(DEALS):
+        if again.isEmpty():
+            return edges.distinct()
+        other = F.when(F.col("path") >= 1 << 40, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 32))
+        open_bits = F.array(*[F.array(*[F.lit(m).cast("long") for m in masks(p, deal)]) for p in range(PARTS**deal)])
+        parts = again.select("key", "fp", "path", other.alias("other"), F.posexplode(F.get(open_bits, (F.col("path") % F.lit(1 << 40)).cast("int"))).alias("nth", "mask"))
+        value = F.xxhash64("key", "nth", F.col("other").bitwiseAND(F.col("mask")))
+        digits = F.col("path") % F.lit(1 << 40)
+        dealt = parts.select(value.alias("key"), "fp", (F.col("path") - digits + digits * PARTS + F.col("nth")).alias("path"))
+        found = linked(dealt, BUCKET if deal + 1 < DEALS else float("inf"))
+        if deal + 1 < DEALS:
+            found = settle(found)
+        edges = edges.unionByName(found.where("not again").select("a", "b"))
+        again = found.where("again").select("key", F.col("a").alias("fp"), "path")
+    return edges.distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:

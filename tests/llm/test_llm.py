@@ -500,6 +500,31 @@ def test_near_edges_lose_no_link(spark, monkeypatch, bucket):
     assert [got.get(i, i) for i in range(len(fps))] == own
 
 
+def test_hot_segments_are_dealt_until_buckets_are_small(spark, monkeypatch):
+    """Fingerprints that share a segment, many of them also most of the other: every deal is used, and no link is lost."""
+    monkeypatch.setattr(simhash_dedup, "BUCKET", 8)
+    draw = random.Random(11)
+    fps = {draw.getrandbits(8) << 10 | 0x5A5A5A5A << 32 for _ in range(120)} | {draw.getrandbits(24) | 0x5A5A5A5A << 32 for _ in range(100)} | {draw.getrandbits(24) << 32 | 77 for _ in range(60)}
+    signed = [f - (f >> 63 << 64) for f in fps]
+    edges = simhash_dedup.near_edges(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    got = dict(every(components(edges), "node", "component"))
+    left, want = set(signed), {}
+    while left:
+        group, queue = set(), [left.pop()]
+        while queue:
+            at = queue.pop()
+            group.add(at)
+            near = {f for f in left if ((f ^ at) & (1 << 64) - 1).bit_count() <= 3}
+            left -= near
+            queue += near
+        want |= dict.fromkeys(group, min(group))
+    assert {f: got.get(f, f) for f in signed} == want and len(set(want.values())) < len(want)
+    for deal in range(simhash_dedup.DEALS):
+        for path in range(simhash_dedup.PARTS**deal):
+            parts = simhash_dedup.masks(path, deal)
+            assert sum(parts) == sum(1 << b for b in range(32) if any(m >> b & 1 for m in parts)) and sum(m.bit_count() for m in parts) <= (32, 24, 18, 14)[deal]
+
+
 # 6
 
 
