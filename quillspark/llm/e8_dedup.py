@@ -3,8 +3,9 @@
 Each table projects unit vectors to eight random dimensions and decodes them to the nearest point of the
 E8 lattice.  A vector is stored in its own cell and looks also into neighbouring cells, those of the
 lattice's minimal vectors that come nearest to it.  Pairs that meet are thinned out by a
-bit sketch and verified by cosine in double precision.  A row carries its own cells of all tables, so a pair that
-has one in common is told in the first of these alone, and elsewhere not.
+bit sketch and verified by cosine in double precision.  A row carries its own cells of all tables, so a pair that has some in common
+is verified in the first of these, where both vectors lie, and nowhere else: no row is made of it.  Pairs that meet in a neighbouring
+cell alone, a few hundredths, are joined to their vectors.
 
 Equal vectors form one class with a count, so copies are never paired with each other.
 """
@@ -12,6 +13,7 @@ Equal vectors form one class with a count, so copies are never paired with each
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations, product
 
 import numpy as np
@@ -33,10 +35,11 @@ TOLD = 1 << 18
 SKETCH_BITS = 256
 #: Bits of the sketch in which a pair may differ: 26 expected at cosine 0.95, deviation 5.
 SKETCH_MOST = 64
-#: Rows of a cell compared at once.
+#: Rows of a cell compared at once, and pairs of them verified at once.
 BLOCK = 2048
+PAIRS = 1 << 14
 #: Stored rows of a cell that one task holds; a cell with more is dealt in parts of about so many.
-PART_ROWS = 1 << 16
+PART_ROWS = 1 << 14
 
 
 def minimal_vectors() -> np.ndarray:
@@ -102,137 +105,210 @@ class Hasher:
         return np.packbits(unit @ self.sketch > 0, axis=1)
 
 
-HASHED = "key long, looks boolean, id long, sketch binary, cells binary, nth byte"
+def hashed_columns(kind: str) -> str:
+    """Of hash_classes(): cells holds 32 bits of the own cells of all tables, nth is the table; rows that only look have no vector."""
+    return f"key long, looks boolean, id long, sketch binary, cells binary, nth byte, copies long, v array<{kind}>"
 
 
 def hash_classes(batches: Iterator[pa.RecordBatch], tables: int, probes: int) -> Iterator[pa.RecordBatch]:
-    """From (id, vector): key, looks (whether the row looks into the cell or is stored there), id, sketch, cells (32 bits of the own cells of all tables), nth (table)."""
+    """From (id, vector, copies): a row for the own cell of each table, where the vector is stored, and one for each cell that it looks into."""
     hashers: dict[int, Hasher] = {}
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids, copies = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
         by_dim: dict[int, list[int]] = {}
         vectors = [np.asarray(v.values) for v in batch.column(1)]
         for i, v in enumerate(vectors):
             by_dim.setdefault(len(v), []).append(i)
         for dim, rows in by_dim.items():
             h = hashers.setdefault(dim, Hasher(dim, tables, probes))
-            x = np.stack([vectors[i] for i in rows]).astype(np.float64)
+            raw = np.stack([vectors[i] for i in rows])
+            x = raw.astype(np.float64)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             sketch = [b.tobytes() for b in h.bits(unit)]
             cells = list(h.cells(unit))
             owns = [b.tobytes() for b in np.stack([own for own, _ in cells], axis=1).astype(np.uint32)]
+            offsets, n = np.arange(len(rows) + 1, dtype=np.int32) * dim, len(rows)
             for nth, (own, near) in enumerate(cells):
                 key = np.concatenate([own, near.T.reshape(-1)])
-                looks = np.r_[np.zeros(len(own), bool), np.ones(near.size, bool)]
+                looks = np.r_[np.zeros(n, bool), np.ones(near.size, bool)]
                 times = 1 + near.shape[1]
-                columns = [pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), pa.array(sketch * times, pa.binary()), pa.array(owns * times, pa.binary()), pa.array(np.full(len(key), nth, np.int8))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "looks", "id", "sketch", "cells", "nth"])
+                stored = pa.ListArray.from_arrays(np.r_[offsets, np.full(near.size, offsets[-1], np.int32)], raw.reshape(-1), mask=pa.array(looks))
+                columns = [pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), pa.array(sketch * times, pa.binary()), pa.array(owns * times, pa.binary()), pa.array(np.full(len(key), nth, np.int8)), pa.array(np.tile(copies[rows], times)), stored]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "looks", "id", "sketch", "cells", "nth", "copies", "v"])
 
 
-def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order of (key, looks): pairs in a cell whose sketches are near.
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The cosine of each pair of rows, in double precision."""
+    x, y = (v.astype(np.float64) for v in (x, y))
+    x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (x, y))
+    dot = lambda p, q: np.einsum("ij,ij->i", p, q)
+    return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y))
 
-    A pair with a common own cell is told where both are stored in the first such cell; one without wherever it meets.
-    A part's stored rows are held, 80 bytes each; those that look into it are compared as they come.
+
+class Links:
+    """What verified links come to: rows (a, a, n) tell that a is linked to n vectors more, rows (a, b, 0) that a hangs together with b, the least vector
+    of those that the links seen here join.  Links themselves, whose number may grow as the square of a cluster, are not told one by one,
+    and tasks that see parts of one cluster tell much the same rows.
     """
-    at = None
-    stored: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def __init__(self) -> None:
+        self.counts: dict[int, int] = {}
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        above = self.above
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    def add(self, a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray) -> None:
+        counts = self.counts
+        for x, y, n, m in zip(a.tolist(), b.tolist(), copies_a.tolist(), copies_b.tolist()):
+            counts[x] = counts.get(x, 0) + m
+            counts[y] = counts.get(y, 0) + n
+            x, y = self.root(x), self.root(y)
+            if x != y:
+                self.above[max(x, y)] = min(x, y)
+
+    def rows(self) -> tuple[list[int], list[int], list[int]]:
+        ids, a = list(self.counts), list(self.above)
+        out = ids + a, ids + [self.root(x) for x in a], list(self.counts.values()) + [0] * len(a)
+        self.counts, self.above = {}, {}
+        return out
+
+
+TOLD_ROWS = "a long, b long, n long"
+
+
+def told_rows(a: list[int], b: list[int], n: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
+
+
+@dataclass
+class Rows:
+    """Rows of one cell: ids, sketches, own cells, tables, copies, and the vectors of those that have one (as many columns as they are long)."""
+
+    ids: np.ndarray
+    sketch: np.ndarray
+    cells: np.ndarray
+    nth: np.ndarray
+    copies: np.ndarray
+    v: np.ndarray | None
+
+    def part(self, a: int, b: int) -> Rows:
+        return Rows(*(x if x is None else x[a:b] for x in (self.ids, self.sketch, self.cells, self.nth, self.copies, self.v)))
+
+
+def meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+    """From rows in the order of (key, looks): Links, and rows (a, b, -1) of pairs that are still to be verified.
+
+    Pairs in a cell whose sketches are near are looked at.  One with a common own cell is verified where both are stored, in the first such
+    cell; one without is told, wherever it meets.  A part's stored rows are held; those that look into it are compared as they come.
+    """
+    at: int | None = None
+    stored: list[Rows] = []
+    links = Links()
+
+    def compared(x: Rows, y: Rows, found: list) -> None:
+        far = np.bitwise_count(x.sketch[:, None, :] ^ y.sketch[None, :, :]).sum(axis=2, dtype=np.uint16)
+        i, j = np.nonzero(far <= SKETCH_MOST)
+        i, j = (k[x.ids[i] != y.ids[j]] for k in (i, j))
+        for lo in range(0, len(i), PAIRS):
+            p, q = i[lo : lo + PAIRS], j[lo : lo + PAIRS]
+            common = x.cells[p] == y.cells[q]
+            some = common.any(axis=1)
+            found.append(np.stack([x.ids[p[~some]], y.ids[q[~some]]]))
+            if x.v is None or y.v is None or x.v.shape[1] != y.v.shape[1]:
+                continue
+            # the first of the common own cells is the one for this pair; both are stored there
+            here = some & (common.argmax(axis=1) == x.nth[p])
+            p, q = p[here], q[here]
+            near = cosines(x.v[p], y.v[q]) >= cosine
+            links.add(x.ids[p[near]], y.ids[q[near]], x.copies[p[near]], y.copies[q[near]])
+
     for batch in batches:
         key, looks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         if not len(key):
             continue
         sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(len(key), -1)
-        owns = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(len(key), -1)
-        nth = batch.column(5).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        cells = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(len(key), -1)
+        nth, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
+        sizes = batch.column(7).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        values, begins = batch.column(7).flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+        # stretches of one cell, of rows that look or don't, with vectors of one length or none
+        turns = (key[1:] != key[:-1]) | (looks[1:] != looks[:-1]) | (sizes[1:] != sizes[:-1])
+        cuts = np.flatnonzero(np.r_[True, turns, True])
+        alone = np.r_[True, key[1:] != key[:-1], True]
+        found: list[np.ndarray] = [np.empty((2, 0), np.int64)]
         for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
             if key[lo] != at:
-                at, stored = key[lo], []
-            if hi - lo == 1 and not stored:
-                stored = [] if looks[lo] else [(ids[lo : lo + 1], sketch[lo : lo + 1], owns[lo : lo + 1])]
+                at, stored = int(key[lo]), []
+            if looks[lo] and not stored:
                 continue
-            mid = lo + int(np.searchsorted(looks[lo:hi], True))
-            if mid > lo:
-                stored.append((ids[lo:mid], sketch[lo:mid], owns[lo:mid]))
-            # stored rows meet each other (the last part all parts), those that look meet all stored
-            for begin, end in ((lo, mid), (mid, hi)):
-                for a in range(begin, end, BLOCK):
-                    b = min(a + BLOCK, end)
-                    for other, bits, cells in stored:
-                        for c in range(0, len(other), BLOCK):
-                            far = np.bitwise_count(sketch[a:b, None, :] ^ bits[None, c : c + BLOCK, :]).sum(axis=2, dtype=np.uint16)
-                            x, y = np.nonzero(far <= SKETCH_MOST)
-                            common = owns[a:b][x] == cells[c : c + BLOCK][y]
-                            # the first common own cell; a pair that has one meets there, and is told there alone
-                            first = np.where(common.any(axis=1), common.argmax(axis=1), -1)
-                            here = (first < 0) | (first == nth[a:b][x]) & common[np.arange(len(x)), nth[a:b][x]]
-                            found_a.append(ids[a:b][x[here]])
-                            found_b.append(other[c : c + BLOCK][y[here]])
-        pairs = np.stack([np.concatenate(found_a), np.concatenate(found_b)])
-        pairs = np.sort(pairs[:, pairs[0] != pairs[1]], axis=0)
-        pairs = np.unique(pairs, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-
-def cosines(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
-    """The cosine of each pair of vectors; -2 for vectors of different length."""
-    n, m = (np.diff(v.offsets.to_numpy()) for v in (x, y))
-    out = np.full(len(x), -2.0)
-    for dim in np.unique(n[n == m]).tolist():
-        rows = np.flatnonzero((n == dim) & (m == dim))
-        a, b = (v.take(pa.array(rows)).flatten().to_numpy().reshape(-1, dim).astype(np.float64) for v in (x, y))
-        a, b = (v / np.abs(v).max(axis=1, keepdims=True) for v in (a, b))
-        dot = lambda p, q: np.einsum("ij,ij->i", p, q)
-        out[rows] = dot(a, b) / np.sqrt(dot(a, a) * dot(b, b))
-    return out
+            size = int(sizes[lo])
+            v = values[begins[lo] : begins[lo] + size * (hi - lo)].reshape(hi - lo, size) if size else None
+            rows = Rows(ids[lo:hi], sketch[lo:hi], cells[lo:hi], nth[lo:hi], copies[lo:hi], v)
+            if not looks[lo]:
+                stored.append(rows)
+                if len(stored) == 1 and hi - lo == 1 and alone[lo] and alone[hi] and hi < len(key):
+                    continue  # one row by itself, as most are
+            for a in range(0, hi - lo, BLOCK):
+                some = rows.part(a, a + BLOCK)
+                for other in stored:
+                    # stored rows meet each other once: those of a stretch those before them
+                    most = a + BLOCK if other is rows else len(other.ids)
+                    for c in range(0, most, BLOCK):
+                        block = other.part(c, min(c + BLOCK, most))
+                        if other is rows and c == a:
+                            within(some, compared, found)
+                        elif len(block.ids):
+                            compared(some, block, found)
+        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        yield told_rows(pairs[0].tolist(), pairs[1].tolist(), [-1] * pairs.shape[1])
+        if len(links.counts) > TOLD:
+            yield told_rows(*links.rows())
+    yield told_rows(*links.rows())
+
+
+def within(rows: Rows, compared, found: list) -> None:
+    """The pairs of one block, each once: halves against each other, down to single rows."""
+    stack = [(0, len(rows.ids))]
+    while stack:
+        a, b = stack.pop()
+        if b - a < 2:
+            continue
+        mid = (a + b) // 2
+        compared(rows.part(mid, b), rows.part(a, mid), found)
+        stack += [(a, mid), (mid, b)]
 
 
 def verified(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
-    """From pairs (a, b, ca, cb, va, vb) with the copies and vectors of both: what their links come to.
-
-    Rows (a, a, n) tell that a is linked to n vectors more, rows (a, b, 0) that a hangs together with b, the least
-    vector of those that links seen here join: links themselves, whose number may grow as the square of a cluster, are not
-    told one by one, and tasks that see parts of one cluster tell much the same rows.
-    """
-    counts: dict[int, int] = {}
-    above: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := above.get(x, x)) != x:
-            above[x] = above.get(up, up)
-            x = up
-        return x
-
-    def told() -> pa.RecordBatch:
-        ids, n = list(counts), list(counts.values())
-        a = list(above)
-        b = [root(x) for x in a]
-        return pa.RecordBatch.from_arrays([pa.array(ids + a, pa.int64()), pa.array(ids + b, pa.int64()), pa.array(n + [0] * len(a), pa.int64())], ["a", "b", "n"])
-
+    """From pairs (a, b, ca, cb, va, vb) with the copies and vectors of both: Links."""
+    links = Links()
     for batch in batches:
-        keep = np.flatnonzero(cosines(batch.column(4), batch.column(5)) >= cosine)
-        for a, b, ca, cb in zip(*(batch.column(i).take(pa.array(keep)).to_pylist() for i in range(4))):
-            counts[a] = counts.get(a, 0) + cb
-            counts[b] = counts.get(b, 0) + ca
-            x, y = root(a), root(b)
-            if x != y:
-                above[max(x, y)] = min(x, y)
-        if len(counts) > TOLD:
-            yield told()
-            counts, above = {}, {}
-    yield told()
+        a, b, ca, cb = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        x, y = batch.column(4), batch.column(5)
+        n, m = (v.value_lengths().to_numpy(zero_copy_only=False) for v in (x, y))
+        for dim in np.unique(n[n == m]).tolist():
+            rows = np.flatnonzero((n == dim) & (m == dim))
+            near = rows[cosines(*(v.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) for v in (x, y))) >= cosine]
+            links.add(a[near], b[near], ca[near], cb[near])
+        if len(links.counts) > TOLD:
+            yield told_rows(*links.rows())
+    yield told_rows(*links.rows())
 
 
 def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
-    """hash_classes() of (id, v), with cells of over PART_ROWS stored rows dealt in parts.
+    """hash_classes() of (id, v, copies), with cells of over PART_ROWS stored rows dealt in parts.
 
     A part stores some of a cell's rows; all that look into the cell look into each part, and a stored row looks
     into the parts after its own, so a pair still meets, and stored rows meet once.
     """
-    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), HASHED)
-    stored = points.mapInArrow(lambda it: hash_classes(it, tables, 0), HASHED)
+    columns = hashed_columns(dict(points.dtypes)["v"][6:-1])
+    hashed = points.mapInArrow(lambda it: hash_classes(it, tables, probes), columns)
+    stored = points.mapInArrow(lambda it: hash_classes(it, tables, 0), columns)
     hot = settle(stored.groupBy("key").count().where(F.col("count") > PART_ROWS).select("key", F.ceil(F.col("count") / PART_ROWS).alias("parts")))
     if hot.isEmpty():
         return hashed
@@ -241,7 +317,7 @@ def in_parts(points: DataFrame, tables: int, probes: int) -> DataFrame:
     # the parts from a stored row's own on, or all
     dealt = dealt.withColumn("part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.coalesce("own", F.lit(0).cast("long")), F.col("parts") - 1))))
     looks = F.col("looks") | (F.col("parts").isNotNull() & (F.col("part") > F.col("own")))
-    return dealt.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), looks.alias("looks"), "id", "sketch", "cells", "nth")
+    return dealt.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), looks.alias("looks"), "id", "sketch", "cells", "nth", "copies", "v")
 
 
 def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
@@ -268,10 +344,11 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = settle(rows.select("id", "v", F.when(F.col("v").isNotNull(), F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)).alias("h")))
     classes = settle(rows.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")).where("rep is not null"))
     points = classes.select(F.col("rep").alias("id"), "v", "copies")
-    met = in_parts(points.select("id", "v"), tables, probes).repartition(n, "key").sortWithinPartitions("key", "looks").mapInArrow(meet, "a long, b long").distinct()
-    one = met.join(points.toDF("a", "va", "ca"), "a")
+    cells = in_parts(points, tables, probes).repartition(n, "key").sortWithinPartitions("key", "looks")
+    met = settle(cells.mapInArrow(lambda it: meet(it, cosine), TOLD_ROWS))
+    one = met.where("n < 0").select("a", "b").distinct().join(points.toDF("a", "va", "ca"), "a")
     two = one.join(points.toDF("b", "vb", "cb"), "b").select("a", "b", "ca", "cb", "va", "vb")
-    links = settle(two.mapInArrow(lambda it: verified(it, cosine), "a long, b long, n long"))
+    links = met.where("n >= 0").unionByName(settle(two.mapInArrow(lambda it: verified(it, cosine), TOLD_ROWS)))
     linked = components(links.where("n = 0").select("a", "b"))
     beyond = links.where("n > 0").groupBy("a").agg(F.sum("n").alias("beyond"))
     named = classes.join(linked, classes["rep"] == linked["node"], "left").join(beyond, classes["rep"] == beyond["a"], "left")
