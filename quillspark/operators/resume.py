@@ -54,7 +54,10 @@ def manifest_diffs(old: Column, new: Column) -> Column:
 
 
 class Ledger:
-    """Predictions as Parquet, in chunks that the log of commits names; each attempt is a row, the last one of an id counts."""
+    """Predictions as Parquet, in chunks that the log of commits names; each attempt is a row, the last one of an id counts.
+
+    One that is switched off has nothing done for a run and no manifest: runs begin anew, and their predictions take the old ones' place.
+    """
 
     def __init__(self, spark: SparkSession, root: str, input_path: str, enabled: bool = True):
         self.spark, self.enabled = spark, enabled
@@ -87,7 +90,7 @@ class Ledger:
         return self._rows(live) if live else self.spark.createDataFrame([], LEDGER)
 
     def live(self) -> list[Commit]:
-        return list(self.log.state().live.values()) if self.enabled else []
+        return list(self.log.state().live.values())
 
     def _rows(self, commits: list[Commit]) -> DataFrame:
         return self.spark.read.schema(LEDGER).parquet(*self.log.paths(commits))
@@ -104,12 +107,14 @@ class Ledger:
 
     def _parts(self) -> list[DataFrame]:
         """The merged chunk, if there is one, then the rows of the chunks after it, then the ids of text shards (*.done) in the ledger's folder."""
+        if not self.enabled:
+            return []
         live = self.live()
         late = [c for c in live if not c.buckets]
         out = [self._bucketed(c) for c in live if c.buckets]
         if late:
             out.append(self._rows(late))
-        if self.enabled and files.any_like(self.spark, files.join(self.dir, "*.done")):
+        if files.any_like(self.spark, files.join(self.dir, "*.done")):
             out.append(read_text_ledger(self.spark, self.dir).where("reason is null"))
         return out
 
@@ -134,7 +139,7 @@ class Ledger:
 
         With `replace` the ledger begins anew with this chunk: until it is entered readers find the old one.
         """
-        return self.enabled and self.enter(self.stage(outcomes, chunk, low, high, replace))
+        return self.enter(self.stage(outcomes, chunk, low, high, replace))
 
     def stage(self, outcomes: DataFrame, chunk: str, low: int | None = None, high: int | None = None, replace: bool = False) -> Commit:
         """Write a chunk's attempts where they are to stay; they count for nothing until they are entered."""
@@ -145,8 +150,7 @@ class Ledger:
         return self.spark.read.schema(LEDGER).parquet(*paths) if paths else self.spark.createDataFrame([], LEDGER)
 
     def enter(self, commit: Commit) -> bool:
-        """A ledger that is switched off keeps no chunk."""
-        if not self.enabled or not self.log.add(commit):
+        if not self.log.add(commit):
             self.drop(commit)
             return False
         return True
@@ -155,7 +159,7 @@ class Ledger:
         files.delete(self.spark, files.join(self.log.table, commit.folder))
 
     def vacuum(self, older_than: float = 86400.0) -> int:
-        return self.log.vacuum(older_than) if self.enabled else 0
+        return self.log.vacuum(older_than)
 
     def compact(self, share: float = 0.5, bucket_bytes: int = 1 << 27) -> bool:
         """Merge all live chunks in one of buckets by shard and id, if those since the last merge have `share` of its bytes; whether it did.

@@ -88,6 +88,7 @@ def run_inference(
     fmt = transcripts.detect_format(spark, path)
     records, _ = transcripts.read_transcripts(spark, path, cfg.paths.audio_root, fmt)
     ledger = ledger_of(spark, cfg, path)
+    use_resume = use_resume and ledger.enabled
     if dry_run:
         probed = audio.probe(resume.take_first(records, limit), workers=cfg.runtime.io_workers)
         row = audio.summarize(probed, cfg.audio.target_sample_rate, cfg.audio.max_duration_seconds).first()

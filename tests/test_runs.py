@@ -45,6 +45,17 @@ def test_ids_of_a_text_ledger_are_done(spark, corpus):
     assert (row["resumed"], row["ok"]) == (2, 3) and set(ledger(spark, cfg, path)) == set(IDS[2:])
 
 
+def test_a_ledger_switched_off_resumes_nothing_and_keeps_predictions(spark, corpus):
+    path, cfg, _ = corpus
+    cfg.checkpoint.enabled = False
+    for _ in range(2):
+        row = runs.run_inference(spark, str(path), cfg)
+        assert (row["ok"], row["resumed"]) == (5, 0)
+    made = runs.ledger_of(spark, cfg, str(path))
+    assert made.read().count() == 5 and made.done().count() == 0 and not made.spark.sparkContext._jvm.java.io.File(made.manifest_path).exists()
+    assert runs.run_combine(spark, str(path), cfg)["matched"] == 5
+
+
 def test_missing_audio_and_poison(spark, corpus):
     path, cfg, tmp = corpus
     (tmp / "audio/train/7/31" / f"{IDS[0]}.wav").unlink()
