@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import enter
@@ -22,7 +22,8 @@ from .common import enter
 #: White space and the word behind it, or the white space that ends a text.  Possessive, so runs of spaces cost linear time.
 UNIT = regex.compile(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
-FIELDS = "n long, form string, prefix_chars long, middle_chars long, output string"
+FIELDS = "n long, form string, prefix_chars long, middle_chars long"
+OUTPUT, DIGESTS = "output string", "output_sha256 string, restored_sha256 string"
 
 
 @dataclass(frozen=True)
@@ -65,37 +66,36 @@ def restored(output: str, form: str) -> str:
     return two + body + one if form == "spm" else one + body + two
 
 
-def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", draw: Draw = Draw(), carry: list[str] | None = None) -> DataFrame:
-    """The carried columns (all by default), then n, form (plain, psm or spm), prefix_chars, middle_chars and output.
+def sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
+
+def fill_in_middle(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", draw: Draw = Draw(), carry: list[str] | None = None, output: bool = True, digests: bool = False
+) -> DataFrame:
+    """The carried columns (all by default), then n, form (plain, psm or spm), prefix_chars, middle_chars, and output or its digests or both.
+
+    The digests are output_sha256 and restored_sha256, of the output and of the text rebuilt from output and form.
     A null text is empty; empty texts, texts that hold a mark and those that are not drawn are plain, with null
     lengths.  A null id draws as the empty string; rows of one id draw alike, each for its own text.  A carried column
     of a result's name gives way.  One row for each input row; an empty table gives an empty one.
     """
-    names = [f.split()[0] for f in FIELDS.split(", ")]
+    fields = ", ".join([FIELDS, *([OUTPUT] if output else []), *([DIGESTS] if digests else [])])
+    names = [f.split()[0] for f in fields.split(", ")]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in names]
 
-    @F.pandas_udf(FIELDS)
+    def row(own: str, text: str) -> tuple:
+        *told, made = transformed(own, text, draw)
+        return *told, *([made] if output else []), *((sha256(made), sha256(restored(made, told[1]))) if digests else ())
+
+    @F.pandas_udf(fields)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         enter("fill_middle")
         for own, text in batches:
-            rows = pd.DataFrame([transformed(i, t, draw) for i, t in zip(own, text)], columns=names)
+            rows = pd.DataFrame([row(i, t) for i, t in zip(own, text)], columns=names)
             yield rows.astype({"prefix_chars": "Int64", "middle_chars": "Int64"})
 
     own = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], run(own, body).alias("_made"))
     return plain.select(*[f"c{i}" for i in range(len(carry))], "_made.*").toDF(*carry, *names)
-
-
-def digests(output: str = "output", form: str = "form") -> Column:
-    """A struct of the SHA-256 of an output and of the text rebuilt from output and form."""
-
-    @F.pandas_udf("output_sha256 string, restored_sha256 string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        enter("fill_middle")
-        for outputs, forms in batches:
-            rows = [(hashlib.sha256(o.encode()).hexdigest(), hashlib.sha256(restored(o, f).encode()).hexdigest()) for o, f in zip(outputs, forms)]
-            yield pd.DataFrame(rows, columns=["output_sha256", "restored_sha256"])
-
-    return run(F.col(output), F.col(form))

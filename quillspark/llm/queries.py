@@ -69,9 +69,7 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    told = out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", fill_middle.digests().alias("_d"))
-    return told.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "_d.*")
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), carry=["doc_id"], output=False, digests=True)
 
 
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

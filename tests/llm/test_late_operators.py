@@ -136,8 +136,11 @@ def test_fill_in_middle(spark):
     want = sorted((middle_brute(r[0], r[1]) for r in rows), key=repr)
     assert rows_of(out, "doc_id", "n", "form", "prefix_chars", "middle_chars", "output") == want
     assert {r[2] for r in want} == {"plain", "spm", "psm"}
-    for r in out.select("text", fill_middle.digests().alias("d"), "output").collect():
-        assert (r["d"]["output_sha256"], r["d"]["restored_sha256"]) == tuple(hashlib.sha256(t.encode()).hexdigest() for t in (r["output"], r["text"] or ""))
+    both = fill_middle.fill_in_middle(docs, digests=True)
+    assert both.columns[-7:] == ["n", "form", "prefix_chars", "middle_chars", "output", "output_sha256", "restored_sha256"]
+    for r in both.collect():
+        assert (r["output_sha256"], r["restored_sha256"]) == tuple(hashlib.sha256(t.encode()).hexdigest() for t in (r["output"], r["text"] or ""))
+    assert "output" not in fill_middle.fill_in_middle(docs.drop("output"), output=False, digests=True).columns
     assert fill_middle.fill_in_middle(docs.limit(0)).count() == 0
 
 
