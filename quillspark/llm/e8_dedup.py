@@ -105,6 +105,18 @@ class Hasher:
         return np.packbits(unit @ self.sketch > 0, axis=1)
 
 
+def byte_strings(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes, as an array of byte strings."""
+    n, size = len(rows), rows.shape[1] * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(size)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def numbers(column: pa.Array, dtype) -> np.ndarray:
+    """byte_strings() back: one row for each byte string, all of one length."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(dtype).reshape(len(column), -1)
+
+
 def hashed_columns(kind: str) -> str:
     """Of hash_classes(): cells holds 32 bits of the own cells of all tables, nth is the table; rows that only look have no vector."""
     return f"key long, looks boolean, id long, sketch binary, cells binary, nth byte, copies long, v array<{kind}>"
@@ -125,16 +137,16 @@ def hash_classes(batches: Iterator[pa.RecordBatch], tables: int, probes: int) ->
             x = raw.astype(np.float64)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            sketch = [b.tobytes() for b in h.bits(unit)]
+            sketch = h.bits(unit)
             cells = list(h.cells(unit))
-            owns = [b.tobytes() for b in np.stack([own for own, _ in cells], axis=1).astype(np.uint32)]
+            owns = np.stack([own for own, _ in cells], axis=1).astype(np.uint32)
             offsets, n = np.arange(len(rows) + 1, dtype=np.int32) * dim, len(rows)
             for nth, (own, near) in enumerate(cells):
                 key = np.concatenate([own, near.T.reshape(-1)])
                 looks = np.r_[np.zeros(n, bool), np.ones(near.size, bool)]
                 times = 1 + near.shape[1]
                 stored = pa.ListArray.from_arrays(np.r_[offsets, np.full(near.size, offsets[-1], np.int32)], raw.reshape(-1), mask=pa.array(looks))
-                columns = [pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), pa.array(sketch * times, pa.binary()), pa.array(owns * times, pa.binary()), pa.array(np.full(len(key), nth, np.int8)), pa.array(np.tile(copies[rows], times)), stored]
+                columns = [pa.array(key), pa.array(looks), pa.array(np.tile(ids[rows], times)), byte_strings(np.tile(sketch, (times, 1))), byte_strings(np.tile(owns, (times, 1))), pa.array(np.full(len(key), nth, np.int8)), pa.array(np.tile(copies[rows], times)), stored]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "looks", "id", "sketch", "cells", "nth", "copies", "v"])
 
 
@@ -232,8 +244,7 @@ def meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Record
         key, looks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         if not len(key):
             continue
-        sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(len(key), -1)
-        cells = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(len(key), -1)
+        sketch, cells = numbers(batch.column(3), np.uint64), numbers(batch.column(4), np.uint32)
         nth, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
         sizes = batch.column(7).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         values, begins = batch.column(7).flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
