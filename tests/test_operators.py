@@ -76,7 +76,7 @@ def test_isolation():
 
 
 def outcomes(spark, spec):
-    data = [(i, "x", 0, b, "", s, e) for i, (b, s, e) in enumerate(spec)]
+    data = [(i, "x", 0, b, "", s, e, None, None) for i, (b, s, e) in enumerate(spec)]
     return spark.createDataFrame(data, inference.OUTCOME)
 
 
@@ -96,7 +96,7 @@ def test_gates(spark):
 
 def test_gates_go_on_over_windows_and_chunks(spark):
     def made(spec, win):
-        return spark.createDataFrame([(i, "x", w, b, "", "failed" if e else "ok", e) for i, (w, b, e) in enumerate(spec)], inference.OUTCOME)
+        return spark.createDataFrame([(i, "x", w, b, "", "failed" if e else "ok", e, None, None) for i, (w, b, e) in enumerate(spec)], inference.OUTCOME)
 
     one = [(0, 0, None), (0, 0, "a"), (0, 1, "p"), (0, 1, "q"), (1, 0, "r"), (1, 0, "s"), (2, 0, "same"), (2, 0, "same")]
     tail = inference.check_outcomes(made(one, 0), most=4)
@@ -122,7 +122,7 @@ def test_text_ledger(spark, tmp_path):
 def test_pending_and_last_attempts(spark):
     rec = spark.createDataFrame([(0, "a-b-0", "x"), (1, "a-b-1", "y"), (2, "c-b-1", "z")], REC)
     when = datetime(2024, 1, 1)
-    done = spark.createDataFrame([("r", 0, "a-b-0", "", "failed", "e", None, None, when, "a"), ("r", 1, "a-b-1", "p", "ok", None, None, None, when, "a"), ("s", 1, "a-b-1", "q", "ok", None, None, None, when + timedelta(seconds=1), "a")], resume.LEDGER)
+    done = spark.createDataFrame([("r", 0, "a-b-0", "", "failed", "e", None, None, when, 0, 0, "a"), ("r", 1, "a-b-1", "p", "ok", None, None, None, when, 0, 0, "a"), ("s", 1, "a-b-1", "q", "ok", None, None, None, when + timedelta(seconds=1), 0, 0, "a")], resume.LEDGER)
     assert rows(resume.pending(rec, done), "segment_id") == [("c-b-1",)]
     assert rows(resume.pending(rec, done, retry_failed=True), "segment_id") == [("a-b-0",), ("c-b-1",)]
     assert {r["segment_id"]: r["pred_text"] for r in resume.last_attempts(done).collect()} == {"a-b-0": "", "a-b-1": "q"}
