@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CHUNK_BYTES, enter, width
+from .common import enter, width
 
 WINDOW = 50
 GRAM = 20
@@ -40,6 +40,8 @@ GRAM = 20
 SPAN = WINDOW - GRAM + 1
 #: Bytes of a stretch beside its gram.
 SIDE = (SPAN - 1) // 2
+#: Text that one step of array work holds, in bytes: its arrays fit a core's cache.
+CHUNK_BYTES = 1 << 17
 #: Text of a block, about; a block is what one Python call holds.
 BLOCK_BYTES = 8 << 20
 #: A block of up to so many bytes keeps its runs for a second look; those of a larger one are found again.
@@ -53,13 +55,20 @@ SORT_WINDOWS = 200_000
 NULL_ID = np.iinfo(np.int64).max
 U = np.uint64
 LOW = U(0xFFFFFFFF)
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD], U)
+#: Digits of the longest context, and the bits of a digit that its first 0 to 8 bytes have.
+DIGITS = -(-(WINDOW + SPAN - 1) // 8)
+FRONT = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> U(31))) * U(0x7FB5D329728EA185)
-    x = (x ^ (x >> U(27))) * U(0x81DADEF4BC2DD44D)
-    return x ^ (x >> U(33))
+    x = x ^ (x >> U(31))
+    x *= U(0x7FB5D329728EA185)
+    x ^= x >> U(27)
+    x *= U(0x81DADEF4BC2DD44D)
+    x ^= x >> U(33)
+    return x
 
 
 def lanes(data: np.ndarray) -> np.ndarray:
@@ -67,6 +76,38 @@ def lanes(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)).astype(U)
 
 
+def digits(data: np.ndarray, begin: np.ndarray, size: np.ndarray, n: int = DIGITS) -> np.ndarray:
+    """For each stretch of bytes a row of n digits of eight bytes, zero behind its end; data goes on for 8 * n bytes behind the last begin."""
+    at = 8 * np.arange(n)
+    x = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[begin[:, None] + at].astype(U, copy=False)
+    x &= FRONT[np.clip(size[:, None] - at, 0, 8)]
+    return x
+
+
+def alike(x: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that are the first of their like, in their order, and for each row the place of its like among them.
+
+    Rows are alike in all digits and in what more is told of them.  A hash finds them, and all are compared.
+    """
+    more = [m.astype(U) for m in more]
+    h = np.zeros(len(x), U)
+    for column in (*more, *x.T):
+        h = mixed(h + column * U(0x9E3779B97F4A7C15))
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    like = first[which]
+    if not ((x == x[like]).all() and all((m == m[like]).all() for m in more)):
+        _, first, which = np.unique(np.column_stack([x, *more]), axis=0, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return first[order], place[which.ravel()]
+
+
+def drawn_out(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row as often as it counts, and how many of it came before."""
+    return np.repeat(np.arange(len(count)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
 def coded(h: np.ndarray, buckets: int) -> np.ndarray:
     """A bucket in the upper 32 bits and a tag in the lower."""
     g = mixed(h)
@@ -104,10 +145,16 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     none = np.empty(0, np.int64)
     if len(data) < WINDOW:
         return none, none, none, none.astype(U), none.astype(U), none.astype(U)
+    # eight bytes count by sums of products: folded first, as the upper bytes of a product depend on all below
     x = lanes(data)
+    x ^= x >> U(32)
     n = len(data) - GRAM + 1
-    h = mixed(x[:n] + mixed(x[8 : n + 8] * U(0x9E3779B97F4A7C15)) + x[12 : n + 12] * U(0xD6E8FEB86659FD93))
-    least = (h & ~LOW) | np.arange(n, dtype=U)
+    h = x[:n] * FACTORS[0]
+    h += x[8 : n + 8] * FACTORS[1]
+    h += x[12 : n + 12] * FACTORS[2]
+    h = mixed(h)
+    least = h & ~LOW
+    least |= np.arange(n, dtype=U)
     for step in (1, 2, 4, 8):
         least = np.minimum(least[:-step], least[step:])
     least = np.minimum(least[: 16 - SPAN], least[SPAN - 16 :])
@@ -128,9 +175,9 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     def stretch(begin: np.ndarray, there: np.ndarray, salt: int) -> np.ndarray:
         begin = np.where(there, begin, 0)
         out = np.full(len(begin), salt, U)
-        for step in (*range(0, GRAM + SIDE - 7, 8), GRAM + SIDE - 8):
-            out = mixed(out + x[np.minimum(begin + step, len(x) - 1)] * U(0x9E3779B97F4A7C15))
-        return np.where(there, out | U(1), U(0))
+        for factor, step in zip(FACTORS, (*range(0, GRAM + SIDE - 7, 8), GRAM + SIDE - 8)):
+            out += x[np.minimum(begin + step, len(x) - 1)] * factor
+        return np.where(there, mixed(out) | U(1), U(0))
 
     return first, last, turn, h[anchor], stretch(anchor - SIDE, turn >= first, 1), stretch(anchor, turn < last, 2)
 
@@ -138,6 +185,8 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
 class Block:
     """The documents of a block in the order of their ids, and their runs."""
 
+    USES = ("number", "start", "end", "own")
+
     def __init__(self, docs: pa.Table):
         ids, at, size = (docs[c].to_numpy().astype(np.int64) for c in ("_id", "_at", "_size"))
         # packs hold the texts in the order of _at, which also settles the order of equal ids
@@ -180,8 +229,8 @@ class Block:
             shift = offsets[part] - np.r_[0, ends[:-1]][part]
             yield data, docs[part], shift, *found
 
-    def contexts(self, answers: list[tuple[int, bytes, bytes]], buckets: int):
-        """Distinct contexts of stretches that survive, and their uses (document number, start, end, context).
+    def contexts(self, answers: list[tuple[int, bytes, bytes]], buckets: int) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.RecordBatch]:
+        """Distinct contexts of stretches that survive, of each the smallest id and the code, and their uses (document number, start, end, context).
 
         answers: for each bucket a bit for each distinct code of the block there, in their order, and the
         same for hot ones, or nothing if none is.
@@ -202,44 +251,48 @@ class Block:
                 if hot:
                     whole_hot[a:b] = np.unpackbits(np.frombuffer(hot, np.uint8), count=b - a)
             codes, hot = codes[whole], whole_hot[whole]
-        known: dict[bytes | tuple[bytes], int] = {}
-        owner: list[int] = []
-        code_of: list[int] = []
-        uses: list[tuple[int, int, int, int]] = []
         def among(stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             code = coded(stretch, buckets)
             place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             there = (codes[place] == code) & (stretch != 0)
             return there, there & hot[place]
 
+        # of each part its distinct contexts (digits, size, dealt alone, document number, code) and their uses
+        told: list[tuple[np.ndarray, ...]] = []
+        uses: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for data, docs, shift, first, last, turn, h, left, right in parts() if len(codes) else ():
             (on_left, hot_left), (on_right, hot_right) = among(left), among(right)
-            keep = np.flatnonzero(on_left | on_right)
-            raw = data.tobytes()
-            sides = zip(*(x[keep].tolist() for x in (docs, shift, coded(h, buckets), first, turn, last, on_left, on_right, hot_left, hot_right)))
-            for k, move, c, a, mid, b, has_left, has_right, split_left, split_right in sides:
-                # a window's side decides how it is dealt, as equal windows are on one side
-                if has_left and has_right and not split_left and not split_right:
-                    parts = ((a, b, False),)
-                else:
-                    parts = ((a, mid, split_left),) * has_left + ((mid + 1, b, split_right),) * has_right
-                for low, high, split in parts:
-                    for a1, b1 in ((i, i) for i in range(low, high + 1)) if split else ((low, high),):
-                        text = raw[a1 : b1 + WINDOW]
-                        # a window dealt alone and a context that looks the same are told apart
-                        name = (text,) if split else text
-                        own = known.get(name)
-                        if own is None:
-                            own = known[name] = len(known)
-                            owner.append(k)
-                            code_of.append(-1 if split else c)
-                        uses.append((k, a1 + move, b1 + WINDOW + move, own))
-        texts = [t if isinstance(t, bytes) else t[0] for t in known]
-        if -1 in code_of:
-            for i, c in enumerate(code_of):
-                if c == -1:
-                    code_of[i] = int(coded(mixed(np.frombuffer(texts[i][:48], "<u8")).sum(keepdims=True), buckets)[0])
-        return texts, self.ids[np.array(owner, int)] if owner else np.empty(0, np.int64), np.array(code_of, U), uses
+            both = on_left & on_right & ~hot_left & ~hot_right
+            # a window's side decides how it is dealt, as equal windows are on one side
+            side = np.flatnonzero(np.column_stack([on_left, on_right & ~both]))
+            run, right_side = side >> 1, side & 1 == 1
+            low = np.where(right_side, turn[run] + 1, first[run])
+            high = np.where(right_side | both[run], last[run], turn[run])
+            alone = np.where(right_side, hot_right[run], hot_left[run])
+            row, nth = drawn_out(np.where(alone, high - low + 1, 1))
+            run, low, alone = run[row], low[row] + nth, alone[row]
+            size = np.where(alone, low, high[row]) - low + WINDOW
+            x = digits(np.r_[data, np.zeros(8 * DIGITS, np.uint8)], low, size)
+            # a window dealt alone and a context that looks the same are told apart
+            new, own = alike(x, size, alone)
+            number, start = docs[run], low + shift[run]
+            uses.append((number.astype(np.int32), start, start + size, own + count))
+            told.append((x[new], size[new].astype(np.uint8), alone[new], number[new], coded(h[run[new]], buckets)))
+            count += len(new)
+        if not count:
+            none = np.empty(0, np.int64)
+            return pa.array([], pa.large_binary()), none, none.astype(U), pa.record_batch([none.astype(np.int32), none, none, none], names=list(self.USES))
+        number, start, end, own = map(np.concatenate, zip(*uses))
+        x, size, alone, owner, code = map(np.concatenate, zip(*told))
+        if len(told) > 1:
+            new, like = alike(x, size, alone)
+            own, x, size, alone, owner, code = like[own], x[new], size[new], alone[new], owner[new], code[new]
+        code[alone] = coded(mixed(x[alone, :6]).sum(axis=1, dtype=U), buckets)
+        ends = np.r_[0, np.cumsum(size, dtype=np.int64)]
+        body = x.astype("<u8", copy=False).view(np.uint8)[np.arange(8 * DIGITS) < size[:, None]]
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+        return texts, self.ids[owner], code, pa.record_batch([number, start, end, own], names=list(self.USES))
 
 
 def split_by_bucket(code: np.ndarray, order: np.ndarray | None = None):
@@ -276,48 +329,39 @@ def flag_smaller(code: np.ndarray, doc: np.ndarray, size: np.ndarray, begin: np.
     """For each context a bit for each window: whether an equal one belongs to a smaller document."""
     flags = np.zeros(len(code), np.uint32)
     order = np.argsort(code, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, code[order][1:] != code[order][:-1], True])
-    raw = data.tobytes()
-    data = np.r_[data, np.zeros(8, np.uint8)]
-    held: list[np.ndarray] = []
-    windows = 0
-
-    def resolve() -> None:
-        rows = np.concatenate(held)
-        count = size[rows] - WINDOW + 1
-        row = np.repeat(rows, count)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        start = begin[row] + nth
-        x = np.empty((len(row), (WINDOW + 7) // 8), U)
-        eight = lanes(data)
-        for j in range(x.shape[1]):
-            x[:, j] = eight[start + 8 * j]
-        if WINDOW % 8:
-            x[:, -1] &= U((1 << 8 * (WINDOW % 8)) - 1)
-        live, group = equal_windows(x, np.unique(code[row], return_inverse=True)[1])
-        if len(live):
-            least = np.full(group.max() + 1, NULL_ID)
-            np.minimum.at(least, group, doc[row[live]])
-            hit = live[least[group] < doc[row[live]]]
-            np.bitwise_or.at(flags, row[hit], np.uint32(1) << nth[hit].astype(np.uint32))
-
-    sizes, firsts = size.tolist(), begin.tolist()
+    new = np.r_[True, code[order][1:] != code[order][:-1]][: len(order)]
+    group = np.cumsum(new) - 1
+    often = np.bincount(group)[group] > 1 if len(group) else new
+    order, group = order[often], group[often]
+    if not len(order):
+        return flags
+    data = np.r_[data, np.zeros(8 * DIGITS, np.uint8)]
+    # a step holds whole groups
+    windows = np.cumsum(size[order] - WINDOW + 1)
+    heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    step = (windows[heads] // SORT_WINDOWS).repeat(np.diff(np.r_[heads, len(group)]))
+    cuts = np.flatnonzero(np.r_[True, step[1:] != step[:-1], True])
     for a, b in zip(cuts, cuts[1:]):
-        if b - a < 2:
-            continue
-        rows = order[a:b]
-        texts = {raw[firsts[r] : firsts[r] + sizes[r]] for r in rows.tolist()}
-        if len(texts) == 1:
-            smaller = rows[doc[rows] > doc[rows].min()]
-            flags[smaller] = np.uint32((1 << int(sizes[rows[0]] - WINDOW + 1)) - 1)
-            continue
-        held.append(rows)
-        windows += int((size[rows] - WINDOW + 1).sum())
-        if windows > SORT_WINDOWS:
-            resolve()
-            held, windows = [], 0
-    if held:
-        resolve()
+        rows, of = order[a:b], group[a:b]
+        first, kind = alike(digits(data, begin[rows], size[rows]), size[rows], of)
+        least = np.full(len(first), NULL_ID)
+        np.minimum.at(least, kind, doc[rows])
+        some = np.zeros(len(first), np.uint32)
+        # of equal contexts the later ones lose all; the first one's windows are compared with those of other contexts
+        of = of[first] - of[0]
+        mixed_groups = np.flatnonzero(np.bincount(of)[of] > 1)
+        if len(mixed_groups):
+            at, wide = begin[rows[first[mixed_groups]]], size[rows[first[mixed_groups]]]
+            row, nth = drawn_out(wide - WINDOW + 1)
+            live, same = equal_windows(digits(data, at[row] + nth, np.full(len(row), WINDOW), (WINDOW + 7) // 8), of[mixed_groups[row]])
+            row, nth = mixed_groups[row[live]], nth[live]
+            if len(live):
+                smallest = np.full(same.max() + 1, NULL_ID)
+                np.minimum.at(smallest, same, least[row])
+                hit = smallest[same] < least[row]
+                np.bitwise_or.at(some, row[hit], np.uint32(1) << nth[hit].astype(np.uint32))
+        whole = ((U(1) << (size[rows] - WINDOW + 1).astype(U)) - U(1)).astype(np.uint32)
+        flags[rows] = np.where(doc[rows] > least[kind], whole, some[kind])
     return flags
 
 
@@ -331,6 +375,38 @@ def gathered(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.empty(0, dtype)), np.array([len(x) for x in parts], int)
 
 
+def flagged(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of the bits that are set."""
+    rows, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in range(SPAN):
+        there = np.flatnonzero(flags >> np.uint32(i) & np.uint32(1))
+        rows.append(there)
+        places.append(np.full(len(there), i))
+    return np.concatenate(rows), np.concatenate(places)
+
+
+def cut_out(texts: list[pa.Buffer], number: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[pa.Array, list[bytes]]:
+    """The maximal stretches of each text that the ones from begin to end in text `number` cover, and what they leave."""
+    size = np.array([t.size for t in texts], np.int64)
+    # texts as one, a byte apart, so that stretches of two texts do not touch
+    base = np.cumsum(size + 1) - size - 1
+    order = np.argsort(base[number] + begin, kind="stable")
+    begin, end, number = (base[number] + begin)[order], np.maximum.accumulate((base[number] + end)[order]), number[order]
+    new = np.flatnonzero(np.r_[True, begin[1:] > end[:-1]][: len(begin)])
+    number = number[new]
+    start, stop = begin[new] - base[number], end[np.r_[new[1:], len(end)][: len(new)] - 1] - base[number]
+    offsets = np.searchsorted(number, np.arange(len(texts) + 1))
+    spans = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(stop, pa.int64())], ["start", "end"]))
+    kept = []
+    for text, a, b in zip(texts, offsets.tolist(), offsets[1:].tolist()):
+        whole = text.to_pybytes()
+        if a < b:
+            edges = zip([0, *stop[a:b].tolist()], [*start[a:b].tolist(), len(whole)])
+            whole = b"".join([whole[x:y] for x, y in edges])
+        kept.append(whole)
+    return spans, kept
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """Remove bytes of texts that repeat, in WINDOW bytes or more, what a smaller document holds.
 
@@ -425,12 +501,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def offered(key, table, replies):
         enter("suffix_dedup")
-        texts, owner, code, _ = Block(table).contexts(answers(replies), buckets) if table.num_rows else ([], [], np.empty(0, U), [])
         rows = []
-        size = np.array([len(t) for t in texts], np.uint8)
-        for b, p in in_buckets(code):
-            # contexts are numbered in the order of their owners
-            rows.append((b, binary((code[p] & LOW).astype(np.uint32)), shrunk(size[p], steps(owner[p])), zstandard.compress(b"".join([texts[i] for i in p.tolist()]), LEVEL)))
+        if table.num_rows:
+            texts, owner, code, _ = Block(table).contexts(answers(replies), buckets)
+            order = np.argsort(code >> U(32), kind="stable")
+            texts, owner, code = texts.take(pa.array(order)), owner[order], code[order]
+            size, body = pc.binary_length(texts).to_numpy(), texts.buffers()[2]
+            ends = np.cumsum(size)
+            for b, p in split_by_bucket(code, np.arange(len(code))):
+                # contexts are numbered in the order of their owners
+                a, z = p[0], p[-1] + 1
+                held = body[int(ends[a] - size[a]) : int(ends[z - 1])]
+                rows.append((b, binary((code[a:z] & LOW).astype(np.uint32)), shrunk(size[a:z].astype(np.uint8), steps(owner[a:z])), zstandard.compress(held, LEVEL)))
         columns = list(zip(*rows)) or [[]] * 4
         names = ["tags", "owner", "data"]
         return pa.table({"bucket": pa.array(columns[0], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int64())} | {n: pa.array(c, pa.binary()) for n, c in zip(names, columns[1:])})
@@ -456,34 +538,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         flags = np.zeros(len(owner), np.uint32)
         for b, p in in_buckets(code):
             flags[p] = grown(judged_bucket[b], np.uint32)[0]
-        flags, owners, ids = flags.tolist(), np.asarray(owner).tolist(), block.ids.tolist()
-        gone: list[list[tuple[int, int]]] = [[] for _ in ids]
-        for k, a, b, own in uses:
-            if ids[k] > owners[own]:
-                gone[k].append((a, b))
-            else:
-                bits, i = flags[own], a
-                while bits:
-                    if bits & 1:
-                        gone[k].append((i, i + WINDOW))
-                    bits >>= 1
-                    i += 1
-        spans, kept = [], []
-        for text, cuts in zip(block.texts, gone):
-            cuts.sort()
-            out: list[list[int]] = []
-            for a, b in cuts:
-                if out and a <= out[-1][1]:
-                    out[-1][1] = max(out[-1][1], b)
-                else:
-                    out.append([a, b])
-            whole = text.to_pybytes()
-            spans.append([{"start": a, "end": b} for a, b in out])
-            edges = [0, *(x for ab in out for x in ab), len(whole)]
-            kept.append(b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2])) if out else whole)
+        number, start, end, own = (uses[c].to_numpy() for c in Block.USES)
+        later = block.ids[number] > owner[own]
+        row, bit = flagged(np.where(later, np.uint32(0), flags[own]))
+        begin, end = np.r_[start[later], start[row] + bit], np.r_[end[later], start[row] + bit + WINDOW]
+        spans, kept = cut_out(block.texts, np.r_[number[later], number[row]], begin, end)
         rest = table.take(pa.array(block.order))
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table({f"c{i}": rest[f"c{i}"].combine_chunks() for i in range(len(carry))} | {"n_bytes": pa.array([t.size for t in block.texts], pa.int64()), "spans": pa.array(spans, span), "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())})
+        return pa.table({f"c{i}": rest[f"c{i}"].combine_chunks() for i in range(len(carry))} | {"n_bytes": pa.array([t.size for t in block.texts], pa.int64()), "spans": spans, "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())})
 
     by_block = "block long, bucket int, told binary, hot binary"
     # a bucket is a partition: by a hash of their numbers some tasks would get several and others none

@@ -241,6 +241,31 @@ def test_flags_do_not_depend_on_sorting_steps(monkeypatch):
     assert (suffix_dedup.flag_smaller(code, doc, size, begin, data) == flags).all()
 
 
+def test_equal_contexts_are_sorted_once(monkeypatch):
+    """However often a context repeats in its group, its windows are compared once; groups of one context are not sorted at all."""
+    body, sorted_rows, real = prose(12, 60).encode(), [], suffix_dedup.equal_windows
+    monkeypatch.setattr(suffix_dedup, "equal_windows", lambda x, group: sorted_rows.append(len(x)) or real(x, group))
+    texts = [body[:80]] * 300 + [body[5:80]] + [body[100:180]] * 50
+    data, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    code, doc = np.repeat([3, 9], [301, 50]).astype(np.uint64), np.arange(351)[::-1].copy()
+    flags = suffix_dedup.flag_smaller(code, doc, size, np.cumsum(size) - size, data)
+    assert sum(sorted_rows) == 31 + 26
+    whole = (1 << 31) - 1
+    assert flags.tolist() == [whole] * 299 + [whole ^ 31] + [0] + [whole] * 49 + [0]
+
+
+def test_rows_are_alike_in_all_bytes(monkeypatch):
+    """Also where their hashes are."""
+    draw = np.random.default_rng(4)
+    x, size, alone = draw.integers(0, 2, (300, 4)).astype(np.uint64), draw.integers(50, 52, 300), draw.integers(0, 2, 300) > 0
+    rows = [(*r, s, a) for r, s, a in zip(x.tolist(), size.tolist(), alone.tolist())]
+    kinds = list(dict.fromkeys(rows))
+    for hashed in (suffix_dedup.mixed, lambda h: h * np.uint64(0)):
+        monkeypatch.setattr(suffix_dedup, "mixed", hashed)
+        first, place = suffix_dedup.alike(x, size, alone)
+        assert first.tolist() == [rows.index(k) for k in kinds] and place.tolist() == [kinds.index(r) for r in rows]
+
+
 def test_radix_groups():
     draw = np.random.default_rng(0)
     rows = draw.integers(0, 3, (400, 4)).astype(np.uint64)
