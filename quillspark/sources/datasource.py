@@ -5,13 +5,15 @@
     rows.write.format("predictions").option("format", "jsonl").mode("overwrite").save("out")
     spark.read.format("wav_headers").load("/audio")
 
-A file is read by as many tasks as it has ranges of `range_bytes`.  Filters on `shard` go down to the reader, which leaves other
+Files are read in ranges of `range_bytes`.  A task takes neighbouring ranges, of one file or several: there are up to TASKS tasks, and
+one for each RANGE_BYTES where these are more, so that neither small ranges nor many small files make tasks without end.  Filters on `shard` go down to the reader, which leaves other
 lines before it makes rows of them.  More line formats come by register_lines(), in every worker by the option `parser`.
 """
 
 from __future__ import annotations
 
 import importlib
+import itertools
 import json
 import math
 import uuid
@@ -34,6 +36,8 @@ PREDICTIONS = ("segment_id", "pred_text", "audio_filepath", "duration")
 #: Low bits of a line's number, which hold its place in its file; the bits above are the file's.
 OFFSET_BITS = 44
 RANGE_BYTES = 1 << 25
+#: Tasks that the ranges of less than TASKS * RANGE_BYTES go to, at most.
+TASKS = 64
 GIVEN = 4096
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
@@ -105,11 +109,18 @@ def parser_of(options: dict, path: str) -> Parser:
 
 
 @dataclass
-class Range(InputPartition):
-    number: int
-    path: str
-    start: int
-    end: int
+class Ranges(InputPartition):
+    """What a task reads: (number of the file, path, from, to)."""
+
+    found: list[tuple[int, str, int, int]]
+
+
+def dealt(found: list[tuple[int, str, int, int]]) -> list[Ranges]:
+    """Ranges by tasks, in their order: those that begin in the same share of all bytes."""
+    ends = [0, *itertools.accumulate(end - start for *_, start, end in found)]
+    share = min(RANGE_BYTES, -(-ends[-1] // TASKS))
+    told = itertools.groupby(zip(ends, found), lambda x: x[0] // share)
+    return [Ranges([r for _, r in group]) for _, group in told]
 
 
 class TranscriptReader(DataSourceReader):
@@ -127,20 +138,21 @@ class TranscriptReader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> Sequence[Range]:
+    def partitions(self) -> Sequence[Ranges]:
         found = ranges.listed(self.path)
-        return [Range(*r) for r in ranges.split_ranges(found, int(self.options.get("range_bytes", RANGE_BYTES)))] or [Range(0, "", 0, 0)]
+        return dealt(ranges.split_ranges(found, int(self.options.get("range_bytes", RANGE_BYTES)))) or [Ranges([])]
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Ranges) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for at, raw in ranges.lines(part.path, part.start, part.end) if part.path else ():
+        lines = ((number, at, raw) for number, path, start, end in part.found for at, raw in ranges.lines(path, start, end, min(ranges.BLOCK, end - start)))
+        for number, at, raw in lines:
             value = raw.decode("utf-8", "replace")
             value = value.lstrip("﻿") if at == 0 else value
             own, text, path, seconds, reason = self.parse(value, self.root)
             shard = None if reason else own.partition("-")[0]
             if self.shards is not None and shard not in self.shards:
                 continue
-            rows.append((part.number << OFFSET_BITS | at, own, text, path, seconds, shard, reason, value))
+            rows.append((number << OFFSET_BITS | at, own, text, path, seconds, shard, reason, value))
             if len(rows) == GIVEN:
                 yield batch_of(rows)
                 rows = []

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 
 LINE_END = re.compile(rb"\r\n|\r|\n")
+#: Bytes that are read at once.
+BLOCK = 1 << 20
 #: How an address begins that names its file system.
 SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:/")
 
@@ -78,7 +80,7 @@ def split_ranges(files: list[tuple[str, int]], most: int) -> list[tuple[int, str
     return out
 
 
-def lines(path: str, start: int, end: int, block: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
+def lines(path: str, start: int, end: int, block: int = BLOCK) -> Iterator[tuple[int, bytes]]:
     r"""(offset, line without its end) of the lines that begin in [start, end).
 
     Lines end at \n, \r or \r\n, as Spark's text source has it.  A range's reader looks at the bytes before it to tell whether a line

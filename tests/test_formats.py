@@ -103,6 +103,25 @@ def test_named_format_reads_what_the_scan_reads(spark, tmp_path, name, body):
     assert told(got.where("reject_reason is not null"), ["seq", "reject_reason"]) == told(bad, ["seq", "reject_reason"])
 
 
+def test_small_ranges_and_files_make_few_tasks(tmp_path, monkeypatch):
+    """Tasks grow neither with ranges nor with files, but by RANGE_BYTES of input; each range goes to one task."""
+    for files, size, most in ((1, 6 << 30, 1 << 16), (20_000, 700, 1 << 25), (3, 1 << 30, 1 << 25), (1, 5, 2)):
+        found = ranges.split_ranges([(f"/{k}", size) for k in range(files)], most)
+        tasks = datasource.dealt(found)
+        assert [r for t in tasks for r in t.found] == found
+        assert len(tasks) <= max(datasource.TASKS, -(-files * size // datasource.RANGE_BYTES))
+        assert max(sum(b - a for *_, a, b in t.found) for t in tasks) < datasource.RANGE_BYTES + most
+    assert datasource.dealt([]) == []
+    for k in range(9):
+        (tmp_path / f"{k}.tsv").write_text("".join(f"1-{k}-{n}\t{'t' * n}\n" for n in range(60)))
+    monkeypatch.setattr(datasource, "TASKS", 4)
+    reader = datasource.TranscriptReader({"path": str(tmp_path), "range_bytes": "50"})
+    parts = reader.partitions()
+    rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert len(parts) == 4 and [r["text"] for r in rows] == ["t" * n for _ in range(9) for n in range(60)]
+    assert [r["seq"] for r in rows] == sorted({r["seq"] for r in rows}) and rows[-1]["seq"] >> datasource.OFFSET_BITS == 8
+
+
 def test_filters_on_shards_go_down_and_formats_come_in(spark, tmp_path):
     datasource.register(spark)
     (tmp_path / "in").mkdir()
