@@ -1,22 +1,23 @@
-"""Text as column expressions; only NFKC, which the JVM functions lack, is an Arrow function."""
+"""Text as column expressions, without Python workers."""
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: What str.strip() removes: the Unicode white space of Java's \s and the four separators U+001C..U+001F.
 SPACE = r"[\s\x1c-\x1f]"
 SIGNATURE_CHARS = 160
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+def nfkc(c: Column | str) -> Column:
+    """NFKC by the ICU library that Spark has for its collations, text by text: no batch of texts is ever held.
+
+    As unicodedata has it; characters that Unicode took up after Python's version go by ICU's.  reflect() counts as
+    nondeterministic, so filters stay above it.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNotNull(), F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c.cast("string"), F.lit(True)))
 
 
 def py_strip(c: Column) -> Column:

@@ -1,3 +1,4 @@
+import sys
 import unicodedata
 from datetime import datetime
 
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.functions import ids, measures, text
+from quillspark.operators import combine
 
 
 def column(spark, values, expression, kind="string"):
@@ -34,6 +36,18 @@ def test_nfkc_folds_and_is_idempotent(spark):
     assert column(spark, got, lambda c: text.nfkc(c)) == got
 
 
+def test_nfkc_is_pythons_for_all_characters_without_python_workers(spark):
+    """Each character that Python knows, alone and behind a letter and a mark; a batch of texts in a worker took memory by the texts' length."""
+    known = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    values = [x for i in range(0, len(known), 50) for x in (" ".join(known[i : i + 50]), "".join(f"e{k}\u0301\u0323 " for k in known[i : i + 50]))]
+    assert column(spark, values, lambda c: text.nfkc(c)) == [unicodedata.normalize("NFKC", v) for v in values]
+    rows = spark.createDataFrame([(0, "a", "ﬁ")], "seq long, segment_id string, text string")
+    both = combine.combine(rows, rows.select("segment_id", "seq", F.lit("ａ").alias("pred_text")), merge=True)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert [tuple(r) for r in both.collect()] == [(0, "a", "fi", "a")]
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list(" \t\n\x1c\x85\xa0 ab-")), max_size=8), min_size=1, max_size=20))
 def test_strip_is_python_strip(spark, values):
