@@ -15,6 +15,18 @@ def rows(df, *columns):
     return [tuple(r[c] for c in columns) for r in df.orderBy("seq").collect()]
 
 
+def test_combining_starts_no_python_workers(spark):
+    """Whatever the join, and with long texts, null and empty ones on both sides."""
+    long = "คํา ﬁ " * 50_000
+    rec = spark.createDataFrame([(0, "a-b-0", long), (1, "a-b-1", None), (2, "a-b-2", "")], REC)
+    pred = spark.createDataFrame([("a-b-0", None, 0), ("a-b-1", long, 1)], PRED)
+    for hint in (None, "broadcast", "shuffle_hash"):
+        out = combine.combine(rec.hint(hint) if hint else rec, pred)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "InArrow" not in plan
+        assert rows(out, "orig_text", "pred_text") == [(NFKC(long), ""), (None, NFKC(long)), ("", "")]
+
+
 @pytest.mark.parametrize("merge", [False, True])
 def test_combine(spark, merge):
     rec = spark.createDataFrame([(0, "a-b-0", "é"), (1, "a-b-1", "คํา"), (2, "a-b-2", "x"), (3, "a-b-0", "again")], REC)
