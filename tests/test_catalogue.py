@@ -27,3 +27,9 @@ def test_query_equals_sql(spark, name):
     at = [want.columns.index(c) for c in order]
     got = sorted((tuple(rounded(r[c]) for c in order) for r in df.collect()), key=repr)
     assert got == sorted((tuple(rounded(r[i]) for i in at) for r in want.fetchall()), key=repr)
+
+
+@pytest.mark.parametrize("name", ["combine_left_join", "combine_merge_join", "combined_tsv_lines", "combined_jsonl_lines", "nfkc_fold_roundtrip", "sara_am_equal"])
+def test_queries_that_normalize_start_no_python_workers(spark, name):
+    plan = catalogue.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "InArrow" not in plan and "InPandas" not in plan
